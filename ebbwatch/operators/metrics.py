@@ -69,7 +69,7 @@ def class_report(counts: DataFrame) -> DataFrame:
     return wide.select(F.inline(F.array(F.col("c0"), F.col("c1"), overall, macro, weighted)))
 
 
-def score_ladder(df: DataFrame, label: str, score: str) -> DataFrame:
+def score_ladder(df: DataFrame, label: str, score: str, group: Sequence[str] = ()) -> DataFrame:
     """One row per distinct score with positives and negatives at it, above it and in total.
 
     Hot scores collapse before the shuffle; positions come from bin totals, never from one window
@@ -78,21 +78,70 @@ def score_ladder(df: DataFrame, label: str, score: str) -> DataFrame:
     y = F.col(label)
     counted = (
         df.where(y.isNotNull() & F.col(score).isNotNull())
-        .groupBy(F.col(score).alias("score"))
+        .groupBy(*group, F.col(score).alias("score"))
         .agg(F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg"))
     )
-    return running_totals(counted, "score", ["pos", "neg"], descending=True)
+    return running_totals(counted, "score", ["pos", "neg"], group, descending=True)
+
+
+def _won() -> Column:
+    """Pairs a positive wins against the negatives of this score; a tie counts one half."""
+    return F.sum(F.col("neg").cast("double") * (F.col("pos_before") + F.col("pos") * 0.5))
+
+
+def _pairs() -> Column:
+    return F.max("pos_all").cast("double") * F.max("neg_all").cast("double")
+
+
+def _pr_area() -> Column:
+    """Area under precision-recall by trapezoids; the curve starts level at its first precision."""
+    caught, alarms = F.col("pos_before") + F.col("pos"), F.col("neg_before") + F.col("neg")
+    precision = _ratio(caught, caught + alarms)
+    seen = F.col("pos_before") + F.col("neg_before")
+    previous = F.when(seen > 0, _ratio(F.col("pos_before"), seen)).otherwise(precision)
+    return F.sum(_ratio(F.col("pos"), F.col("pos_all")) * (precision + previous) / 2.0)
 
 
 def auc_roc(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Exact area under ROC in rank form; tied pairs count one half."""
-    above = F.col("pos_before") + F.col("pos") * 0.5
-    won = F.sum(F.col("neg").cast("double") * above)
-    totals = score_ladder(df, label, score).agg(
-        won.alias("won"), F.max("pos_all").alias("n_pos"), F.max("neg_all").alias("n_neg")
+    """Exact area under ROC in rank form."""
+    return score_ladder(df, label, score).agg(
+        F.max("pos_all").alias("n_pos"), F.max("neg_all").alias("n_neg"), F.try_divide(_won(), _pairs()).alias("auc_roc")
+    )
+
+
+def auc_pr(df: DataFrame, label: str, score: str) -> DataFrame:
+    return score_ladder(df, label, score).agg(_pr_area().alias("auc_pr"))
+
+
+def grouped_auc(df: DataFrame, label: str, score: str, group: str) -> DataFrame:
+    """Area under ROC for each value of ``group``."""
+    return score_ladder(df, label, score, [group]).groupBy(group).agg(F.try_divide(_won(), _pairs()).alias("auc_roc"))
+
+
+def binary_metrics(df: DataFrame, label: str, score: str, threshold: float = 0.5) -> DataFrame:
+    """All threshold and ranking metrics as rows (metric, value), from one pass over the scores."""
+    hit = F.col("score") >= threshold
+    one = score_ladder(df, label, score).agg(
+        F.try_divide(_won(), _pairs()).alias("auc_roc"),
+        _pr_area().alias("auc_pr"),
+        F.coalesce(F.sum(F.when(hit, F.col("pos"))), F.lit(0)).alias("tp"),
+        F.coalesce(F.sum(F.when(hit, F.col("neg"))), F.lit(0)).alias("fp"),
+        F.max("pos_all").alias("p"),
+        F.max("neg_all").alias("n"),
     )
-    pairs = F.col("n_pos").cast("double") * F.col("n_neg").cast("double")
-    return totals.select("n_pos", "n_neg", F.try_divide("won", pairs).alias("auc_roc"))
+    tp, fp, p, n = (F.col(c) for c in ("tp", "fp", "p", "n"))
+    precision, recall = _ratio(tp, tp + fp), _ratio(tp, p)
+    values = {
+        "auc_roc": F.col("auc_roc"),
+        "auc_pr": F.col("auc_pr"),
+        "gini": F.col("auc_roc") * 2.0 - 1.0,
+        "accuracy": _ratio(tp + n - fp, p + n),
+        "precision": precision,
+        "recall": recall,
+        "f1": _ratio(precision * recall * 2.0, precision + recall),
+    }
+    cells = F.array(*[F.struct(F.lit(k).alias("metric"), v.alias("value")) for k, v in values.items()])
+    return one.select(F.inline(cells))
 
 
 def gini(df: DataFrame, label: str, score: str) -> DataFrame:

@@ -263,11 +263,18 @@ def log_loss(spark, folder):
     SELECT metric, value, goal, value > goal AS reached FROM v""",
 )
 def metric_goals(spark, folder):
-    one = M.class_report(_confusion(spark, folder)).where("class_name = '1'")
-    cells = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in ("recall", "precision", "f1")])
-    auc = M.auc_roc(scored(spark, folder), "churn_label", "churn_probability")
-    values = one.select(F.inline(cells)).unionByName(auc.select(F.lit("auc_roc").alias("metric"), six("auc_roc").alias("value")))
-    return M.metric_goals(values)
+    values = M.binary_metrics(scored(spark, folder), "churn_label", "churn_probability")
+    rounded = F.when(F.col("metric") == "auc_roc", six("value")).otherwise(F.col("value"))
+    return M.metric_goals(values.withColumn("value", rounded))
+
+
+@query(
+    "auc_pr",
+    f"""WITH {O.SCORED}, {_AUC}, c AS (SELECT pos, pa, (pb + pos) / (pb + pos + nb + neg) AS pr, CASE WHEN pb + nb > 0 THEN pb / (pb + nb) END AS before FROM l)
+    SELECT {O.six(f"sum(pos / pa * (pr + coalesce(before, pr)) / {d('2.0')})")} AS auc_pr FROM c""",
+)
+def auc_pr(spark, folder):
+    return M.auc_pr(scored(spark, folder), "churn_label", "churn_probability").select(six("auc_pr").alias("auc_pr"))
 
 
 @query(
