@@ -50,6 +50,11 @@ def classifier(kind: str, label: str = "churn_label", features: str = "features"
     return factory(labelCol=label, featuresCol=features, **{**defaults, **settings})
 
 
+def fit_classifier(df: DataFrame, kind: str, label: str = "churn_label", features: str = "features", **settings):
+    """Fit on the two columns that matter, so that nothing else is computed or carried along."""
+    return classifier(kind, label, features, **settings).fit(df.select(label, features))
+
+
 def _grid(estimator, values: Mapping[str, Sequence]) -> list:
     builder = ParamGridBuilder()
     for name, options in values.items():
@@ -82,7 +87,8 @@ def cross_validate(
         parallelism=parallelism,
         seed=42,
     )
-    return search.fit(add_fold(df, key, folds))
+    folded = add_fold(df.select(key, label, "features"), key, folds)
+    return search.fit(folded.drop(key))
 
 
 def tune_search(
@@ -97,7 +103,7 @@ def tune_search(
     search = TrainValidationSplit(
         estimator=estimator, estimatorParamMaps=drawn, evaluator=_auc(label), trainRatio=0.8, parallelism=4, seed=seed
     )
-    return search.fit(df)
+    return search.fit(df.select(label, "features"))
 
 
 def with_class_weight(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
@@ -113,7 +119,7 @@ def train_boosted_weighted(
 
     ``held_out`` is a boolean column that marks the validation rows.
     """
-    weighted = with_class_weight(df, label)
+    weighted = with_class_weight(df.select(label, "features", held_out), label)
     trees = GBTClassifier(
         labelCol=label,
         featuresCol="features",
@@ -140,7 +146,9 @@ def train_mlp(
 ):
     """Feed-forward network. Spark's hidden layers are sigmoid and it has neither dropout nor
     weights; class balance comes from repeated positives."""
-    rows = replicate_positives(df, label) if balance else df
+    rows = df.select(label, features)
+    if balance:
+        rows = replicate_positives(rows, label)
     network = MultilayerPerceptronClassifier(
         layers=[n_features, *hidden, 2], labelCol=label, featuresCol=features, maxIter=max_iter, blockSize=128, seed=42
     )

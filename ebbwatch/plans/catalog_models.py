@@ -186,7 +186,7 @@ def train_logistic(spark, folder):
 @query("cross_validate")
 def cross_validate(spark, folder):
     """Mean AUC of each setting over five hash folds (a smaller grid than the default one)."""
-    rows = _fitted_features(spark, folder).where("part = 'train'").select("customer_id", "churn_label", "features")
+    rows = _fitted_features(spark, folder).where("part = 'train'")
     grid = {"maxDepth": [4, 6], "numTrees": [10, 20]}
     found = M.cross_validate(rows, "random_forest", "customer_id", folds=5, grid=grid)
     lines = [
@@ -199,7 +199,7 @@ def cross_validate(spark, folder):
 
 @query("tune_search")
 def tune_search(spark, folder):
-    rows = _fitted_features(spark, folder).where("part = 'train'").select("churn_label", "features")
+    rows = _fitted_features(spark, folder).where("part = 'train'")
     found = M.tune_search(rows, "logistic", candidates=3)
     settings = [{p.name: float(v) for p, v in s.items()} for s in found.getEstimatorParamMaps()]
     lines = [(s["regParam"], s["elasticNetParam"], float(a)) for s, a in zip(settings, found.validationMetrics)]
@@ -211,7 +211,7 @@ def train_boosted_weighted(spark, folder):
     rows = _fitted_features(spark, folder)
     held_out = S.hash_bucket("customer_id", 100, salt="held:") < 20
     train = rows.where("part = 'train'").withColumn("held_out", held_out)
-    model = M.train_boosted_weighted(train.select("customer_id", "churn_label", "features", "held_out"), "held_out")
+    model = M.train_boosted_weighted(train, "held_out")
     scores = M.score_customers(model, rows.where("part = 'test'"))
     return M.evaluate(scores).withColumn("n_trees", F.lit(model.getNumTrees))
 
@@ -344,7 +344,7 @@ def linear_contributions(spark, folder):
 def model_contributions(spark, folder):
     """Attribution of the fitted logistic model, ten largest."""
     rows = _fitted_features(spark, folder)
-    model: LogisticRegressionModel = M.classifier("logistic").fit(rows.where("part = 'train'"))
+    model: LogisticRegressionModel = M.fit_classifier(rows.where("part = 'train'"), "logistic")
     rated = E.vector_contributions(rows, model.coefficients.toArray(), FT.vector_names(rows))
     return E.importance_rank(rated)
 
@@ -352,21 +352,21 @@ def model_contributions(spark, folder):
 @query("tree_importance")
 def tree_importance(spark, folder):
     rows = _fitted_features(spark, folder)
-    model = M.classifier("random_forest", numTrees=50).fit(rows.where("part = 'train'"))
+    model = M.fit_classifier(rows.where("part = 'train'"), "random_forest", numTrees=50)
     return E.tree_importance(spark, model, FT.vector_names(rows))
 
 
 @query("importance_rank")
 def importance_rank(spark, folder):
     rows = _fitted_features(spark, folder)
-    model = M.classifier("random_forest", numTrees=20).fit(rows.where("part = 'train'"))
+    model = M.fit_classifier(rows.where("part = 'train'"), "random_forest", numTrees=20)
     return E.importance_rank(E.tree_importance(spark, model, FT.vector_names(rows)))
 
 
 @query("permutation_importance")
 def permutation_importance(spark, folder):
     rows = _behaviour_vectors(spark, folder)
-    model = M.classifier("random_forest", "churn", numTrees=20).fit(rows.where("part = 'train'"))
+    model = M.fit_classifier(rows.where("part = 'train'"), "random_forest", "churn", numTrees=20)
     return E.permutation_importance(model, rows.where("part = 'test'"), "customer_id", "churn", K.BEHAVIOUR_FEATURES)
 
 

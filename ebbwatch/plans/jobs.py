@@ -48,7 +48,7 @@ def fit_model(gold: DataFrame, kind: str, with_intent: bool = True, **settings)
     numeric = [*K.NUMERIC_FEATURES, "churn_intent_score"] if with_intent else list(K.NUMERIC_FEATURES)
     train = gold.where("part = 'train'")
     features = FeatureSet(numeric).fit(train)
-    fitted = models.classifier(kind, **settings).fit(features.transform(train))
+    fitted = models.fit_classifier(features.transform(train), kind, **settings)
     return PipelineModel(stages=[*features.model.stages, fitted])
 
 
