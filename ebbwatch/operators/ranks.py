@@ -21,7 +21,7 @@ def hashed_positions(
     """Position 1..n (``name``) and size (``name_of``) of each row in its stratum, in md5 order of the key.
 
     The leading hash digits are the bins: 16^digits for each stratum, equally filled. The key must
-    be unique and the strata few (class labels and the like).
+    be unique and the strata few (class labels and the like): their offsets meet in one task each.
     """
     strata = list(strata)
     bins = [*strata, "_bin"]
@@ -37,8 +37,8 @@ def hashed_positions(
     )
     inside = F.row_number().over(Window.partitionBy(*bins).orderBy("_hash", key))
     ranked = hashed.withColumn("_inside", inside)
-    # offsets has at most 16^digits rows for each stratum, whatever the input size
-    joined = ranked.join(F.broadcast(offsets), bins)
+    # the window has partitioned the rows by bin already, so only the few offsets are shuffled here
+    joined = ranked.join(offsets, bins)
     return joined.withColumn(name, F.col("_before") + F.col("_inside")).drop("_hash", "_bin", "_inside", "_before")
 
 

@@ -51,11 +51,11 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return moments.join(quartiles, "feature", "left")
 
 
-def class_histogram(df: DataFrame, label: str, feature: str, bins: int = 30) -> DataFrame:
+def class_histogram(df: DataFrame, label: str, feature: str, bins: int = 30, classes: Sequence[int] = (0, 1)) -> DataFrame:
     """Density histogram of a feature per class: equal bins between the class's own extremes."""
     value = F.col(feature).cast("double")
-    rows = df.where(value.isNotNull()).select(F.col(label).alias("label"), value.alias("value"))
-    # one row per class
+    rows = df.where(value.isNotNull() & F.col(label).isin(*classes)).select(F.col(label).alias("label"), value.alias("value"))
+    # one row for each of `classes`
     edges = rows.groupBy("label").agg(
         F.min("value").alias("low"), F.max("value").alias("high"), F.count("*").alias("class_n")
     )

@@ -45,6 +45,20 @@ def union_classes(first: DataFrame, second: DataFrame, key: str) -> DataFrame:
     return first.unionByName(second).orderBy(F.md5(F.col(key).cast("string")))
 
 
+def expand_counts(df: DataFrame, key: str, count: str, item: str = "item", chunk: int = 10_000) -> DataFrame:
+    """``count`` rows for each row, numbered from 1.
+
+    A count is first cut into chunks, which are spread over the tasks, so that one huge count is
+    not unfolded by a single task.
+    """
+    chunks = df.where(F.col(count) > 0).withColumn(
+        "_chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col(count) - 1) / chunk).cast("int")))
+    )
+    first = F.col("_chunk") * chunk + 1
+    last = F.least(first + (chunk - 1), F.col(count))
+    return chunks.repartition(key, "_chunk").withColumn(item, F.explode(F.sequence(first, last))).drop("_chunk")
+
+
 def sample_rows(df: DataFrame, key: str, n: int) -> DataFrame:
     """``n`` rows chosen by key hash: a top-n per task, then a merge of the winners."""
     return df.orderBy(F.md5(F.col(key).cast("string")), key).limit(n)

@@ -14,6 +14,8 @@ from ebbwatch.functions import vectors as V
 from ebbwatch.functions.texts import words
 
 
+MAX_ANCHORS = 1000
+
 # ------------------------------------------------------------------------------- anchors and intent
 
 
@@ -32,9 +34,13 @@ def label_anchors(vectors: DataFrame, dim: int, labels: int = 10, churn_labels:
 
 
 def _as_list(anchors: DataFrame) -> Column:
-    """The anchor table as one array value (a scalar subquery), ordered by anchor."""
+    """The anchor table as one array value (a scalar subquery), ordered by anchor.
+
+    A table that is not small is refused, because every task receives the array.
+    """
     packed = F.sort_array(F.collect_list(F.struct("anchor", "kind", "vector")))
-    return anchors.agg(packed.alias("anchors")).scalar()
+    refused = F.raise_error(F.lit(f"an anchor table holds at most {MAX_ANCHORS} rows"))
+    return anchors.agg(F.when(F.count("*") <= MAX_ANCHORS, packed).otherwise(refused).alias("anchors")).scalar()
 
 
 def text_x_anchor(vectors: DataFrame, anchors: DataFrame, vector: str = "embedding") -> DataFrame:
@@ -154,8 +160,9 @@ def token_windows(docs: DataFrame, key: str, text: str, size: int = K.TOKEN_WIND
     """
     tokens = docs.select(key, words(text).alias("_t"))
     n_windows = F.greatest(F.ceil(F.size("_t") / size), F.lit(1)).cast("int")
-    windows = tokens.select(key, "_t", F.explode(F.sequence(F.lit(0), n_windows - 1)).alias("window_no"))
-    part = windows.withColumn("_p", F.slice("_t", F.col("window_no") * size + 1, size))
+    # cut first, then unfold: a window carries its own tokens and not those of the whole text
+    cut = F.transform(F.sequence(F.lit(0), n_windows - 1), lambda i: F.slice("_t", i * size + 1, size))
+    part = tokens.select(key, F.posexplode(cut).alias("window_no", "_p"))
     return part.select(
         key,
         "window_no",

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ebbwatch.plans import oracle as O
 from ebbwatch.plans.registry import query, scored
+from ebbwatch.schemas import ALERTS
 from ebbwatch.sources.storage import materialize, read_table
 from ebbwatch.streaming import flows as W
 
@@ -36,7 +38,9 @@ def stream_silver(spark, folder):
 )
 def stream_scores(spark, folder):
     events = W.silver_events(W.event_stream(spark, folder)).select("event_id", "customer_id", "event_type")
-    return W.run_to_table(W.scored_events(events, _scores(spark, folder)), "scored-events")
+    scores = _scores(spark, folder)
+    schema = T.StructType([*events.schema.fields, *scores.schema.fields[1:]])
+    return W.run_batches(events, "scored-events", schema, lambda batch: W.score_events(batch, scores)).drop("batch_id")
 
 
 @query(
@@ -83,7 +87,12 @@ def stream_customer_state(spark, folder):
 def stream_sink_upsert(spark, folder):
     """Alerts for events of customers at risk, in an idempotent sink by batch and day."""
     events = W.silver_events(W.event_stream(spark, folder)).select("event_id", "customer_id", "event_type", "ts")
-    rated = W.scored_events(events, _scores(spark, folder)).where(F.col("churn_risk_level").isin("ALTO", "MEDIO"))
+    scores = _scores(spark, folder)
     day = F.date_format(W.utc_clock("ts"), "yyyy-MM-dd")
-    alerts = rated.select("event_id", "customer_id", "event_type", "churn_risk_level", day.alias("day"))
-    return W.run_upsert(alerts, "alerts", "event_id", ["day"])
+
+    def alerts(batch):
+        rated = W.score_events(batch, scores).where(F.col("churn_risk_level").isin("ALTO", "MEDIO"))
+        return rated.select("event_id", "customer_id", "event_type", "churn_risk_level", day.alias("day"))
+
+    stored = W.run_batches(events, "alerts", ALERTS, alerts, partition_by=["day"])
+    return W.newest_versions(stored, "event_id")

@@ -547,11 +547,11 @@ def union_classes(spark, folder):
     CASE item % 4 WHEN 0 THEN 'app' WHEN 1 THEN 'call_center' WHEN 2 THEN 'email' ELSE 'sucursal' END AS channel FROM x""",
 )
 def expand_complaints(spark, folder):
-    """One row for each counted complaint; a customer's count is small by nature, its rows are spread by ``explode``."""
-    rows = silver(spark, folder).where("n_complaints_3m > 0")
-    item = F.explode(F.sequence(F.lit(1), F.col("n_complaints_3m")))
+    """One row for each counted complaint."""
+    rows = silver(spark, folder).select("customer_id", "churn_label", "n_complaints_3m")
+    items = splits.expand_counts(rows, "customer_id", "n_complaints_3m")
     channel = F.element_at(F.array(*[F.lit(c) for c in K.COMPLAINT_CHANNELS]), F.col("item") % 4 + 1)
-    return rows.select("customer_id", "churn_label", item.alias("item")).withColumns(
+    return items.drop("n_complaints_3m").withColumns(
         {
             "complaint_date": F.date_format(F.date_sub(F.lit("2000-08-01").cast("date"), (F.col("item") * 29) % 90 + 1), "yyyy-MM-dd"),
             "channel": channel,

@@ -79,13 +79,12 @@ EVENTS = T.StructType(
     ]
 )
 
-MATERIALIZED_SCORES = T.StructType(
+ALERTS = T.StructType(
     [
+        T.StructField("event_id", T.LongType()),
         T.StructField("customer_id", T.StringType()),
-        T.StructField("region", T.StringType()),
-        T.StructField("churn_probability", T.DoubleType()),
+        T.StructField("event_type", T.StringType()),
         T.StructField("churn_risk_level", T.StringType()),
-        T.StructField("recommended_action", T.StringType()),
-        T.StructField("vip_classification", T.StringType()),
+        T.StructField("day", T.StringType()),
     ]
 )

@@ -1,13 +1,13 @@
 """Streaming operators and the helpers that run them.
 
 The functions take streaming or batch frames alike and return lazy frames; ``run_to_table`` and
-``run_upsert`` start a query, wait until the available input is processed and read the result.
+``run_batches`` start a query, wait until the available input is processed and read the result.
 Checkpoints and tables go to the shared folder of the session.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 import pandas as pd
@@ -59,17 +59,22 @@ def silver_events(events: DataFrame, watermark: str = WATERMARK) -> DataFrame:
 def salted_join(rows: DataFrame, table: DataFrame, key: str, row_id: str, salts: int = 8) -> DataFrame:
     """Left join that spreads each key over ``salts`` tasks.
 
-    Streams are planned without skew handling, so the rows of one busy key are divided by their id
-    and the lookup table is repeated once for each salt.
+    The rows of one busy key are divided by their id and the lookup table is repeated once for each
+    salt, so the table should hold only the keys that occur.
     """
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(row_id), F.lit(salts)).cast("int"))
     repeated = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(repeated, [key, "_salt"], "left").drop("_salt")
 
 
-def scored_events(events: DataFrame, scores: DataFrame) -> DataFrame:
-    """Every event with the current score and action of its customer (null for unknown customers)."""
-    return salted_join(events, scores, "customer_id", "event_id")
+def score_events(batch: DataFrame, scores: DataFrame) -> DataFrame:
+    """Every event with the current score and action of its customer (null for unknown customers).
+
+    Micro-batches are planned without skew handling. The score table is first cut to the customers
+    of the batch, whose list collapses before its shuffle; the salted join then repeats only those.
+    """
+    present = batch.select("customer_id").distinct()
+    return salted_join(batch, scores.join(present, "customer_id", "left_semi"), "customer_id", "event_id")
 
 
 def activity_windows(events: DataFrame, kind: str, watermark: str = WATERMARK) -> DataFrame:
@@ -169,30 +174,36 @@ def run_to_table(stream: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{base}/table")
 
 
-def upsert_batch(path: str, partition_by: list[str]):
-    """``foreachBatch`` writer: a batch owns one folder and rewrites it when it is replayed."""
+def batch_writer(path: str, transform: Callable[[DataFrame], DataFrame], partition_by: Sequence[str] = ()):
+    """``foreachBatch`` function: a batch owns one folder and rewrites it when it is replayed."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/batch_id={batch_id}")
+        batch.persist()
+        try:
+            transform(batch).write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     return write
 
 
-def read_upserted(spark: SparkSession, path: str, key: str, schema: T.StructType) -> DataFrame:
-    """The newest version of each key over all batches; ``schema`` is that of the sink's rows."""
-    stored = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-    rows = spark.read.schema(stored).option("basePath", path).parquet(path)
-    return dedup_latest(rows, key, "batch_id").drop("batch_id")
-
-
-def run_upsert(stream: DataFrame, label: str, key: str, partition_by: list[str]) -> DataFrame:
+def run_batches(
+    stream: DataFrame, label: str, schema: T.StructType, transform: Callable[[DataFrame], DataFrame], partition_by: Sequence[str] = ()
+) -> DataFrame:
+    """Processes what is available batch by batch; returns the stored rows with their ``batch_id``."""
     spark = stream.sparkSession
     base = scratch_path(spark, label)
     started = (
-        stream.writeStream.foreachBatch(upsert_batch(f"{base}/table", partition_by))
+        stream.writeStream.foreachBatch(batch_writer(f"{base}/table", transform, partition_by))
         .option("checkpointLocation", f"{base}/checkpoint")
         .trigger(availableNow=True)
         .start()
     )
     started.awaitTermination()
-    return read_upserted(spark, f"{base}/table", key, stream.schema)
+    stored = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    return spark.read.schema(stored).option("basePath", f"{base}/table").parquet(f"{base}/table")
+
+
+def newest_versions(stored: DataFrame, key: str) -> DataFrame:
+    """Upsert on read: the row of the latest batch for each key."""
+    return dedup_latest(stored, key, "batch_id").drop("batch_id")
