@@ -91,7 +91,7 @@ def impute_median(spark, folder):
     return rows.select("customer_id", *[f"{c}_imp" for c in _NUMERIC])
 
 
-@query("assemble")
+@query("assemble", f"WITH {O.GOLD} SELECT customer_id, cast({len(_NUMERIC)} AS int) AS n_features FROM gold")
 def assemble(spark, folder):
     rows = training(spark, folder)
     filled = FT.imputer().fit(rows).transform(rows)
@@ -148,7 +148,12 @@ def _hybrid(spark, folder, dims=None):
     return FT.hybrid_features(rows, K.BEHAVIOUR_FEATURES, "embedding", dims, output="hybrid")
 
 
-@query("hybrid_features")
+@query(
+    "hybrid_features",
+    f"""WITH t AS (SELECT conv_id, conv_id * 8 + turn AS complaint_id FROM conversations WHERE role = 'user')
+    SELECT DISTINCT 'CLI-' || lpad(cast(conv_id AS varchar), 7, '0') AS customer_id, cast({len(K.BEHAVIOUR_FEATURES)} + len(embedding) AS int) AS n_whole,
+    cast({len(K.BEHAVIOUR_FEATURES)} + 32 AS int) AS n_narrow FROM t JOIN embeddings ON vec_id = complaint_id JOIN customer ON c_custkey = conv_id""",
+)
 def hybrid_features(spark, folder):
     """Vector sizes of customers with text, for the whole embedding and for its first 32 entries."""
     whole, narrow = _hybrid(spark, folder), _hybrid(spark, folder, 32)
@@ -356,11 +361,16 @@ def tree_importance(spark, folder):
     return E.tree_importance(spark, model, FT.vector_names(rows))
 
 
-@query("importance_rank")
+@query(
+    "importance_rank",
+    f"WITH {O.SILVER}, m AS (SELECT " + ", ".join(f"avg({c}::double) AS mean_{c}" for c, _, _ in _VIP_SQL) + " FROM silver), c AS ("
+    + " UNION ALL ".join(_contribution_sql(*t) for t in _VIP_SQL)
+    + f") SELECT feature, importance, {O.six('importance / (max(importance) OVER ())')} AS relative FROM c",
+)
 def importance_rank(spark, folder):
-    rows = _fitted_features(spark, folder)
-    model = M.fit_classifier(rows.where("part = 'train'"), "random_forest", numTrees=20)
-    return E.importance_rank(E.tree_importance(spark, model, FT.vector_names(rows)))
+    """Inputs of the linear VIP score by importance, with their share of the largest."""
+    ranked = E.importance_rank(linear_contributions(spark, folder))
+    return ranked.withColumn("relative", six("relative"))
 
 
 @query("permutation_importance")

@@ -48,7 +48,7 @@ def stream_scores(spark, folder):
     """WITH b AS (SELECT max(ts) - INTERVAL 1 HOUR AS closed FROM events),
     h AS (SELECT event_type, date_trunc('hour', ts) AS h FROM events),
     s0 AS (SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS before FROM events),
-    s1 AS (SELECT user_id, ts, sum(CASE WHEN before IS NULL OR ts >= before + INTERVAL 30 MINUTE THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts) AS s FROM s0),
+    s1 AS (SELECT user_id, ts, sum(CASE WHEN before IS NULL OR ts > before + INTERVAL 30 MINUTE THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts) AS s FROM s0),
     w AS (SELECT 'tumbling' AS kind, event_type AS who, h AS start, h + INTERVAL 1 HOUR AS "end", count(*) AS n FROM h GROUP BY ALL
       UNION ALL SELECT 'sliding', event_type, h, h + INTERVAL 2 HOUR, count(*) FROM (SELECT event_type, h FROM h UNION ALL SELECT event_type, h - INTERVAL 1 HOUR FROM h) GROUP BY ALL
       UNION ALL SELECT 'session', cast(user_id AS varchar), min(ts), max(ts) + INTERVAL 30 MINUTE, count(*) FROM s1 GROUP BY user_id, s)
