@@ -142,7 +142,8 @@ def text_vectors(docs: DataFrame, key: str, text: str, buckets: int = 256) -> Da
     """
     counts = term_counts(docs, key, text, buckets)
     n_docs = docs.agg(F.count("*")).scalar()
-    idf = counts.groupBy("bucket").agg(F.count("*").alias("df")).select(
+    # counting through tf keeps both uses of `counts` identical, so its shuffle is made once
+    idf = counts.groupBy("bucket").agg(F.count_if(F.col("tf") > 0).alias("df")).select(
         "bucket", (F.ln((n_docs + 1.0) / (F.col("df") + 1.0)) + 1.0).alias("idf")
     )
     weighted = counts.join(F.broadcast(idf), "bucket").select(key, "bucket", (F.col("tf") * F.col("idf")).alias("w"))

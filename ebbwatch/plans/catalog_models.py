@@ -19,7 +19,7 @@ from ebbwatch.plans import oracle as O
 from ebbwatch.plans.catalog_text import DIM, customer_intent
 from ebbwatch.plans.registry import gold, query, silver, six
 from ebbwatch.sources.snapshot import behaviour, customer_raw
-from ebbwatch.sources.storage import materialize, read_table, scratch_path
+from ebbwatch.sources.storage import materialize, read_table, scratch_path, spread
 
 d = O.d
 
@@ -31,10 +31,11 @@ def training(spark, folder, text: bool = False):
 
 
 def _fitted_features(spark, folder):
-    """Training frame and feature frames: everything transformed, fitted on the training part."""
+    """Vectors of all rows, written once; the feature stages see the training part only."""
     rows = training(spark, folder)
     features = FT.FeatureSet().fit(rows.where("part = 'train'"))
-    return features.transform(rows)
+    vectors = features.transform(rows).select("customer_id", "part", "churn_label", "features_raw", "features")
+    return materialize(vectors, "vectors")
 
 
 # --------------------------------------------------------------------------------------- features
@@ -226,7 +227,7 @@ def _behaviour_vectors(spark, folder):
     written = materialize(rows, "behaviour")
     vectors = FT.assembler(K.BEHAVIOUR_FEATURES).transform(written)
     scaler = FT.scaler().fit(vectors.where("part = 'train'"))
-    return scaler.transform(vectors)
+    return materialize(scaler.transform(vectors), "behaviour-vectors")
 
 
 def _network(rows, max_iter):
@@ -245,7 +246,7 @@ def train_mlp(spark, folder):
 def train_mlp_hybrid(spark, folder):
     """Network on tabular and text features together, for customers with text."""
     rows = materialize(_hybrid(spark, folder).select("customer_id", "churn", "hybrid"), "hybrid")
-    scaled = FT.scaler("hybrid", "features").fit(rows).transform(rows)
+    scaled = materialize(FT.scaler("hybrid", "features").fit(rows).transform(rows), "hybrid-vectors")
     model = M.train_mlp(scaled, len(K.BEHAVIOUR_FEATURES) + DIM, hidden=(128, 64), max_iter=50)
     return M.score_customers(model, scaled).select("customer_id", "churn", "churn_probability", "prediction")
 
@@ -258,7 +259,7 @@ def _labelled_documents(spark, folder):
 
 @query("train_text_classifier")
 def train_text_classifier(spark, folder):
-    rows = materialize(_labelled_documents(spark, folder), "labelled-documents")
+    rows = spread(materialize(_labelled_documents(spark, folder), "labelled-documents"), "doc_id")
     model = M.text_classifier("quality", maxIter=30).fit(rows.where("part = 'train'"))
     scores = M.score_customers(model, rows.where("part = 'test'"))
     return binary_metrics(scores, "quality", "churn_probability")

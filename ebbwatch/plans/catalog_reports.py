@@ -14,7 +14,7 @@ from ebbwatch.plans import oracle as O
 from ebbwatch.plans.catalog_tables import TEST_SEGMENTS, _bad_sql
 from ebbwatch.plans.registry import query, scored, silver, six
 from ebbwatch.sources.snapshot import behaviour, complaints, customer_key, customer_raw
-from ebbwatch.sources.storage import read_table
+from ebbwatch.sources.storage import read_table, spread
 
 d = O.d
 
@@ -335,7 +335,7 @@ def retention_alerts(spark, folder):
     regexp_replace(regexp_replace(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+', '<mail>', 'g'), '[0-9]', '#', 'g') AS text FROM documents""",
 )
 def anonymize(spark, folder):
-    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    docs = spread(read_table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
     return P.anonymize(docs, "doc_id", "text", salt="ebb")
 
 

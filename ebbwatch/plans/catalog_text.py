@@ -12,12 +12,16 @@ from ebbwatch.operators import textual as T
 from ebbwatch.plans import oracle as O
 from ebbwatch.plans.registry import micro_text, query, silver, six
 from ebbwatch.sources.snapshot import complaints
-from ebbwatch.sources.storage import read_table
+from ebbwatch.sources.storage import read_table, spread
 
 d = O.d
 DIM = 64  # dimension of the embeddings table
 
 
+def _documents(spark, folder):
+    return spread(read_table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
+
+
 def _vectors(spark, folder):
     return read_table(spark, folder, "embeddings")
 
@@ -198,7 +202,7 @@ _BUCKET = "cast(cast('0x' || substr(md5(word), 1, 8) AS bigint) % {n} AS int)"
     SELECT doc_id, bucket, {O.six('w / norm')} AS weight FROM x JOIN n USING (doc_id)""",
 )
 def text_vectors(spark, folder):
-    rows = T.text_vectors(read_table(spark, folder, "documents"), "doc_id", "text", buckets=256)
+    rows = T.text_vectors(_documents(spark, folder), "doc_id", "text", buckets=256)
     return rows.select("doc_id", "bucket", six("weight").alias("weight"))
 
 
@@ -218,7 +222,7 @@ def intent_udf(spark, folder):
     repeat('1', len(p)) || repeat('0', 128 - len(p)) AS mask FROM p""",
 )
 def token_window(spark, folder):
-    rows = T.token_windows(read_table(spark, folder, "documents"), "doc_id", "text")
+    rows = T.token_windows(_documents(spark, folder), "doc_id", "text")
     mask = F.array_join(F.transform("mask", lambda x: x.cast("string")), "")
     return rows.select("doc_id", "window_no", "n_tokens", F.array_join("tokens", " ").alias("tokens"), mask.alias("mask"))
 

@@ -44,11 +44,16 @@ def training_table(raw: DataFrame, intent: DataFrame | None, label: str = "gold"
 
 
 def fit_model(gold: DataFrame, kind: str, with_intent: bool = True, **settings) -> PipelineModel:
-    """Feature stages and classifier, fitted on the training part only."""
+    """Feature stages and classifier, fitted on the training part only.
+
+    The vectors are written before training: iterations then start from a plain scan instead of
+    carrying the plan of all feature stages in every task.
+    """
     numeric = [*K.NUMERIC_FEATURES, "churn_intent_score"] if with_intent else list(K.NUMERIC_FEATURES)
     train = gold.where("part = 'train'")
     features = FeatureSet(numeric).fit(train)
-    fitted = models.fit_classifier(features.transform(train), kind, **settings)
+    vectors = materialize(features.transform(train).select("churn_label", "features"), "vectors")
+    fitted = models.fit_classifier(vectors, kind, **settings)
     return PipelineModel(stages=[*features.model.stages, fitted])
 
 
