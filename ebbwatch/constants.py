@@ -163,6 +163,75 @@ BEHAVIOUR_CLIPS = (
     ("score_satisfaccion", 1.0, 10.0),
 )
 
+# (number shown, ((predicate, sentence), ...) in order of precedence, sentence otherwise or None)
+NARRATIVE_SENTENCES = (
+    ("antiguedad_anos", (), "Cliente con %.1f años de antigüedad."),
+    (
+        "dias_sin_app",
+        (
+            ("dias_sin_app > 45", "Sin uso de app móvil hace %.0f días (inactividad severa)."),
+            ("dias_sin_app > 20", "Baja actividad digital, sin app hace %.0f días."),
+        ),
+        "Activo en app móvil (último acceso hace %.0f días).",
+    ),
+    (
+        "var_saldo_pct",
+        (
+            ("var_saldo_pct < -30", "Reducción severa de saldo (%.0f%% en 3 meses)."),
+            ("var_saldo_pct < -10", "Disminución moderada de saldo (%.0f%%)."),
+            ("var_saldo_pct > 10", "Saldo en crecimiento positivo (%.0f%%)."),
+        ),
+        "Saldo estable (%.0f%%).",
+    ),
+    (
+        "abs(var_transacciones_pct)",
+        (
+            ("var_transacciones_pct < -30", "Frecuencia transaccional cayó %.0f%% vs histórico."),
+            ("var_transacciones_pct > 10", "Alta actividad transaccional, creció %.0f%%."),
+        ),
+        "Frecuencia transaccional estable.",
+    ),
+    (
+        "int(num_productos)",
+        (
+            ("int(num_productos) = 1", "Cliente con un único producto activo (baja vinculación)."),
+            ("int(num_productos) >= 4", "Alta vinculación: %d productos activos."),
+        ),
+        "Vinculación media: %d productos activos.",
+    ),
+    (
+        "int(reclamos_6m)",
+        (
+            ("int(reclamos_6m) > 2", "Registra %d reclamos en los últimos 6 meses."),
+            ("int(reclamos_6m) = 0", "Sin reclamos recientes."),
+        ),
+        None,
+    ),
+    (
+        "score_satisfaccion",
+        (
+            ("score_satisfaccion < 4", "Score de satisfacción bajo: %.1f/10."),
+            ("score_satisfaccion > 7", "Alta satisfacción declarada: %.1f/10."),
+        ),
+        None,
+    ),
+)
+# names of the twelve values of a labelled row
+ROW_TEXT_NAMES = (
+    "edad",
+    "genero",
+    "pais",
+    "antiguedad",
+    "saldo",
+    "productos",
+    "tarjeta credito",
+    "miembro activo",
+    "salario",
+    "quejas",
+    "usa app movil",
+    "score credito",
+)
+
 # ---------------------------------------------------------------- text (fixed values)
 CHURN_ANCHORS = (
     "quiero cerrar mi cuenta",

@@ -30,86 +30,39 @@ def credit_level(score: Column | str) -> Column:
 def labelled_row_text() -> Column:
     """Demographic row as twelve ``name: value`` pairs."""
     complaints = F.col("quejas_recibidas")
-    pairs = (
-        ("edad", F.col("edad").cast("string")),
-        ("genero", F.col("genero")),
-        ("pais", F.col("pais")),
-        ("antiguedad", F.concat(F.col("antiguedad_años").cast("string"), F.lit(" años"))),
-        ("saldo", balance_level("saldo")),
-        ("productos", F.col("num_productos").cast("string")),
-        ("tarjeta credito", yes_no("tiene_tarjeta")),
-        ("miembro activo", yes_no("miembro_activo")),
-        ("salario", salary_level("salario_estimado")),
-        ("quejas", F.when(complaints == 0, F.lit("ninguna")).otherwise(complaints.cast("string"))),
-        ("usa app movil", yes_no("uso_app_movil")),
-        ("score credito", credit_level("score_credito")),
+    values = (
+        F.col("edad").cast("string"),
+        F.col("genero"),
+        F.col("pais"),
+        F.concat(F.col("antiguedad_años").cast("string"), F.lit(" años")),
+        balance_level("saldo"),
+        F.col("num_productos").cast("string"),
+        yes_no("tiene_tarjeta"),
+        yes_no("miembro_activo"),
+        salary_level("salario_estimado"),
+        F.when(complaints == 0, F.lit("ninguna")).otherwise(complaints.cast("string")),
+        yes_no("uso_app_movil"),
+        credit_level("score_credito"),
     )
-    return F.concat_ws(", ", *[F.concat(F.lit(f"{name}: "), value) for name, value in pairs])
+    pairs = [F.concat(F.lit(f"{name}: "), value) for name, value in zip(K.ROW_TEXT_NAMES, values)]
+    return F.concat_ws(", ", *pairs)
 
 
-def _choose(value: Column, *cases: tuple[Column, str], default: str | None, number: Column) -> Column:
-    """First template whose condition holds, filled with ``number``; null when none does."""
+def sentence(number: str, cases, otherwise: str | None) -> Column:
+    """The first sentence whose predicate holds, with the number filled in; null when none does."""
 
     def fill(template: str) -> Column:
-        return F.format_string(template, number) if "%" in template.replace("%%", "") else F.lit(template)
+        return F.format_string(template, F.expr(number))
 
-    chosen = None
-    for condition, template in cases:
-        chosen = F.when(condition, fill(template)) if chosen is None else chosen.when(condition, fill(template))
-    return chosen if default is None else chosen.otherwise(fill(default))
+    result = F.lit(None).cast("string") if otherwise is None else fill(otherwise)
+    for predicate, template in reversed(cases):
+        result = F.when(F.expr(predicate), fill(template)).otherwise(result)
+    return result
 
 
 def narrative() -> Column:
     """Behaviour row as up to seven sentences; the last two are dropped in their middle bands."""
-    idle, balance, traffic = F.col("dias_sin_app"), F.col("var_saldo_pct"), F.col("var_transacciones_pct")
-    products, claims, mood = (
-        F.col("num_productos").cast("int"),
-        F.col("reclamos_6m").cast("int"),
-        F.col("score_satisfaccion"),
-    )
-    sentences = (
-        F.format_string("Cliente con %.1f años de antigüedad.", F.col("antiguedad_anos")),
-        _choose(
-            idle,
-            (idle > 45, "Sin uso de app móvil hace %.0f días (inactividad severa)."),
-            (idle > 20, "Baja actividad digital, sin app hace %.0f días."),
-            default="Activo en app móvil (último acceso hace %.0f días).",
-            number=idle,
-        ),
-        _choose(
-            balance,
-            (balance < -30, "Reducción severa de saldo (%.0f%% en 3 meses)."),
-            (balance < -10, "Disminución moderada de saldo (%.0f%%)."),
-            (balance > 10, "Saldo en crecimiento positivo (%.0f%%)."),
-            default="Saldo estable (%.0f%%).",
-            number=balance,
-        ),
-        F.when(traffic < -30, F.format_string("Frecuencia transaccional cayó %.0f%% vs histórico.", F.abs(traffic)))
-        .when(traffic > 10, F.format_string("Alta actividad transaccional, creció %.0f%%.", traffic))
-        .otherwise(F.lit("Frecuencia transaccional estable.")),
-        _choose(
-            products,
-            (products == 1, "Cliente con un único producto activo (baja vinculación)."),
-            (products >= 4, "Alta vinculación: %d productos activos."),
-            default="Vinculación media: %d productos activos.",
-            number=products,
-        ),
-        _choose(
-            claims,
-            (claims > 2, "Registra %d reclamos en los últimos 6 meses."),
-            (claims == 0, "Sin reclamos recientes."),
-            default=None,
-            number=claims,
-        ),
-        _choose(
-            mood,
-            (mood < 4, "Score de satisfacción bajo: %.1f/10."),
-            (mood > 7, "Alta satisfacción declarada: %.1f/10."),
-            default=None,
-            number=mood,
-        ),
-    )
-    return F.concat_ws(" ", *sentences)
+    return F.concat_ws(" ", *[sentence(*parts) for parts in K.NARRATIVE_SENTENCES])
 
 
 def words(text: Column | str) -> Column:

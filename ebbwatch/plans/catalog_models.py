@@ -259,7 +259,7 @@ def _labelled_documents(spark, folder):
 
 @query("train_text_classifier")
 def train_text_classifier(spark, folder):
-    rows = spread(materialize(_labelled_documents(spark, folder), "labelled-documents"), "doc_id")
+    rows = spread(materialize(_labelled_documents(spark, folder), "labelled-documents"))
     model = M.text_classifier("quality", maxIter=30).fit(rows.where("part = 'train'"))
     scores = M.score_customers(model, rows.where("part = 'test'"))
     return binary_metrics(scores, "quality", "churn_probability")

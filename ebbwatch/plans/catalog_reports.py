@@ -335,7 +335,7 @@ def retention_alerts(spark, folder):
     regexp_replace(regexp_replace(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+', '<mail>', 'g'), '[0-9]', '#', 'g') AS text FROM documents""",
 )
 def anonymize(spark, folder):
-    docs = spread(read_table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
+    docs = spread(read_table(spark, folder, "documents").select("doc_id", "text"))
     return P.anonymize(docs, "doc_id", "text", salt="ebb")
 
 

@@ -344,7 +344,7 @@ def _any_sql(column: str, words) -> str:
     f"SELECT doc_id, {_any_sql('text', K.LEAVING_KEYWORDS)} AS leaving, {_any_sql('text', _COMMON_WORDS)} AS common FROM documents",
 )
 def keyword_flag(spark, folder):
-    docs = storage.spread(read_table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
+    docs = storage.spread(read_table(spark, folder, "documents").select("doc_id", "text"))
     return docs.select(
         "doc_id", S.contains_any("text", K.LEAVING_KEYWORDS).alias("leaving"), S.contains_any("text", _COMMON_WORDS).alias("common")
     )

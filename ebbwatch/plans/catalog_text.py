@@ -19,7 +19,7 @@ DIM = 64  # dimension of the embeddings table
 
 
 def _documents(spark, folder):
-    return spread(read_table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
+    return spread(read_table(spark, folder, "documents").select("doc_id", "text"))
 
 
 def _vectors(spark, folder):

@@ -26,13 +26,13 @@ WATERMARK = "1 hour"
 
 def utc_instant(clock: str) -> Column:
     """Wall-clock time read as UTC, whatever the session zone; watermarks need an instant."""
-    return F.to_utc_timestamp(F.col(clock).cast("timestamp"), F.current_timezone())
+    return F.from_utc_timestamp(F.col(clock).cast("timestamp"), F.current_timezone())
 
 
 def utc_clock(instant: Column | str) -> Column:
     """The UTC wall clock of an instant."""
     instant = F.col(instant) if isinstance(instant, str) else instant
-    return F.from_utc_timestamp(instant, F.current_timezone()).cast("timestamp_ntz")
+    return F.to_utc_timestamp(instant, F.current_timezone()).cast("timestamp_ntz")
 
 
 def event_stream(spark: SparkSession, folder: str, files_per_trigger: int | None = None) -> DataFrame:

@@ -94,3 +94,11 @@ def test_optional_table_and_scratch(spark, tmp_path):
     assert storage.project_available(spark.range(1).withColumn("b", F.lit(1)), ["b", "x", "id"]).columns == ["b", "id"]
     df = storage.materialize(spark.range(5), "m")
     assert df.count() == 5 and "Scan parquet" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_event_time_does_not_depend_on_the_session_zone(spark, tmp_path):
+    folder = write(spark, str(tmp_path), [event(1, 0)])
+    with W.session_setting(spark, "spark.sql.session.timeZone", "America/New_York"):
+        rows = spark.read.schema(EVENTS).parquet(folder).withColumn("at", W.utc_instant("ts"))
+        row = rows.select(F.unix_micros("at").alias("u"), W.utc_clock("at").alias("clock")).collect()[0]
+    assert row.u == 1704067200000000 and row.clock == START
