@@ -90,6 +90,18 @@ def clv_formula() -> Column:
     return S.round_half_up(F.greatest(S.weighted_sum(K.CLV_TERMS), F.lit(0.0)), 2)
 
 
+def percent_view(df: DataFrame, score: str, key: str = "customer_id") -> DataFrame:
+    """Likelier class with its label, and both class probabilities in percent."""
+    leave, stay = F.col(score), F.lit(1.0) - F.col(score)
+    return df.select(
+        key,
+        F.when(leave > stay, 1).otherwise(0).alias("prediccion"),
+        F.when(leave > stay, "CHURN").otherwise("NO CHURN").alias("etiqueta"),
+        S.round_half_up(stay * 100.0, 2).alias("prob_no_churn"),
+        S.round_half_up(leave * 100.0, 2).alias("prob_churn"),
+    )
+
+
 def join_intent(df: DataFrame, intent: DataFrame) -> DataFrame:
     """Left join of the per-customer intent; customers without text get 0.0."""
     scores = intent.select("customer_id", "churn_intent_score")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ebbwatch import constants as K
 from ebbwatch.functions import scalar as S
 from ebbwatch.functions import texts as X
+from ebbwatch.operators import metrics as M
 from ebbwatch.operators import quality as Q
 from ebbwatch.operators import scoring as R
 from ebbwatch.operators import splits
@@ -479,19 +480,7 @@ def hybrid_band_action(spark, folder):
     {O.half_up(f"churn_probability * {d('100.0')}", 2)} AS prob_churn FROM scored""",
 )
 def percent_view(spark, folder):
-    return R_percent(scored(spark, folder).select("customer_id", "churn_probability"))
-
-
-def R_percent(df):
-    p = F.col("churn_probability")
-    stay = F.lit(1.0) - p
-    return df.select(
-        "customer_id",
-        F.when(p > stay, 1).otherwise(0).alias("prediccion"),
-        F.when(p > stay, "CHURN").otherwise("NO CHURN").alias("etiqueta"),
-        S.round_half_up(stay * 100.0, 2).alias("prob_no_churn"),
-        S.round_half_up(p * 100.0, 2).alias("prob_churn"),
-    )
+    return R.percent_view(scored(spark, folder), "churn_probability")
 
 
 @query(
@@ -511,9 +500,7 @@ def clip_round(spark, folder):
     f"WITH {O.SCORED} SELECT customer_id, cast(churn_probability >= {d('0.5')} AS int) AS prediction FROM scored",
 )
 def threshold_predict(spark, folder):
-    from ebbwatch.operators.metrics import threshold_predict as predict
-
-    return scored(spark, folder).select("customer_id", predict("churn_probability").alias("prediction"))
+    return scored(spark, folder).select("customer_id", M.threshold_predict("churn_probability").alias("prediction"))
 
 
 # ------------------------------------------------------------------------------------------- joins

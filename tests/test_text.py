@@ -102,3 +102,29 @@ def test_text_vectors_have_unit_length(spark):
     df = spark.createDataFrame([(1, "a b c a"), (2, "a x y"), (3, "")], "id int, text string")
     lengths = T.text_vectors(df, "id", "text", 64).groupBy("id").agg(F.sum(F.col("weight") * F.col("weight")).alias("n")).collect()
     assert {r.id: r.n for r in lengths} == {1: pytest.approx(1.0), 2: pytest.approx(1.0)}
+
+
+def test_intent_udf_equals_brute_force(spark):
+    import hashlib
+    import math
+
+    from ebbwatch import constants as K
+
+    def counts(text):
+        found = {}
+        for word in "".join(c if c.isalnum() else " " for c in text.lower()).split():
+            bucket = int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % 4096
+            found[bucket] = found.get(bucket, 0) + 1
+        return found
+
+    def cos(a, b):
+        norm = math.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
+        return sum(x * b.get(k, 0) for k, x in a.items()) / norm if norm else 0.0
+
+    samples = ["el banco me ha decepcionado", "voy a cerrar todo, voy a cancelar", "gracias, excelente banco", "sin relación alguna"] * 200
+    df = spark.createDataFrame(list(enumerate(samples)), "i int, t string")
+    got = {r.i: r.s for r in df.select("i", T.lexical_intent_udf()("t").alias("s")).collect()}
+    for i, text in enumerate(samples[:4]):
+        v = counts(text)
+        net = max(cos(v, counts(a)) for a in K.CHURN_ANCHORS) - 0.5 * max(cos(v, counts(a)) for a in K.RETENTION_ANCHORS)
+        assert got[i] == got[i + 796] == pytest.approx(min(max(net, 0.0), 1.0), abs=1e-5)
