@@ -85,3 +85,39 @@ def add_by_shard(
 def narrow(df: DataFrame, **columns: str) -> DataFrame:
     """Only the named columns, under the operator's own names."""
     return df.select(*[F.col(f"`{name}`").alias(alias) for alias, name in columns.items()])
+
+
+def in_runs(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Batches of whole runs of equal integer keys, from rows sorted by them, and where each run ends, by row.
+
+    A run that goes over several batches comes in one; runs of a batch come together.
+    """
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = np.stack([batch.column(k).to_numpy() for k in keys])
+        cuts = np.flatnonzero(np.any(values[:, 1:] != values[:, :-1], axis=0)) + 1
+        if held and tuple(values[:, 0]) != last:
+            yield _with_ends(held, keys)
+            held = []
+        if held and len(cuts):
+            held.append(batch.slice(0, cuts[0]))
+            yield _with_ends(held, keys)
+            held, batch, cuts = [], batch.slice(cuts[0]), cuts[1:] - cuts[0]
+        if not held and len(cuts):
+            yield _with_ends([batch.slice(0, cuts[-1])], keys)
+            batch = batch.slice(cuts[-1])
+        held.append(batch)
+        last = tuple(values[:, -1])
+    if held:
+        yield _with_ends(held, keys)
+
+
+def _with_ends(batches: list[pa.RecordBatch], keys: Sequence[str]) -> tuple[pa.RecordBatch, np.ndarray]:
+    batch = _one(batches)
+    values = np.stack([batch.column(k).to_numpy() for k in keys])
+    cuts = np.flatnonzero(np.any(values[:, 1:] != values[:, :-1], axis=0)) + 1
+    ends = np.append(cuts, batch.num_rows)
+    return batch, np.repeat(ends, np.diff(ends, prepend=0))

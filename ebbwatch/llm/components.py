@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,3 +48,15 @@ def _small_star(links: DataFrame) -> DataFrame:
         .where("a != b")
         .distinct()
     )
+
+
+def roots(n: int, a: np.ndarray, b: np.ndarray, parent: np.ndarray) -> np.ndarray:
+    """Inside a task: the smallest of n rows reachable over links (a, b), going on from ``parent``."""
+    while len(a):
+        ra, rb = parent[a], parent[b]
+        apart = ra != rb
+        a, b = a[apart], b[apart]
+        np.minimum.at(parent, np.maximum(ra, rb)[apart], np.minimum(ra, rb)[apart])
+        while not np.array_equal(up := parent[parent], parent):
+            parent = up
+    return parent

@@ -1,18 +1,24 @@
 """SimHash near-duplicates through an inverted index on the bytes of the fingerprints.
 
-Fingerprints within ``bits`` (3 at most) of each other differ in at most 3 of their 8 bytes, so they share at
-least 5 bytes in place. The index lists fingerprints under four bytes in place. The 14 sets of four positions
-whose complement sums to zero under exclusive or hold every three positions in exactly one complement, so
-each such pair meets in a list. There the shared bytes of a pair are tallied, pairs with 5 or more are kept,
-and the bits are compared.
-
-A list is divided by four bytes of 32 bits, so it never holds more than 2^32 different fingerprints; exact
-copies are one. Lists send on a spanning forest of their links, not all pairs.
+Fingerprints within 3 bits of each other differ in at most 3 of their 8 bytes, so they share at least 5 bytes in
+place. The index lists fingerprints under several bytes in place; where two meet, their shared bytes are tallied,
+pairs that reach the minimum are kept, and the bits are compared.
+
+For 64 bits the lists are under four bytes. The 14 sets of four positions whose numbers sum to zero under exclusive or
+hold every three positions in exactly one set, so a pair meets in the list of the other four bytes: none is lost. The
+fingerprints of a list differ in 32 bits at most. Lists under single bytes would hold a 256th of all fingerprints
+each, and their pairs grow with the square of the corpus.
+
+Similarities below that take longer fingerprints. They are listed under as many sets of a few bytes as bring a pair at
+the threshold together with the asked probability; the number of bytes grows with the logarithm of the corpus.
+
+Exact copies are one entry of the index, and lists send on links that span their components, not all pairs.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -22,8 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ebbwatch.llm.common import LOWER, add_by_shard, utf8
-from ebbwatch.llm.components import connected
+from ebbwatch.llm.common import LOWER, add_by_shard, in_runs, utf8
+from ebbwatch.llm.components import connected, roots
 from ebbwatch.sources.storage import materialize
 
 SEED = 42
@@ -33,117 +39,153 @@ MIN_SHARED = 5
 APART = [s for s in combinations(range(BYTES), 4) if s[0] ^ s[1] ^ s[2] ^ s[3] == 0]
 KEYS = [tuple(b for b in range(BYTES) if b not in s) for s in APART]
 DIRECT = 1 << 17  # a list this long is searched by flipping bits instead of comparing all with all
+SMALL = 256  # runs up to this length are compared together, longer ones each alone
 
+WIDE = 8  # 64-bit words of the longer fingerprint
+MIN_WIDE = 4  # of its 64 bytes; a pair with a similarity of 0.8 shares 17 on average
+_ODD = np.array([(0x9E3779B97F4A7C15 * (2 * k + 1)) % (1 << 64) | 1 for k in range(WIDE)], np.uint64)
+_BITS = (np.arange(256)[:, None] >> np.arange(8)[None, :] & 1).astype(np.int64)
 
-def fingerprint(text: bytes, shingle: int = 3) -> int:
-    """Majority bits of the XXH64 of all word shingles; fewer words are one shingle, none give 0."""
+Accept = Callable[[np.ndarray, np.ndarray], np.ndarray]
+
+
+def shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
+    """XXH64 of all word shingles, repeats included; fewer words are one shingle, no words none."""
     words = text.translate(LOWER).split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     parts = zip(*[words[i:] for i in range(shingle)], strict=False) if len(words) > shingle else [words]
     digest, join = xxhash.xxh64_intdigest, b" ".join
-    hashes = np.array([digest(join(p), SEED) for p in parts], np.uint64)
-    ones = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), 4096):
-        some = hashes[at : at + 4096]
-        ones += np.unpackbits(some.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view("<u8")[0])
+    return np.array([digest(join(p), SEED) for p in parts], np.uint64)
 
 
-def add_fingerprints(
-    documents: DataFrame, text: str = "text", name: str = "fingerprint", shingle: int = 3, shard_bytes: int = 2_000_000
-) -> DataFrame:
-    """``documents`` with a signed 64-bit fingerprint of each whole text; null and empty texts have 0."""
+def majority(hashes: np.ndarray) -> np.ndarray:
+    """Each bit set in more than half of the rows of (n, words) hashes; 0 for no rows."""
+    n, words = hashes.shape
+    lanes = 8 * words
+    place = np.arange(lanes, dtype=np.int32) * 256
+    tally = np.zeros(lanes * 256, np.int64)
+    for at in range(0, n, 4096):
+        some = np.ascontiguousarray(hashes[at : at + 4096])
+        tally += np.bincount((some.view(np.uint8) + place).ravel(), minlength=lanes * 256)
+    ones = tally.reshape(lanes, 256) @ _BITS
+    return np.packbits(ones * 2 > n, axis=1, bitorder="little").reshape(-1).view("<u8")
+
+
+def fingerprint(text: bytes, shingle: int = 3) -> int:
+    return int(majority(shingle_hashes(text, shingle)[:, None])[0])
+
+
+def wide_fingerprint(text: bytes, shingle: int = 5) -> np.ndarray:
+    """512 bits over the different shingles: equal to another's in a share that follows their similarity."""
+    hashes = np.unique(shingle_hashes(text, shingle))[:, None] * _ODD[None, :]
+    hashes ^= hashes >> np.uint64(32)
+    hashes *= np.uint64(0xD6E8FEB86659FD93)
+    hashes ^= hashes >> np.uint64(32)
+    return majority(hashes)
+
 
+def _add_words(documents: DataFrame, text: str, names: list[str], compute_one, shard_bytes: int = 2_000_000) -> DataFrame:
     def compute(shard: pa.RecordBatch) -> list[pa.Array]:
-        prints = [fingerprint(t, shingle) if t else 0 for t in utf8(shard.column(text))]
-        return [pa.array(np.array(prints, np.uint64).view(np.int64))]
+        rows = np.array([compute_one(t or b"") for t in utf8(shard.column(text))], np.uint64)
+        return [pa.array(column) for column in np.ascontiguousarray(rows.reshape(-1, len(names)).T).view(np.int64)]
 
-    return add_by_shard(documents, text, [T.StructField(name, T.LongType())], compute, shard_bytes)
+    return add_by_shard(documents, text, [T.StructField(n, T.LongType()) for n in names], compute, shard_bytes)
 
 
 def as_hex(fingerprint: Column | str) -> Column:
     return F.lpad(F.lower(F.hex(fingerprint)), 16, "0")
 
 
-def _roots(n: int, a: np.ndarray, b: np.ndarray, parent: np.ndarray) -> np.ndarray:
-    """Smallest index reachable over the links, continuing from ``parent``."""
-    while len(a):
-        ra, rb = parent[a], parent[b]
-        apart = ra != rb
-        a, b = a[apart], b[apart]
-        np.minimum.at(parent, np.maximum(ra, rb)[apart], np.minimum(ra, rb)[apart])
-        while True:
-            up = parent[parent]
-            if np.array_equal(up, parent):
-                break
-            parent = up
-    return parent
+def _shared_bytes(mixed: np.ndarray) -> np.ndarray:
+    """How many bytes in place are equal, from the exclusive or of two fingerprints."""
+    return (mixed.view(np.uint8).reshape(*mixed.shape[:-1], 8 * mixed.shape[-1]) == 0).sum(axis=-1)
+
+
+def accept_close(bits: int) -> Accept:
+    def accept(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        mixed = a ^ b
+        kept = _shared_bytes(mixed) >= MIN_SHARED
+        kept[kept] = np.bitwise_count(mixed[kept]).sum(axis=-1) <= bits
+        return kept
+
+    return accept
+
+
+def accept_similar(bits: int, min_shared: int) -> Accept:
+    """Long fingerprints: most pairs fall at their first word, by far more bits than a similar pair has there."""
+    first = bits / WIDE + 6 * math.sqrt(bits / WIDE)
+
+    def accept(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        kept = np.bitwise_count(a[..., 0] ^ b[..., 0]) <= first
+        mixed = a[kept] ^ b[kept] if a.shape == b.shape else (a ^ b)[kept]
+        kept[kept] = (_shared_bytes(mixed) >= min_shared) & (np.bitwise_count(mixed).sum(axis=-1) <= bits)
+        return kept
 
+    return accept
 
-def forest(prints: np.ndarray, bits: int) -> np.ndarray:
-    """For each different fingerprint of a list, the index of its component's first."""
-    n = len(prints)
+
+def forest(prints: np.ndarray, accept: Accept, flips: int | None = None) -> np.ndarray:
+    """For each different fingerprint of a long list, the row of its component's first.
+
+    ``flips`` tells that a link is a difference of so many bits, which a very long list of single words uses.
+    """
+    n, words = prints.shape
     parent = np.arange(n)
-    if n >= DIRECT:
-        order = np.argsort(prints)
-        ordered = prints[order]
-        free = [i for i in range(64) if np.any((prints ^ prints[0]) >> np.uint64(i) & np.uint64(1))]
-        for k in range(1, bits + 1):
-            for flips in combinations(free, k):
-                other = prints ^ np.uint64(sum(1 << f for f in flips))
+    if flips and words == 1 and n >= DIRECT:
+        flat = prints[:, 0]
+        order = np.argsort(flat)
+        ordered = flat[order]
+        free = [i for i in range(64) if np.any((flat ^ flat[0]) >> np.uint64(i) & np.uint64(1))]
+        for k in range(1, flips + 1):
+            for some in combinations(free, k):
+                other = flat ^ np.uint64(sum(1 << f for f in some))
                 at = np.minimum(np.searchsorted(ordered, other), n - 1)
                 hit = np.flatnonzero(ordered[at] == other)
-                parent = _roots(n, hit, order[at[hit]], parent)
+                parent = roots(n, hit, order[at[hit]], parent)
         return parent
-    step = max(1, 4_000_000 // n)
+    step = max(1, 1_000_000 // (n * words))
     for at in range(0, n, step):
-        mixed = prints[at : at + step, None] ^ prints[None, at:]
-        shared = np.zeros(mixed.shape, np.int8)
-        for byte in range(BYTES):
-            shared += (mixed & np.uint64(0xFF << 8 * byte)) == 0
-        a, b = np.nonzero((shared >= MIN_SHARED) & (np.bitwise_count(mixed) <= bits))
-        parent = _roots(n, a + at, b + at, parent)
+        a, b = np.nonzero(accept(prints[at : at + step, None], prints[None, at:]))
+        parent = roots(n, a + at, b + at, parent)
     return parent
 
 
-def _links(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
-    """Links of lists that come one after another, sorted by (list, key)."""
-    held: list[np.ndarray] = []
-    current = None
-
-    def close(prints: list[np.ndarray]) -> pa.RecordBatch:
-        group = np.unique(np.concatenate(prints))
-        root = forest(group, bits)
-        far = root != np.arange(len(group))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(group[far].view(np.int64)), pa.array(group[root[far]].view(np.int64))], ["a", "b"]
-        )
-
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        keys = np.stack([batch.column(c).to_numpy() for c in ("list", "key")])
-        prints = batch.column("fingerprint").to_numpy().view(np.uint64)
-        starts = np.concatenate([[0], np.flatnonzero(np.any(keys[:, 1:] != keys[:, :-1], axis=0)) + 1])
-        ends = np.append(starts[1:], batch.num_rows)
-        if current == tuple(keys[:, 0].tolist()):
-            held.append(prints[: ends[0]])
-        else:
-            if sum(map(len, held)) > 1:
-                yield close(held)
-            held = [prints[: ends[0]]]
-        inner = slice(1, -1)
-        for s, e in zip(starts[inner].tolist(), ends[inner].tolist(), strict=True):
-            if e - s > 1:
-                yield close([prints[s:e]])
-        if len(starts) > 1:
-            if sum(map(len, held)) > 1:
-                yield close(held)
-            held = [prints[starts[-1] :]]
-        current = tuple(keys[:, -1].tolist())
-    if sum(map(len, held)) > 1:
-        yield close(held)
+def _links(batches: Iterator[pa.RecordBatch], names: list[str], accept: Accept, flips: int | None) -> Iterator[pa.RecordBatch]:
+    """Links that span the components of lists, which come sorted by (list, key)."""
+    for batch, ends in in_runs(batches, ("list", "key")):
+        node = batch.column("node").to_numpy()
+        prints = np.ascontiguousarray(np.stack([batch.column(n).to_numpy() for n in names], axis=1)).view(np.uint64)
+        rows = np.arange(len(node))
+        starts = np.concatenate([[0], ends[:-1][np.diff(ends) > 0]]) if len(ends) else rows
+        sizes = np.diff(np.append(starts, len(node)))
+        small = np.repeat(sizes, sizes) <= SMALL
+        distinct, number = np.unique(node, return_inverse=True)
+        parent = np.arange(len(distinct))
+        left, step = rows[small], 1
+        while len(left := left[left + step < ends[left]]):
+            for at in range(0, len(left), 200_000):
+                a = left[at : at + 200_000]
+                near = a[accept(prints[a], prints[a + step])]
+                parent = roots(len(distinct), number[near], number[near + step], parent)
+            step += 1
+        for run in np.flatnonzero(sizes > SMALL).tolist():
+            span = slice(starts[run], starts[run] + sizes[run])
+            root = forest(prints[span], accept, flips)
+            parent = roots(len(distinct), number[span], number[span][root], parent)
+        far = parent != np.arange(len(distinct))
+        if far.any():
+            yield pa.RecordBatch.from_arrays([pa.array(distinct[far]), pa.array(distinct[parent[far]])], ["a", "b"])
+
+
+def _meet(indexed: DataFrame, names: list[str], accept: Accept, flips: int | None = None) -> DataFrame:
+    """(a, b): links between the rows of each list of (list, key, node, words)."""
+    together = indexed.repartition("list", "key").sortWithinPartitions("list", "key")
+    return together.mapInArrow(lambda batches: _links(batches, names, accept, flips), "a long, b long")
+
+
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >= 1 << 63 else mask
 
 
 def link_fingerprints(prints: DataFrame, bits: int = 3) -> DataFrame:
@@ -153,22 +195,27 @@ def link_fingerprints(prints: DataFrame, bits: int = 3) -> DataFrame:
     """
     if not 0 <= bits <= BYTES - MIN_SHARED:
         raise ValueError("at most 3 differing bits are guaranteed to share 5 bytes")
+    masks = [_signed(sum(0xFF << 8 * b for b in key)) for key in KEYS]
     lists = F.array(
         *[
-            F.struct(
-                F.lit(i).alias("list"),
-                F.col("fingerprint").bitwiseAND(F.lit(_signed(sum(0xFF << 8 * b for b in key)))).alias("key"),
-            )
-            for i, key in enumerate(KEYS)
+            F.struct(F.lit(i).alias("list"), F.col("fingerprint").bitwiseAND(F.lit(mask)).alias("key"))
+            for i, mask in enumerate(masks)
         ]
     )
-    indexed = prints.select("fingerprint", F.explode(lists).alias("at")).select("at.list", "at.key", "fingerprint")
-    together = indexed.repartition("list", "key").sortWithinPartitions("list", "key")
-    return together.mapInArrow(lambda batches: _links(batches, bits), "a long, b long")
+    indexed = prints.select(F.col("fingerprint").alias("node"), F.explode(lists).alias("at")).select(
+        "at.list", "at.key", "node", F.col("node").alias("w0")
+    )
+    return _meet(indexed, ["w0"], accept_close(bits), bits)
 
 
-def _signed(mask: int) -> int:
-    return mask - (1 << 64) if mask >= 1 << 63 else mask
+def _name_groups(entries: DataFrame, links: DataFrame) -> DataFrame:
+    """node, component_id (smallest first_id) for entries of (node, first_id)."""
+    groups = connected(links).select(F.col("node").alias("member"), "component")
+    labelled = entries.join(groups, F.col("node") == F.col("member"), "left").select(
+        "node", F.coalesce("component", "node").alias("component"), "first_id"
+    )
+    smallest = labelled.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    return labelled.join(smallest, "component").select("node", "component_id")
 
 
 def group_near_copies(
@@ -181,15 +228,69 @@ def group_near_copies(
     result; other columns are not read.
     """
     named = documents.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    marked = materialize(add_fingerprints(named, "text", shingle=shingle).select("doc_id", "fingerprint"), "simhash")
+    printed = _add_words(named, "text", ["fingerprint"], lambda t: fingerprint(t, shingle))
+    marked = materialize(printed.select("doc_id", "fingerprint"), "simhash")
     first = marked.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id"))
     links = link_fingerprints(first.select("fingerprint"), bits)
-    groups = connected(links)  # node, component: only fingerprints with links
-    labelled = first.join(groups, F.col("fingerprint") == F.col("node"), "left").select(
-        "fingerprint", F.coalesce("component", "fingerprint").alias("component"), "first_id"
-    )
-    smallest = labelled.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    named_groups = labelled.join(smallest, "component").select(F.col("fingerprint").alias("of"), "component_id")
-    return marked.join(named_groups, F.col("fingerprint") == F.col("of"), "left").select(
+    named_groups = _name_groups(first.withColumnRenamed("fingerprint", "node"), links)
+    return marked.join(named_groups, F.col("fingerprint") == F.col("node"), "left").select(
         "doc_id", "fingerprint", "component_id"
     )
+
+
+def differing_share(similarity: float) -> float:
+    """Share of differing bits of the fingerprints of two sets with this Jaccard similarity, of equal sizes."""
+    return math.acos(2 * similarity / (1 + similarity)) / math.pi
+
+
+def key_sets(entries: int, similarity: float, miss: float, list_rows: int = 64) -> list[tuple[int, ...]]:
+    """Byte positions of the lists: so many bytes that a list has about ``list_rows`` entries, and so many sets that a
+    pair at the threshold is missed by all of them with probability ``miss``."""
+    width = max(2, math.ceil(math.log(max(1, entries) / list_rows, 256)))
+    meet = (1 - differing_share(similarity)) ** (8 * width)
+    rng = np.random.default_rng(width)
+    return [tuple(rng.choice(BYTES * WIDE, width, replace=False).tolist()) for _ in range(math.ceil(math.log(miss) / math.log(1 - meet)))]
+
+
+def keep_one_of_each(
+    documents: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    shingle: int = 5,
+    similarity: float = 0.8,
+    miss: float = 0.05,
+) -> DataFrame:
+    """One document of each group of near copies: that with the smallest id, with all its columns.
+
+    Two documents are near copies if their 512-bit fingerprints over different ``shingle``-word shingles differ in no
+    more bits than a Jaccard similarity of ``similarity`` gives on average; groups are connected over such pairs.
+
+    Null and empty texts are copies of each other. Rows with a null id cannot be named: they stay and remove none. Of
+    repeated rows with one id one stays. An empty table gives an empty one.
+    """
+    names = [f"w{i}" for i in range(WIDE)]
+    named = documents.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    printed = _add_words(named.where("doc_id is not null"), "text", names, lambda t: wide_fingerprint(t, shingle))
+    marked = materialize(printed.drop("text").withColumn("node", F.xxhash64(*names)), "simhash")
+    entries = materialize(marked.groupBy("node", *names).agg(F.min("doc_id").alias("first_id")), "prints")
+    sets = key_sets(entries.count(), similarity, miss)
+
+    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = [batch.column(n).to_numpy() for n in names]
+            lanes = np.ascontiguousarray(np.stack(words, axis=1)).view(np.uint8).astype(np.int64)
+            for number, places in enumerate(sets):
+                key = sum(lanes[:, p] << 8 * i for i, p in enumerate(places))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(key), number, np.int32)), pa.array(key), *batch.columns],
+                    ["list", "key", *batch.schema.names],
+                )
+
+    columns = ", ".join(f"{n} long" for n in ["node", *names])
+    indexed = entries.select("node", *names).mapInArrow(index, f"list int, key long, {columns}")
+    bits = round(64 * WIDE * differing_share(similarity))
+    links = _meet(indexed, names, accept_similar(bits, MIN_WIDE))
+    kept = _name_groups(entries.select("node", "first_id"), links).select("component_id").distinct()
+    chosen = kept.select(F.col("component_id").alias("kept_id"))
+    known = documents.join(chosen, F.col(f"`{doc_id}`") == F.col("kept_id")).drop("kept_id").dropDuplicates([doc_id])
+    return known.unionByName(documents.where(F.col(f"`{doc_id}`").isNull()))

@@ -20,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbwatch.llm.components import connected
-from ebbwatch.llm.simhash import _roots
+from ebbwatch.llm.common import in_runs
+from ebbwatch.llm.components import connected, roots
 from ebbwatch.sources.storage import materialize
 
 MIN_PIVOTS, MAX_PIVOTS = 64, 8_192
@@ -63,32 +63,20 @@ def _describe(entries: DataFrame, pivots: np.ndarray, nearest: int) -> DataFrame
 
 
 def _tiles(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
-    """Links inside tiles that come one after another, sorted by (list, low, high)."""
-    held: list[pa.RecordBatch] = []
-    current = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        keys = np.stack([batch.column(c).to_numpy() for c in ("list", "low", "high")])
-        starts = np.concatenate([[0], np.flatnonzero(np.any(keys[:, 1:] != keys[:, :-1], axis=0)) + 1])
-        for start, end in zip(starts.tolist(), [*starts[1:].tolist(), batch.num_rows], strict=True):
-            key = tuple(keys[:, start].tolist())
-            if key != current and held:
-                yield from _tile(held, current, threshold)
-                held = []
-            current = key
-            held.append(batch.slice(start, end - start))
-    if held:
-        yield from _tile(held, current, threshold)
-
-
-def _tile(parts: list[pa.RecordBatch], key: tuple[int, int, int], threshold: float) -> Iterator[pa.RecordBatch]:
-    if sum(p.num_rows for p in parts) < 2:
-        return
-    rows = pa.Table.from_batches(parts)
+    """Links inside tiles, which come sorted by (list, low, high)."""
+    for batch, ends in in_runs(batches, ("list", "low", "high")):
+        start = 0
+        while start < batch.num_rows:
+            end = int(ends[start])
+            if end - start > 1:
+                key = tuple(batch.column(c)[start].as_py() for c in ("list", "low", "high"))
+                yield from _tile(batch.slice(start, end - start), key, threshold)
+            start = end
+
+
+def _tile(rows: pa.RecordBatch, key: tuple[int, int, int], threshold: float) -> Iterator[pa.RecordBatch]:
     node, weight, block = (rows.column(c).to_numpy() for c in ("node", "weight", "block"))
-    unit = np.concatenate([_unit(_matrix(p.column("vector"))) for p in parts])
-    near = np.concatenate([_matrix(p.column("near")) for p in parts])
+    unit, near = _unit(_matrix(rows.column("vector"))), _matrix(rows.column("near"))
     pair = key[0]
     left = np.flatnonzero(block == key[1])
     right = left if key[1] == key[2] else np.flatnonzero(block == key[2])
@@ -101,7 +89,7 @@ def _tile(parts: list[pa.RecordBatch], key: tuple[int, int, int], threshold: flo
             a, b = a[a < b], b[a < b]
         if not len(a):
             continue
-        parent = _roots(len(node), a, b, parent)
+        parent = roots(len(node), a, b, parent)
         # Counted here only if no pivot below the larger of this list's two is shared besides the smaller one.
         high = pair % MAX_PIVOTS
         for cut in range(0, len(a), 65_536):
