@@ -110,7 +110,7 @@ def link_vectors(
     vec_id: str = "vec_id",
     embedding: str = "embedding",
     threshold: float = 0.95,
-    nearest: int = 6,
+    nearest: int = 8,
     block_rows: int = 1_024,
 ) -> DataFrame:
     """vec_id, n_links, component_id, kept: one row for each vector.
