@@ -65,7 +65,7 @@ class OrdinalModel:
 
 
 def fit_ordinal(
-    rows: list[np.ndarray], grades: np.ndarray, levels: int, rounds: int = 120, penalty: float = 1e-5, rate: float = 0.05
+    rows: list[np.ndarray], grades: np.ndarray, levels: int, rounds: int = 120, penalty: float = 2e-5, rate: float = 0.15
 ) -> OrdinalModel:
     """Full-batch Adam on the cumulative logits, every grade with equal weight; thresholds stay ordered.
 

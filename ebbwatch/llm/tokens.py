@@ -26,7 +26,7 @@ from ebbwatch.sources.storage import materialize, scratch_path
 
 LENGTH = 1024  # ids of a sequence
 BATCH = 256  # sequences of a record batch
-KNOWN = 400_000  # units that a worker remembers in each of two generations
+KNOWN = 200_000  # units that a worker remembers in each of two generations
 
 
 class Encoder:
