@@ -132,6 +132,8 @@ def contains_any(text: Column | str, keywords: Sequence[str]) -> Column:
 
     One pattern, so that a long text is lower-cased and scanned once.
     """
+    if not keywords:
+        return F.lit(False)
     return F.lower(as_column(text)).rlike("|".join(re.escape(k) for k in keywords))
 
 
@@ -144,8 +146,16 @@ def hash_bucket(key: Column | str, buckets: int, salt: str = "") -> Column:
 def monotone_bin(value: Column | str, per_octave: int = 2048) -> Column:
     """Order-preserving bin number with logarithmic width.
 
-    Deterministic, so two passes over the data agree on it, and fine enough that no bin of a
-    spread-out distribution is large: 2048 bins for each doubling of the magnitude.
+    Deterministic, so two passes over the data agree on it, and of the same relative width at every magnitude: 2048
+    bins for each doubling, down to the smallest double. Zero has a bin of its own, infinities are outermost, NaN
+    is above all numbers, as in Spark's order, and null stays null.
     """
     value = as_column(value).cast("double")
-    return F.signum(value).cast("bigint") * F.floor(F.log2(F.abs(value) + 1.0) * per_octave)
+    size = F.abs(value)
+    widest = 1 << 40
+    scaled = F.when(size == float("inf"), F.lit(widest)).otherwise(F.floor((F.log2(size) + 1080.0) * per_octave))
+    return (
+        F.when(F.isnan(value), F.lit(widest + 1))
+        .when(value == 0, F.lit(0).cast("bigint"))
+        .when(value.isNotNull(), F.signum(value).cast("bigint") * scaled)
+    )

@@ -225,9 +225,9 @@ def metric_goals(metrics: DataFrame, goals: Sequence[tuple[str, float]] = K.METR
 
 
 def business_impact(counts: DataFrame) -> DataFrame:
-    """Confusion counts scaled to the portfolio: retained customers, income, return on cost."""
+    """Confusion counts scaled to the portfolio: retained customers, income, return on cost; null without a test."""
     tested = F.col("tp") + F.col("fp") + F.col("tn") + F.col("fn")
-    factor = F.lit(float(K.PORTFOLIO_CUSTOMERS)) / tested
+    factor = F.try_divide(F.lit(float(K.PORTFOLIO_CUSTOMERS)), tested)
     scaled = counts.select(
         *[F.floor(F.col(c) * factor).cast("bigint").alias(f"{c}_portfolio") for c in ("tp", "fn", "fp")]
     )

@@ -15,6 +15,13 @@ from pyspark.sql import functions as F
 from ebbwatch.functions.scalar import monotone_bin
 
 
+def join_with_nulls(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on keys of which null equals null; the keys stand once in the result."""
+    renamed = right.withColumnsRenamed({k: f"_of_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
+    return left.join(renamed, same).drop(*[f"_of_{k}" for k in keys])
+
+
 def hashed_positions(
     df: DataFrame, key: str, strata: Sequence[str] = (), salt: str = "", digits: int = 3, name: str = "position"
 ) -> DataFrame:
@@ -38,7 +45,7 @@ def hashed_positions(
     inside = F.row_number().over(Window.partitionBy(*bins).orderBy("_hash", key))
     ranked = hashed.withColumn("_inside", inside)
     # the window has partitioned the rows by bin already, so only the few offsets are shuffled here
-    joined = ranked.join(offsets, bins)
+    joined = join_with_nulls(ranked, offsets, bins)
     return joined.withColumn(name, F.col("_before") + F.col("_inside")).drop("_hash", "_bin", "_inside", "_before")
 
 
@@ -66,14 +73,14 @@ def running_totals(
     )
     inside = Window.partitionBy(*bins).orderBy(sort(order)).rowsBetween(Window.unboundedPreceding, -1)
     local = binned.withColumns({f"_i_{v}": F.coalesce(F.sum(v).over(inside), F.lit(0)) for v in values})
-    joined = local.join(offsets, bins)
+    joined = join_with_nulls(local, offsets, bins)
     return joined.withColumns({f"{v}_before": F.col(f"_i_{v}") + F.col(f"_o_{v}") for v in values}).drop(
         "_bin", *[f"_i_{v}" for v in values], *[f"_o_{v}" for v in values]
     )
 
 
 def rank_within(df: DataFrame, group: str, order: str, name: str = "rank") -> DataFrame:
-    """``rank()`` by falling ``order`` inside ``group``, exact, for groups of any size.
+    """``rank()`` by falling ``order`` inside ``group``, exact, for groups of any size; nulls are a group, and rank last.
 
     Rows of equal value are counted first, so ranking works on distinct values; the join back is an
     equi-join that adaptive execution splits where one value holds many rows.
@@ -81,7 +88,7 @@ def rank_within(df: DataFrame, group: str, order: str, name: str = "rank") -> Da
     counted = df.groupBy(group, order).agg(F.count("*").alias("_n"))
     ranks = running_totals(counted, order, ["_n"], [group], descending=True)
     ranks = ranks.select(group, order, (F.col("_n_before") + 1).alias(name))
-    return df.join(ranks, [group, order])
+    return join_with_nulls(df, ranks, [group, order])
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], kind: str = "linear") -> DataFrame:

@@ -137,8 +137,8 @@ def behaviour_trends(orders: DataFrame, months: int = 3) -> DataFrame:
         (F.col("cents") / 100.0).alias("amount"),
         F.lag("month_no").over(ordered).alias("last_active_month"),
         (F.sum("cents").over(span) / 100.0 / months).alias("moving_amount"),
-        ((F.col("cents") - amount_before) * 100.0 / amount_before).alias("var_saldo_pct"),
-        ((F.col("n_orders") - orders_before) * 100.0 / orders_before).alias("var_transacciones_pct"),
+        F.try_divide((F.col("cents") - amount_before) * 100.0, amount_before).alias("var_saldo_pct"),
+        F.try_divide((F.col("n_orders") - orders_before) * 100.0, orders_before).alias("var_transacciones_pct"),
     )
 
 

@@ -86,8 +86,9 @@ def demographic_probability() -> Column:
 
 
 def clv_formula() -> Column:
-    """Simple lifetime value, floored at zero, two digits."""
-    return S.round_half_up(F.greatest(S.weighted_sum(K.CLV_TERMS), F.lit(0.0)), 2)
+    """Simple lifetime value, floored at zero, two digits; null where a term is unknown."""
+    total = S.weighted_sum(K.CLV_TERMS)
+    return F.when(total.isNotNull(), S.round_half_up(F.greatest(total, F.lit(0.0)), 2))
 
 
 def percent_view(df: DataFrame, score: str, key: str = "customer_id") -> DataFrame:

@@ -21,9 +21,9 @@ def split_stratified(
 ) -> DataFrame:
     """Assigns parts so that each label is divided in the same shares, up to rounding.
 
-    ``shares`` are cumulative upper bounds in order, e.g. ``(("train", 0.8), ("test", 1.0))``.
+    Rows without a label are a stratum of their own. ``shares`` are cumulative upper bounds in order, e.g. ``(("train", 0.8), ("test", 1.0))``.
     """
-    placed = hashed_positions(df.where(F.col(label).isNotNull()), key, [label], name="_at")
+    placed = hashed_positions(df, key, [label], name="_at")
     result = None
     for part, upper in shares[:-1]:
         inside = F.col("_at") <= F.floor(F.col("_at_of") * F.lit(upper))
@@ -41,8 +41,8 @@ def add_fold(df: DataFrame, key: str, folds: int = 5, name: str = "fold") -> Dat
 
 
 def union_classes(first: DataFrame, second: DataFrame, key: str) -> DataFrame:
-    """Both frames stacked and ordered by key hash, which mixes the classes."""
-    return first.unionByName(second).orderBy(F.md5(F.col(key).cast("string")))
+    """Both frames stacked and dealt out by key hash, which mixes the classes."""
+    return first.unionByName(second).repartition(F.md5(F.col(key).cast("string")))
 
 
 def expand_counts(df: DataFrame, key: str, count: str, item: str = "item", chunk: int = 10_000) -> DataFrame:

@@ -14,41 +14,46 @@ from ebbwatch.functions import vectors as V
 from ebbwatch.functions.texts import words
 
 
-MAX_ANCHORS = 1000
+ANCHOR_BLOCK = 256  # anchors that enter a row at once
 
 # ------------------------------------------------------------------------------- anchors and intent
 
 
-def label_anchors(vectors: DataFrame, dim: int, labels: int = 10, churn_labels: int = 5) -> DataFrame:
-    """Anchor table (anchor, kind, vector): the centroid of each label, leaving labels first.
+def common_dimension(df: DataFrame, vector: str = "embedding") -> int:
+    """Length of the vectors of a table, read from it; rows that disagree are an error."""
+    found = vector_dimension(df.where(F.col(vector).isNotNull()), vector).first()
+    if not found.n:
+        return 0
+    if not found.agrees:
+        raise ValueError(f"vectors in {vector!r} differ in length")
+    return found.dim
 
-    At most ``labels`` rows, whatever the number of vectors.
-    """
-    known = vectors.where(F.col("label").between(0, labels - 1))
+
+def label_anchors(vectors: DataFrame, churn_labels: int = 5) -> DataFrame:
+    """Anchor table (anchor, kind, vector): the centroid of each label, leaving labels first; null is no label."""
     kind = F.when(F.col("label") < churn_labels, "churn").otherwise("retention")
     return (
-        known.groupBy("label")
-        .agg(V.mean_of_dimensions("embedding", dim).alias("vector"))
+        vectors.where("label is not null")
+        .groupBy("label")
+        .agg(V.mean_of_dimensions("embedding", common_dimension(vectors)).alias("vector"))
         .select(F.col("label").cast("int").alias("anchor"), kind.alias("kind"), V.l2_normalize("vector").alias("vector"))
     )
 
 
-def _as_list(anchors: DataFrame) -> Column:
-    """The anchor table as one array value (a scalar subquery), ordered by anchor.
+def _blocks(anchors: DataFrame, block: int = ANCHOR_BLOCK) -> list[Column]:
+    """The anchor table as arrays (scalar subqueries) of about ``block`` anchors, ordered by anchor.
 
-    A table that is not small is refused, because every task receives the array.
+    Any number of anchors is met block by block; none is gathered beyond its block.
     """
-    packed = F.sort_array(F.collect_list(F.struct("anchor", "kind", "vector")))
-    refused = F.raise_error(F.lit(f"an anchor table holds at most {MAX_ANCHORS} rows"))
-    return anchors.agg(F.when(F.count("*") <= MAX_ANCHORS, packed).otherwise(refused).alias("anchors")).scalar()
-
+    count = max(1, -(-anchors.count() // block))
+    packed = F.sort_array(F.collect_list(F.struct("anchor", "kind", "vector"))).alias("anchors")
+    number = F.pmod(F.xxhash64("anchor", "kind"), F.lit(count))
+    return [anchors.where(number == i).agg(packed).scalar() for i in range(count)]
 
-def text_x_anchor(vectors: DataFrame, anchors: DataFrame, vector: str = "embedding") -> DataFrame:
-    """Cosine of every vector to every anchor, one row for each; no join takes place.
 
-    The anchor table is small by definition and enters as one array, which each row unfolds.
-    """
-    rows = vectors.withColumn("_a", F.explode(_as_list(anchors)))
+def text_x_anchor(vectors: DataFrame, anchors: DataFrame, vector: str = "embedding", block: int = ANCHOR_BLOCK) -> DataFrame:
+    """Cosine of every vector to every anchor, one row for each; no join takes place: a row unfolds block by block."""
+    rows = vectors.withColumn("_b", F.explode(F.array(*_blocks(anchors, block)))).withColumn("_a", F.explode("_b"))
     kept = [c for c in vectors.columns if c != vector]
     return rows.select(
         *kept,
@@ -58,15 +63,21 @@ def text_x_anchor(vectors: DataFrame, anchors: DataFrame, vector: str = "embeddi
     )
 
 
-def max_anchor_similarity(vectors: DataFrame, anchors: DataFrame, vector: str = "embedding") -> DataFrame:
-    """Adds the highest similarity to the leaving and to the staying anchors, inside the row."""
-    rows = vectors.withColumn("_anchors", _as_list(anchors))
+def max_anchor_similarity(vectors: DataFrame, anchors: DataFrame, vector: str = "embedding", block: int = ANCHOR_BLOCK) -> DataFrame:
+    """Adds the highest similarity to the leaving and to the staying anchors, inside the row; null without any."""
+    blocks = {f"_block{i}": b for i, b in enumerate(_blocks(anchors, block))}
 
     def best(kind: str) -> Column:
-        same = F.filter("_anchors", lambda a: a["kind"] == kind)
-        return F.array_max(F.transform(same, lambda a: V.cosine(F.col(vector), a["vector"])))
+        of_block = [
+            F.array_max(
+                F.transform(F.filter(b, lambda a: a["kind"] == kind), lambda a: V.cosine(F.col(vector), a["vector"]))
+            )
+            for b in blocks
+        ]
+        return F.array_max(F.array(*of_block))
 
-    return rows.withColumns({"churn_similarity": best("churn"), "retention_similarity": best("retention")}).drop("_anchors")
+    rows = vectors.withColumns(blocks)
+    return rows.withColumns({"churn_similarity": best("churn"), "retention_similarity": best("retention")}).drop(*blocks)
 
 
 def churn_intent(vectors: DataFrame, anchors: DataFrame, vector: str = "embedding") -> DataFrame:
@@ -76,9 +87,70 @@ def churn_intent(vectors: DataFrame, anchors: DataFrame, vector: str = "embeddin
 
 
 def attach_vectors(texts: DataFrame, vectors: DataFrame, text_key: str, vector_key: str) -> DataFrame:
-    """Texts with their vectors, joined on the key and never by position."""
+    """All texts with their vectors, joined on the key and never by position; null where a text has none."""
     keyed = vectors.select(F.col(vector_key).alias(text_key), "embedding")
-    return texts.join(keyed, text_key)
+    return texts.join(keyed, text_key, "left")
+
+
+# --------------------------------------------------------------------------------- intent of texts
+
+
+def text_intent(
+    texts: DataFrame,
+    key: str,
+    text: str,
+    churn_anchors: Sequence[str] = K.CHURN_ANCHORS,
+    retention_anchors: Sequence[str] = K.RETENTION_ANCHORS,
+    buckets: int = 4096,
+) -> DataFrame:
+    """(key, churn_similarity, retention_similarity, churn_intent_score) for every text.
+
+    Texts and anchor sentences are vectors of hashed word counts; the highest cosine to each kind of sentence gives
+    the net intent. The anchor cells that join are the words of the sentences, a table fixed by its definition. A
+    text without words has similarity 0.
+    """
+    spark = texts.sparkSession
+    sentences = [*((a, 0) for a in churn_anchors), *((a, 1) for a in retention_anchors)]
+    frame = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(sentences)], "anchor int, sentence string")
+    cells = term_counts(frame, "anchor", "sentence", buckets)
+    length = cells.groupBy("anchor").agg(F.sqrt(F.sum(F.col("tf") * F.col("tf"))).alias("length"))
+    units = cells.join(length, "anchor").select("anchor", "bucket", (F.col("tf") / F.col("length")).alias("unit"))
+    per_bucket = units.groupBy("bucket").agg(F.map_from_entries(F.collect_list(F.struct("anchor", "unit"))).alias("units"))
+    counts = term_counts(texts, key, text, buckets).join(F.broadcast(per_bucket), "bucket", "left")
+    dots = [
+        F.sum(F.col("tf") * F.coalesce(F.col("units")[i], F.lit(0.0))).alias(f"dot{i}") for i in range(len(sentences))
+    ]
+    summed = counts.groupBy(key).agg(F.sqrt(F.sum(F.col("tf") * F.col("tf"))).alias("length"), *dots)
+
+    def best(kind: int) -> Column:
+        found = [F.col(f"dot{i}") / F.col("length") for i, (_, k) in enumerate(sentences) if k == kind]
+        return F.array_max(F.array(*found, F.lit(0.0)))
+
+    scored = summed.select(F.col(key).alias("_of"), best(0).alias("leave"), best(1).alias("stay"))
+    joined = texts.select(key).join(scored, F.col(key).eqNullSafe(F.col("_of")), "left")
+    leave, stay = F.coalesce("leave", F.lit(0.0)), F.coalesce("stay", F.lit(0.0))
+    return joined.select(
+        key,
+        leave.alias("churn_similarity"),
+        stay.alias("retention_similarity"),
+        V.net_intent(leave, stay, K.RETENTION_DISCOUNT).alias("churn_intent_score"),
+    )
+
+
+def dense_text_vectors(texts: DataFrame, key: str, text: str, dim: int = 64) -> DataFrame:
+    """(key, embedding): hashed word counts of each text in ``dim`` buckets, of unit length; no words give zeros."""
+    packed = (
+        term_counts(texts, key, text, dim)
+        .groupBy(key)
+        .agg(
+            F.sqrt(F.sum(F.col("tf") * F.col("tf"))).alias("length"),
+            F.map_from_entries(F.collect_list(F.struct("bucket", "tf"))).alias("cells"),  # dim entries at most
+        )
+        .withColumnRenamed(key, "_of")
+    )
+    joined = texts.select(key).join(packed, F.col(key).eqNullSafe(F.col("_of")), "left")
+    cell = lambda i: F.coalesce(F.col("cells")[i.cast("int")] / F.col("length"), F.lit(0.0))
+    return joined.select(key, F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), cell).alias("embedding"))
 
 
 def customer_embedding(texts: DataFrame, dim: int, vector: str = "embedding") -> DataFrame:
@@ -90,24 +162,21 @@ def customer_embedding(texts: DataFrame, dim: int, vector: str = "embedding") ->
     )
 
 
-def centroid(vectors: DataFrame, dim: int, vector: str = "embedding") -> DataFrame:
+def centroid(vectors: DataFrame, vector: str = "embedding") -> DataFrame:
     """Re-normalised mean vector of a history, one row."""
+    dim = common_dimension(vectors, vector)
     return vectors.agg(V.mean_of_dimensions(vector, dim).alias("m")).select(V.l2_normalize("m").alias("centroid"))
 
 
-def centroid_similarity(vectors: DataFrame, history: DataFrame, dim: int, vector: str = "embedding") -> DataFrame:
-    """Cosine to the centroid of the history profiles and the highest cosine to one of them.
-
-    ``history`` is an anchor table, i.e. a handful of profiles.
-    """
-    middle = centroid(history.withColumnRenamed("vector", "embedding"), dim)
-    rows = vectors.withColumns({"_c": middle.scalar(), "_h": _as_list(history)})
+def centroid_similarity(vectors: DataFrame, history: DataFrame, vector: str = "embedding") -> DataFrame:
+    """Cosine to the centroid of the history profiles, an anchor table, and the highest cosine to one of them."""
+    middle = centroid(history, "vector")
+    blocks = {f"_block{i}": b for i, b in enumerate(_blocks(history))}
+    highest = [F.array_max(F.transform(b, lambda a: V.cosine(F.col(vector), a["vector"]))) for b in blocks]
+    rows = vectors.withColumns({"_c": middle.scalar(), **blocks})
     return rows.withColumns(
-        {
-            "centroid_similarity": V.cosine(vector, "_c"),
-            "max_similarity": F.array_max(F.transform("_h", lambda a: V.cosine(F.col(vector), a["vector"]))),
-        }
-    ).drop("_c", "_h")
+        {"centroid_similarity": V.cosine(vector, "_c"), "max_similarity": F.array_max(F.array(*highest))}
+    ).drop("_c", *blocks)
 
 
 def vector_dimension(df: DataFrame, vector: str = "embedding") -> DataFrame:
@@ -175,20 +244,26 @@ def token_windows(docs: DataFrame, key: str, text: str, size: int = K.TOKEN_WIND
     )
 
 
-def mean_pooling(docs: DataFrame, key: str, text: str, token_vectors: DataFrame, dim: int) -> DataFrame:
-    """Mean of the token vectors of a document, tokens mapped to a fixed table of bucket vectors.
+def mean_pooling(docs: DataFrame, key: str, text: str, token_vectors: DataFrame) -> DataFrame:
+    """Mean of the token vectors of a document, tokens mapped to a table of bucket vectors (bucket, embedding).
 
-    ``token_vectors`` (bucket, embedding) must be a table of checked size: it is the vocabulary.
-    Counts per (document, bucket) weight the mean, so frequent words are one row.
+    Every document is reported with all its tokens, and with those whose bucket has a vector, over which the mean
+    goes; it is null when there are none. Counts per (document, bucket) weight the mean, so a word is one row of
+    a document; a word of nearly every document is one key, whose side the join may split.
     """
+    dim = common_dimension(token_vectors)
     buckets = token_vectors.agg((F.max("bucket") + 1).alias("n")).scalar()
-    tokens = docs.select(key, F.explode(words(text)).alias("word"))
+    tokens = docs.select(key, F.explode_outer(words(text)).alias("word"))
     bucket = (F.conv(F.substring(F.md5("word"), 1, 8), 16, 10).cast("bigint") % buckets).cast("bigint")
-    counts = tokens.groupBy(key, bucket.alias("bucket")).agg(F.count("*").alias("tf"))
-    joined = counts.join(token_vectors, "bucket")
+    counts = tokens.groupBy(key, bucket.alias("bucket")).agg(F.count("word").alias("tf"))
+    joined = counts.join(token_vectors, "bucket", "left")
+    known = F.when(F.col("embedding").isNotNull(), F.col("tf"))
     sums = [F.sum(F.get("embedding", F.lit(i)).cast("double") * F.col("tf")) for i in range(dim)]
-    pooled = joined.groupBy(key).agg(F.sum("tf").alias("n_tokens"), F.array(*sums).alias("_s"))
-    return pooled.select(key, "n_tokens", F.transform("_s", lambda x: x / F.col("n_tokens")).alias("embedding"))
+    pooled = joined.groupBy(key).agg(
+        F.sum("tf").alias("n_tokens"), F.coalesce(F.sum(known), F.lit(0)).alias("n_known"), F.array(*sums).alias("_s")
+    )
+    mean = F.when(F.col("n_known") > 0, F.transform("_s", lambda x: x / F.col("n_known")))
+    return pooled.select(key, "n_tokens", "n_known", mean.alias("embedding"))
 
 
 # --------------------------------------------------------------------------------------- UDF surface

@@ -16,10 +16,10 @@ from ebbwatch.operators import splits
 from ebbwatch.operators.metrics import binary_metrics
 from ebbwatch.plans import jobs
 from ebbwatch.plans import oracle as O
-from ebbwatch.plans.catalog_text import DIM, customer_intent
+from ebbwatch.plans.catalog_text import TEXT_DIM, customer_intent
 from ebbwatch.plans.registry import gold, query, silver, six
 from ebbwatch.sources.snapshot import behaviour, customer_raw
-from ebbwatch.sources.storage import materialize, read_table, scratch_path, spread
+from ebbwatch.sources.storage import materialize, read_table, scratch_path
 
 d = O.d
 
@@ -151,9 +151,8 @@ def _hybrid(spark, folder, dims=None):
 
 @query(
     "hybrid_features",
-    f"""WITH t AS (SELECT conv_id, conv_id * 8 + turn AS complaint_id FROM conversations WHERE role = 'user')
-    SELECT DISTINCT 'CLI-' || lpad(cast(conv_id AS varchar), 7, '0') AS customer_id, cast({len(K.BEHAVIOUR_FEATURES)} + len(embedding) AS int) AS n_whole,
-    cast({len(K.BEHAVIOUR_FEATURES)} + 32 AS int) AS n_narrow FROM t JOIN embeddings ON vec_id = complaint_id JOIN customer ON c_custkey = conv_id""",
+    f"""SELECT DISTINCT 'CLI-' || lpad(cast(conv_id AS varchar), 7, '0') AS customer_id, cast({len(K.BEHAVIOUR_FEATURES)} + {TEXT_DIM} AS int) AS n_whole,
+    cast({len(K.BEHAVIOUR_FEATURES)} + 32 AS int) AS n_narrow FROM conversations JOIN customer ON c_custkey = conv_id WHERE role = 'user'""",
 )
 def hybrid_features(spark, folder):
     """Vector sizes of customers with text, for the whole embedding and for its first 32 entries."""
@@ -191,10 +190,9 @@ def train_logistic(spark, folder):
 
 @query("cross_validate")
 def cross_validate(spark, folder):
-    """Mean AUC of each setting over five hash folds (a smaller grid than the default one)."""
+    """Mean AUC of each setting of the whole grid over five hash folds."""
     rows = _fitted_features(spark, folder).where("part = 'train'")
-    grid = {"maxDepth": [4, 6], "numTrees": [10, 20]}
-    found = M.cross_validate(rows, "random_forest", "customer_id", folds=5, grid=grid)
+    found = M.cross_validate(rows, "random_forest", "customer_id", folds=5)
     lines = [
         ({p.name: v for p, v in setting.items()}, float(auc)) for setting, auc in zip(found.getEstimatorParamMaps(), found.avgMetrics)
     ]
@@ -230,25 +228,27 @@ def _behaviour_vectors(spark, folder):
     return materialize(scaler.transform(vectors), "behaviour-vectors")
 
 
-def _network(rows, max_iter):
-    return M.train_mlp(rows.where("part = 'train'"), len(K.BEHAVIOUR_FEATURES), max_iter=max_iter)
+def _network(rows):
+    return M.train_mlp(rows.where("part = 'train'"), len(K.BEHAVIOUR_FEATURES))
 
 
 @query("train_mlp")
 def train_mlp(spark, folder):
     rows = _behaviour_vectors(spark, folder)
-    model = _network(rows, 100)
+    model = _network(rows)
     scores = M.score_customers(model, rows.where("part = 'test'"))
     return binary_metrics(scores, "churn", "churn_probability")
 
 
 @query("train_mlp_hybrid")
 def train_mlp_hybrid(spark, folder):
-    """Network on tabular and text features together, for customers with text."""
-    rows = materialize(_hybrid(spark, folder).select("customer_id", "churn", "hybrid"), "hybrid")
-    scaled = materialize(FT.scaler("hybrid", "features").fit(rows).transform(rows), "hybrid-vectors")
-    model = M.train_mlp(scaled, len(K.BEHAVIOUR_FEATURES) + DIM, hidden=(128, 64), max_iter=50)
-    return M.score_customers(model, scaled).select("customer_id", "churn", "churn_probability", "prediction")
+    """Network on tabular and text features together, for customers with text; fitted on the training part."""
+    rows = splits.split_by_hash(_hybrid(spark, folder).select("customer_id", "churn", "hybrid"), "customer_id")
+    rows = materialize(rows, "hybrid")
+    scaler = FT.scaler("hybrid", "features").fit(rows.where("part = 'train'"))
+    scaled = materialize(scaler.transform(rows), "hybrid-vectors")
+    model = M.train_mlp(scaled.where("part = 'train'"), len(K.BEHAVIOUR_FEATURES) + TEXT_DIM, hidden=(128, 64))
+    return M.score_customers(model, scaled).select("customer_id", "part", "churn", "churn_probability", "prediction")
 
 
 def _labelled_documents(spark, folder):
@@ -259,8 +259,8 @@ def _labelled_documents(spark, folder):
 
 @query("train_text_classifier")
 def train_text_classifier(spark, folder):
-    rows = spread(materialize(_labelled_documents(spark, folder), "labelled-documents"))
-    model = M.text_classifier("quality", maxIter=30).fit(rows.where("part = 'train'"))
+    rows = materialize(_labelled_documents(spark, folder), "labelled-documents")
+    model = M.text_classifier("quality").fit(rows.where("part = 'train'"))
     scores = M.score_customers(model, rows.where("part = 'test'"))
     return binary_metrics(scores, "quality", "churn_probability")
 
@@ -275,7 +275,7 @@ def positive_probability(spark, folder):
 @query("score_customers")
 def score_customers(spark, folder):
     rows = training(spark, folder)
-    model = jobs.fit_model(rows, "random_forest", with_intent=False, numTrees=50)
+    model = jobs.fit_model(rows, "random_forest", with_intent=False)
     return M.score_customers(model, rows).select("customer_id", "churn_probability", "churn_risk_level", "recommended_action")
 
 
@@ -283,29 +283,29 @@ def score_customers(spark, folder):
 def predict_one(spark, folder):
     """Network score, band and action of each row; one literal row takes the same path."""
     rows = _behaviour_vectors(spark, folder)
-    scores = M.score_customers(_network(rows, 50), rows)
+    scores = M.score_customers(_network(rows), rows)
     p = "churn_probability"
     return scores.select(
         "customer_id", p, S.band(p, K.NETWORK_CUTS, K.NETWORK_LABELS).alias("riesgo"), S.band(p, K.NETWORK_CUTS, K.NETWORK_ACTIONS).alias("accion")
     )
 
 
-@query("save_load_model")
+@query("save_load_model", f"WITH {O.SILVER} SELECT customer_id, true AS equal FROM silver")
 def save_load_model(spark, folder):
-    """Scores of a model and of its saved copy, side by side."""
+    """Whether a model and its saved copy give every customer the same score."""
     rows = training(spark, folder)
-    model = jobs.fit_model(rows, "logistic", with_intent=False, maxIter=20)
+    model = jobs.fit_model(rows, "logistic", with_intent=False)
     path = scratch_path(spark, "model")
     M.save_model(model, path)
     again = M.load_model(path)
     first = M.score_customers(model, rows).select("customer_id", F.col("churn_probability").alias("before"))
     second = M.score_customers(again, rows).select("customer_id", F.col("churn_probability").alias("after"))
-    return first.join(second, "customer_id")
+    return first.join(second, "customer_id").select("customer_id", (F.col("before") == F.col("after")).alias("equal"))
 
 
 @query("end_to_end")
 def end_to_end(spark, folder):
-    run = jobs.run_churn_job(customer_raw(spark, folder), customer_intent(spark, folder), numTrees=50)
+    run = jobs.run_churn_job(customer_raw(spark, folder), customer_intent(spark, folder))
     return run.scores.drop("gold_ts")
 
 
@@ -358,7 +358,7 @@ def model_contributions(spark, folder):
 @query("tree_importance")
 def tree_importance(spark, folder):
     rows = _fitted_features(spark, folder)
-    model = M.fit_classifier(rows.where("part = 'train'"), "random_forest", numTrees=50)
+    model = M.fit_classifier(rows.where("part = 'train'"), "random_forest")
     return E.tree_importance(spark, model, FT.vector_names(rows))
 
 
@@ -377,11 +377,11 @@ def importance_rank(spark, folder):
 @query("permutation_importance")
 def permutation_importance(spark, folder):
     rows = _behaviour_vectors(spark, folder)
-    model = M.fit_classifier(rows.where("part = 'train'"), "random_forest", "churn", numTrees=20)
+    model = M.fit_classifier(rows.where("part = 'train'"), "random_forest", "churn")
     return E.permutation_importance(model, rows.where("part = 'test'"), "customer_id", "churn", K.BEHAVIOUR_FEATURES)
 
 
 @query("mlp_input_importance")
 def mlp_input_importance(spark, folder):
     rows = _behaviour_vectors(spark, folder)
-    return E.importance_rank(E.mlp_input_importance(spark, _network(rows, 50), K.BEHAVIOUR_FEATURES), top=None)
+    return E.importance_rank(E.mlp_input_importance(spark, _network(rows), K.BEHAVIOUR_FEATURES), top=None)

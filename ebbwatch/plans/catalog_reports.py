@@ -14,7 +14,7 @@ from ebbwatch.plans import oracle as O
 from ebbwatch.plans.catalog_tables import TEST_SEGMENTS, _bad_sql
 from ebbwatch.plans.registry import query, scored, silver, six
 from ebbwatch.sources.snapshot import behaviour, complaints, customer_key, customer_raw
-from ebbwatch.sources.storage import read_table, spread
+from ebbwatch.sources.storage import read_table
 
 d = O.d
 
@@ -335,7 +335,7 @@ def retention_alerts(spark, folder):
     regexp_replace(regexp_replace(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+', '<mail>', 'g'), '[0-9]', '#', 'g') AS text FROM documents""",
 )
 def anonymize(spark, folder):
-    docs = spread(read_table(spark, folder, "documents").select("doc_id", "text"))
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
     return P.anonymize(docs, "doc_id", "text", salt="ebb")
 
 
@@ -373,8 +373,8 @@ def behaviour_trends(spark, folder):
 
 @query(
     "complaint_channels",
-    """SELECT CASE (conv_id * 8 + turn) % 4 WHEN 0 THEN 'app' WHEN 1 THEN 'call_center' WHEN 2 THEN 'email' ELSE 'sucursal' END AS channel,
-    count(*) AS n, min(DATE '2000-08-01' - cast((conv_id * 8 + turn) % 90 + 1 AS int)) AS first_date FROM conversations WHERE role = 'user' GROUP BY 1""",
+    f"""SELECT CASE {O.COMPLAINT} % 4 WHEN 0 THEN 'app' WHEN 1 THEN 'call_center' WHEN 2 THEN 'email' ELSE 'sucursal' END AS channel,
+    count(*) AS n, min(DATE '2000-08-01' - cast({O.COMPLAINT} % 90 + 1 AS int)) AS first_date FROM conversations WHERE role = 'user' GROUP BY 1""",
 )
 def complaint_channels(spark, folder):
     return complaints(spark, folder).groupBy("channel").agg(F.count("*").alias("n"), F.min("complaint_date").alias("first_date"))

@@ -73,9 +73,8 @@ def stream_activity_windows(spark, folder):
 )
 def stream_customer_state(spark, folder):
     """The last reported state of each customer."""
-    table = W.run_to_table(W.customer_state(W.event_stream(spark, folder)), "customer-state")
-    newest = F.max(F.struct("n_events", *[c for c in table.columns if c not in ("user_id", "n_events")]))
-    return table.groupBy("user_id").agg(newest.alias("s")).select("user_id", "s.*")
+    states = W.customer_state(W.event_stream(spark, folder))
+    return W.newest_versions(W.run_batches(states, "customer-state", W.STATE_SCHEMA, mode="update"), "user_id")
 
 
 @query(

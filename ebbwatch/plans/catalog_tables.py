@@ -62,7 +62,7 @@ def project_available(spark, folder):
 
 @query(
     "write_raw",
-    f"""WITH {O.FACTS}, k AS (SELECT conv_id * 8 + turn AS cid, * FROM conversations WHERE role = 'user')
+    f"""WITH {O.FACTS}, k AS (SELECT {O.COMPLAINT} AS cid, * FROM conversations WHERE role = 'user')
     SELECT 'customers' AS table_name, count(*) AS n, count(DISTINCT customer_id) AS n_keys FROM raw
     UNION ALL SELECT 'complaints', count(*), count(DISTINCT conv_id) FROM k""",
 )
@@ -312,7 +312,7 @@ _CLV = f"greatest(avg_balance_6m * {d('0.015')} + monthly_transactions * {d('500
 
 @query(
     "clv_formula",
-    f"WITH {O.SILVER} SELECT customer_id, CASE WHEN avg_balance_6m IS NULL THEN {d('0.0')} ELSE {O.half_up(_CLV, 2)} END AS clv FROM silver",
+    f"WITH {O.SILVER} SELECT customer_id, CASE WHEN avg_balance_6m IS NULL THEN NULL ELSE {O.half_up(_CLV, 2)} END AS clv FROM silver",
 )
 def clv_formula(spark, folder):
     return silver(spark, folder).select("customer_id", R.clv_formula().alias("clv"))
@@ -345,7 +345,7 @@ def _any_sql(column: str, words) -> str:
     f"SELECT doc_id, {_any_sql('text', K.LEAVING_KEYWORDS)} AS leaving, {_any_sql('text', _COMMON_WORDS)} AS common FROM documents",
 )
 def keyword_flag(spark, folder):
-    docs = storage.spread(read_table(spark, folder, "documents").select("doc_id", "text"))
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
     return docs.select(
         "doc_id", S.contains_any("text", K.LEAVING_KEYWORDS).alias("leaving"), S.contains_any("text", _COMMON_WORDS).alias("common")
     )
@@ -553,7 +553,7 @@ def build_customer_snapshot(spark, folder):
 
 @query(
     "customer_profile",
-    f"""WITH {O.SCORED}, k AS (SELECT conv_id * 8 + turn AS cid, 'CLI-' || lpad(cast(conv_id AS varchar), 7, '0') AS customer_id FROM conversations WHERE role = 'user'),
+    f"""WITH {O.SCORED}, k AS (SELECT {O.COMPLAINT} AS cid, 'CLI-' || lpad(cast(conv_id AS varchar), 7, '0') AS customer_id FROM conversations WHERE role = 'user'),
     dated AS (SELECT *, DATE '2000-08-01' - cast(cid % 90 + 1 AS int) AS day FROM k),
     t AS (SELECT customer_id, count(*) AS n_texts, max(day) AS last_text_date, arg_max(cid, (day, cid)) AS last_cid FROM dated GROUP BY 1)
     SELECT customer_id, segment, churn_probability, churn_risk_level, vip_classification, coalesce(n_texts, 0) AS n_texts, last_text_date,

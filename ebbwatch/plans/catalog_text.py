@@ -12,14 +12,14 @@ from ebbwatch.operators import textual as T
 from ebbwatch.plans import oracle as O
 from ebbwatch.plans.registry import micro_text, query, silver, six
 from ebbwatch.sources.snapshot import complaints
-from ebbwatch.sources.storage import read_table, spread
+from ebbwatch.sources.storage import read_table
 
 d = O.d
-DIM = 64  # dimension of the embeddings table
+TEXT_DIM = 64  # buckets of a dense text vector
 
 
 def _documents(spark, folder):
-    return spread(read_table(spark, folder, "documents").select("doc_id", "text"))
+    return read_table(spark, folder, "documents").select("doc_id", "text")
 
 
 def _vectors(spark, folder):
@@ -28,7 +28,7 @@ def _vectors(spark, folder):
 
 _ANCHORS = f"""ev AS (SELECT vec_id, label, embedding::double[] AS v FROM embeddings),
   cell AS (SELECT label, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM ev),
-  mean AS (SELECT label, pos, avg(x) AS x FROM cell WHERE label BETWEEN 0 AND 9 GROUP BY 1, 2),
+  mean AS (SELECT label, pos, avg(x) AS x FROM cell WHERE label IS NOT NULL GROUP BY 1, 2),
   cent AS (SELECT label, list(x ORDER BY pos) AS m FROM mean GROUP BY 1),
   anchors AS (SELECT label AS anchor, CASE WHEN label < 5 THEN 'churn' ELSE 'retention' END AS kind,
     list_transform(m, lambda x: x / sqrt(list_dot_product(m, m))) AS a FROM cent)"""
@@ -73,21 +73,21 @@ def cosine(spark, folder):
 @query("text_x_anchor", f"WITH {_SIM} SELECT vec_id, cast(anchor AS int) AS anchor, kind, {O.six('s')} AS similarity FROM sim")
 def text_x_anchor(spark, folder):
     vectors = _vectors(spark, folder)
-    pairs = T.text_x_anchor(vectors, T.label_anchors(vectors, DIM))
+    pairs = T.text_x_anchor(vectors, T.label_anchors(vectors))
     return pairs.select("vec_id", "anchor", "kind", six("similarity").alias("similarity"))
 
 
 @query("max_anchor_similarity", f"WITH {_SIM} SELECT vec_id, {O.six('cs')} AS churn_similarity, {O.six('rs')} AS retention_similarity FROM best")
 def max_anchor_similarity(spark, folder):
     vectors = _vectors(spark, folder)
-    best = T.max_anchor_similarity(vectors, T.label_anchors(vectors, DIM))
+    best = T.max_anchor_similarity(vectors, T.label_anchors(vectors))
     return best.select("vec_id", six("churn_similarity").alias("churn_similarity"), six("retention_similarity").alias("retention_similarity"))
 
 
 @query("churn_intent", f"WITH {_SIM} SELECT vec_id, {O.six('score')} AS churn_intent_score FROM intent")
 def churn_intent(spark, folder):
     vectors = _vectors(spark, folder)
-    return T.churn_intent(vectors, T.label_anchors(vectors, DIM)).select("vec_id", six("churn_intent_score").alias("churn_intent_score"))
+    return T.churn_intent(vectors, T.label_anchors(vectors)).select("vec_id", six("churn_intent_score").alias("churn_intent_score"))
 
 
 _BAND = f"CASE WHEN {{0}} > {d('0.70')} THEN 'ALTO' WHEN {{0}} > {d('0.45')} THEN 'MEDIO' ELSE 'BAJO' END"
@@ -96,7 +96,7 @@ _BAND = f"CASE WHEN {{0}} > {d('0.70')} THEN 'ALTO' WHEN {{0}} > {d('0.45')} THE
 @query("similarity_band", f"WITH {_SIM} SELECT vec_id, {O.six('cs')} AS similarity, {_BAND.format(O.six('cs'))} AS riesgo FROM best")
 def similarity_band(spark, folder):
     vectors = _vectors(spark, folder)
-    best = T.max_anchor_similarity(vectors, T.label_anchors(vectors, DIM)).select("vec_id", six("churn_similarity").alias("similarity"))
+    best = T.max_anchor_similarity(vectors, T.label_anchors(vectors)).select("vec_id", six("churn_similarity").alias("similarity"))
     return best.withColumn("riesgo", S.band("similarity", K.SIMILARITY_CUTS, K.SIMILARITY_LABELS, closed="right"))
 
 
@@ -109,7 +109,7 @@ _CENTROID = _ANCHORS + """,
 
 def _history(vectors):
     """The history profiles: the centroids of the leaving labels."""
-    return T.label_anchors(vectors, DIM).where("kind = 'churn'")
+    return T.label_anchors(vectors).where("kind = 'churn'")
 
 
 @query(
@@ -121,7 +121,7 @@ def _history(vectors):
     + " AS centroid FROM hm",
 )
 def centroid(spark, folder):
-    return T.centroid(_vectors(spark, folder).where("label < 5"), DIM).select(micro_text("centroid").alias("centroid"))
+    return T.centroid(_vectors(spark, folder).where("label < 5")).select(micro_text("centroid").alias("centroid"))
 
 
 @query(
@@ -131,7 +131,7 @@ def centroid(spark, folder):
 )
 def centroid_similarity(spark, folder):
     vectors = _vectors(spark, folder)
-    rows = T.centroid_similarity(vectors, _history(vectors), DIM)
+    rows = T.centroid_similarity(vectors, _history(vectors))
     return rows.select("vec_id", six("centroid_similarity").alias("centroid_similarity"), six("max_similarity").alias("max_similarity"))
 
 
@@ -140,35 +140,72 @@ def vector_dimension(spark, folder):
     return T.vector_dimension(_vectors(spark, folder))
 
 
-_TEXTS = "k AS (SELECT conv_id * 8 + turn AS complaint_id, 'CLI-' || lpad(cast(conv_id AS varchar), 7, '0') AS customer_id, text FROM conversations WHERE role = 'user')"
+_TEXTS = f"k AS (SELECT {O.COMPLAINT} AS complaint_id, 'CLI-' || lpad(cast(conv_id AS varchar), 7, '0') AS customer_id, text FROM conversations WHERE role = 'user')"
+
+
+_WORDS = r"list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: len(w) > 0)"
+_BUCKET = "cast(cast('0x' || substr(md5(word), 1, 8) AS bigint) % {n} AS int)"
+
+
+_ALL = ", ".join(f"({i}, '{kind}', '{a}')" for i, (kind, a) in enumerate([*(("churn", a) for a in K.CHURN_ANCHORS), *(("retention", a) for a in K.RETENTION_ANCHORS)]))
+
+
+def _counts(name: str, table: str, key: str, n: int) -> str:
+    """Hashed word counts of a table of texts, and their lengths."""
+    return f"""{name}w AS (SELECT {key}, unnest({_WORDS}) AS word FROM {table}),
+  {name} AS (SELECT {key}, {_BUCKET.format(n=n)} AS bucket, count(*)::double AS tf FROM {name}w GROUP BY 1, 2),
+  {name}n AS (SELECT {key}, sqrt(sum(tf * tf)) AS length FROM {name} GROUP BY 1)"""
+
+
+_TEXT_INTENT = f"""{_TEXTS}, sentence AS (SELECT * FROM (VALUES {_ALL}) AS x(anchor, kind, text)),
+  {_counts('kt', 'k', 'complaint_id', 4096)}, {_counts('sc', 'sentence', 'anchor', 4096)},
+  dots AS (SELECT complaint_id, anchor, sum(kt.tf * sc.tf) AS dot FROM kt JOIN sc USING (bucket) GROUP BY 1, 2),
+  cosines AS (SELECT complaint_id, kind, dot / (ktn.length * scn.length) AS s FROM dots JOIN ktn USING (complaint_id) JOIN scn USING (anchor) JOIN sentence USING (anchor)),
+  tops AS (SELECT complaint_id, coalesce(max(CASE WHEN kind = 'churn' THEN s END), 0.0::double) AS cs, coalesce(max(CASE WHEN kind = 'retention' THEN s END), 0.0::double) AS rs FROM cosines GROUP BY 1),
+  tintent AS (SELECT complaint_id, customer_id, text, greatest(0.0::double, least(1.0::double, coalesce(cs, 0.0::double) - coalesce(rs, 0.0::double) * 0.5::double)) AS score FROM k LEFT JOIN tops USING (complaint_id))"""
+
+@query("complaint_intent", f"WITH {_TEXT_INTENT} SELECT complaint_id, customer_id, {O.six('score')} AS churn_intent_score FROM tintent")
+def complaint_intent(spark, folder):
+    """Net intent of every complaint text against the leaving and staying sentences."""
+    texts = complaints(spark, folder)
+    scored = T.text_intent(texts, "complaint_id", "complaint_text")
+    joined = texts.select("complaint_id", "customer_id").join(scored, "complaint_id", "left")
+    return joined.select("complaint_id", "customer_id", six("churn_intent_score").alias("churn_intent_score"))
+
+
+_DENSE = f"""{_counts('vt', 'k', 'complaint_id', TEXT_DIM)},
+  slots AS (SELECT complaint_id, customer_id, len(text) AS n_chars, unnest(range(0, {TEXT_DIM})) AS pos FROM k),
+  dense AS (SELECT s.complaint_id, customer_id, n_chars, pos, coalesce(tf / length, 0.0::double) AS x FROM slots s
+    LEFT JOIN vt ON vt.complaint_id = s.complaint_id AND vt.bucket = s.pos LEFT JOIN vtn ON vtn.complaint_id = s.complaint_id)"""
 
 
 @query(
     "attach_vectors",
-    f"WITH {_TEXTS} SELECT complaint_id, customer_id, len(text) AS n_chars, {_micro_list('embedding::double[]')} AS vector FROM k JOIN embeddings ON vec_id = complaint_id",
+    f"WITH {_TEXTS}, {_DENSE} SELECT complaint_id, customer_id, max(n_chars) AS n_chars, {_micro_list('list(x ORDER BY pos)')} AS vector FROM dense GROUP BY 1, 2",
 )
 def attach_vectors(spark, folder):
-    texts = T.attach_vectors(complaints(spark, folder), _vectors(spark, folder), "complaint_id", "vec_id")
-    return texts.select(
-        "complaint_id", "customer_id", F.length("complaint_text").cast("bigint").alias("n_chars"), micro_text(V.to_double("embedding")).alias("vector")
+    """Every complaint with the vector of its text."""
+    texts = complaints(spark, folder)
+    vectors = T.dense_text_vectors(texts, "complaint_id", "complaint_text", TEXT_DIM)
+    rows = T.attach_vectors(texts, vectors, "complaint_id", "complaint_id")
+    return rows.select(
+        "complaint_id", "customer_id", F.length("complaint_text").cast("bigint").alias("n_chars"), micro_text("embedding").alias("vector")
     )
 
 
-_CUSTOMER_VECTORS = _SIM + f""", {_TEXTS},
-  kv AS (SELECT customer_id, v, score FROM k JOIN ev ON vec_id = complaint_id JOIN intent USING (vec_id)),
-  kc AS (SELECT customer_id, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM kv),
-  km AS (SELECT customer_id, pos, avg(x) AS x FROM kc GROUP BY 1, 2),
+_CUSTOMER_VECTORS = f"""{_TEXT_INTENT}, {_DENSE},
+  km AS (SELECT customer_id, pos, avg(x) AS x FROM dense GROUP BY 1, 2),
   ke AS (SELECT customer_id, list(x ORDER BY pos) AS e FROM km GROUP BY 1),
-  ki AS (SELECT customer_id, max(score) AS churn_intent_score, count(*) AS n_texts FROM kv GROUP BY 1)"""
+  ki AS (SELECT customer_id, max(score) AS churn_intent_score, count(*) AS n_texts FROM tintent GROUP BY 1)"""
 
 
 def customer_intent(spark, folder):
-    """Mean vector and highest intent of every customer with vectors."""
-    vectors = _vectors(spark, folder)
-    intents = T.churn_intent(vectors, T.label_anchors(vectors, DIM)).select(
-        F.col("vec_id").alias("complaint_id"), "embedding", "churn_intent_score"
-    )
-    return T.customer_embedding(complaints(spark, folder).join(intents, "complaint_id"), DIM)
+    """Mean text vector, highest intent and number of texts of every customer with complaints."""
+    texts = complaints(spark, folder)
+    vectors = T.dense_text_vectors(texts, "complaint_id", "complaint_text", TEXT_DIM)
+    intents = T.text_intent(texts, "complaint_id", "complaint_text").select("complaint_id", "churn_intent_score")
+    rows = texts.select("complaint_id", "customer_id").join(vectors, "complaint_id", "left").join(intents, "complaint_id", "left")
+    return T.customer_embedding(rows, TEXT_DIM)
 
 
 @query(
@@ -189,10 +226,6 @@ def join_intent(spark, folder):
     return joined.select("customer_id", "age", "region", six("churn_intent_score").alias("churn_intent_score"))
 
 
-_WORDS = r"list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: len(w) > 0)"
-_BUCKET = "cast(cast('0x' || substr(md5(word), 1, 8) AS bigint) % {n} AS int)"
-
-
 @query(
     "text_vectors",
     f"""WITH w AS (SELECT doc_id, unnest({_WORDS}) AS word FROM documents),
@@ -206,10 +239,12 @@ def text_vectors(spark, folder):
     return rows.select("doc_id", "bucket", six("weight").alias("weight"))
 
 
-@query("intent_udf")
+@query("intent_udf", f"WITH {_TEXT_INTENT} SELECT complaint_id, customer_id, {O.half_up('score', 4)} AS churn_intent_score FROM tintent")
 def intent_udf(spark, folder):
+    """The UDF surface of the text intent; it computes in single precision, so four digits are compared."""
     intent = T.lexical_intent_udf()
-    return complaints(spark, folder).select("complaint_id", "customer_id", intent("complaint_text").alias("churn_intent_score"))
+    score = F.floor(intent("complaint_text").cast("double") * 10000.0 + 0.5) / 10000.0
+    return complaints(spark, folder).select("complaint_id", "customer_id", score.alias("churn_intent_score"))
 
 
 @query(
@@ -229,14 +264,17 @@ def token_window(spark, folder):
 
 @query(
     "mean_pooling",
-    f"""WITH w AS (SELECT conv_id * 8 + turn AS complaint_id, unnest({_WORDS}) AS word FROM conversations WHERE role = 'user'),
+    f"""WITH w AS (SELECT {O.COMPLAINT} AS complaint_id, unnest({_WORDS}) AS word FROM conversations WHERE role = 'user'),
     tf AS (SELECT complaint_id, cast('0x' || substr(md5(word), 1, 8) AS bigint) % (SELECT max(vec_id) + 1 FROM embeddings) AS bucket, count(*) AS tf FROM w GROUP BY 1, 2),
     c AS (SELECT complaint_id, tf, unnest(embedding::double[]) AS x, generate_subscripts(embedding, 1) AS pos FROM tf JOIN embeddings ON vec_id = bucket),
-    m AS (SELECT complaint_id, pos, sum(x * tf) / sum(tf) AS x, cast(sum(tf) AS bigint) AS n_tokens FROM c GROUP BY 1, 2)
-    SELECT complaint_id, max(n_tokens) AS n_tokens, array_to_string(list(cast({O.micro('x')} AS varchar) ORDER BY pos), ',') AS embedding FROM m GROUP BY 1""",
+    m AS (SELECT complaint_id, pos, sum(x * tf) / sum(tf) AS x, cast(sum(tf) AS bigint) AS n_known FROM c GROUP BY 1, 2),
+    e AS (SELECT complaint_id, max(n_known) AS n_known, array_to_string(list(cast({O.micro('x')} AS varchar) ORDER BY pos), ',') AS embedding FROM m GROUP BY 1),
+    a AS (SELECT {O.COMPLAINT} AS complaint_id, cast(len({_WORDS}) AS bigint) AS n_tokens FROM conversations WHERE role = 'user')
+    SELECT complaint_id, n_tokens, coalesce(n_known, 0) AS n_known, embedding FROM a LEFT JOIN e USING (complaint_id)""",
 )
 def mean_pooling(spark, folder):
     """Complaint vectors as means of token vectors; the embeddings table serves as the token table."""
     tokens = _vectors(spark, folder).select(F.col("vec_id").alias("bucket"), "embedding")
-    pooled = T.mean_pooling(complaints(spark, folder), "complaint_id", "complaint_text", tokens, DIM)
-    return pooled.select("complaint_id", "n_tokens", micro_text("embedding").alias("embedding"))
+    pooled = T.mean_pooling(complaints(spark, folder), "complaint_id", "complaint_text", tokens)
+    vector = F.when(F.col("embedding").isNotNull(), micro_text("embedding"))
+    return pooled.select("complaint_id", "n_tokens", "n_known", vector.alias("embedding"))

@@ -29,6 +29,9 @@ def micro(expr: str) -> str:
     return f"cast(floor(({expr}) * {d('1000000.0')} + {d('0.5')}) as bigint)"
 
 
+#: Key of a complaint from its conversation and turn.
+COMPLAINT = "cast('0x' || substr(md5(conv_id || ':' || turn), 1, 15) AS bigint)"
+
 FACTS = f"""
 oh AS (
   SELECT o_custkey AS custkey,

@@ -176,10 +176,10 @@ def customer_raw(spark: SparkSession, folder: str, cal: Calendar = DEFAULT_CALEN
 def complaints(spark: SparkSession, folder: str, cal: Calendar = DEFAULT_CALENDAR) -> DataFrame:
     """Complaint texts: what the customer side of the conversation log says.
 
-    A conversation has at most eight turns, so conversation and turn give the complaint its key.
+    A 60-bit hash of conversation and turn is the key of the complaint, whatever the number of turns.
     """
     turns = read_table(spark, folder, "conversations").where(F.col("role") == "user")
-    cid = F.col("conv_id") * 8 + F.col("turn")
+    cid = F.conv(F.substring(F.md5(F.concat_ws(":", "conv_id", "turn")), 1, 15), 16, 10).cast("bigint")
     channel = F.element_at(F.array(*[F.lit(c) for c in K.COMPLAINT_CHANNELS]), (cid % 4 + 1).cast("int"))
     return turns.select(
         cid.alias("complaint_id"),

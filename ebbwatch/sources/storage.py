@@ -66,16 +66,6 @@ def write_table(
     writer.save(path)
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Divides a scan that comes in fewer splits than there are cores, for heavy work on its rows.
-
-    A large table has more splits than cores and is left as it is, without a shuffle. Only for plain
-    scans: counting the splits of a plan with shuffles would run them.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
-
-
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Cut the lineage at a written table, which outlives lost executors."""
     path = scratch_path(df.sparkSession, label)

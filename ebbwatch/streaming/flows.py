@@ -7,14 +7,12 @@ Checkpoints and tables go to the shared folder of the session.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 from contextlib import contextmanager
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ebbwatch.operators.quality import dedup_latest
 from ebbwatch.schemas import EVENTS
@@ -36,11 +34,19 @@ def utc_clock(instant: Column | str) -> Column:
 
 
 def event_stream(spark: SparkSession, folder: str, files_per_trigger: int | None = None) -> DataFrame:
-    """Event files of a folder as a stream. Another source needs another format and options only."""
-    reader = spark.readStream.schema(EVENTS).option("pathGlobFilter", "events*.parquet")
+    """The event table of a folder as a stream, be it one file or a directory of files that grows.
+
+    The name is written as a pattern, which lets Spark take a path that is a file.
+    """
+    return stream_table(spark, f"{folder}/event[s].parquet", EVENTS, files_per_trigger).withColumn("ts", utc_instant("ts"))
+
+
+def stream_table(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int | None = None) -> DataFrame:
+    """A Parquet table as a stream. Another source needs another format and options only."""
+    reader = spark.readStream.schema(schema)
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(folder).withColumn("ts", utc_instant("ts"))
+    return reader.parquet(path)
 
 
 def silver_events(events: DataFrame, watermark: str = WATERMARK) -> DataFrame:
@@ -96,45 +102,25 @@ def activity_windows(events: DataFrame, kind: str, watermark: str = WATERMARK) -
 
 # ------------------------------------------------------------------------------------ customer state
 
-_COUNTERS = ["n_events", "n_errors", "n_purchases", "cents"]
-STATE_SCHEMA = "n_events long, n_errors long, n_purchases long, cents long, last_micros long"
-OUTPUT_SCHEMA = f"user_id long, {STATE_SCHEMA}"
-
-
-def _combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One row per customer and Arrow batch, so that a busy customer ships few rows to its state."""
-    for batch in batches:
-        rows = pd.DataFrame(
-            {
-                "user_id": batch["user_id"],
-                "n_events": 1,
-                "n_errors": (batch["event_type"] == "error").astype("int64"),
-                "n_purchases": (batch["event_type"] == "purchase").astype("int64"),
-                "cents": (batch["value"] * 100).round().astype("int64"),
-                "last_micros": batch["micros"],
-            }
-        )
-        sums = {c: "sum" for c in _COUNTERS}
-        yield rows.groupby("user_id", as_index=False).agg({**sums, "last_micros": "max"})
-
-
-def _update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Adds the new counters to the customer's state and reports the state."""
-    total = list(state.get) if state.exists else [0, 0, 0, 0, 0]
-    for batch in batches:
-        for i, name in enumerate(_COUNTERS):
-            total[i] += int(batch[name].sum())
-        total[4] = max(total[4], int(batch["last_micros"].max()))
-    state.update(tuple(total))
-    yield pd.DataFrame([[key[0], *total]], columns=["user_id", *_COUNTERS, "last_micros"])
+STATE_SCHEMA = T.StructType(
+    [T.StructField(n, T.LongType()) for n in ("user_id", "n_events", "n_errors", "n_purchases", "cents", "last_micros")]
+)
 
 
 def customer_state(events: DataFrame) -> DataFrame:
-    """Running activity per customer, one row whenever new events arrive."""
-    rows = events.select("user_id", "event_type", "value", F.unix_micros("ts").alias("micros"))
-    combined = rows.mapInPandas(_combine, OUTPUT_SCHEMA)
-    return combined.groupBy("user_id").applyInPandasWithState(
-        _update, OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
+    """Running activity per customer, one row whenever new events arrive (output mode ``update``).
+
+    The state is five numbers for each customer ever seen and is kept without end. Events are summed inside each
+    input task first, so a busy customer is one row of it. A null or non-finite value counts no cents; events
+    without a customer have a row of their own.
+    """
+    count_of = lambda kind: F.count_if(F.col("event_type") == kind)
+    return events.groupBy("user_id").agg(
+        F.count("*").alias("n_events"),
+        count_of("error").alias("n_errors"),
+        count_of("purchase").alias("n_purchases"),
+        F.coalesce(F.sum(F.round(F.col("value") * 100).try_cast("bigint")), F.lit(0)).alias("cents"),
+        F.max(F.unix_micros("ts")).alias("last_micros"),
     )
 
 
@@ -188,13 +174,19 @@ def batch_writer(path: str, transform: Callable[[DataFrame], DataFrame], partiti
 
 
 def run_batches(
-    stream: DataFrame, label: str, schema: T.StructType, transform: Callable[[DataFrame], DataFrame], partition_by: Sequence[str] = ()
+    stream: DataFrame,
+    label: str,
+    schema: T.StructType,
+    transform: Callable[[DataFrame], DataFrame] = lambda batch: batch,
+    partition_by: Sequence[str] = (),
+    mode: str = "append",
 ) -> DataFrame:
     """Processes what is available batch by batch; returns the stored rows with their ``batch_id``."""
     spark = stream.sparkSession
     base = scratch_path(spark, label)
     started = (
         stream.writeStream.foreachBatch(batch_writer(f"{base}/table", transform, partition_by))
+        .outputMode(mode)
         .option("checkpointLocation", f"{base}/checkpoint")
         .trigger(availableNow=True)
         .start()

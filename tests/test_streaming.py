@@ -26,8 +26,8 @@ def write(spark, path, *files):
     names = []
     for n in range(len(files)):
         source = glob.glob(f"{path}/part{n}/*.parquet")[0]
-        target = f"{path}/in/events{n}.parquet"
-        os.makedirs(f"{path}/in", exist_ok=True)
+        target = f"{path}/in/events.parquet/part-{n}.parquet"
+        os.makedirs(f"{path}/in/events.parquet", exist_ok=True)
         with open(source, "rb") as a, open(target, "wb") as b:
             b.write(a.read())
         os.utime(target, (time.time() + n, time.time() + n))
@@ -48,13 +48,29 @@ def test_state_adds_up_over_batches(spark, tmp_path):
     folder = write(
         spark, str(tmp_path), [event(1, 0, 7, "error"), event(2, 1, 7), event(3, 1, 8)], [event(4, 9, 7, "purchase", 2.25)]
     )
-    rows = W.run_to_table(W.customer_state(W.event_stream(spark, folder, files_per_trigger=1)), "s").collect()
+    states = W.customer_state(W.event_stream(spark, folder, files_per_trigger=1))
+    rows = W.run_batches(states, "s", W.STATE_SCHEMA, mode="update").collect()
     last = {r.user_id: r for r in sorted(rows, key=lambda r: r.n_events)}
     assert len(rows) == 3
     assert (last[7].n_events, last[7].n_errors, last[7].n_purchases, last[7].cents) == (3, 1, 1, 525)
     assert last[8].n_events == 1
 
 
+def test_state_takes_nulls(spark, tmp_path):
+    folder = write(spark, str(tmp_path), [event(1, 0, 7, value=None), event(2, 1, 7), event(3, 1, None), event(4, 2, 7, value=float("nan"))])
+    rows = W.run_batches(W.customer_state(W.event_stream(spark, folder)), "s", W.STATE_SCHEMA, mode="update").collect()
+    assert {r.user_id: (r.n_events, r.cents) for r in rows} == {7: (3, 150), None: (1, 150)}
+
+
+def test_one_file_and_a_directory_give_the_same_rows(spark, tmp_path, folder):
+    spark.read.parquet(f"{folder}/events.parquet").repartition(3).write.parquet(f"{tmp_path}/many/events.parquet")
+    one, many = (
+        W.run_to_table(W.silver_events(W.event_stream(spark, f)), "t").select("event_id").toPandas().event_id
+        for f in (folder, f"{tmp_path}/many")
+    )
+    assert len(one) == 1000 and sorted(one) == sorted(many)
+
+
 def test_session_windows(spark, tmp_path):
     folder = write(spark, str(tmp_path), [event(1, 0), event(2, 29), event(3, 60), event(4, 400, 2)])
     rows = W.run_to_table(W.activity_windows(W.event_stream(spark, folder), "session"), "w").collect()
@@ -99,6 +115,6 @@ def test_optional_table_and_scratch(spark, tmp_path):
 def test_event_time_does_not_depend_on_the_session_zone(spark, tmp_path):
     folder = write(spark, str(tmp_path), [event(1, 0)])
     with W.session_setting(spark, "spark.sql.session.timeZone", "America/New_York"):
-        rows = spark.read.schema(EVENTS).parquet(folder).withColumn("at", W.utc_instant("ts"))
+        rows = spark.read.schema(EVENTS).parquet(f"{folder}/events.parquet").withColumn("at", W.utc_instant("ts"))
         row = rows.select(F.unix_micros("at").alias("u"), W.utc_clock("at").alias("clock")).collect()[0]
     assert row.u == 1704067200000000 and row.clock == START
