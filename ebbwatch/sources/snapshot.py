@@ -1,7 +1,8 @@
 """Builds the raw customer, complaint, behaviour and demographic tables from transactional sources.
 
 The sources are the core tables (customer, nation, region), orders and line items, the event
-stream and the conversation log. All history is cut at ``as_of``; the label looks past it.
+stream and the conversation log. Orders and items are cut at ``as_of``, and the label looks past it; the event
+table is taken whole.
 """
 
 from __future__ import annotations
@@ -67,10 +68,11 @@ def order_history(orders: DataFrame, cal: Calendar) -> DataFrame:
 
 
 def item_history(lineitem: DataFrame, orders: DataFrame, part: DataFrame, cal: Calendar) -> DataFrame:
-    """Line-item facts per customer.
+    """Line-item facts per customer, from two joins that are each pruned by a date.
 
-    The distinct product types are counted by grouping on (customer, type) first, so that step
-    also pre-aggregates the counters and no set of a hot customer is ever collected.
+    Items and product types come from the orders of one year, shipped and returned items from the items of half a
+    year; both date ranges reach the scans. The distinct product types are counted by grouping on (customer, type)
+    first, so no set of a hot customer is ever collected.
     """
     ordered, shipped = F.col("o_orderdate"), F.col("l_shipdate")
     in_year = (ordered >= ntz(cal.year_start)) & (ordered < ntz(cal.as_of))
@@ -78,30 +80,37 @@ def item_history(lineitem: DataFrame, orders: DataFrame, part: DataFrame, cal: C
     in_quarter = (shipped >= ntz(cal.quarter_start)) & (shipped < ntz(cal.as_of))
     ship_half = (shipped >= ntz(cal.half_start)) & (shipped < ntz(cal.as_of))
     returned = F.col("l_returnflag") == "R"
-    items = lineitem.select("l_orderkey", "l_partkey", "l_shipdate", "l_returnflag")
     keys = orders.select("o_orderkey", "o_custkey", "o_orderdate")
-    joined = (
-        items.join(keys, items.l_orderkey == keys.o_orderkey)
-        .where(in_year | ship_half)
-        .join(part.select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"), "left")
+    types = part.select("p_partkey", "p_type")
+    of_year = (
+        lineitem.select("l_orderkey", "l_partkey")
+        .join(keys.where(in_year), F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(types, F.col("l_partkey") == F.col("p_partkey"), "left")
+        .groupBy(F.col("o_custkey").alias("custkey"), "p_type")
+        .agg(F.count_if(in_half).alias("items_half"))
     )
-    by_type = joined.groupBy(F.col("o_custkey").alias("custkey"), "p_type").agg(
-        F.count_if(in_half).alias("items_half"),
-        F.count_if(in_quarter).alias("shipped_quarter"),
-        F.count_if(in_quarter & returned).alias("returned_quarter"),
-        F.count_if(ship_half & returned).alias("returned_half"),
-        F.max(F.when(in_year & F.col("p_type").isNotNull(), 1).otherwise(0)).alias("type_used"),
-    )
-    return by_type.groupBy("custkey").agg(
-        F.sum("items_half").alias("items_half"),
-        F.sum("shipped_quarter").alias("shipped_quarter"),
-        F.sum("returned_quarter").alias("returned_quarter"),
-        F.sum("returned_half").alias("returned_half"),
-        F.sum("type_used").alias("types_used"),
+    shipped_items = (
+        lineitem.select("l_orderkey", "l_shipdate", "l_returnflag")
+        .where(ship_half)
+        .join(keys.drop("o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"))
+        .groupBy(F.col("o_custkey").alias("custkey"))
+        .agg(
+            F.count_if(in_quarter).alias("shipped_quarter"),
+            F.count_if(in_quarter & returned).alias("returned_quarter"),
+            F.count_if(returned).alias("returned_half"),
+        )
     )
+    none = F.lit(0).cast("bigint")
+    counters = ("items_half", "types_used", "shipped_quarter", "returned_quarter", "returned_half")
+    both = of_year.select(
+        "custkey", "items_half", F.when(F.col("p_type").isNotNull(), 1).otherwise(0).cast("bigint").alias("types_used"),
+        *[none.alias(c) for c in counters[2:]],
+    ).union(shipped_items.select("custkey", *[none.alias(c) for c in counters[:2]], *counters[2:]))
+    return both.groupBy("custkey").agg(*[F.sum(c).alias(c) for c in counters])
 
 
 def event_history(events: DataFrame) -> DataFrame:
+    """Activity of a customer over all events given; the event table is not cut by date."""
     return events.groupBy(F.col("user_id").alias("custkey")).agg(
         F.count_if(F.col("event_type") != "error").alias("logins")
     )

@@ -148,3 +148,28 @@ def test_anonymize(spark):
     df = spark.createDataFrame([(1, "call 555-1234 or mail a.b@c.de now")], "id int, t string")
     row = reports.anonymize(df, "id", "t", "s").collect()[0]
     assert len(row.id) == 64 and row.t == "call ###-#### or mail <mail> now"
+
+
+def test_ranks_keep_null_groups_and_values(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", None), (None, 2.0), ("a", 3.0), (None, None)], "g string, v double")
+    got = sorted(((r.g, r.v, r["rank"]) for r in ranks.rank_within(df, "g", "v").collect()), key=str)
+    assert got == sorted([("a", 3.0, 1), ("a", 1.0, 2), ("a", None, 3), (None, 2.0, 1), (None, None, 2)], key=str)
+
+
+def test_small_values_spread_over_bins(spark):
+    from ebbwatch.functions.scalar import monotone_bin
+
+    df = spark.range(1_000_000).select((F.rand(5) / 1000).alias("x"))
+    n, largest = df.groupBy(monotone_bin("x").alias("b")).agg(F.count("*").alias("n")).agg(F.count("*"), F.max("n")).first()
+    assert n > 5_000 and largest < 1_000
+    odd = [float("-inf"), -2.0, -1e-300, 0.0, 5e-324, 1e-300, 1.0, 1.5, 1e308, float("inf"), float("nan")]
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate([None, *odd])], "i int, x double").select("i", monotone_bin("x").alias("b"))
+    bins = [r.b for r in rows.orderBy("i").collect()]
+    assert bins[0] is None and bins[1:] == sorted(set(bins[1:]))
+
+
+def test_empty_test_set_has_no_impact(spark):
+    from ebbwatch.operators.metrics import business_impact
+
+    none = spark.createDataFrame([(0, 0, 0, 0)], "tp long, fp long, tn long, fn long")
+    assert business_impact(none).first().roi is None

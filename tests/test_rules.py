@@ -180,3 +180,28 @@ def test_demographic_rule_probability(spark):
     best = "30 AS edad, 'Francia' AS pais, 4 AS `antiguedad_años`, 100.0D AS saldo, 2 AS num_productos, 1 AS tiene_tarjeta, 1 AS miembro_activo, 90000.0D AS salario_estimado, 0 AS quejas_recibidas, 1 AS uso_app_movil, 700 AS score_credito"
     got = [spark.sql(f"SELECT {s}").select(R.demographic_probability().alias("p")).collect()[0].p for s in (base, worst, best)]
     assert got[0] == 0.15 and got[1] == 0.97 and got[2] == 0.02
+
+
+def test_no_keyword_flags_nothing(spark):
+    assert values(spark, ["x", None], S.contains_any("x", ()), "string") == [False, False]
+
+
+def test_versions_of_one_time_are_told_apart_by_any_column(spark):
+    day = dt.datetime(2000, 1, 1)
+    rows = [{"customer_id": "A", "age": 1, "churn_label": 1, "segment": s, "ingestion_ts": day} for s in ("x", "z", "y")]
+    df = raw(spark, rows)
+    assert {r.segment for d in (df, df.orderBy("segment"), df.orderBy(F.desc("segment"))) for r in Q.raw_to_silver(d).collect()} == {"z"}
+
+
+def test_unknown_balance_has_no_lifetime_value(spark):
+    rows = requests(spark, {"avg_balance_6m": None}, {"avg_balance_6m": -1e9}).select(R.clv_formula().alias("v")).collect()
+    assert [r.v for r in rows] == [None, 0.0]
+
+
+def test_dates_reach_the_scans_of_the_snapshot(spark, folder):
+    from ebbwatch.sources.snapshot import customer_facts
+
+    plan = customer_facts(spark, folder)._jdf.queryExecution().executedPlan().toString()
+    pushed = [line for line in plan.splitlines() if "PushedFilters" in line]
+    for column in ("l_shipdate", "o_orderdate"):
+        assert any(f"GreaterThanOrEqual({column}" in line for line in pushed)
