@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
@@ -14,7 +15,7 @@ from pyspark.ml.classification import (
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,7 +23,7 @@ from pyspark.sql import types as T
 from ebbwatch.operators.features import positive_probability
 from ebbwatch.operators.metrics import binary_metrics
 from ebbwatch.operators.scoring import add_risk_bands
-from ebbwatch.operators.splits import add_fold
+from ebbwatch.operators.splits import add_fold, split_by_hash
 
 # Default settings of each model type.
 DEFAULTS: dict[str, tuple[type, dict]] = {
@@ -91,19 +92,30 @@ def cross_validate(
     return search.fit(folded.drop(key))
 
 
+@dataclass
+class Search:
+    """Settings that were tried, their AUC on the held-out part, and the model of the best one."""
+
+    settings: list[dict[str, float]]
+    validationMetrics: list[float]
+    bestModel: object
+
+
 def tune_search(
-    df: DataFrame, kind: str, grid: Mapping[str, Sequence] | None = None, candidates: int = 4, label: str = "churn_label", seed: int = 42
-):
-    """Random search: a few settings drawn from the grid, judged on one held-out part."""
+    df: DataFrame, kind: str, key: str, grid: Mapping[str, Sequence] | None = None, candidates: int = 4, label: str = "churn_label", seed: int = 42
+) -> Search:
+    """Random search: a few settings drawn from the grid, judged on a part held out by the hash of the key."""
     import random
 
     estimator = classifier(kind, label)
     full = _grid(estimator, GRIDS[kind] if grid is None else grid)
     drawn = random.Random(seed).sample(full, min(candidates, len(full)))
-    search = TrainValidationSplit(
-        estimator=estimator, estimatorParamMaps=drawn, evaluator=_auc(label), trainRatio=0.8, parallelism=4, seed=seed
-    )
-    return search.fit(df.select(label, "features"))
+    parts = split_by_hash(df.select(key, label, "features"), key, name="_part")
+    train, held = (parts.where(F.col("_part") == p).select(label, "features") for p in ("train", "test"))
+    models = [estimator.fit(train, setting) for setting in drawn]
+    aucs = [float(_auc(label).evaluate(m.transform(held))) for m in models]
+    best = models[max(range(len(aucs)), key=aucs.__getitem__)]
+    return Search([{p.name: float(v) for p, v in s.items()} for s in drawn], aucs, best)
 
 
 def with_class_weight(df: DataFrame, label: str, name: str = "weight") -> DataFrame:

@@ -204,9 +204,8 @@ def cross_validate(spark, folder):
 @query("tune_search")
 def tune_search(spark, folder):
     rows = _fitted_features(spark, folder).where("part = 'train'")
-    found = M.tune_search(rows, "logistic", candidates=3)
-    settings = [{p.name: float(v) for p, v in s.items()} for s in found.getEstimatorParamMaps()]
-    lines = [(s["regParam"], s["elasticNetParam"], float(a)) for s, a in zip(settings, found.validationMetrics)]
+    found = M.tune_search(rows, "logistic", "customer_id", candidates=3)
+    lines = [(s["regParam"], s["elasticNetParam"], a) for s, a in zip(found.settings, found.validationMetrics, strict=True)]
     return spark.createDataFrame(lines, "reg_param double, elastic_net double, auc double")
 
 
@@ -362,6 +361,15 @@ def tree_importance(spark, folder):
     return E.tree_importance(spark, model, FT.vector_names(rows))
 
 
+@query("boosted_importance")
+def boosted_importance(spark, folder):
+    """Split importance of the boosted, weighted trees."""
+    rows = _fitted_features(spark, folder)
+    held_out = S.hash_bucket("customer_id", 100, salt="held:") < 20
+    model = M.train_boosted_weighted(rows.where("part = 'train'").withColumn("held_out", held_out), "held_out")
+    return E.tree_importance(spark, model, FT.vector_names(rows))
+
+
 @query(
     "importance_rank",
     f"WITH {O.SILVER}, m AS (SELECT " + ", ".join(f"avg({c}::double) AS mean_{c}" for c, _, _ in _VIP_SQL) + " FROM silver), c AS ("

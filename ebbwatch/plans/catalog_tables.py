@@ -224,12 +224,12 @@ def top_risk_factors(spark, folder):
     return R.add_rule_score(silver(spark, folder)).select("customer_id", F.array_join("top_risk_factors", "|").alias("top_risk_factors"))
 
 
-_LAST_TEXT = """last_text AS (SELECT 'CLI-' || lpad(cast(conv_id AS varchar), 7, '0') AS customer_id,
-  arg_max(text, turn) AS last_complaint_text FROM conversations WHERE role = 'user' GROUP BY conv_id)"""
+_LAST_TEXT = f"""last_text AS (SELECT customer_id, arg_max(text, (day, cid)) AS last_complaint_text FROM (SELECT 'CLI-' || lpad(cast(conv_id AS varchar), 7, '0') AS customer_id,
+  {O.COMPLAINT} AS cid, DATE '2000-08-01' - cast({O.COMPLAINT} % 90 + 1 AS int) AS day, text FROM conversations WHERE role = 'user') GROUP BY 1)"""
 
 
 def _requests(spark, folder):
-    last = complaints(spark, folder).groupBy("customer_id").agg(F.max(F.struct("complaint_id", "complaint_text")).alias("m"))
+    last = complaints(spark, folder).groupBy("customer_id").agg(F.max(F.struct("complaint_date", "complaint_id", "complaint_text")).alias("m"))
     texts = last.select("customer_id", F.col("m.complaint_text").alias("last_complaint_text"))
     return silver(spark, folder).join(texts, "customer_id", "left")
 
@@ -282,6 +282,29 @@ _VIOLATIONS = "list_filter([" + ", ".join(f"CASE WHEN {p} THEN '{n}' END" for n,
 _NARROW_SEGMENTS = TEST_SEGMENTS[:4]
 
 
+@query(
+    "batch_requests",
+    f"""WITH {O.SCORED}, {_LAST_TEXT} SELECT customer_id, churn_probability, churn_risk_level, vip_capped AS vip_score,
+    len(last_complaint_text) > 0 IS TRUE AS has_text, factors AS top_risk_factors FROM scored LEFT JOIN last_text USING (customer_id)
+    WHERE segment IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD') AND age BETWEEN 18 AND 100 AND tenure_months >= 0 AND avg_balance_6m >= 0
+    AND monthly_transactions >= 0 AND app_logins_30d >= 0 AND n_products BETWEEN 1 AND 20 AND clv_score >= 0 AND n_complaints_3m >= 0
+    AND nps_score BETWEEN 0 AND 10 AND days_since_last_contact >= 0 AND region IS NOT NULL""",
+)
+def batch_requests(spark, folder):
+    """Bodies with a list of customers: parsed, validated, the invalid ones set aside, the rest scored."""
+    rows = _requests(spark, folder)
+    names = [*_REQUEST.replace(" ", "").split(","), "last_complaint_text"]
+    body = F.to_json(F.struct(F.collect_list(F.struct(*names)).alias("customers"))).alias("body")
+    bodies = rows.groupBy(S.hash_bucket("customer_id", 1 << 20).alias("request")).agg(body)
+    valid, _ = Q.split_valid(Q.validate_rows(J.parse_batch_requests(bodies), _NARROW_SEGMENTS))
+    answered = R.score_requests(valid)
+    return answered.select(
+        "customer_id", "churn_probability", "churn_risk_level", "vip_score",
+        F.coalesce(F.length("last_complaint_text") > 0, F.lit(False)).alias("has_text"),
+        F.array_join("top_risk_factors", "|").alias("top_risk_factors"),
+    )
+
+
 @query(
     "validate_rows",
     f"""WITH {O.FACTS} SELECT customer_id, age, array_to_string({_VIOLATIONS}, '|') AS violations,
@@ -551,15 +574,26 @@ def build_customer_snapshot(spark, folder):
     return customer_raw(spark, folder)
 
 
-@query(
-    "customer_profile",
+_PROFILE = (
     f"""WITH {O.SCORED}, k AS (SELECT {O.COMPLAINT} AS cid, 'CLI-' || lpad(cast(conv_id AS varchar), 7, '0') AS customer_id FROM conversations WHERE role = 'user'),
     dated AS (SELECT *, DATE '2000-08-01' - cast(cid % 90 + 1 AS int) AS day FROM k),
     t AS (SELECT customer_id, count(*) AS n_texts, max(day) AS last_text_date, arg_max(cid, (day, cid)) AS last_cid FROM dated GROUP BY 1)
     SELECT customer_id, segment, churn_probability, churn_risk_level, vip_classification, coalesce(n_texts, 0) AS n_texts, last_text_date,
     CASE last_cid % 4 WHEN 0 THEN 'app' WHEN 1 THEN 'call_center' WHEN 2 THEN 'email' WHEN 3 THEN 'sucursal' END AS last_text_channel
-    FROM scored LEFT JOIN t USING (customer_id)""",
+    FROM scored LEFT JOIN t USING (customer_id)"""
 )
+
+
+@query("customer_profile", _PROFILE)
 def customer_profile(spark, folder):
-    rows = scored(spark, folder).select("customer_id", "segment", "churn_probability", "churn_risk_level", "vip_classification")
-    return R.customer_profile(rows, complaints(spark, folder))
+    return R.customer_profile(_rated(spark, folder), complaints(spark, folder))
+
+
+def _rated(spark, folder):
+    return scored(spark, folder).select("customer_id", "segment", "churn_probability", "churn_risk_level", "vip_classification")
+
+
+@query("customer_profile_one", _PROFILE + " WHERE customer_id = 'CLI-0000042'")
+def customer_profile_one(spark, folder):
+    """The profile of one customer; the key is filtered before any join of the profile."""
+    return R.customer_profile(_rated(spark, folder), complaints(spark, folder), "CLI-0000042")

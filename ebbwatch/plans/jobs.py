@@ -43,8 +43,8 @@ def training_table(raw: DataFrame, intent: DataFrame | None, label: str = "gold"
     return materialize(split_by_hash(gold, "customer_id"), label)
 
 
-def fit_model(gold: DataFrame, kind: str, with_intent: bool = True, **settings) -> PipelineModel:
-    """Feature stages and classifier, fitted on the training part only.
+def fit_model(gold: DataFrame, kind: str, with_intent: bool = True, search: bool = False, **settings) -> PipelineModel:
+    """Feature stages and classifier, fitted on the training part only; ``search`` takes the best of the grid.
 
     The vectors are written before training: iterations then start from a plain scan instead of
     carrying the plan of all feature stages in every task.
@@ -52,18 +52,26 @@ def fit_model(gold: DataFrame, kind: str, with_intent: bool = True, **settings)
     numeric = [*K.NUMERIC_FEATURES, "churn_intent_score"] if with_intent else list(K.NUMERIC_FEATURES)
     train = gold.where("part = 'train'")
     features = FeatureSet(numeric).fit(train)
-    vectors = materialize(features.transform(train).select("churn_label", "features"), "vectors")
-    fitted = models.fit_classifier(vectors, kind, **settings)
+    vectors = materialize(features.transform(train).select("customer_id", "churn_label", "features"), "vectors")
+    if search:
+        fitted = models.cross_validate(vectors, kind, "customer_id", **settings).bestModel
+    else:
+        fitted = models.fit_classifier(vectors, kind, **settings)
     return PipelineModel(stages=[*features.model.stages, fitted])
 
 
 def run_churn_job(
-    raw: DataFrame, intent: DataFrame | None = None, kind: str = "random_forest", path: str | None = None, **settings
+    raw: DataFrame,
+    intent: DataFrame | None = None,
+    kind: str = "random_forest",
+    path: str | None = None,
+    search: bool = False,
+    **settings,
 ) -> ChurnRun:
     """Silver, text join, gold, features, training, evaluation, scoring, VIP, export, summary."""
     spark: SparkSession = raw.sparkSession
     gold = training_table(raw, intent)
-    model = fit_model(gold, kind, with_intent=intent is not None, **settings)
+    model = fit_model(gold, kind, with_intent=intent is not None, search=search, **settings)
     scored = add_vip(models.score_customers(model, gold), "linear")
     path = path or scratch_path(spark, "churn-vip-scores")
     export_scores(scored, path, [*K.EXPORT_COLUMNS, "part", "churn_label", "churn_intent_score"], partition_by=["region"])

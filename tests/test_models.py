@@ -70,7 +70,7 @@ def test_unknown_model_type():
 def test_cross_validation_and_search(vectors):
     found = M.cross_validate(vectors, "logistic", "id", folds=3, grid={"regParam": [0.01, 10.0]}, maxIter=10)
     assert found.avgMetrics[0] > 0.9 and found.bestModel.getRegParam() == 0.01
-    tuned = M.tune_search(vectors, "logistic", {"regParam": [0.01], "elasticNetParam": [0.0]}, candidates=2)
+    tuned = M.tune_search(vectors, "logistic", "id", {"regParam": [0.01], "elasticNetParam": [0.0]}, candidates=2)
     assert tuned.validationMetrics[0] > 0.9
 
 
