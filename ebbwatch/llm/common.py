@@ -7,10 +7,11 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+#: Most rows of an Arrow batch between Spark and Python; whole texts make rows long, and each task holds some batches.
+BATCH_ROWS = 1_000
 ROW_BYTES = 64  # what a row counts besides its text, so that empty texts fill a shard too
 
 UPPER = bytes(range(65, 91))
@@ -70,6 +71,7 @@ def add_by_shard(
 
     Input columns that bear the name of a result are replaced by it.
     """
+    small_batches(df.sparkSession)
     new = {f.name for f in fields}
     kept = [f for f in df.schema.fields if f.name not in new]
     schema = T.StructType([*kept, *fields])
@@ -82,9 +84,11 @@ def add_by_shard(
     return df.mapInArrow(run, schema)
 
 
-def narrow(df: DataFrame, **columns: str) -> DataFrame:
-    """Only the named columns, under the operator's own names."""
-    return df.select(*[F.col(f"`{name}`").alias(alias) for alias, name in columns.items()])
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's rows of an Arrow batch to ``BATCH_ROWS``, unless they are fewer already."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
 
 
 def in_runs(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ebbwatch.llm.common import add_by_shard, in_shards, utf8, words_of
+from ebbwatch.llm.common import add_by_shard, in_shards, small_batches, utf8, words_of
 
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 #: Short notices of common licenses, as works state them. Fixed values.
@@ -71,6 +71,7 @@ def token_counts(documents: DataFrame, text: str, vocabulary: set[bytes], shard_
                 total += np.bincount([number.get(w, 0) for w in words_of(t or b"")], minlength=len(total))
         yield pa.RecordBatch.from_arrays([pa.array([w.decode() for w in number]), pa.array(total[1:])], ["token", "n"])
 
+    small_batches(documents.sparkSession)
     counted = documents.select(F.col(f"`{text}`").alias("text")).mapInArrow(count, "token string, n long")
     return counted.groupBy("token").agg(F.sum("n").alias("n"))
 

@@ -21,12 +21,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbwatch.llm.common import in_shards
+from ebbwatch.llm.common import in_shards, small_batches
 from ebbwatch.sources.storage import materialize, scratch_path
 
 LENGTH = 1024  # ids of a sequence
 BATCH = 256  # sequences of a record batch
-KNOWN = 200_000  # units that a worker remembers in each of two generations
+KNOWN = 120_000  # units that a worker remembers in each of two generations
 
 
 class Encoder:
@@ -168,7 +168,7 @@ def write_tokens(
     text: str = "text",
     end_id: int = 0,
     length: int = LENGTH,
-    shard_bytes: int = 8_000_000,
+    shard_bytes: int = 2_000_000,
 ) -> DataFrame:
     """Write the shards below ``folder`` (a URI that executors share); returns shard, n_docs, n_tokens.
 
@@ -178,6 +178,7 @@ def write_tokens(
     Ids ascend, null first; documents with equal ids are ordered by a hash of their text. Null texts are empty and
     give the end id alone. An empty table writes no shard. Other columns are not read.
     """
+    small_batches(documents.sparkSession)
     rows = documents.select(
         F.col(f"`{doc_id}`").alias("doc_id"),
         F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"),
