@@ -16,8 +16,8 @@ from ebbwatch.operators import splits
 from ebbwatch.operators.metrics import binary_metrics
 from ebbwatch.plans import jobs
 from ebbwatch.plans import oracle as O
-from ebbwatch.plans.catalog_text import TEXT_DIM, customer_intent
-from ebbwatch.plans.registry import gold, query, silver, six
+from ebbwatch.plans.catalog_text import DENSE, TEXT_DIM, TEXTS, customer_intent
+from ebbwatch.plans.registry import gold, micro_text, query, silver, six
 from ebbwatch.sources.snapshot import behaviour, customer_raw
 from ebbwatch.sources.storage import materialize, read_table, scratch_path
 
@@ -92,13 +92,19 @@ def impute_median(spark, folder):
     return rows.select("customer_id", *[f"{c}_imp" for c in _NUMERIC])
 
 
-@query("assemble", f"WITH {O.GOLD} SELECT customer_id, cast({len(_NUMERIC)} AS int) AS n_features FROM gold")
+@query(
+    "assemble",
+    f"WITH {O.GOLD}, m AS (SELECT "
+    + ", ".join(f"quantile_disc({c}, 0.5) AS {c}" for c in _NUMERIC)
+    + " FROM gold) SELECT customer_id, array_to_string(["
+    + ", ".join(O.micro(f"coalesce(gold.{c}, m.{c})::double") for c in _NUMERIC)
+    + "], ',') AS features FROM gold CROSS JOIN m",
+)
 def assemble(spark, folder):
-    rows = training(spark, folder)
-    filled = FT.imputer().fit(rows).transform(rows)
-    columns = [f"{c}_imp" for c in _NUMERIC]
-    vectors = FT.assembler(columns).transform(filled)
-    return vectors.select("customer_id", F.size(vector_to_array("features_raw")).alias("n_features"))
+    """The contents of the assembled vectors."""
+    filled = FT.impute_exact_median(gold(spark, folder), _NUMERIC)
+    vectors = FT.assembler([f"{c}_imp" for c in _NUMERIC]).transform(filled)
+    return vectors.select("customer_id", micro_text(vector_to_array("features_raw")).alias("features"))
 
 
 _SCALED = ("age", "tenure_months", "n_products", "monthly_transactions", "nps_score")
@@ -151,15 +157,18 @@ def _hybrid(spark, folder, dims=None):
 
 @query(
     "hybrid_features",
-    f"""SELECT DISTINCT 'CLI-' || lpad(cast(conv_id AS varchar), 7, '0') AS customer_id, cast({len(K.BEHAVIOUR_FEATURES)} + {TEXT_DIM} AS int) AS n_whole,
-    cast({len(K.BEHAVIOUR_FEATURES)} + 32 AS int) AS n_narrow FROM conversations JOIN customer ON c_custkey = conv_id WHERE role = 'user'""",
+    f"""WITH {O.BEHAVIOUR}, {TEXTS}, {DENSE}, km AS (SELECT customer_id, pos, avg(x) AS x FROM dense GROUP BY 1, 2),
+    ke AS (SELECT customer_id, list({O.micro('x')} ORDER BY pos) AS e FROM km GROUP BY 1),
+    kb AS (SELECT customer_id, [{', '.join(O.micro(c + '::double') for c in K.BEHAVIOUR_FEATURES)}] AS b FROM behaviour)
+    SELECT customer_id, array_to_string(list_concat(b, e), ',') AS whole, array_to_string(list_concat(b, e[1:32]), ',') AS narrow
+    FROM kb JOIN ke USING (customer_id)""",
 )
 def hybrid_features(spark, folder):
-    """Vector sizes of customers with text, for the whole embedding and for its first 32 entries."""
+    """Vectors of customers with text, with the whole embedding and with its first 32 entries."""
     whole, narrow = _hybrid(spark, folder), _hybrid(spark, folder, 32)
-    size = lambda c: F.size(vector_to_array(c))
-    return whole.select("customer_id", size("hybrid").alias("n_whole")).join(
-        narrow.select("customer_id", size("hybrid").alias("n_narrow")), "customer_id"
+    cells = lambda c: micro_text(vector_to_array(c))
+    return whole.select("customer_id", cells("hybrid").alias("whole")).join(
+        narrow.select("customer_id", cells("hybrid").alias("narrow")), "customer_id"
     )
 
 

@@ -145,10 +145,13 @@ def drop_unkeyed(spark, folder):
     return Q.drop_unkeyed(customer_raw(spark, folder)).select("customer_id", "age", "churn_label")
 
 
-@query("stamp")
+@query("stamp", "SELECT 'CLI-' || lpad(cast(c_custkey AS varchar), 7, '0') AS customer_id, true AS stamped FROM customer")
 def stamp(spark, folder):
+    """Whether every row bears both times of this run."""
     keyed = read_table(spark, folder, "customer").select(customer_key("c_custkey").alias("customer_id"))
-    return Q.stamp(Q.stamp(keyed, "silver_ts"), "gold_ts")
+    stamped = Q.stamp(Q.stamp(keyed, "silver_ts"), "gold_ts")
+    recent = lambda c: F.col(c).isNotNull() & (F.col(c) > F.current_timestamp() - F.expr("INTERVAL 1 HOUR"))
+    return stamped.select("customer_id", (recent("silver_ts") & recent("gold_ts")).alias("stamped"))
 
 
 def _gold_columns(*names: str, sql: str | None = None):

@@ -140,7 +140,7 @@ def vector_dimension(spark, folder):
     return T.vector_dimension(_vectors(spark, folder))
 
 
-_TEXTS = f"k AS (SELECT {O.COMPLAINT} AS complaint_id, 'CLI-' || lpad(cast(conv_id AS varchar), 7, '0') AS customer_id, text FROM conversations WHERE role = 'user')"
+TEXTS = f"k AS (SELECT {O.COMPLAINT} AS complaint_id, 'CLI-' || lpad(cast(conv_id AS varchar), 7, '0') AS customer_id, text FROM conversations WHERE role = 'user')"
 
 
 _WORDS = r"list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: len(w) > 0)"
@@ -157,7 +157,7 @@ def _counts(name: str, table: str, key: str, n: int) -> str:
   {name}n AS (SELECT {key}, sqrt(sum(tf * tf)) AS length FROM {name} GROUP BY 1)"""
 
 
-_TEXT_INTENT = f"""{_TEXTS}, sentence AS (SELECT * FROM (VALUES {_ALL}) AS x(anchor, kind, text)),
+_TEXT_INTENT = f"""{TEXTS}, sentence AS (SELECT * FROM (VALUES {_ALL}) AS x(anchor, kind, text)),
   {_counts('kt', 'k', 'complaint_id', 4096)}, {_counts('sc', 'sentence', 'anchor', 4096)},
   dots AS (SELECT complaint_id, anchor, sum(kt.tf * sc.tf) AS dot FROM kt JOIN sc USING (bucket) GROUP BY 1, 2),
   cosines AS (SELECT complaint_id, kind, dot / (ktn.length * scn.length) AS s FROM dots JOIN ktn USING (complaint_id) JOIN scn USING (anchor) JOIN sentence USING (anchor)),
@@ -173,7 +173,7 @@ def complaint_intent(spark, folder):
     return joined.select("complaint_id", "customer_id", six("churn_intent_score").alias("churn_intent_score"))
 
 
-_DENSE = f"""{_counts('vt', 'k', 'complaint_id', TEXT_DIM)},
+DENSE = f"""{_counts('vt', 'k', 'complaint_id', TEXT_DIM)},
   slots AS (SELECT complaint_id, customer_id, len(text) AS n_chars, unnest(range(0, {TEXT_DIM})) AS pos FROM k),
   dense AS (SELECT s.complaint_id, customer_id, n_chars, pos, coalesce(tf / length, 0.0::double) AS x FROM slots s
     LEFT JOIN vt ON vt.complaint_id = s.complaint_id AND vt.bucket = s.pos LEFT JOIN vtn ON vtn.complaint_id = s.complaint_id)"""
@@ -181,7 +181,7 @@ _DENSE = f"""{_counts('vt', 'k', 'complaint_id', TEXT_DIM)},
 
 @query(
     "attach_vectors",
-    f"WITH {_TEXTS}, {_DENSE} SELECT complaint_id, customer_id, max(n_chars) AS n_chars, {_micro_list('list(x ORDER BY pos)')} AS vector FROM dense GROUP BY 1, 2",
+    f"WITH {TEXTS}, {DENSE} SELECT complaint_id, customer_id, max(n_chars) AS n_chars, {_micro_list('list(x ORDER BY pos)')} AS vector FROM dense GROUP BY 1, 2",
 )
 def attach_vectors(spark, folder):
     """Every complaint with the vector of its text."""
@@ -193,7 +193,7 @@ def attach_vectors(spark, folder):
     )
 
 
-_CUSTOMER_VECTORS = f"""{_TEXT_INTENT}, {_DENSE},
+_CUSTOMER_VECTORS = f"""{_TEXT_INTENT}, {DENSE},
   km AS (SELECT customer_id, pos, avg(x) AS x FROM dense GROUP BY 1, 2),
   ke AS (SELECT customer_id, list(x ORDER BY pos) AS e FROM km GROUP BY 1),
   ki AS (SELECT customer_id, max(score) AS churn_intent_score, count(*) AS n_texts FROM tintent GROUP BY 1)"""
