@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ebbwatch.llm import decontaminate, mixing, simhash, tokens
@@ -36,12 +36,15 @@ def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as often as the mix of sources takes them; a document taken twice is two rows."""
-    copies = mixing.mix_sources(docs).where("copies > 0").select("doc_id", "text_hash", "copies")
-    # Equal rows may be taken differently often; what counts is how often they are taken together.
-    taken = copies.groupBy("doc_id", "text_hash").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
-    named = taken.select(F.col("doc_id").alias("of"), F.col("text_hash").alias("of_text"), "copies")
-    marked = docs.withColumn("_text_hash", F.xxhash64("text"))
-    joined = marked.join(named, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("_text_hash") == F.col("of_text")))
+    mixed = mixing.mix_sources(docs).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "copies")
+    marked = docs.withColumn("_text", F.xxhash64("text"))
+    # Rows of one id and text are told apart by a number: as many rows as there are take what the mix gave them.
+    numbered = mixed.withColumn("_of", F.row_number().over(Window.partitionBy("_id", "_hash").orderBy(F.desc("copies"))))
+    rows = marked.withColumn("_no", F.row_number().over(Window.partitionBy("doc_id", "_text").orderBy("_text")))
+    joined = rows.join(
+        numbered.where("copies > 0"),
+        F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash")) & (F.col("_no") == F.col("_of")),
+    )
     return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
 
 

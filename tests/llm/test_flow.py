@@ -244,3 +244,11 @@ def test_pipeline_on_messy_documents(spark, messy, folder):
         docs.collect()
         empty = stage(spark, messy.select("doc_id", "text", "lang", "source", "n_chars").limit(0), folder)
         assert empty.count() == 0, name
+
+
+def test_repeated_rows_are_mixed_once_each(spark):
+    rows = [(1, "a b c", "en", "x", 5)] * 3 + [(2, "d", "en", "x", 1), (2, "e", "en", "x", 1), (None, "f g", "en", "x", 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    mixed = corpus_pipeline.mix(spark, docs, "")
+    words = sum(len(r.text.split()) for r in mixed.collect())
+    assert abs(words - 1.5 * 13) <= 2
