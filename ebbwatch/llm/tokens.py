@@ -9,6 +9,7 @@ zero mask.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -39,6 +40,8 @@ class Encoder:
     """
 
     def __init__(self, path: str):
+        # Spark runs a worker for each core; threads inside one would only add memory.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -212,6 +215,7 @@ def write_tokens(
             sequences.add(np.concatenate([x for ids_ in encoded for x in (ids_, end)]))
             index.write_batch(pa.RecordBatch.from_arrays([ids, pa.array(starts), pa.array(sizes)], schema=layout))
             docs, total = docs + len(encoded), total + int(sizes.sum())
+            pa.default_memory_pool().release_unused()
         if sequences is not None:
             sequences.close()
             index.close()
