@@ -71,7 +71,7 @@ def fit_ordinal(
 
     Each text has unit length: a bucket counts 1 / sqrt(number of buckets).
     """
-    size = np.array([len(r) for r in rows])
+    size = np.array([len(r) for r in rows], np.int64)
     at = np.concatenate(rows) if len(rows) else np.zeros(0, np.int32)
     row = np.repeat(np.arange(len(rows)), size)
     value = np.repeat(1 / np.sqrt(np.maximum(1, size)), size)
