@@ -27,7 +27,7 @@ from ebbwatch.sources.storage import materialize, scratch_path
 
 LENGTH = 1024  # ids of a sequence
 BATCH = 256  # sequences of a record batch
-KNOWN = 120_000  # units that a worker remembers in each of two generations
+KNOWN = 300_000  # units that a worker remembers in each of two generations
 
 
 class Encoder:
@@ -171,7 +171,7 @@ def write_tokens(
     text: str = "text",
     end_id: int = 0,
     length: int = LENGTH,
-    shard_bytes: int = 2_000_000,
+    shard_bytes: int = 4_000_000,
 ) -> DataFrame:
     """Write the shards below ``folder`` (a URI that executors share); returns shard, n_docs, n_tokens.
 
