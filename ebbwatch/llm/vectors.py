@@ -5,6 +5,9 @@ meet in a list when they share two pivots or more: the lists are inverted lists
 two. Pairs that meet are verified by their cosine in double precision. A pair is counted in one list only, that of
 its two smallest shared pivots.
 
+Pivots are a sample thinned so that no two are nearly as close as a pair that links. A dense group has one pivot or
+a few, not one for each share of its rows: among many the nearest would be noise, and members would share none.
+
 Equal vectors are one entry. Lists longer than a block are divided in tiles of two blocks, so no task holds more;
 what leaves a tile is one row for each vector with links: their number, and a link that spans its component.
 """
@@ -25,6 +28,8 @@ from ebbwatch.llm.components import connected, roots
 from ebbwatch.sources.storage import materialize
 
 MIN_PIVOTS, MAX_PIVOTS = 64, 8_192
+SAMPLE = 4  # vectors drawn for each pivot, while they take less than SAMPLE_BYTES on the driver
+SAMPLE_BYTES = 64_000_000
 
 
 def usable(vector: str) -> F.Column:
@@ -44,6 +49,24 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
+def thin(unit: np.ndarray, count: int, apart: float) -> np.ndarray:
+    """The first ``count`` rows, in order, whose cosine with every row taken before is under ``apart``."""
+    taken = np.zeros((min(count, len(unit)), unit.shape[1]))
+    n = 0
+    for at in range(0, len(unit), 256):
+        part = unit[at : at + 256]
+        free = (part @ taken[:n].T < apart).all(axis=1)
+        inside = part @ part.T >= apart
+        for i in range(len(part)):
+            if free[i]:
+                taken[n] = part[i]
+                n += 1
+                if n == len(taken):
+                    return taken
+                free &= ~inside[i]
+    return taken[:n]
+
+
 def _describe(entries: DataFrame, pivots: np.ndarray, nearest: int) -> DataFrame:
     """entries with ``near``, the sorted numbers of the closest pivots."""
     shared = entries.sparkSession.sparkContext.broadcast(pivots)  # at most MAX_PIVOTS vectors
@@ -82,22 +105,30 @@ def _tile(rows: pa.RecordBatch, key: tuple[int, int, int], threshold: float) ->
     right = left if key[1] == key[2] else np.flatnonzero(block == key[2])
     links = np.zeros(len(node), np.int64)
     parent = np.arange(len(node))
+    # A pair belongs here only if no pivot below the larger of this list's two is shared besides the smaller one.
+    low, high = divmod(pair, MAX_PIVOTS)
+    lower = np.where((near < high) & (near != low), near, -1)
+    # The most frequent of those pivots have bits; rows with one in common need no comparing.
+    pivots, times = np.unique(lower[lower >= 0], return_counts=True)
+    masks = np.zeros(len(node), np.uint64)
+    for bit, pivot in enumerate(pivots[np.argsort(-times, kind="stable")[:64]].tolist()):
+        masks[(lower == pivot).any(axis=1)] |= np.uint64(1 << 63 - bit)
+    left = left[np.argsort(masks[left], kind="stable")]
     for at in range(0, len(left), 256):
-        a, b = np.nonzero(unit[left[at : at + 256]] @ unit[right].T >= threshold)
-        a, b = left[at + a], right[b]
+        some = left[at : at + 256]
+        other = right[masks[right] & np.bitwise_and.reduce(masks[some]) == 0]
+        a, b = np.nonzero((unit[some] @ unit[other].T >= threshold) & (masks[some][:, None] & masks[other] == 0))
+        a, b = some[a], other[b]
         if key[1] == key[2]:
             a, b = a[a < b], b[a < b]
-        if not len(a):
-            continue
-        parent = roots(len(node), a, b, parent)
-        # Counted here only if no pivot below the larger of this list's two is shared besides the smaller one.
-        high = pair % MAX_PIVOTS
         for cut in range(0, len(a), 65_536):
             x, y = a[cut : cut + 65_536], b[cut : cut + 65_536]
-            shared = (near[x][:, :, None] == near[y][:, None, :]).any(axis=2) & (near[x] < high)
-            own = shared.sum(axis=1) == 1
-            np.add.at(links, x[own], weight[y[own]])
-            np.add.at(links, y[own], weight[x[own]])
+            shared = (lower[x][:, :, None] == lower[y][:, None, :]) & (lower[x] >= 0)[:, :, None]
+            own = ~shared.any(axis=(1, 2))
+            x, y = x[own], y[own]
+            parent = roots(len(node), x, y, parent)
+            np.add.at(links, x, weight[y])
+            np.add.at(links, y, weight[x])
     joined = (links > 0) | (parent != np.arange(len(node)))
     if joined.any():
         yield pa.RecordBatch.from_arrays(
@@ -117,8 +148,8 @@ def link_vectors(
 
     ``n_links`` counts the other vectors with a cosine of ``threshold`` or more that were found; ``component_id`` is
     the smallest id reachable over such links. Pairs that share fewer than two of their ``nearest`` pivots are not
-    found. Pivots are distinct vectors that come first by a hash, about the square root of the number of vectors,
-    64 to 8,192; every vector is indexed.
+    found. Pivots are distinct vectors that come first by a hash, at most about the square root of the number of
+    vectors, 64 to 8,192, and no two with a cosine of ``2 * threshold - 1`` or more; every vector is indexed.
 
     Vectors that are null, zero, or hold null or non-finite components link with nothing and are kept. Vectors of
     different length are compared with none of the other lengths. Repeated rows link with each other; a null id is
@@ -136,8 +167,10 @@ def link_vectors(
     for row in entries.groupBy(F.size("vector").alias("size")).count().collect():
         part = entries.where(F.size("vector") == row["size"])
         count = min(MAX_PIVOTS, max(MIN_PIVOTS, 1 << math.ceil(math.log2(math.sqrt(row["count"])))))
-        sample = part.select("vector", "node").orderBy("node").limit(count).toArrow().column("vector").combine_chunks()
-        links = _links_of(part, _unit(_matrix(sample)), nearest, threshold, block_rows)
+        drawn = max(count, min(SAMPLE * count, SAMPLE_BYTES // (8 * row["size"])))
+        sample = part.select("vector", "node").orderBy("node").limit(drawn).toArrow().column("vector").combine_chunks()
+        pivots = thin(_unit(_matrix(sample)), count, 2 * threshold - 1)
+        links = _links_of(part, pivots, nearest, threshold, block_rows)
         found = links if found is None else found.union(links)
     if found is None:
         found = entries.select(F.col("node").alias("a"), F.col("node").alias("b"), F.lit(0).cast("bigint").alias("links")).limit(0)

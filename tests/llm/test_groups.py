@@ -125,6 +125,22 @@ def test_vectors_equal_brute_force(spark, block):
     assert all(rows[i].kept == (rows[i].component_id == i) for i in range(len(x)))
 
 
+def test_a_dense_group_keeps_its_links(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "MIN_PIVOTS", 512)
+    rng = np.random.default_rng(12)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    group = unit(rng.normal(size=64)) + rng.normal(size=(1_500, 64)) * 0.175 / 8
+    x = unit(np.concatenate([group, rng.normal(size=(3_000, 64))]))
+    close = x @ x.T >= 0.95
+    np.fill_diagonal(close, False)
+    assert close[:1_500, :1_500].mean() > 0.9
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    rows = {r.vec_id: r for r in vectors.link_vectors(df).collect()}
+    found = np.array([rows[i].n_links for i in range(len(x))])
+    assert (found <= close.sum(axis=1)).all() and found.sum() >= 0.99 * close.sum()
+    assert {rows[i].component_id for i in range(1_500)} == {0}
+
+
 def test_unusable_and_mixed_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
