@@ -90,6 +90,37 @@ def test_near_copies_go_and_others_stay(spark, texts):
     assert sorted((r.doc_id for r in kept.collect()), key=lambda x: (x is None, x)) == [*range(30), None]
 
 
+@pytest.mark.parametrize("block", [1024, 8])
+def test_near_copies_are_those_of_the_shingles(spark, monkeypatch, block):
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    monkeypatch.setattr(simhash, "SAMPLE", 1)
+    rng = random.Random(3)
+    rows = []
+    for share in [0.012, 0.022, 0.024, 0.026, 0.03] * 12:
+        w = [str(rng.random()) for _ in range(500)]
+        rows += [" ".join(w), " ".join(str(rng.random()) if i % round(1 / share) == 7 else x for i, x in enumerate(w))]
+    hot = [str(rng.random()) for _ in range(300)]
+    for _ in range(60):
+        copy = list(hot)
+        for at in rng.sample(range(300), 4):
+            copy[at] = "x" + str(rng.random())
+        rows.append(" ".join(copy))
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, rows)]
+    alike = lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    want = sorted(set(brute_components(len(rows), alike)))
+    assert 60 < len(want) < len(rows) - 20
+    kept = simhash.keep_one_of_each(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"), miss=1e-4)
+    assert sorted(r.doc_id for r in kept.collect()) == want
+
+
+def test_rows_of_one_id_with_other_texts_stay(spark):
+    rng = random.Random(6)
+    a, b = (" ".join(str(rng.random()) for _ in range(50)) for _ in range(2))
+    df = spark.createDataFrame([(1, a), (1, b), (1, b), (2, a)], "doc_id long, text string")
+    kept = sorted((r.doc_id, r.text) for r in simhash.keep_one_of_each(df).collect())
+    assert kept == sorted([(1, a), (1, b)])
+
+
 def test_messy_and_empty_documents(messy, nothing):
     rows = simhash.group_near_copies(messy).collect()
     assert len(rows) == 8
