@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbwatch.llm import chat, decontaminate, licenses, mixing, quality, secrets, simhash, tokens, urls, vectors
+from ebbwatch.llm import (
+    chat, decontaminate, licenses, mixing, packing, periods, quality, secrets, simhash, tokens, trie, urls, vectors,
+)
 from ebbwatch.llm.sql import ORACLES
 from ebbwatch.sources.storage import materialize, read_table
 
@@ -118,10 +120,62 @@ def op10_urls(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = trie.read_turns(read_table(spark, folder, "conversations"))
+    shared = F.pmod(F.crc32(F.col("conv_id").cast("string").cast("binary")), F.lit(4)).cast("int")
+    rebuilt = trie.rebuild(turns, base=F.col("conv_id") - F.col("conv_id") % 20, shared=shared, most_shared=3)
+    built = trie.build_trie(rebuilt)
+    joined = built.nodes.join(trie.end_digests(built.ends), trie.PREFIX, "left")
+    return joined.select(
+        "conv_id",
+        F.col("depth").cast("bigint").alias("depth"),
+        *["parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens"],
+        F.coalesce("ends_sha256", F.sha2(F.lit(""), 256)).alias("ends_sha256"),
+    )
+
+
+def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.read_pieces(packing.pack_documents(read_table(spark, folder, "documents"), tokenizer_path()))
+
+
+def with_periods(documents: DataFrame) -> DataFrame:
+    """doc_id and text, in which one document in ten repeats a stretch of its words up to its end."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    split = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+
+    def repeated(words):
+        n = F.size(words)
+        a = F.pmod(g, n)
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        word = lambda i: F.get(words, F.when(i < a, i).otherwise(a + (i - a) % p).cast("int"))
+        return F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(0), n - 1), word), " ")).otherwise(F.lit(""))
+
+    # The words are bound once, as the variable of a transform.
+    changed = F.element_at(F.transform(F.array(split), repeated), 1)
+    return documents.select("doc_id", F.when(h % 10 == 0, changed).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periods(spark: SparkSession, folder: str) -> DataFrame:
+    found = periods.find_runs(with_periods(read_table(spark, folder, "documents").select("doc_id", "text")))
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    best = found.select("doc_id", "runs", "collapsed", periods.longest_run().alias("best"), lines.alias("lines"))
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        *[F.col(f"best.{n}").alias(n) for n in ("start", "length", "period")],
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2("lines", 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_decontaminate, op2_licenses, op3_secrets, op4_mixing, op5_simhash,
         op6_chat, op7_quality, op8_tokens, op9_vectors, op10_urls,
+        op11_trie, op12_packing, op13_periods,
     )
 }

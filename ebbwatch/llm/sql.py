@@ -149,10 +149,90 @@ SELECT page_id, host, path, CASE WHEN b.is_rule = 1 THEN b.rule END AS rule, coa
 FROM p LEFT JOIN best USING (row_no)
 """
 
+# CRC-32 of decimal numbers, from its table of bytes.
+_CRC_TABLE = """crc_table AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([CAST(i AS BIGINT), 1, 2, 3, 4, 5, 6, 7, 8],
+      lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM range(256) AS r(i)))"""
+
+
+def _crc(number: str) -> str:
+    codes = f"list_transform(string_split(CAST({number} AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT))"
+    return f"xor(list_reduce(list_concat([4294967295], {codes}), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+_OP11 = f"""
+WITH {_CRC_TABLE},
+o AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, turn FROM conversations WHERE conv_id IS NOT NULL),
+l AS (
+  SELECT conv_id, list(struct_pack(role := role, text := text) ORDER BY turn NULLS FIRST, role, text) AS x FROM o GROUP BY conv_id),
+c AS (SELECT conv_id, x, conv_id - conv_id % 20 AS base, {_crc("conv_id")} % 4 AS h FROM l, crc_table),
+r AS (
+  SELECT c.conv_id, list_concat(coalesce(b.x[1:h], []), c.x[h + 1:]) AS x FROM c LEFT JOIN l AS b ON b.conv_id = c.base),
+n AS (SELECT conv_id, d, x[1:d] AS k, len(x) = d AS ends FROM (SELECT *, unnest(range(len(x) + 1)) AS d FROM r)),
+g AS (
+  SELECT d, k, min(conv_id) AS conv_id, count(*) AS n_convs,
+    coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '') AS ends,
+    (count(*) - 1) * CASE WHEN d = 0 THEN 0 ELSE len(regexp_extract_all(k[d].text, '[^\\x20\\x09-\\x0D]+')) END AS saved
+  FROM n GROUP BY d, k),
+kids AS (SELECT d - 1 AS d, k[1:d - 1] AS k, count(*) AS n_children FROM g WHERE d > 0 GROUP BY ALL),
+tops AS (
+  SELECT up AS d, k[1:up] AS k, sum(saved) AS saved_tokens, count(*) FILTER (n_children IS NULL) AS n_leaves
+  FROM (SELECT g.*, n_children, unnest(range(d + 1)) AS up FROM g LEFT JOIN kids USING (d, k)) GROUP BY ALL)
+SELECT g.conv_id, g.d AS depth, p.conv_id AS parent_conv_id, g.n_convs, coalesce(n_children, 0) AS n_children, n_leaves,
+  CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(g.ends) AS ends_sha256
+FROM g JOIN tops USING (d, k) LEFT JOIN kids USING (d, k) LEFT JOIN g AS p ON p.d = g.d - 1 AND p.k = g.k[1:g.d - 1]
+"""
+
+# Periods are the distances of equal five-word groups that come as often as a run needs.
+_OP13 = f"""
+WITH {_CRC_TABLE},
+d0 AS (
+  SELECT row_number() OVER () AS row_no, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+d1 AS (SELECT *, CAST(len(w) AS BIGINT) AS n, {_crc("doc_id")} AS h FROM d0, crc_table),
+d2 AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN (h // 10) % n ELSE n END AS a FROM d1),
+d3 AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM d2),
+d AS (
+  SELECT row_no, doc_id, n, list_transform(range(n), lambda i: w[CASE WHEN i < a OR a IS NULL THEN i ELSE a + (i - a) % p END + 1]) AS x
+  FROM d3),
+u AS (SELECT row_no, n, unnest(range(n)) AS i, unnest(x) AS v FROM d),
+five AS (
+  SELECT row_no, n, i, concat_ws(' ', v, lead(v) OVER w, lead(v, 2) OVER w, lead(v, 3) OVER w, lead(v, 4) OVER w) AS k
+  FROM u WINDOW w AS (PARTITION BY row_no ORDER BY i) QUALIFY lead(v, 4) OVER w IS NOT NULL),
+tried AS (
+  SELECT row_no, q FROM (
+    SELECT a.row_no, b.i - a.i AS q FROM five AS a JOIN five AS b ON a.row_no = b.row_no AND a.k = b.k AND b.i > a.i
+    WHERE 4 * (b.i - a.i) <= a.n)
+  GROUP BY row_no, q HAVING count(*) >= greatest(6, 4 * q) - q - 4),
+same AS (
+  SELECT a.row_no, q, a.i, a.i - row_number() OVER (PARTITION BY a.row_no, q ORDER BY a.i) AS island
+  FROM tried JOIN u AS a USING (row_no) JOIN u AS b ON a.row_no = b.row_no AND b.i = a.i + q AND a.v = b.v),
+runs AS (
+  SELECT row_no, s, m, min(q) AS q
+  FROM (SELECT row_no, q, min(i) AS s, count(*) + q AS m FROM same GROUP BY row_no, q, island) WHERE m >= greatest(6, 4 * q)
+  GROUP BY row_no, s, m),
+per AS (
+  SELECT row_no, count(*) AS n_runs, string_agg(s || ',' || m || ',' || q || chr(10), '' ORDER BY s, q) AS lines,
+    arg_min(struct_pack(s := s, m := m, q := q), [-m, s, q]) AS best
+  FROM runs GROUP BY row_no),
+gone AS (SELECT DISTINCT row_no, unnest(range(s + q, s + m)) AS i FROM runs),
+kept AS (
+  SELECT row_no, string_agg(v, ' ' ORDER BY i) AS text FROM u JOIN (SELECT DISTINCT row_no FROM runs) USING (row_no)
+    ANTI JOIN gone USING (row_no, i) GROUP BY row_no)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, best.m AS length, best.q AS period,
+  1000 * best.m // best.q AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
+  sha256(CASE WHEN n_runs > 0 THEN kept.text ELSE array_to_string(x, ' ') END) AS collapsed_sha256
+FROM d LEFT JOIN per USING (row_no) LEFT JOIN kept USING (row_no)
+"""
+
 ORACLES = {
     "op1_decontaminate": _OP1,
     "op2_licenses": _OP2,
     "op4_mixing": _OP4,
     "op6_chat": _OP6,
     "op10_urls": _OP10,
+    "op11_trie": _OP11,
+    "op13_periods": _OP13,
 }

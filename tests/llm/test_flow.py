@@ -31,8 +31,8 @@ def test_query_equals_sql(spark, folder, name):
     assert sorted(tuple(normal(row[c]) for c in columns) for row in df.collect()) == want
 
 
-def test_all_ten_are_registered():
-    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in LLM) == list(range(1, 11)) and "pipeline" in entry.queries()
+def test_all_are_registered():
+    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in LLM) == list(range(1, 14)) and "pipeline" in entry.queries()
 
 
 # ------------------------------------------------------------------------------------------ mixing
