@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
@@ -151,20 +152,41 @@ class FMIndex:
 
 
 class Phrases:
-    """Word windows of benchmark items, ready for the search; each window knows its items."""
+    """Word windows of benchmark items, ready for the search.
+
+    What travels is the words of the items as numbers; windows are cut from them when a shard is searched, and only
+    those whose words all occur in the shard are looked up.
+    """
+
+    CHUNK = 100_000  # windows that are cut at once
 
     def __init__(self, items: list[tuple[str | None, bytes]], window: int):
         self.vocab: dict[bytes, int] = {}
-        windows: dict[tuple[int, ...], set[str]] = {}
+        parts = [np.zeros(0, np.int32)]
+        self.names: list[str | None] = []
         for item, text in items:
             ids = [self.vocab.setdefault(w, len(self.vocab) + 1) for w in words_of(text)]
-            for i in range(max(1, len(ids) - window + 1) if ids else 0):
-                windows.setdefault(tuple(ids[i : i + window]), set()).update([item] if item is not None else [])
-        self.length = np.array([len(w) for w in windows], np.int64)
-        self.reversed = np.full((len(windows), window), -1, np.int64)
-        for i, w in enumerate(windows):
-            self.reversed[i, : len(w)] = w[::-1]
-        self.owners = [tuple(sorted(x)) for x in windows.values()]
+            if ids:
+                parts.append(np.array(ids, np.int32))
+                self.names.append(item)
+        sizes = np.array([len(x) for x in parts[1:]], np.int64)
+        self.words, self.window = np.concatenate(parts), window
+        self.first = np.cumsum(sizes) - sizes  # of each item
+        self.length = np.minimum(sizes, window)  # of its windows
+        self.windows = np.cumsum(sizes - self.length + 1)  # up to each item
+
+    def cut(self, present: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Items and reversed words (then -1) of windows, some at a time, whose words are all present."""
+        total = int(self.windows[-1]) if len(self.windows) else 0
+        for at in range(0, total, self.CHUNK):
+            number = np.arange(at, min(total, at + self.CHUNK))
+            item = np.searchsorted(self.windows, number, side="right")
+            length = self.length[item]
+            since = number - np.where(item > 0, self.windows[item - 1], 0)
+            back = length[:, None] - 1 - np.arange(self.window)
+            rows = np.where(back >= 0, self.words[(self.first[item] + since)[:, None] + np.maximum(back, 0)], -1)
+            kept = ((rows < 0) | present[rows]).all(axis=1)
+            yield item[kept], rows[kept]
 
     def find(self, texts: list[bytes | None]) -> tuple[np.ndarray, list[set[str]], dict[int, np.ndarray]]:
         """Word counts, items and covered words (as flags, for documents with a hit) of one shard."""
@@ -185,21 +207,27 @@ class Phrases:
         offset = np.cumsum(sizes) - sizes
         place = np.repeat(starts - offset, sizes) + np.arange(sizes.sum())
         index = FMIndex(symbols[place], len(self.vocab) + 1)
-        low, high = index.search(self.reversed)
-        hit = np.flatnonzero(high > low)
-        size = (high - low)[hit]
-        rows = np.repeat(low[hit] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        phrase = np.repeat(hit, size)
-        where = place[index.locate(rows)]
+        present = np.zeros(len(self.vocab) + 1, bool)
+        present[symbols[place]] = True
+        first = np.cumsum(counts + 1) - counts - 1
         cover = np.zeros(len(symbols) + 1, np.int32)
-        np.add.at(cover, where, 1)
-        np.add.at(cover, where + self.length[phrase], -1)
+        hit_docs = []
+        for item, phrases in self.cut(present):
+            low, high = index.search(phrases)
+            size = high - low
+            rows = np.repeat(low - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            owner = np.repeat(item, size)
+            where = place[index.locate(rows)]
+            np.add.at(cover, where, 1)
+            np.add.at(cover, where + self.length[owner], -1)
+            doc = np.searchsorted(first, where, side="right") - 1
+            for pair in np.unique(doc * len(self.names) + owner).tolist():
+                d, name = pair // len(self.names), self.names[pair % len(self.names)]
+                hit_docs.append(d)
+                if name is not None:
+                    items[d].add(name)
         covered = np.cumsum(cover[:-1]) > 0
-        first = np.cumsum(counts + 1) - counts - 1
-        doc = np.searchsorted(first, where, side="right") - 1
-        for pair in np.unique(doc * len(self.length) + phrase).tolist():
-            items[pair // len(self.length)].update(self.owners[pair % len(self.length)])
-        flags = {d: covered[first[d] : first[d] + counts[d]] for d in np.unique(doc).tolist()}
+        flags = {d: covered[first[d] : first[d] + counts[d]] for d in set(hit_docs)}
         return counts, items, flags
 
 
@@ -234,39 +262,80 @@ def find_contamination(
     """``documents`` with ``n_words``, ``items`` (distinct item ids as strings) and ``spans`` (merged word spans).
 
     A window is ``window`` consecutive words of an item, or all words of a shorter item. The benchmark is
-    searched in blocks of about ``block_bytes`` of its text, each sent to the executors as one value of bounded
-    size and searched in a pass of its own over the shards, without a shuffle. A single item is not divided.
+    searched in blocks of about ``block_bytes`` of its text, each sent to the executors as the numbers of its words
+    and searched in a pass of its own over the shards, without a shuffle. A single item is not divided.
 
     Null and empty texts have no words and no hits. Items without words match nothing; an item with a null id
     marks words but is not listed. Repeated rows are reported each. Input columns named like a result are
     replaced. Empty tables give empty results, or documents without hits.
     """
-    spark = documents.sparkSession
+    found = documents.drop(*[f.name for f in FIELDS])
+    for block, phrases in enumerate(_blocks(benchmark, item_id, item_text, window, block_bytes)):
+        found = _search(found, text, phrases, shard_bytes, merge=block > 0)
+    return found
+
+
+def remove_contamination(
+    documents: DataFrame,
+    benchmark: DataFrame,
+    text: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+    window: int = 10,
+    shard_bytes: int = 8_000_000,
+    block_bytes: int = 16_000_000,
+) -> DataFrame:
+    """``documents`` without the words of the spans that ``find_contamination`` finds, and ``words_removed``.
+
+    Documents of which no word is left are dropped; the others stay, those without hits as they are, null and empty
+    texts among them. The last block is searched and cut in one pass. Input columns named like a result of either
+    function are replaced or dropped; options and other cases as in ``find_contamination``.
+    """
+    found = documents.drop(*[f.name for f in FIELDS], "words_removed")
+    *before, last = _blocks(benchmark, item_id, item_text, window, block_bytes)
+    for block, phrases in enumerate(before):
+        found = _search(found, text, phrases, shard_bytes, merge=block > 0)
+    names = [f.name for f in found.schema.fields if f.name not in {f.name for f in FIELDS}]
+
+    def compute(shard: pa.RecordBatch) -> list[pa.Array]:
+        texts = utf8(shard.column(text))
+        counts, _, flags = _merged(last.value, shard, text, bool(before))
+        cut = [cut_words(t, spans_of(flags[d])) if d in flags else t for d, t in enumerate(texts)]
+        gone = np.array([int(flags[d].sum()) if d in flags else 0 for d in range(len(texts))], np.int64)
+        return [pa.array(cut, pa.binary()).cast(pa.string()), pa.array(gone), pa.array(counts - gone)]
+
+    fields = [T.StructField(text, T.StringType()), T.StructField("words_removed", T.LongType()), T.StructField("_left", T.LongType())]
+    cut = add_by_shard(found, text, fields, compute, shard_bytes)
+    return cut.where("words_removed = 0 or _left > 0").select(*[F.col(f"`{n}`") for n in names], "words_removed")
+
+
+def _blocks(benchmark: DataFrame, item_id: str, item_text: str, window: int, block_bytes: int) -> list:
+    """Broadcasts of the phrases, one for about ``block_bytes`` of the benchmark's text each; at least one."""
     bench = benchmark.select(
         F.col(f"`{item_id}`").cast("string").alias("item"), F.col(f"`{item_text}`").alias("text")
     ).where("text is not null")
     total = bench.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(total / block_bytes))
-    found = documents.drop(*[f.name for f in FIELDS])
-    for block in range(blocks):
-        part = bench if blocks == 1 else bench.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block)
-        phrases = spark.sparkContext.broadcast(
-            Phrases([(r.item, r.text.encode()) for r in part.distinct().collect()], window)
-        )
-        found = _search(found, text, phrases, shard_bytes, merge=block > 0)
-    return found
+    parts = [bench] if blocks == 1 else [bench.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b) for b in range(blocks)]
+    send = benchmark.sparkSession.sparkContext.broadcast
+    return [send(Phrases([(r.item, r.text.encode()) for r in part.distinct().collect()], window)) for part in parts]
+
+
+def _merged(phrases: Phrases, shard: pa.RecordBatch, text: str, merge: bool) -> tuple[np.ndarray, list[set[str]], dict]:
+    """What a shard holds of some phrases, with what it is known to hold of earlier ones."""
+    counts, items, flags = phrases.find(utf8(shard.column(text)))
+    if merge:
+        known = zip(shard.column("items").to_pylist(), shard.column("spans").to_pylist(), strict=True)
+        for d, (ids, spans) in enumerate(known):
+            items[d].update(ids)
+            for span in spans:
+                flags.setdefault(d, np.zeros(counts[d], bool))[span["start"] : span["end"]] = True
+    return counts, items, flags
 
 
 def _search(documents: DataFrame, text: str, phrases, shard_bytes: int, merge: bool) -> DataFrame:
     def compute(shard: pa.RecordBatch) -> list[pa.Array]:
-        counts, items, flags = phrases.value.find(utf8(shard.column(text)))
-        if merge:
-            for d, (ids, spans) in enumerate(
-                zip(shard.column("items").to_pylist(), shard.column("spans").to_pylist(), strict=True)
-            ):
-                items[d].update(ids)
-                for span in spans:
-                    flags.setdefault(d, np.zeros(counts[d], bool))[span["start"] : span["end"]] = True
+        counts, items, flags = _merged(phrases.value, shard, text, merge)
         spans = [spans_of(flags[d]) if d in flags else [] for d in range(len(counts))]
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
         return [
@@ -280,16 +349,3 @@ def _search(documents: DataFrame, text: str, phrases, shard_bytes: int, merge: b
 
 def n_hit(spans: str = "spans") -> Column:
     return F.aggregate(spans, F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
-
-
-def remove_spans(found: DataFrame, text: str = "text", shard_bytes: int = 8_000_000) -> DataFrame:
-    """Cut the found spans out of the texts of ``find_contamination``; other texts stay as they are."""
-
-    def compute(shard: pa.RecordBatch) -> list[pa.Array]:
-        texts, spans = utf8(shard.column(text)), shard.column("spans").to_pylist()
-        cut = [cut_words(t, s) if t and s else t for t, s in zip(texts, spans, strict=True)]
-        return [pa.array(cut, pa.binary()).cast(pa.string())]
-
-    names = [f.name for f in found.schema.fields]
-    field = T.StructField(text, T.StringType())
-    return add_by_shard(found, text, [field], compute, shard_bytes).select(*[F.col(f"`{n}`") for n in names])

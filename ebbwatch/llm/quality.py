@@ -69,8 +69,11 @@ def fit_ordinal(
 ) -> OrdinalModel:
     """Full-batch Adam on the cumulative logits, every grade with equal weight; thresholds stay ordered.
 
-    Each text has unit length: a bucket counts 1 / sqrt(number of buckets).
+    Each text has unit length: a bucket counts 1 / sqrt(number of buckets). Without texts no weight is known and the
+    thresholds lie below every score, so that nothing is told to be bad.
     """
+    if not len(rows):
+        return OrdinalModel(np.zeros(BUCKETS), np.full(levels - 1, -30.0) + np.arange(levels - 1))
     size = np.array([len(r) for r in rows], np.int64)
     at = np.concatenate(rows) if len(rows) else np.zeros(0, np.int32)
     row = np.repeat(np.arange(len(rows)), size)
@@ -116,7 +119,9 @@ def train_grades(
     """Fit on the ``max_rated`` rated documents that come first by a hash of their id.
 
     ``ratings`` has the id column and ``grade``. Ids that are null or rated twice with different grades are left
-    out. Without ratings all weights are 0.
+    out. Of several documents with one id the text with the smallest hash counts, once, so no more than ``max_rated``
+    rows reach the driver. Null texts are empty. Without ratings see ``fit_ordinal``; other columns
+    are not read.
     """
     rated = (
         ratings.select(F.col(f"`{doc_id}`").alias("rated_id"), "grade")
@@ -128,7 +133,8 @@ def train_grades(
     )
     sample = rated.orderBy(F.xxhash64("rated_id"), "rated_id").limit(max_rated)
     texts = documents.select(F.col(f"`{doc_id}`").alias("rated_id"), F.col(f"`{text}`").alias("text"))
-    chosen = texts.join(F.broadcast(sample), "rated_id")  # at most max_rated small rows
+    rows = texts.join(F.broadcast(sample), "rated_id")  # at most max_rated small rows
+    chosen = rows.groupBy("rated_id").agg(F.min("grade").alias("grade"), F.min_by("text", F.xxhash64("text")).alias("text"))
 
     def compute(shard: pa.RecordBatch) -> list[pa.Array]:
         return [pa.array([features(t or b"") for t in utf8(shard.column("text"))], pa.list_(pa.int32()))]

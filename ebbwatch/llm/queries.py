@@ -94,14 +94,14 @@ def op6_chat(spark: SparkSession, folder: str) -> DataFrame:
 KEEP_AT = 0.4
 
 
-def graded(spark: SparkSession, documents: DataFrame, folder: str) -> DataFrame:
+def grade_model(spark: SparkSession, documents: DataFrame, folder: str) -> quality.OrdinalModel:
     ratings = read_table(spark, folder, "labels").select("doc_id", quality.grade().alias("grade"))
-    model = quality.train_grades(documents, ratings)
-    return quality.add_grades(documents, model, tail=2)
+    return quality.train_grades(documents, ratings)
 
 
 def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
-    scored = graded(spark, read_table(spark, folder, "documents").select("doc_id", "text"), folder)
+    documents = read_table(spark, folder, "documents").select("doc_id", "text")
+    scored = quality.add_grades(documents, grade_model(spark, documents, folder), tail=2)
     return scored.select(
         "doc_id", "expected_grade", "tail_probability", (F.col("tail_probability") >= KEEP_AT).alias("kept")
     )

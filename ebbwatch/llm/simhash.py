@@ -9,18 +9,11 @@ hold every three positions in exactly one set, so a pair meets in the list of th
 fingerprints of a list differ in 32 bits at most. Lists under single bytes would hold a 256th of all fingerprints
 each, and their pairs grow with the square of the corpus.
 
-Similarities below that take longer fingerprints. They are listed under as many sets of a few bytes as bring a pair at
-the threshold together with the asked probability; the number of bytes grows with the logarithm of the corpus. There
-the bits only find candidates: a pair counts once its shingle sets are compared. Links that span candidates are
-compared first, then all candidates between the components that came out, where they are not yet one. Long lists are
-divided in tiles, and their rows are first compared with one leader of the list.
-
 Exact copies are one entry of the index, and lists send on links that span their components, not all pairs.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterator
 from itertools import combinations
 
@@ -43,13 +36,6 @@ APART = [s for s in combinations(range(BYTES), 4) if s[0] ^ s[1] ^ s[2] ^ s[3] =
 KEYS = [tuple(b for b in range(BYTES) if b not in s) for s in APART]
 DIRECT = 1 << 17  # a list this long is searched by flipping bits instead of comparing all with all
 SMALL = 256  # runs up to this length are compared together, longer ones each alone
-
-WIDE = 8  # 64-bit words of the longer fingerprint
-HELD = 4  # of these words go with the rows of the lists, to find candidates
-MIN_WIDE = 1  # of their 32 bytes; a pair with a similarity of 0.8 shares 8 on average
-BLOCK = 1_024  # rows of a block of a long list
-SAMPLE = 16  # one of so many entries tells which lists are long
-_ODD = np.array([(0x9E3779B97F4A7C15 * (2 * k + 1)) % (1 << 64) | 1 for k in range(WIDE)], np.uint64)
 _BITS = (np.arange(256)[:, None] >> np.arange(8)[None, :] & 1).astype(np.int64)
 
 Accept = Callable[[np.ndarray, np.ndarray], np.ndarray]
@@ -82,19 +68,6 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
     return int(majority(shingle_hashes(text, shingle)[:, None])[0])
 
 
-def wide_fingerprint(text: bytes, shingle: int = 5) -> np.ndarray:
-    """512 bits over the different shingles: equal to another's in a share that follows their similarity."""
-    return _wide(np.unique(shingle_hashes(text, shingle)))
-
-
-def _wide(shingles: np.ndarray) -> np.ndarray:
-    hashes = shingles[:, None] * _ODD[None, :]
-    hashes ^= hashes >> np.uint64(32)
-    hashes *= np.uint64(0xD6E8FEB86659FD93)
-    hashes ^= hashes >> np.uint64(32)
-    return majority(hashes)
-
-
 def _add_words(documents: DataFrame, text: str, names: list[str], compute_one, shard_bytes: int = 2_000_000) -> DataFrame:
     def compute(shard: pa.RecordBatch) -> list[pa.Array]:
         rows = np.array([compute_one(t or b"") for t in utf8(shard.column(text))], np.uint64)
@@ -122,19 +95,6 @@ def accept_close(bits: int) -> Accept:
     return accept
 
 
-def accept_similar(bits: int, min_shared: int) -> Accept:
-    """Long fingerprints: most pairs fall at their first word, by far more bits than a similar pair has there."""
-    first = bits / HELD + 6 * math.sqrt(bits / HELD)
-
-    def accept(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        kept = np.bitwise_count(a[..., 0] ^ b[..., 0]) <= first
-        mixed = a[kept] ^ b[kept] if a.shape == b.shape else (a ^ b)[kept]
-        kept[kept] = (_shared_bytes(mixed) >= min_shared) & (np.bitwise_count(mixed).sum(axis=-1) <= bits)
-        return kept
-
-    return accept
-
-
 def forest(prints: np.ndarray, accept: Accept, flips: int | None = None) -> np.ndarray:
     """For each different fingerprint of a long list, the row of its component's first.
 
@@ -248,294 +208,27 @@ def group_near_copies(
     )
 
 
-def differing_share(similarity: float) -> float:
-    """Share of differing bits of the fingerprints of two sets with this Jaccard similarity, of equal sizes."""
-    return math.acos(2 * similarity / (1 + similarity)) / math.pi
-
-
-def key_sets(entries: int, similarity: float, miss: float, list_rows: int = 64) -> list[tuple[int, ...]]:
-    """Byte positions of the lists: so many bytes that a list has about ``list_rows`` entries, and so many sets that a
-    pair at the threshold is missed by all of them with probability ``miss``."""
-    width = max(2, math.ceil(math.log(max(1, entries) / list_rows, 256)))
-    meet = (1 - differing_share(similarity)) ** (8 * width)
-    rng = np.random.default_rng(width)
-    return [tuple(rng.choice(BYTES * WIDE, width, replace=False).tolist()) for _ in range(math.ceil(math.log(miss) / math.log(1 - meet)))]
-
-
-def _signature(text: bytes, shingle: int) -> np.ndarray:
-    """A hash of the set of shingles, then its fingerprint."""
-    shingles = np.unique(shingle_hashes(text, shingle))
-    return np.append(np.uint64(xxhash.xxh64_intdigest(shingles.tobytes(), SEED)), _wide(shingles))
-
-
-def similar(a: bytes, b: bytes, similarity: float) -> bool:
-    """Whether two sorted sets of 64-bit hashes have this Jaccard similarity or more."""
-    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-    low, high = sorted((len(x), len(y)))
-    if low < similarity * high - 1e-9:
-        return False
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return both >= similarity * (len(x) + len(y) - both) - 1e-9
-
-
-def _verify(pairs: DataFrame, texts: DataFrame, entries: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """Those of (a, b) whose shingle sets have the similarity; sets are made for the nodes of pairs only."""
-    nodes = materialize(pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "of"), "nodes")
-    wanted = entries.join(nodes, F.col("node") == F.col("of"), "left_semi").select("node", F.col("first.doc_id").alias("id"), F.col("first.hash").alias("of_hash"))
-    wanted = materialize(wanted, "nodes")
-    if wanted.count() <= 400_000:
-        wanted = F.broadcast(wanted)  # texts of other documents are not moved
-    found = texts.join(wanted, (F.col("doc_id") == F.col("id")) & (F.xxhash64("text") == F.col("of_hash"))).select("node", "text")
-
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = [np.unique(shingle_hashes(t or b"", shingle)).tobytes() for t in utf8(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(made, pa.binary())], ["node", "shingles"])
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = zip(batch.column("x"), batch.column("y"), strict=True)
-            kept = pa.array([similar(x.as_py(), y.as_py(), similarity) for x, y in sets], pa.bool_())
-            yield batch.select(["a", "b"]).filter(kept)
-
-    made = found.mapInArrow(make, "node long, shingles binary").dropDuplicates(["node"])
-    sets = materialize(made, "shingles")
-    one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
-    other = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-    both = pairs.join(one, "a").join(other, "b").select("a", "b", "x", "y")
-    return materialize(both.mapInArrow(check, "a long, b long"), "verified")
-
-
-def _lanes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    prints = np.ascontiguousarray(np.stack([batch.column(f"w{i}").to_numpy() for i in range(WIDE)], axis=1)).view(np.uint64)
-    return prints, prints.view(np.uint8).astype(np.int64)
-
-
-def _key(lanes: np.ndarray, places: tuple[int, ...]) -> np.ndarray:
-    return sum(lanes[:, p] << 8 * i for i, p in enumerate(places))
-
-
-def _long_lists(entries: DataFrame, sets: list[tuple[int, ...]]) -> dict[tuple[int, int], tuple]:
-    """For lists that a sample shows to hold more than two blocks: about how many rows, and the first of the sample."""
-
-    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            prints, lanes = _lanes(batch)
-            words = [pa.array(np.ascontiguousarray(prints[:, i]).view(np.int64)) for i in range(HELD)]
-            for number, places in enumerate(sets):
-                head = [pa.array(np.full(len(lanes), number, np.int32)), pa.array(_key(lanes, places)), batch.column("node"), batch.column("comp")]
-                yield pa.RecordBatch.from_arrays([*head, *words], ["list", "key", "node", "comp", *[f"w{i}" for i in range(HELD)]])
-
-    words = ", ".join(f"w{i} long" for i in range(HELD))
-    sample = entries.where(F.pmod(F.xxhash64("node"), F.lit(SAMPLE)) == 0)
-    listed = sample.mapInArrow(index, f"list int, key long, node long, comp long, {words}")
-    rows = F.struct("node", "comp", *[f"w{i}" for i in range(HELD)])
-    counted = listed.groupBy("list", "key").agg(F.count("*").alias("n"), F.min(rows).alias("leader"))
-    counted = counted.where(F.col("n") * SAMPLE > 2 * BLOCK)
-    return {(r.list, r.key): (r.n * SAMPLE, *r.leader) for r in counted.collect()}
-
-
-def _to_leaders(entries: DataFrame, sets: list[tuple[int, ...]], long: dict, bits: int) -> DataFrame:
-    """(a, b): each entry of long lists with that of their leaders which differs in the fewest bits."""
-    shared = entries.sparkSession.sparkContext.broadcast(long)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
-        for batch in batches:
-            prints, lanes = _lanes(batch)
-            node = batch.column("node").to_numpy()
-            best, least = node.copy(), np.full(len(node), bits + 1)
-            for number, places in enumerate(sets):
-                keys = _key(lanes, places)
-                for key in set(keys.tolist()):
-                    if (number, key) in known:
-                        _, leader, _, *words = known[number, key]
-                        at = np.flatnonzero(keys == key)
-                        apart = np.bitwise_count(prints[at, :HELD] ^ np.array(words, np.int64).view(np.uint64)).sum(axis=1)
-                        at, apart = at[apart < least[at]], apart[apart < least[at]]
-                        best[at], least[at] = leader, apart
-            far = best != node
-            yield pa.RecordBatch.from_arrays([pa.array(node[far]), pa.array(best[far])], ["a", "b"])
-
-    return entries.mapInArrow(run, "a long, b long")
-
-
-def _tiled(entries: DataFrame, sets: list[tuple[int, ...]], long: dict) -> DataFrame:
-    """(tile, side, node, comp, words): short lists are a tile each. In a long one, entries of the leader's component
-    are in blocks that meet the blocks of the others; only the others meet each other."""
-    shared = entries.sparkSession.sparkContext.broadcast(long)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
-        for batch in batches:
-            prints, lanes = _lanes(batch)
-            node, comp = (batch.column(c).to_numpy() for c in ("node", "comp"))
-            names = ["tile", "side", "node", "comp", *[f"w{i}" for i in range(HELD)]]
-            words = [np.ascontiguousarray(prints[:, i]).view(np.int64) for i in range(HELD)]
-
-            def send(at, tile, side):
-                columns = [tile, side.astype(np.int8), *[x[at] for x in (node, comp, *words)]]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names)
-
-            for number, places in enumerate(sets):
-                keys = _key(lanes, places)
-                rows, tiles, sides = [], [], []
-                cut_up = [k for k in set(keys.tolist()) if (number, k) in known] if known else []
-                in_long = np.isin(keys, cut_up)
-                yield from send(np.flatnonzero(~in_long), keys[~in_long] * 4096 + number, np.zeros((~in_long).sum(), np.int8))
-                for i in np.flatnonzero(in_long).tolist():
-                    key = int(keys[i])
-                    inside, others, leader = known[number, key]
-                    if comp[i] == leader:
-                        block = int(node[i] % inside)
-                        for o in range(others):
-                            rows.append(i), tiles.append(hash((number, key, 1, block, o))), sides.append(1)
-                    else:
-                        block = int(node[i] % others)
-                        for b in range(inside):
-                            rows.append(i), tiles.append(hash((number, key, 1, b, block))), sides.append(2)
-                        for o in range(others):
-                            pair = (min(block, o), max(block, o))
-                            side = 0 if block == o else 1 if block < o else 2
-                            rows.append(i), tiles.append(hash((number, key, 2, *pair))), sides.append(side)
-                for cut in range(0, len(rows), 50_000):
-                    yield from send(*(np.array(x[cut : cut + 50_000]) for x in (rows, tiles, sides)))
-
-    words = ", ".join(f"w{i} long" for i in range(HELD))
-    together = entries.mapInArrow(run, f"tile long, side byte, node long, comp long, {words}")
-    return together.repartition("tile").sortWithinPartitions("tile")
-
-
-def _candidates(tiled: DataFrame, accept: Accept, every: bool) -> DataFrame:
-    """(a, b): candidates of different components; all of them with ``every``, else links that span them."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, ends in in_runs(batches, ("tile",)):
-            node, comp, side = (batch.column(c).to_numpy() for c in ("node", "comp", "side"))
-            prints = np.ascontiguousarray(np.stack([batch.column(f"w{i}").to_numpy() for i in range(HELD)], axis=1)).view(np.uint64)
-            rows, parent = np.arange(len(node)), np.arange(len(node))
-            starts = np.concatenate([[0], ends[:-1][np.diff(ends) > 0]])
-            sizes = np.diff(np.append(starts, len(node)))
-
-            def near(x, y):
-                open_ = (comp[x] != comp[y]) & ((side[x] != side[y]) | (side[x] == 0))
-                x, y = x[open_], y[open_]
-                kept = accept(prints[x], prints[y])
-                return x[kept], y[kept]
-
-            def pairs():
-                left, step = rows[np.repeat(sizes, sizes) <= SMALL], 1
-                while len(left := left[left + step < ends[left]]):
-                    for at in range(0, len(left), 200_000):
-                        yield near(left[at : at + 200_000], left[at : at + 200_000] + step)
-                    step += 1
-                for run in np.flatnonzero(sizes > SMALL).tolist():
-                    start, end = int(starts[run]), int(starts[run] + sizes[run])
-                    step = max(1, 200_000 // (end - start))
-                    for at in range(start, end, step):
-                        some = rows[at : min(end, at + step)]
-                        x, y = (g.ravel() for g in np.meshgrid(some, rows[at:end], indexing="ij"))
-                        yield near(x[x < y], y[x < y])
-
-            for x, y in pairs():
-                if every and len(x):
-                    ends_ = [pa.array(f(node[x], node[y])) for f in (np.maximum, np.minimum)]
-                    yield pa.RecordBatch.from_arrays(ends_, ["a", "b"])
-                elif len(x):
-                    parent = roots(len(node), x, y, parent)
-            far = parent != np.arange(len(node))
-            if far.any():
-                a, b = node[far], node[parent[far]]
-                yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["a", "b"])
-
-    return materialize(tiled.mapInArrow(run, "a long, b long").distinct(), "candidates")
-
-
-def _label(entries: DataFrame, links: DataFrame) -> DataFrame:
-    """entries with ``comp``, the smallest node reachable over links."""
-    groups = connected(links).select(F.col("node").alias("member"), "component")
-    joined = entries.drop("comp").join(groups, F.col("node") == F.col("member"), "left")
-    return joined.withColumn("comp", F.coalesce("component", "node")).drop("member", "component")
-
-
 def keep_one_of_each(
-    documents: DataFrame,
-    doc_id: str = "doc_id",
-    text: str = "text",
-    shingle: int = 5,
-    similarity: float = 0.8,
-    miss: float = 0.0005,
+    documents: DataFrame, doc_id: str = "doc_id", text: str = "text", bits: int = 3, shingle: int = 3
 ) -> DataFrame:
-    """One document of each group of near copies: that with the smallest id, with all its columns.
-
-    Two documents are near copies if the sets of their ``shingle``-word shingles have a Jaccard similarity of
-    ``similarity`` or more, compared exactly on 64-bit hashes. Candidates share a list of the index and differ in no
-    more of 256 bits than the similarity gives, plus three standard deviations. Groups are connected over near copies.
-    ``miss`` is how often the lists miss a pair at the threshold with the mean number of differing bits.
+    """One document of each group of ``group_near_copies``, that with the smallest id, with all its columns.
 
-    Null and empty texts are copies of each other. Rows with a null id cannot be named: they stay and remove none. Of
-    repeated rows with one id and text one stays; rows with one id and other texts are different documents. An empty
-    table gives an empty one.
+    Null and empty texts are copies of each other. A null id stays only where its group has no other; of rows with
+    the id that stays but other texts, one stays, chosen by a hash of the text, and of repeated rows one. An empty
+    table gives an empty one; columns may bear any names.
     """
-    names = [f"w{i}" for i in range(WIDE)]
-    named = documents.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    texts = named.where("doc_id is not null")
-    printed = _add_words(texts, "text", ["node", *names], lambda t: _signature(t, shingle))
-    first = F.min(F.struct("doc_id", F.xxhash64("text").alias("hash"))).alias("first")
-    entries = materialize(printed.groupBy("node", *names).agg(first).withColumn("comp", F.col("node")), "prints")
-    sets = key_sets(entries.count(), similarity, miss)
-    share, size = differing_share(similarity), 64 * HELD
-    bits = round(size * share + 3 * math.sqrt(size * share * (1 - share)))
-    accept = accept_similar(bits, MIN_WIDE)
-    verify = lambda pairs: _verify(pairs, texts, entries, shingle, similarity)
-
-    links = entries.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
-    blocks: dict = {}
-    long = _long_lists(entries, sets)
-    if long:
-        links = verify(materialize(_to_leaders(entries, sets, long, bits), "leaders"))
-        labelled = materialize(_label(entries, links), "labelled")
-        blocks = _blocks(labelled, sets, long)
-    else:
-        labelled = entries
-    spanning = _candidates(_tiled(labelled, sets, blocks), accept, every=False)
-    near = links.union(spanning)
-    links = materialize(links.union(verify(spanning)), "near-copies")
-    # Where the verified links leave a group of candidates in parts, all candidates between the parts are compared.
-    group = _label(entries, near).select(F.col("node").alias("of"), F.col("comp").alias("group"))
-    parts = materialize(_label(entries, links).join(group, F.col("node") == F.col("of")).drop("of"), "parts")
-    apart = parts.groupBy("group").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y").select("group")
-    unsettled = materialize(parts.join(apart, "group", "left_semi").drop("group"), "unsettled")
-    blocks = _blocks(unsettled, sets, _long_lists(unsettled, sets))
-    links = links.union(verify(_candidates(_tiled(unsettled, sets, blocks), accept, every=True)))
-
-    kept = _label(entries, links).groupBy("comp").agg(F.min("first").alias("first"))
-    chosen = kept.select(F.col("first.doc_id").alias("_kept_id"), F.col("first.hash").alias("_kept_hash"))
-    hashed = documents.withColumn("_row_hash", F.xxhash64(F.col(f"`{text}`")))
-    known = hashed.join(chosen, (F.col(f"`{doc_id}`") == F.col("_kept_id")) & (F.col("_row_hash") == F.col("_kept_hash")))
-    known = known.dropDuplicates(["_kept_id", "_kept_hash"]).drop("_kept_id", "_kept_hash", "_row_hash")
-    return known.unionByName(documents.where(F.col(f"`{doc_id}`").isNull()))
-
-
-def _blocks(entries: DataFrame, sets: list[tuple[int, ...]], long: dict) -> dict:
-    """For each long list: blocks of the leader's component, blocks of other entries, and that component."""
-    if not long:
-        return {}
-    leaders = entries.sparkSession.createDataFrame([(k[0], k[1], v[1]) for k, v in long.items()], "list int, key long, leader long")
-    comps = leaders.join(entries, F.col("leader") == F.col("node")).select("list", "key", F.col("comp").alias("of"))
-    of = {(r.list, r.key): r.of for r in comps.collect()}
-    shared = entries.sparkSession.sparkContext.broadcast(of)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
-        for batch in batches:
-            _, lanes = _lanes(batch)
-            comp = batch.column("comp").to_numpy()
-            at = [(n, k, comp[i] == known[n, k]) for n, places in enumerate(sets) for i, k in enumerate(_key(lanes, places).tolist()) if (n, k) in known]
-            columns = [pa.array([a[i] for a in at], kind) for i, kind in enumerate((pa.int32(), pa.int64(), pa.bool_()))]
-            yield pa.RecordBatch.from_arrays(columns, ["list", "key", "inside"])
-
-    rows = entries.where(F.pmod(F.xxhash64("node"), F.lit(SAMPLE)) == 0).mapInArrow(run, "list int, key long, inside boolean")
-    counts = rows.groupBy("list", "key").agg(F.count_if("inside").alias("inside"), F.count_if(~F.col("inside")).alias("others"))
-    part = lambda n: max(1, math.ceil(n * SAMPLE / BLOCK))
-    return {(r.list, r.key): (part(r.inside), part(r.others), of[r.list, r.key]) for r in counts.collect()}
+    id_, body = F.col(f"`{doc_id}`"), F.col(f"`{text}`")
+    keys = [F.xxhash64(F.lit(n), id_, body).alias(f"_row{n}") for n in (1, 2)]  # 128 bits name a row
+    named = documents.select(id_.alias("doc_id"), body.alias("text"), *keys)
+    printed = _add_words(named, "text", ["fingerprint"], lambda t: fingerprint(t, shingle))
+    marked = materialize(printed.select("doc_id", "_row1", "_row2", "fingerprint"), "simhash")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_row1", "_row2")
+    first = marked.groupBy("fingerprint").agg(F.min(order).alias("first"))
+    groups = connected(link_fingerprints(first.select("fingerprint"), bits))
+    labelled = first.join(groups, F.col("fingerprint") == F.col("node"), "left")
+    chosen = labelled.groupBy(F.coalesce("component", "fingerprint")).agg(F.min("first").alias("first"))
+    chosen = chosen.select(F.col("first._row1").alias("_kept1"), F.col("first._row2").alias("_kept2"))
+    known = documents.select(*[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(documents.columns)], *keys)
+    one = known.join(chosen, (F.col("_row1") == F.col("_kept1")) & (F.col("_row2") == F.col("_kept2")), "left_semi")
+    one = one.dropDuplicates(["_row1", "_row2"])
+    return one.select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(documents.columns)])

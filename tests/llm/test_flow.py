@@ -130,6 +130,43 @@ def test_grades_of_messy_and_empty_tables(spark, messy, nothing):
     assert [r.grade for r in labels.select(quality.grade().alias("grade")).collect()] == [2, 1, 1, 0, 2, None, 0, None]
 
 
+def test_fit_equals_a_dense_reference():
+    rng = np.random.default_rng(3)
+    buckets = 40
+    rows = [np.unique(rng.integers(0, buckets, rng.integers(1, 9))).astype(np.int32) for _ in range(60)]
+    grades = rng.integers(0, 3, 60)
+    model = quality.fit_ordinal(rows, grades, 3, rounds=30)
+    x = np.zeros((60, buckets))
+    for i, r in enumerate(rows):
+        x[i, r] = 1 / np.sqrt(len(r))
+    share = 1 / (3 * np.bincount(grades, minlength=3))[grades]
+
+    def loss(p):
+        cuts = np.array([p[-2], p[-2] + np.exp(p[-1])])
+        tail = 1 / (1 + np.exp(-((x @ p[:-2])[:, None] - cuts)))
+        above = grades[:, None] >= np.array([1, 2])
+        # The penalty is counted apart: its slope is 2e-5 times the weight.
+        return -(share[:, None] * np.where(above, np.log(tail), np.log1p(-tail))).sum() + 1e-5 * (p[:-2] ** 2).sum()
+
+    p, m, v = np.zeros(buckets + 2), np.zeros(buckets + 2), np.zeros(buckets + 2)
+    rate = np.append(np.full(buckets, 1.5), [0.15, 0.15])
+    for t in range(1, 31):
+        slope = np.array([(loss(p + e) - loss(p - e)) / 2e-5 for e in np.eye(len(p)) * 1e-5])
+        m, v = 0.9 * m + 0.1 * slope, 0.999 * v + 0.001 * slope**2
+        p = p - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+    assert np.abs(model.weights[:buckets] - p[:-2]).max() < 1e-2 and not model.weights[buckets:].any()
+    assert np.abs(model.thresholds - [p[-2], p[-2] + np.exp(p[-1])]).max() < 1e-2
+
+
+def test_many_documents_of_one_rated_id_count_once(spark):
+    docs = spark.range(2_000).selectExpr("if(id < 1990, 1, id) doc_id", "concat('text ', id % 1990) text")
+    ratings = spark.range(3_000).selectExpr("id doc_id", "cast(id % 3 as int) grade")
+    smallest = docs.where("doc_id = 1").orderBy(F.xxhash64("text")).first().text
+    few = docs.where(~((F.col("doc_id") == 1) & (F.col("text") != smallest)))
+    a, b = quality.train_grades(docs, ratings), quality.train_grades(few, ratings)
+    assert np.array_equal(a.weights, b.weights) and np.array_equal(a.thresholds, b.thresholds) and a.weights.any()
+
+
 # ------------------------------------------------------------------------------------------ tokens
 
 
@@ -238,12 +275,25 @@ def test_pipeline_stages_keep_their_promises(spark, folder):
 
 
 def test_pipeline_on_messy_documents(spark, messy, folder):
-    docs = messy.select("doc_id", "text", "lang", "source", "n_chars")
+    clash = [f"'{c}' AS {c}" for c in ("copies", "expected_grade", "tail_probability", "words_removed", "_row1", "_kept1", "_left", "_c0", "grade")]
+    docs = messy.selectExpr("*", *clash)
+    columns = docs.columns
     for name, stage in corpus_pipeline.STAGES:
-        docs = stage(spark, docs, folder)
-        docs.collect()
-        empty = stage(spark, messy.select("doc_id", "text", "lang", "source", "n_chars").limit(0), folder)
-        assert empty.count() == 0, name
+        out = stage(spark, docs, folder)
+        rows = out.collect()
+        if name != "token ids":
+            assert out.columns == columns, name
+            kept = {tuple(r[c] for c in columns if c not in ("doc_id", "text", "lang", "source", "n_chars")) for r in rows}
+            assert kept <= {("x", 1, 2, 3, 4, 5, 6, 7, 8, 9, *[c.split(" ")[-1] for c in clash])}, name
+        assert stage(spark, docs.limit(0), folder).count() == 0, name
+        docs = out
+
+
+def test_stages_work_without_a_size_column_and_without_ratings(spark, messy, folder):
+    docs = messy.select("doc_id", "text", "source")
+    assert corpus_pipeline.cut_benchmark(spark, docs, folder).count() == 8
+    far = docs.withColumn("doc_id", F.col("doc_id") + 10_000_000)
+    assert corpus_pipeline.keep_quality(spark, far, folder).count() == 8
 
 
 def test_repeated_rows_are_mixed_once_each(spark):

@@ -79,38 +79,22 @@ def test_long_lists_are_searched_whole(spark, monkeypatch, direct, small):
     assert root.tolist() == want
 
 
-def test_near_copies_go_and_others_stay(spark, texts):
-    rng = random.Random(9)
-    fresh = lambda n: " ".join(str(rng.random()) for _ in range(n))
-    base = [fresh(300) for _ in range(30)]
-    near = [t.replace(t.split()[150], "other", 1) for t in base[:20]]
-    rows = list(enumerate(base)) + [(100 + i, t) for i, t in enumerate(near)] + [(200, base[3]), (201, base[3]), (3, base[3]), (None, base[4])]
-    kept = simhash.keep_one_of_each(spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS node", "2 AS w0"))
-    assert kept.columns == ["doc_id", "text", "node", "w0"]
-    assert sorted((r.doc_id for r in kept.collect()), key=lambda x: (x is None, x)) == [*range(30), None]
-
-
-@pytest.mark.parametrize("block", [1024, 8])
-def test_near_copies_are_those_of_the_shingles(spark, monkeypatch, block):
-    monkeypatch.setattr(simhash, "BLOCK", block)
-    monkeypatch.setattr(simhash, "SAMPLE", 1)
-    rng = random.Random(3)
-    rows = []
-    for share in [0.012, 0.022, 0.024, 0.026, 0.03] * 12:
-        w = [str(rng.random()) for _ in range(500)]
-        rows += [" ".join(w), " ".join(str(rng.random()) if i % round(1 / share) == 7 else x for i, x in enumerate(w))]
-    hot = [str(rng.random()) for _ in range(300)]
-    for _ in range(60):
-        copy = list(hot)
-        for at in rng.sample(range(300), 4):
-            copy[at] = "x" + str(rng.random())
-        rows.append(" ".join(copy))
-    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, rows)]
-    alike = lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
-    want = sorted(set(brute_components(len(rows), alike)))
-    assert 60 < len(want) < len(rows) - 20
-    kept = simhash.keep_one_of_each(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"), miss=1e-4)
-    assert sorted(r.doc_id for r in kept.collect()) == want
+def test_one_of_each_group_stays(spark, texts):
+    rows = [(i, t) for i, t in enumerate(texts)] + [(None, texts[0]), (None, "alone with no id at all"), (0, "another text of id nought")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS node", "2 AS _row1", "'x' AS fingerprint", "4 AS component")
+    kept = simhash.keep_one_of_each(df)
+    assert kept.columns == ["doc_id", "text", "node", "_row1", "fingerprint", "component"]
+    prints = [brute_fingerprint(t) for _, t in rows]
+    root = brute_components(len(rows), lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 3)
+    groups = {}
+    for (i, t), r in zip(rows, root, strict=True):
+        groups.setdefault(r, []).append((i is None, i or 0, t))
+    got = {r: 0 for r in groups}
+    of_text = {(i, t): r for (i, t), r in zip(rows, root, strict=True)}
+    for r in kept.collect():
+        got[of_text[r.doc_id, r.text]] += 1
+        assert (r.doc_id is None, r.doc_id or 0) == min(g[:2] for g in groups[of_text[r.doc_id, r.text]])
+    assert set(got.values()) == {1}
 
 
 def test_rows_of_one_id_with_other_texts_stay(spark):
@@ -127,7 +111,7 @@ def test_messy_and_empty_documents(messy, nothing):
     empty = [r for r in rows if r.fingerprint == 0]
     assert len(empty) == 3 and {r.component_id for r in empty} == {2}
     assert simhash.group_near_copies(nothing).count() == 0 and simhash.keep_one_of_each(nothing).count() == 0
-    assert simhash.keep_one_of_each(messy).count() == 5
+    assert simhash.keep_one_of_each(messy).count() == len({r.component_id for r in rows})
 
 
 def test_components_of_a_chain_and_a_star(spark):

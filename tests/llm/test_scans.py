@@ -70,14 +70,30 @@ def test_index_counts_and_locates():
         assert sorted(index.locate(np.arange(low[0], high[0])).tolist()) == want
 
 
-def test_removal_cuts_only_the_spans(spark):
+@pytest.mark.parametrize("options", [{}, {"block_bytes": 10}, {"shard_bytes": 20}])
+def test_removal_cuts_only_the_spans(spark, options):
     docs = spark.createDataFrame(
-        [(1, "Keep this. Secret TEST phrase, here! And that."), (2, None), (3, "nothing"), (4, "secret test phrase here")],
+        [(1, "Keep this. Secret TEST phrase, here! And that."), (2, None), (3, "nothing"), (4, "secret test phrase here"), (5, "")],
         "doc_id long, text string",
     )
-    bench = spark.createDataFrame([(1, "secret test phrase here")], "item_id long, text string")
-    cut = dc.remove_spans(dc.find_contamination(docs, bench))
-    assert {r.doc_id: r.text for r in cut.collect()} == {1: "Keep this. ! And that.", 2: None, 3: "nothing", 4: ""}
+    bench = spark.createDataFrame([(1, "secret test phrase here"), (2, "this secret test")], "item_id long, text string")
+    cut = dc.remove_contamination(docs, bench, **options)
+    assert cut.columns == ["doc_id", "text", "words_removed"]
+    assert {r.doc_id: r.text for r in cut.collect()} == {1: "Keep ! And that.", 2: None, 3: "nothing", 5: ""}
+    assert {r.doc_id: r.words_removed for r in cut.collect()} == {1: 5, 2: 0, 3: 0, 5: 0}
+
+
+def test_a_large_benchmark_is_cut_in_chunks():
+    rng = np.random.default_rng(2)
+    vocabulary = [f"w{i}".encode() for i in range(50_000)]
+    items = [(str(i), b" ".join(vocabulary[k] for k in rng.integers(0, 50_000, 35_000))) for i in range(100)]
+    assert sum(len(t) for _, t in items) > 20_000_000
+    phrases = dc.Phrases(items, 10)
+    assert phrases.words.nbytes < 16_000_000
+    passage = items[57][1].split()[1_000:1_012]
+    counts, found, flags = phrases.find([b"before " + b" ".join(passage) + b" after", b"nothing here"])
+    assert counts.tolist() == [14, 2] and found == [{"57"}, set()]
+    assert np.flatnonzero(flags[0]).tolist() == list(range(1, 13)) and 1 not in flags
 
 
 def test_contamination_of_messy_and_empty_tables(spark, messy, nothing):
