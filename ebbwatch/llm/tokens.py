@@ -11,8 +11,10 @@ from __future__ import annotations
 
 import os
 import re
+import string
 import zlib
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +29,8 @@ from ebbwatch.sources.storage import materialize, scratch_path
 
 LENGTH = 1024  # ids of a sequence
 BATCH = 256  # sequences of a record batch
-KNOWN = 300_000  # units that a worker remembers in each of two generations
+KNOWN = 600_000  # units that a worker remembers before it drops those asked for once, some 200 bytes each
+KNOWN_IDS = 4_000_000  # ids that they may have in all, which bounds long units
 
 
 class Encoder:
@@ -47,31 +50,64 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.forget()
 
-    def _library(self, texts: list[str]) -> list[bytes]:
+    def _library(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.kind).tobytes() for e in found]
-
-    def _units(self, units: list[str]) -> list[bytes]:
-        """Ids of different units. Those not asked for during a whole generation are forgotten."""
-        if len(self.young) > KNOWN:
-            self.old, self.young = self.young, {}
-        ids = list(map(self.young.get, units))
-        missing = [i for i, v in enumerate(ids) if v is None]
-        for i in missing:
-            if (v := self.old.get(units[i])) is not None:
-                ids[i] = self.young[units[i]] = v
-        missing = [i for i in missing if ids[i] is None]
-        pieces = [_pieces(units[i]) for i in missing]
-        both = {p: self.young.get(p) or self.old.get(p) for ps in pieces for p in ps}
-        new = [p for p, v in both.items() if v is None]
-        both.update(zip(new, self._library(new), strict=True))
-        for i, ps in zip(missing, pieces, strict=True):
-            ids[i] = self.young[units[i]] = both[ps[0]] if len(ps) == 1 else both[ps[0]] + both[ps[1]]
-        self.young.update((p, both[p]) for p in new)
-        return ids
+        return [np.array(e.ids, self.kind) for e in found]
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Remember the ids of new pieces; the library takes many at once, as words that are cut already."""
+        for at in range(0, len(pieces), 1_000):
+            some = pieces[at : at + 1_000]
+            found = self.tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
+            sizes = np.bincount(np.array(found.word_ids, np.int64), minlength=len(some))
+            self._add(some, np.array(found.ids, self.kind), sizes)
+
+    def _add(self, units: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        n, used = len(self.known), int(self.ends[len(self.known)])
+        self.ids = _room(self.ids, used + len(ids))
+        self.ends = _room(self.ends, n + len(units) + 1)
+        self.asked = _room(self.asked, len(self.ends))
+        self.ids[used : used + len(ids)] = ids
+        self.ends[n + 1 : n + 1 + len(units)] = used + np.cumsum(sizes)
+        self.known.update(zip(units, range(n, n + len(units)), strict=True))
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids, self.ends, self.asked = np.zeros(1 << 16, self.kind), np.zeros(1 << 16, np.int64), np.zeros(1 << 16, bool)
+
+    def _make_room(self) -> None:
+        """Keep the units that were asked for again since the last time, if these are few enough."""
+        units, kept = list(self.known), np.flatnonzero(self.asked[: len(self.known)])
+        ids, sizes = self._gather(kept)
+        self.forget()
+        if len(kept) <= KNOWN // 2 and len(ids) <= KNOWN_IDS // 2:
+            self._add([units[i] for i in kept.tolist()], ids, sizes)
+
+    def _units(self, units: list[str]) -> np.ndarray:
+        """Numbers of different units among the known ones, after learning those that are new."""
+        if len(self.known) > KNOWN or self.ends[len(self.known)] > KNOWN_IDS:
+            self._make_room()
+        number = np.fromiter(map(self.known.get, units, repeat(-1)), np.int64, len(units))
+        self.asked[number[number >= 0]] = True
+        missing = [units[i] for i in np.flatnonzero(number < 0).tolist()]
+        if missing:
+            pieces = [_pieces(u) if u[-1:] in _MARKS else (u,) for u in missing]
+            self._learn([p for p in dict.fromkeys(chain.from_iterable(pieces)) if p not in self.known])
+            joined = [(u, ps) for u, ps in zip(missing, pieces, strict=True) if len(ps) > 1]
+            if joined:
+                halves = np.fromiter(map(self.known.__getitem__, chain.from_iterable(ps for _, ps in joined)), np.int64)
+                ids, sizes = self._gather(halves)
+                self._add([u for u, _ in joined], ids, sizes.reshape(-1, 2).sum(axis=1))
+            number[number < 0] = np.fromiter(map(self.known.__getitem__, missing), np.int64, len(missing))
+        return number
+
+    def _gather(self, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of known units one after another, and how many each has."""
+        sizes = self.ends[number + 1] - self.ends[number]
+        ends = np.cumsum(sizes)
+        return self.ids[np.repeat(self.ends[number] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)], sizes
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text; the array holds no nulls."""
@@ -86,21 +122,23 @@ class Encoder:
         bad = ~_regular(coded.dictionary)
         strange = np.add.reduceat(np.append(bad[at], False), bounds[:-1]) if len(texts) else np.zeros(0)
         whole = odd.to_numpy(zero_copy_only=False) | (strange > 0)
-        of_unit = self._units(units)
-        size = np.array([len(x) for x in of_unit], np.int64) // self.kind.itemsize
-        flat = np.frombuffer(b"".join(of_unit), self.kind)
-        sizes = size[at]
-        ends = np.concatenate([[0], np.cumsum(sizes)])
-        stream = flat[np.repeat((np.cumsum(size) - size)[at] - ends[:-1], sizes) + np.arange(ends[-1])]
-        ends = ends[bounds].tolist()
+        stream, sizes = self._gather(self._units(units)[at])
+        ends = np.concatenate([[0], np.cumsum(sizes)])[bounds].tolist()
         rows = np.flatnonzero(whole).tolist()
         library = dict(zip(rows, self._library([texts[i].as_py() for i in rows]), strict=True))
-        return [
-            np.frombuffer(library[i], self.kind) if i in library else stream[ends[i] : ends[i + 1]]
-            for i in range(len(texts))
-        ]
+        return [library[i] if i in library else stream[ends[i] : ends[i + 1]] for i in range(len(texts))]
+
+
+def _room(array: np.ndarray, size: int) -> np.ndarray:
+    """The array, in one of twice the size or more where ``size`` does not fit."""
+    if size <= len(array):
+        return array
+    grown = np.zeros(max(size, 2 * len(array)), array.dtype)
+    grown[: len(array)] = array
+    return grown
 
 
+_MARKS = frozenset(string.punctuation)
 _WORD_AND_MARKS = re.compile(r"([ \n]?[^\W\d_]+)([!-/:-@\[-`{-~]+)")
 
 
