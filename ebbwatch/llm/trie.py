@@ -134,6 +134,7 @@ def build_trie(turns: DataFrame, ends_chunk: int = ENDS_CHUNK) -> Trie:
         F.min("leaf").alias("owner"),
         F.first("words").alias("words_of"),
     )
+    counted = materialize(counted, "trie-counts")  # a plain table, so that the join below can split the rows of a hot node
     saved = (F.col("n_convs") - 1) * F.col("words_of")
     joined = marked.where("leaf is not null").select("leaf", *PREFIX).join(counted, PREFIX)
     own = F.col("leaf") == F.col("owner")
