@@ -45,10 +45,10 @@ def stamp(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, F.current_timestamp())
 
 
-def _tie_break(df: DataFrame) -> list[str]:
-    """All other columns, so that versions of equal time are ordered whatever the input order."""
-    first = [c for c in ("age", "churn_label", "avg_balance_6m", "clv_score") if c in df.columns]
-    return [*first, *sorted(c for c in df.columns if c not in (*first, "customer_id", "ingestion_ts"))]
+def customer_order(columns: Sequence[str]) -> list[str]:
+    """All columns but key and time, so that versions of equal time are ordered whatever the input order."""
+    first = [c for c in ("age", "churn_label", "avg_balance_6m", "clv_score") if c in columns]
+    return [*first, *sorted(c for c in columns if c not in (*first, "customer_id", "ingestion_ts"))]
 
 
 def raw_to_silver(df: DataFrame) -> DataFrame:
@@ -57,7 +57,7 @@ def raw_to_silver(df: DataFrame) -> DataFrame:
     Rows without a key are dropped before the shuffle. The label filter stays behind the
     deduplication: a customer whose newest row has no label disappears.
     """
-    tie_break = _tie_break(df)
+    tie_break = customer_order(df.columns)
     keyed = df.where(F.col("customer_id").isNotNull())
     latest = dedup_latest(keyed, "customer_id", "ingestion_ts", tie_break)
     return (
@@ -73,7 +73,7 @@ def quality_counts(raw: DataFrame) -> DataFrame:
     """
     newest = raw.groupBy("customer_id").agg(
         F.count("*").alias("versions"),
-        F.max(F.struct("ingestion_ts", *_tie_break(raw))).alias("newest"),
+        F.max(F.struct("ingestion_ts", *customer_order(raw.columns))).alias("newest"),
     )
     kept = F.col("customer_id").isNotNull() & F.col("newest.churn_label").isNotNull()
     return newest.agg(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ebbwatch import constants as K
 from ebbwatch.functions import scalar as S
+from ebbwatch.operators import attribution as A
 from ebbwatch.operators import explain as E
 from ebbwatch.operators import features as FT
 from ebbwatch.operators import models as M
@@ -374,9 +375,38 @@ def tree_importance(spark, folder):
 def boosted_importance(spark, folder):
     """Split importance of the boosted, weighted trees."""
     rows = _fitted_features(spark, folder)
+    return E.tree_importance(spark, _boosted(rows), FT.vector_names(rows))
+
+
+def _boosted(rows):
     held_out = S.hash_bucket("customer_id", 100, salt="held:") < 20
-    model = M.train_boosted_weighted(rows.where("part = 'train'").withColumn("held_out", held_out), "held_out")
-    return E.tree_importance(spark, model, FT.vector_names(rows))
+    return M.train_boosted_weighted(rows.where("part = 'train'").withColumn("held_out", held_out), "held_out")
+
+
+@query("forest_contributions")
+def forest_contributions(spark, folder):
+    """Features by the mean absolute Shapley value of the forest's probability over all customers."""
+    rows = _fitted_features(spark, folder)
+    model = M.fit_classifier(rows.where("part = 'train'"), "random_forest", numTrees=50)
+    return E.importance_rank(A.mean_contributions(A.tree_contributions(model, rows, "customer_id"), FT.vector_names(rows)), top=None)
+
+
+@query(
+    "boosted_contributions",
+    f"""WITH {O.SILVER} SELECT customer_id, true AS adds_up, true AS has_reason FROM silver""",
+)
+def boosted_contributions(spark, folder):
+    """For every customer whether base and contributions add up to the margin of the boosted model, and whether the
+    strongest of them points where the margin lies from the base."""
+    rows = _fitted_features(spark, folder)
+    model = _boosted(rows)
+    values = A.tree_contributions(model, rows, "customer_id")
+    margins = model.transform(rows).select(F.col("customer_id").alias("of"), F.get(vector_to_array("rawPrediction"), F.lit(1)).alias("margin"))
+    total = F.aggregate("contributions", F.lit(0.0), lambda s, x: s + x)
+    gap = F.col("margin") - F.col("base")
+    pointing = F.exists("contributions", lambda x: x * F.signum(gap) > 0) | (F.abs(gap) < 1e-9)
+    joined = values.join(margins, F.col("customer_id") == F.col("of"))
+    return joined.select("customer_id", (F.abs(total - gap) < 1e-9).alias("adds_up"), pointing.alias("has_reason"))
 
 
 @query(

@@ -100,6 +100,33 @@ def activity_windows(events: DataFrame, kind: str, watermark: str = WATERMARK) -
     )
 
 
+# ------------------------------------------------------------------------------------ outcome of alerts
+
+
+def alert_outcomes(events: DataFrame, alert: str, answer: str, within: str, watermark: str = WATERMARK) -> DataFrame:
+    """One row for each alert event: when the same customer first answered it, and how often, within a time.
+
+    A stream-stream interval join of alerts with later answers, both under watermarks, then an aggregate by alert. An
+    alert leaves the state when the watermark has passed its time plus ``within``, answered or not; an answer leaves it
+    when no open alert can be older. Events without a customer have no outcome; late ones are dropped.
+    """
+    typed = events.where(F.col("user_id").isNotNull() & F.col("event_id").isNotNull())
+    alerts = typed.where(F.col("event_type") == alert).select(
+        "event_id", customer_key("user_id").alias("customer_id"), F.col("ts").alias("alerted_at")
+    )
+    answers = typed.where(F.col("event_type") == answer).select(
+        customer_key("user_id").alias("answered_by"), F.col("ts").alias("answered_at")
+    )
+    in_time = (F.col("answered_at") > F.col("alerted_at")) & (F.col("answered_at") <= F.col("alerted_at") + F.expr(f"INTERVAL {within}"))
+    joined = alerts.withWatermark("alerted_at", watermark).join(
+        answers.withWatermark("answered_at", watermark), (F.col("customer_id") == F.col("answered_by")) & in_time, "leftOuter"
+    )
+    told = joined.groupBy("event_id", "customer_id", "alerted_at").agg(
+        F.min("answered_at").alias("answered_at"), F.count("answered_at").alias("n_answers")
+    )
+    return told.withColumn("answered", F.col("n_answers") > 0)
+
+
 # ------------------------------------------------------------------------------------ customer state
 
 STATE_SCHEMA = T.StructType(
