@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import random
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
@@ -16,6 +18,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +27,7 @@ from ebbwatch.operators.features import positive_probability
 from ebbwatch.operators.metrics import binary_metrics
 from ebbwatch.operators.scoring import add_risk_bands
 from ebbwatch.operators.splits import add_fold, split_by_hash
+from ebbwatch.sources.storage import materialize
 
 # Default settings of each model type.
 DEFAULTS: dict[str, tuple[type, dict]] = {
@@ -102,18 +106,25 @@ class Search:
 
 
 def tune_search(
-    df: DataFrame, kind: str, key: str, grid: Mapping[str, Sequence] | None = None, candidates: int = 4, label: str = "churn_label", seed: int = 42
+    df: DataFrame, kind: str, key: str, grid: Mapping[str, Sequence] | None = None, candidates: int = 4, label: str = "churn_label",
+    seed: int = 42, parallelism: int = 4,
 ) -> Search:
-    """Random search: a few settings drawn from the grid, judged on a part held out by the hash of the key."""
-    import random
+    """Random search: a few settings drawn from the grid, judged on a part held out by the hash of the key.
 
+    The rows are written once and the settings are fitted side by side.
+    """
     estimator = classifier(kind, label)
     full = _grid(estimator, GRIDS[kind] if grid is None else grid)
     drawn = random.Random(seed).sample(full, min(candidates, len(full)))
-    parts = split_by_hash(df.select(key, label, "features"), key, name="_part")
+    parts = materialize(split_by_hash(df.select(key, label, "features"), key, name="_part"), "search")
     train, held = (parts.where(F.col("_part") == p).select(label, "features") for p in ("train", "test"))
-    models = [estimator.fit(train, setting) for setting in drawn]
-    aucs = [float(_auc(label).evaluate(m.transform(held))) for m in models]
+
+    def attempt(setting):
+        model = estimator.fit(train, setting)
+        return model, float(_auc(label).evaluate(model.transform(held)))
+
+    with ThreadPool(parallelism) as pool:
+        models, aucs = map(list, zip(*pool.map(inheritable_thread_target(df.sparkSession)(attempt), drawn), strict=True))
     best = models[max(range(len(aucs)), key=aucs.__getitem__)]
     return Search([{p.name: float(v) for p, v in s.items()} for s in drawn], aucs, best)
 

@@ -2,7 +2,8 @@
 
 Each operator splits a group into deterministic ordered bins, ranks inside the bins in parallel
 and adds the totals of the bins below. Only the bin totals meet in one task, and their number is
-bounded by the bin definition, not by the data.
+bounded by the bin definition, not by the data. Where values crowd, a bin is cut into finer ones, whose totals
+meet bin by bin.
 """
 
 from __future__ import annotations
@@ -13,6 +14,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbwatch.functions.scalar import monotone_bin
+from ebbwatch.operators.skew import heavy_join
+
+#: Fine bins of one doubling; 2 ** FINER of them make a bin. They part values that differ by a relative 2 ** -22.
+FINE_PER_OCTAVE, FINER = 1 << 22, 11
 
 
 def join_with_nulls(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -54,41 +59,55 @@ def running_totals(
 ) -> DataFrame:
     """Adds ``<value>_before`` and ``<value>_all`` for rows that are unique per (group, order).
 
-    Hot order values must already be summed into one row, as ``groupBy(group, order)`` leaves them.
+    Hot order values must already be summed into one row, as ``groupBy(group, order)`` leaves them. Bins are cut
+    twice: totals of bins are cumulated for each group, those of fine bins for each bin, and rows are ordered inside
+    a fine bin, so values that crowd around one number are spread over 2,048 windows.
     """
     group = list(group)
-    binned = df.withColumn("_bin", monotone_bin(order))
-    bins = [*group, "_bin"]
+    fine = monotone_bin(order, FINE_PER_OCTAVE)
+    binned = df.withColumn("_fine", fine).withColumn("_bin", F.shiftright("_fine", FINER))
 
     def sort(column: str) -> Column:
         return F.col(column).desc() if descending else F.col(column).asc()
 
+    def below(partition: Sequence[str], by: str) -> Column:
+        over = Window.partitionBy(*partition) if partition else Window.partitionBy(F.lit(1))
+        return over.orderBy(sort(by)).rowsBetween(Window.unboundedPreceding, -1)
+
     whole = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(1))
-    below = whole.orderBy(sort("_bin")).rowsBetween(Window.unboundedPreceding, -1)
-    sums = binned.groupBy(*bins).agg(*[F.sum(v).alias(f"_s_{v}") for v in values])
+    parts = binned.groupBy(*group, "_bin", "_fine").agg(*[F.sum(v).alias(f"_f_{v}") for v in values])
+    sums = parts.groupBy(*group, "_bin").agg(*[F.sum(f"_f_{v}").alias(f"_s_{v}") for v in values])
     offsets = sums.select(
-        *bins,
-        *[F.coalesce(F.sum(f"_s_{v}").over(below), F.lit(0)).alias(f"_o_{v}") for v in values],
+        *group,
+        "_bin",
+        *[F.coalesce(F.sum(f"_s_{v}").over(below(group, "_bin")), F.lit(0)).alias(f"_o_{v}") for v in values],
         *[F.sum(f"_s_{v}").over(whole).alias(f"{v}_all") for v in values],
     )
-    inside = Window.partitionBy(*bins).orderBy(sort(order)).rowsBetween(Window.unboundedPreceding, -1)
-    local = binned.withColumns({f"_i_{v}": F.coalesce(F.sum(v).over(inside), F.lit(0)) for v in values})
-    joined = join_with_nulls(local, offsets, bins)
-    return joined.withColumns({f"{v}_before": F.col(f"_i_{v}") + F.col(f"_o_{v}") for v in values}).drop(
-        "_bin", *[f"_i_{v}" for v in values], *[f"_o_{v}" for v in values]
+    finer = parts.select(
+        *group,
+        "_bin",
+        "_fine",
+        *[F.coalesce(F.sum(f"_f_{v}").over(below([*group, "_bin"], "_fine")), F.lit(0)).alias(f"_p_{v}") for v in values],
     )
+    offsets = join_with_nulls(finer, offsets, [*group, "_bin"]).drop("_bin")
+    fine_bins = [*group, "_fine"]
+    inside = below(fine_bins, order)
+    local = binned.drop("_bin").withColumns({f"_i_{v}": F.coalesce(F.sum(v).over(inside), F.lit(0)) for v in values})
+    joined = join_with_nulls(local, offsets, fine_bins)
+    before = {f"{v}_before": F.col(f"_i_{v}") + F.col(f"_p_{v}") + F.col(f"_o_{v}") for v in values}
+    return joined.withColumns(before).drop("_fine", *[f"_{k}_{v}" for v in values for k in "ipo"])
 
 
 def rank_within(df: DataFrame, group: str, order: str, name: str = "rank") -> DataFrame:
     """``rank()`` by falling ``order`` inside ``group``, exact, for groups of any size; nulls are a group, and rank last.
 
-    Rows of equal value are counted first, so ranking works on distinct values; the join back is an
-    equi-join that adaptive execution splits where one value holds many rows.
+    Rows of equal value are counted first, so ranking works on distinct values; in the join back, the rows of a value
+    that holds many are dealt over many tasks.
     """
     counted = df.groupBy(group, order).agg(F.count("*").alias("_n"))
     ranks = running_totals(counted, order, ["_n"], [group], descending=True)
     ranks = ranks.select(group, order, (F.col("_n_before") + 1).alias(name))
-    return join_with_nulls(df, ranks, [group, order])
+    return heavy_join(df, ranks, [group, order], counted, "_n")
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], kind: str = "linear") -> DataFrame:

@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import functools
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ebbwatch import constants as K
 from ebbwatch.functions import vectors as V
 from ebbwatch.functions.texts import words
+from ebbwatch.operators.skew import heavy_join
 
-
-ANCHOR_BLOCK = 256  # anchors that enter a row at once
+ANCHOR_BYTES = 64_000_000  # of anchor vectors that are sent to the executors at once
 
 # ------------------------------------------------------------------------------- anchors and intent
 
@@ -40,44 +44,146 @@ def label_anchors(vectors: DataFrame, churn_labels: int = 5) -> DataFrame:
     )
 
 
-def _blocks(anchors: DataFrame, block: int = ANCHOR_BLOCK) -> list[Column]:
-    """The anchor table as arrays (scalar subqueries) of about ``block`` anchors, ordered by anchor.
+class AnchorBlock:
+    """Unit vectors of some anchors, ordered by their angle to a middle direction, for the highest cosine to one."""
 
-    Any number of anchors is met block by block; none is gathered beyond its block.
-    """
+    SIZE = 1_024
+
+    def __init__(self, vectors: np.ndarray):
+        unit = _unit_rows(vectors)
+        zero = ~unit.any(axis=1)
+        self.any, self.zero, unit = len(unit) > 0, bool(zero.any()), unit[~zero]
+        middle = unit.sum(axis=0, keepdims=True) if len(unit) else np.zeros((1, unit.shape[1]))
+        self.middle = _unit_rows(middle)[0]
+        angle = np.arccos(np.clip(unit @ self.middle, -1, 1))
+        order = np.argsort(angle, kind="stable")
+        self.parts = [
+            (float(angle[o].min()), float(angle[o].max()), np.ascontiguousarray(unit[o].T))
+            for o in (order[i : i + self.SIZE] for i in range(0, len(order), self.SIZE))
+        ]
+
+    def highest(self, unit: np.ndarray) -> np.ndarray:
+        """The highest cosine of each row to an anchor; minus infinity without anchors.
+
+        The angle between a row and the anchors of a part is at least the gap between their angles to the middle, so a
+        part whose bound a row has reached is not multiplied with it.
+        """
+        zero = ~unit.any(axis=1)
+        best = np.full(len(unit), -np.inf)
+        best[zero] = 0.0 if self.any else -np.inf
+        if self.zero:
+            best[:] = 0.0
+        angle = np.arccos(np.clip(unit @ self.middle, -1, 1))
+        for low, high, part in self.parts:
+            gap = np.maximum(0, np.maximum(low - angle, angle - high))
+            open_ = np.flatnonzero(~zero & (np.cos(gap) + 1e-9 > best))
+            if len(open_):
+                best[open_] = np.maximum(best[open_], (unit[open_] @ part).max(axis=1))
+        return best
+
+
+def _unit_rows(rows: np.ndarray) -> np.ndarray:
+    """Rows of length one; zero rows and rows that are not numbers are zero."""
+    norm = np.sqrt((rows * rows).sum(axis=1, keepdims=True))
+    return np.divide(rows, norm, out=np.zeros_like(rows, dtype=float), where=norm > 0)
+
+
+def _matrix(column: pa.Array, dim: int) -> np.ndarray:
+    """The vectors of a list column; a null vector is zero, one of another length an error."""
+    if not dim:  # there are no anchors
+        return np.zeros((len(column), 0))
+    known = column.is_valid().to_numpy(zero_copy_only=False)
+    found = column.drop_null()
+    lengths = pc.list_value_length(found).to_numpy(zero_copy_only=False)
+    if len(lengths) and not (lengths == dim).all():
+        raise ValueError(f"vectors of {sorted(set(lengths.tolist()))[:3]} entries meet anchors of {dim}")
+    out = np.zeros((len(column), dim))
+    out[known] = found.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, dim)
+    return out
+
+
+def _anchor_blocks(anchors: DataFrame, block: int | None = None) -> tuple[int, list[DataFrame]]:
+    """Dimension, and the anchors in frames of at most about ANCHOR_BYTES, or ``block`` rows."""
+    dim = common_dimension(anchors, "vector")
+    block = block or max(1, ANCHOR_BYTES // (8 * max(1, dim)))
     count = max(1, -(-anchors.count() // block))
-    packed = F.sort_array(F.collect_list(F.struct("anchor", "kind", "vector"))).alias("anchors")
     number = F.pmod(F.xxhash64("anchor", "kind"), F.lit(count))
-    return [anchors.where(number == i).agg(packed).scalar() for i in range(count)]
-
-
-def text_x_anchor(vectors: DataFrame, anchors: DataFrame, vector: str = "embedding", block: int = ANCHOR_BLOCK) -> DataFrame:
-    """Cosine of every vector to every anchor, one row for each; no join takes place: a row unfolds block by block."""
-    rows = vectors.withColumn("_b", F.explode(F.array(*_blocks(anchors, block)))).withColumn("_a", F.explode("_b"))
-    kept = [c for c in vectors.columns if c != vector]
-    return rows.select(
-        *kept,
-        F.col("_a.anchor").alias("anchor"),
-        F.col("_a.kind").alias("kind"),
-        V.cosine(vector, "_a.vector").alias("similarity"),
-    )
+    return dim, [anchors if count == 1 else anchors.where(number == i) for i in range(count)]
 
 
-def max_anchor_similarity(vectors: DataFrame, anchors: DataFrame, vector: str = "embedding", block: int = ANCHOR_BLOCK) -> DataFrame:
-    """Adds the highest similarity to the leaving and to the staying anchors, inside the row; null without any."""
-    blocks = {f"_block{i}": b for i, b in enumerate(_blocks(anchors, block))}
+def _send(block: DataFrame, dim: int):
+    """The anchors of a block, ordered, as a broadcast of (numbers, kinds, unit vectors)."""
+    table = block.select("anchor", "kind", V.to_double("vector").alias("vector")).toArrow().sort_by([("anchor", "ascending"), ("kind", "ascending")])
+    vectors = _unit_rows(_matrix(table.column("vector").combine_chunks(), dim))
+    return block.sparkSession.sparkContext.broadcast((table.column("anchor").combine_chunks(), table.column("kind").combine_chunks(), vectors))
 
-    def best(kind: str) -> Column:
-        of_block = [
-            F.array_max(
-                F.transform(F.filter(b, lambda a: a["kind"] == kind), lambda a: V.cosine(F.col(vector), a["vector"]))
-            )
-            for b in blocks
-        ]
-        return F.array_max(F.array(*of_block))
 
-    rows = vectors.withColumns(blocks)
-    return rows.withColumns({"churn_similarity": best("churn"), "retention_similarity": best("retention")}).drop(*blocks)
+def text_x_anchor(vectors: DataFrame, anchors: DataFrame, vector: str = "embedding", block: int | None = None) -> DataFrame:
+    """Cosine of every vector to every anchor, one row for each: a matrix product for each batch and block of anchors.
+
+    No join takes place and no row carries anchors along. Anchors beyond one block take a pass over the vectors each.
+    """
+    dim, blocks = _anchor_blocks(anchors, block)
+    kept = [f for f in vectors.schema.fields if f.name != vector]
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
+    schema = f"{kinds + ', ' if kinds else ''}anchor int, kind string, similarity double"
+    rows = vectors.withColumn(vector, V.to_double(vector))
+
+    def unfold(sent):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            numbers, names, unit = sent.value
+            step = max(1, 200_000 // max(1, len(unit)))
+            for batch in batches:
+                for at in range(0, batch.num_rows if len(unit) else 0, step):
+                    part = batch.slice(at, step)
+                    found = _unit_rows(_matrix(part.column(vector), dim)) @ unit.T
+                    row = pa.array(np.repeat(np.arange(part.num_rows), len(unit)))
+                    which = pa.array(np.tile(np.arange(len(unit)), part.num_rows))
+                    columns = [part.column(f.name).take(row) for f in kept]
+                    yield pa.RecordBatch.from_arrays(
+                        [*columns, numbers.take(which), names.take(which), pa.array(found.ravel())],
+                        [*[f.name for f in kept], "anchor", "kind", "similarity"],
+                    )
+
+        return run
+
+    pairs = [rows.mapInArrow(unfold(_send(b, dim)), schema) for b in blocks]
+    return functools.reduce(DataFrame.union, pairs)
+
+
+def _add_highest(vectors: DataFrame, anchors: DataFrame, vector: str, wanted: Mapping[str, str | None], block: int | None) -> DataFrame:
+    """Adds a column for each wanted kind (None: any): the highest cosine to its anchors, null without any."""
+    dim, blocks = _anchor_blocks(anchors, block)
+    names = [f"_highest_{i}" for i in range(len(wanted))]
+    rows = vectors.withColumn("_unit", V.to_double(vector))
+    carried = rows.columns
+    fields = T.StructType([*rows.schema.fields, *[T.StructField(n, T.DoubleType()) for n in names]])
+
+    def add(sent, first: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            _, kinds, unit = sent.value
+            kinds = np.array(kinds.to_pylist(), object)
+            sets = [AnchorBlock(unit if k is None else unit[kinds == k]) for k in wanted.values()]
+            for batch in batches:
+                found = _unit_rows(_matrix(batch.column("_unit"), dim))
+                best = [s.highest(found) for s in sets]
+                if not first:
+                    best = [np.maximum(b, batch.column(n).to_numpy()) for b, n in zip(best, names, strict=True)]
+                given = [batch.column(c) for c in carried]
+                yield pa.RecordBatch.from_arrays([*given, *map(pa.array, best)], fields.names)
+
+        return run
+
+    found = rows
+    for i, b in enumerate(blocks):
+        found = found.mapInArrow(add(_send(b, dim), i == 0), fields)
+    told = {name: F.when(F.col(n) > float("-inf"), F.col(n)) for name, n in zip(wanted, names, strict=True)}
+    return found.withColumns(told).drop("_unit", *names)
+
+
+def max_anchor_similarity(vectors: DataFrame, anchors: DataFrame, vector: str = "embedding", block: int | None = None) -> DataFrame:
+    """Adds the highest similarity to the leaving and to the staying anchors; null without any."""
+    return _add_highest(vectors, anchors, vector, {"churn_similarity": "churn", "retention_similarity": "retention"}, block)
 
 
 def churn_intent(vectors: DataFrame, anchors: DataFrame, vector: str = "embedding") -> DataFrame:
@@ -171,12 +277,9 @@ def centroid(vectors: DataFrame, vector: str = "embedding") -> DataFrame:
 def centroid_similarity(vectors: DataFrame, history: DataFrame, vector: str = "embedding") -> DataFrame:
     """Cosine to the centroid of the history profiles, an anchor table, and the highest cosine to one of them."""
     middle = centroid(history, "vector")
-    blocks = {f"_block{i}": b for i, b in enumerate(_blocks(history))}
-    highest = [F.array_max(F.transform(b, lambda a: V.cosine(F.col(vector), a["vector"]))) for b in blocks]
-    rows = vectors.withColumns({"_c": middle.scalar(), **blocks})
-    return rows.withColumns(
-        {"centroid_similarity": V.cosine(vector, "_c"), "max_similarity": F.array_max(F.array(*highest))}
-    ).drop("_c", *blocks)
+    rows = _add_highest(vectors, history, vector, {"max_similarity": None}, None).withColumn("_c", middle.scalar())
+    kept = [c for c in vectors.columns if c not in ("centroid_similarity", "max_similarity")]
+    return rows.select(*kept, V.cosine(vector, "_c").alias("centroid_similarity"), "max_similarity")
 
 
 def vector_dimension(df: DataFrame, vector: str = "embedding") -> DataFrame:
@@ -249,14 +352,19 @@ def mean_pooling(docs: DataFrame, key: str, text: str, token_vectors: DataFrame)
 
     Every document is reported with all its tokens, and with those whose bucket has a vector, over which the mean
     goes; it is null when there are none. Counts per (document, bucket) weight the mean, so a word is one row of
-    a document; a word of nearly every document is one key, whose side the join may split.
+    a document. A small table of vectors is broadcast; beyond ANCHOR_BYTES the rows of frequent words are dealt over
+    many tasks.
     """
     dim = common_dimension(token_vectors)
-    buckets = token_vectors.agg((F.max("bucket") + 1).alias("n")).scalar()
+    shape = token_vectors.agg((F.max("bucket") + 1).alias("n"), F.count("*").alias("rows")).first()
+    buckets = F.lit(shape.n)
     tokens = docs.select(key, F.explode_outer(words(text)).alias("word"))
     bucket = (F.conv(F.substring(F.md5("word"), 1, 8), 16, 10).cast("bigint") % buckets).cast("bigint")
     counts = tokens.groupBy(key, bucket.alias("bucket")).agg(F.count("word").alias("tf"))
-    joined = counts.join(token_vectors, "bucket", "left")
+    if 8 * dim * shape.rows <= ANCHOR_BYTES:
+        joined = counts.join(F.broadcast(token_vectors), "bucket", "left")
+    else:
+        joined = heavy_join(counts, token_vectors, ["bucket"], how="left")
     known = F.when(F.col("embedding").isNotNull(), F.col("tf"))
     sums = [F.sum(F.get("embedding", F.lit(i)).cast("double") * F.col("tf")) for i in range(dim)]
     pooled = joined.groupBy(key).agg(
@@ -276,32 +384,51 @@ def lexical_intent_udf(
 ):
     """Pandas UDF text -> intent, on hashed word counts.
 
-    The anchors are turned into a matrix once, here, and travel with the closure (a few kilobytes);
-    each Arrow batch is one matrix product.
+    The anchors are turned into a matrix once, here, and travel with the closure; texts stay sparse, and a word is
+    hashed once for each worker.
     """
     import hashlib
     import re
 
     splitter = re.compile(r"[^\w]+|_+", re.UNICODE)
+    known: dict[str, int] = {}
+
+    def cells(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row, bucket and count of the different words of some texts."""
+        found = [[w for w in splitter.split((t or "").lower()) if w] for t in texts]
+        if len(known) > 200_000:
+            known.clear()
+        for word in {w for ws in found for w in ws}.difference(known):
+            known[word] = int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % buckets
+        row = np.repeat(np.arange(len(found)), [len(ws) for ws in found])
+        bucket = np.fromiter((known[w] for ws in found for w in ws), np.int64, len(row))
+        cell, count = np.unique(row * buckets + bucket, return_counts=True)
+        return cell // buckets, cell % buckets, count.astype(np.float32)
 
     def embed(texts) -> np.ndarray:
         matrix = np.zeros((len(texts), buckets), dtype=np.float32)
-        for row, text in enumerate(texts):
-            for word in splitter.split((text or "").lower()):
-                if word:
-                    matrix[row, int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % buckets] += 1.0
+        row, bucket, count = cells(texts)
+        matrix[row, bucket] = count
         norm = np.linalg.norm(matrix, axis=1, keepdims=True)
         return np.divide(matrix, norm, out=np.zeros_like(matrix), where=norm > 0)
 
-    leave, stay = embed(churn_anchors), embed(retention_anchors)
+    anchors = np.concatenate([embed(churn_anchors), embed(retention_anchors)]).T
+    known.clear()  # it travels with the closure
+    leaving = len(churn_anchors)
+
+    def similarities(texts) -> np.ndarray:
+        row, bucket, count = cells(texts)
+        dots = np.zeros((len(texts), anchors.shape[1]), np.float32)
+        np.add.at(dots, row, count[:, None] * anchors[bucket])
+        norm = np.sqrt(np.bincount(row, count * count, minlength=len(texts)))[:, None]
+        return np.divide(dots, norm, out=np.zeros_like(dots), where=norm > 0)
 
     @F.pandas_udf("float")
     def intent(texts: pd.Series) -> pd.Series:
         scores = []
-        # small slices keep the dense matrix of a batch at a few megabytes
-        for start in range(0, len(texts), 512):
-            vectors = embed(texts.iloc[start : start + 512].tolist())
-            net = (vectors @ leave.T).max(axis=1) - K.RETENTION_DISCOUNT * (vectors @ stay.T).max(axis=1)
+        for start in range(0, len(texts), 512):  # bounds the words that are held
+            found = similarities(texts.iloc[start : start + 512].tolist())
+            net = found[:, :leaving].max(axis=1) - K.RETENTION_DISCOUNT * found[:, leaving:].max(axis=1)
             scores.append(np.clip(net, 0.0, 1.0))
         joined = np.concatenate(scores) if scores else np.zeros(0)
         return pd.Series(joined.astype(np.float32))

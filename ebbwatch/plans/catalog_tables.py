@@ -45,6 +45,22 @@ def scan_optional_complaints(spark, folder):
     return R.join_intent(silver(spark, folder), intent).select("customer_id", "churn_intent_score")
 
 
+@query(
+    "scan_present_complaints",
+    f"""WITH {O.SILVER}, k AS (SELECT 'CLI-' || lpad(cast(conv_id AS varchar), 7, '0') AS customer_id FROM conversations WHERE role = 'user'),
+    told AS (SELECT customer_id, count(*) AS n FROM k GROUP BY 1)
+    SELECT customer_id, CASE WHEN n IS NULL THEN {d('0.0')} ELSE {O.half_up('n / (n + 2.0::double)', 4)} END AS churn_intent_score
+    FROM silver LEFT JOIN told USING (customer_id)""",
+)
+def scan_present_complaints(spark, folder):
+    """The complaint table is there: it is written, read with its schema and joined; an intent by the number of texts."""
+    path = f"{storage.scratch_path(spark, 'complaints')}/complaints.parquet"
+    storage.write_table(complaints(spark, folder), path)
+    told = storage.read_optional(spark, path, COMPLAINTS).groupBy("customer_id").agg(F.count("*").alias("n"))
+    intent = told.select("customer_id", S.round_half_up(F.col("n") / (F.col("n") + 2.0), 4).alias("churn_intent_score"))
+    return R.join_intent(silver(spark, folder), intent).select("customer_id", "churn_intent_score")
+
+
 _EXPORT = [c for c in K.EXPORT_COLUMNS if c != "gold_ts"]
 
 

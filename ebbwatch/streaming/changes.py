@@ -48,7 +48,7 @@ def publish_scores(board: KeyedTable, scores: DataFrame, valid_from) -> None:
 
 def score_events_as_of(batch: DataFrame, board: KeyedTable, at: str = "ts") -> DataFrame:
     """Every event with the scores of its customer that held at its time, from what is published now."""
-    return as_of(batch, board.read(), "customer_id", at, "valid_from", "event_id").drop("valid_from")
+    return as_of(batch, board.read(), "customer_id", at, "valid_from").drop("valid_from")
 
 
 def alert_table(spark: SparkSession, path: str, buckets: int = 16, max_parts: int = 8) -> KeyedTable:
@@ -60,7 +60,7 @@ def alert_table(spark: SparkSession, path: str, buckets: int = 16, max_parts: in
 def alerts_of(batch: DataFrame, board: KeyedTable, levels: tuple[str, ...] = ("ALTO", "MEDIO")) -> DataFrame:
     """Alerts for the events of customers that were at risk then. An event that is rated anew and no longer at risk
     ends its alert."""
-    rated = as_of(batch, board.read(), "customer_id", "ts", "valid_from", "event_id").where("valid_from is not null")
+    rated = as_of(batch, board.read(), "customer_id", "ts", "valid_from").where("valid_from is not null")
     day = F.date_format(utc_clock("ts"), "yyyy-MM-dd")
     calm = ~F.col("churn_risk_level").isin(*levels)
     return rated.select(*ALERTS.names[:4], day.alias("day"), "valid_from", calm.alias(DELETED))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ebbwatch.operators.quality import dedup_latest
+from ebbwatch.operators.skew import heavy_join
 from ebbwatch.schemas import EVENTS
 from ebbwatch.sources.snapshot import customer_key
 from ebbwatch.sources.storage import scratch_path
@@ -62,25 +63,14 @@ def silver_events(events: DataFrame, watermark: str = WATERMARK) -> DataFrame:
     return typed.withWatermark("ts", watermark).dropDuplicatesWithinWatermark(["event_id"])
 
 
-def salted_join(rows: DataFrame, table: DataFrame, key: str, row_id: str, salts: int = 8) -> DataFrame:
-    """Left join that spreads each key over ``salts`` tasks.
-
-    The rows of one busy key are divided by their id and the lookup table is repeated once for each
-    salt, so the table should hold only the keys that occur.
-    """
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(row_id), F.lit(salts)).cast("int"))
-    repeated = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated, [key, "_salt"], "left").drop("_salt")
-
-
 def score_events(batch: DataFrame, scores: DataFrame) -> DataFrame:
     """Every event with the current score and action of its customer (null for unknown customers).
 
-    Micro-batches are planned without skew handling. The score table is first cut to the customers
-    of the batch, whose list collapses before its shuffle; the salted join then repeats only those.
+    Micro-batches are planned without skew handling. The score table is first cut to the customers of the batch, whose
+    list collapses before its shuffle; the events of busy customers are then dealt over many tasks.
     """
     present = batch.select("customer_id").distinct()
-    return salted_join(batch, scores.join(present, "customer_id", "left_semi"), "customer_id", "event_id")
+    return heavy_join(batch, scores.join(present, "customer_id", "left_semi"), ["customer_id"], how="left")
 
 
 def activity_windows(events: DataFrame, kind: str, watermark: str = WATERMARK) -> DataFrame:

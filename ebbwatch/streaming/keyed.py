@@ -20,7 +20,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ebbwatch.operators.skew import heavy_join
 from ebbwatch.sources import manifest
+from ebbwatch.sources.storage import scratch_path
 
 BUCKET, DELETED = "_bucket", "_deleted"
 _EMPTY = {"buckets": {}, "batches": {}}
@@ -201,8 +203,6 @@ class KeyedTable:
 
 def apply_stream(changes: DataFrame, table: KeyedTable, label: str, transform: Callable[[DataFrame], DataFrame] = lambda batch: batch):
     """Apply what is available of a stream, batch by batch; replayed batches change nothing."""
-    from ebbwatch.sources.storage import scratch_path
-
     def write(batch: DataFrame, batch_id: int) -> None:
         table.apply(transform(batch), label, batch_id)
 
@@ -216,19 +216,17 @@ def apply_stream(changes: DataFrame, table: KeyedTable, label: str, transform: C
     return started
 
 
-def as_of(rows: DataFrame, versions: DataFrame, key: str, at: str, since: str, row_id: str) -> DataFrame:
+def as_of(rows: DataFrame, versions: DataFrame, key: str, at: str, since: str) -> DataFrame:
     """Every row with the version of its key that was valid at its time: the latest whose ``since`` is not later.
 
-    The versions of a key come together first, ordered, so a row meets one row whatever their number. Busy keys are
-    salted, as in ``salted_join``. Rows of unknown keys, and rows before the first version, have nulls.
+    The versions of a key come together first, so a row meets one row whatever their number; rows of busy keys are dealt
+    over many tasks. Rows of unknown keys, and rows before the first version, have nulls.
     """
-    from ebbwatch.streaming.flows import salted_join
-
     values = [c for c in versions.columns if c not in (key, since)]
     present = rows.select(key).distinct()
     cut = versions.join(present, key, "left_semi")
     listed = cut.groupBy(key).agg(F.collect_list(F.struct(since, *values)).alias("_versions"))
-    joined = salted_join(rows, listed, key, row_id)
+    joined = heavy_join(rows, listed, [key], how="left")
     valid = F.array_max(F.filter("_versions", lambda v: v[since] <= F.col(at)))
     return joined.withColumn("_valid", valid).select(
         *rows.columns, F.col(f"_valid.{since}").alias(since), *[F.col(f"_valid.{c}").alias(c) for c in values]

@@ -143,7 +143,7 @@ def test_a_score_published_between_batches_is_used(spark, tmp_path):
 def test_as_of_takes_the_latest_version_not_later(spark):
     rows = spark.createDataFrame([(i, "a", i) for i in range(10)] + [(10, "b", 3), (11, None, 3)], "n long, k string, t long")
     versions = spark.createDataFrame([("a", 2, "two"), ("a", 5, "five"), ("b", 9, "nine")], "k string, s long, x string")
-    found = {r.n: r.x for r in as_of(rows, versions, "k", "t", "s", "n").collect()}
+    found = {r.n: r.x for r in as_of(rows, versions, "k", "t", "s").collect()}
     assert found == {**{i: None if i < 2 else "two" if i < 5 else "five" for i in range(10)}, 10: None, 11: None}
 
 

@@ -173,3 +173,32 @@ def test_empty_test_set_has_no_impact(spark):
 
     none = spark.createDataFrame([(0, 0, 0, 0)], "tp long, fp long, tn long, fn long")
     assert business_impact(none).first().roi is None
+
+
+def test_crowded_values_spread_over_windows(spark):
+    """A million different scores inside [0.5000, 0.5002]: totals stay exact and no window holds a large part of them."""
+    from ebbwatch.functions.scalar import monotone_bin
+
+    df = spark.range(1_000_000).select((F.lit(0.5) + F.col("id") * 2e-10).alias("x"), F.lit(1).cast("bigint").alias("n"))
+    largest = df.groupBy(monotone_bin("x", ranks.FINE_PER_OCTAVE).alias("b")).agg(F.count("*").alias("n")).agg(F.count("*"), F.max("n")).first()
+    assert largest[0] > 1_000 and largest[1] < 3_000
+    found = ranks.running_totals(df, "x", ["n"], descending=True)
+    wrong = found.where(F.round((F.col("x") - 0.5) / 2e-10) != 999_999 - F.col("n_before"))
+    assert wrong.count() == 0 and found.where("n_all != 1000000").count() == 0
+
+
+def test_heavy_join_equals_a_join_and_splits_the_heavy_key(spark):
+    from ebbwatch.operators.skew import heavy_join
+
+    rows = spark.range(40_000).selectExpr("id", "if(id % 10 < 9, 7, id % 300) k", "if(id % 3 = 0, null, 'x') o")
+    table = spark.range(250).selectExpr("id k", "if(id % 2 = 0, null, 'x') o", "id * 2 v").union(spark.createDataFrame([(None, None, -1)], "k long, o string, v long"))
+    rows = rows.union(spark.createDataFrame([(-1, None, None)], "id long, k long, o string"))
+    for how in ("inner", "left"):
+        got = heavy_join(rows, table, ["k", "o"], how=how)
+        want = rows.alias("a").join(table.alias("b"), F.expr("a.k <=> b.k and a.o <=> b.o"), how).select("a.*", "b.v")
+        assert got.select("id", "k", "o", "v").exceptAll(want).count() == 0 and got.count() == want.count()
+    place = F.pmod(F.xxhash64("id", "k", "o"), F.lit(64))
+    sizes = [r["count"] for r in rows.where("k = 7").groupBy(place).count().collect()]
+    assert len(sizes) == 64 and max(sizes) < 1.5 * sorted(sizes)[32]
+    with pytest.raises(ValueError):
+        heavy_join(rows, table, ["k"], how="outer")

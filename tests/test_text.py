@@ -1,5 +1,6 @@
 """Row texts, vectors, intent and tokens."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,6 +65,33 @@ def test_intent_and_anchor_rows(spark):
     assert "CartesianProduct" not in pairs._jdf.queryExecution().toString() and "NestedLoop" not in pairs._jdf.queryExecution().toString()
 
 
+def test_highest_cosine_equals_comparing_all(spark):
+    rng = np.random.default_rng(4)
+    centre = rng.normal(size=8)
+    vectors = np.concatenate([centre + rng.normal(size=(3_000, 8)) * 0.05, rng.normal(size=(2_000, 8)), np.zeros((1, 8))])
+    asked = np.concatenate([rng.normal(size=(200, 8)), centre[None, :], np.zeros((1, 8))])
+    unit = lambda x: np.divide(x, np.linalg.norm(x, axis=1, keepdims=True), out=np.zeros_like(x), where=np.linalg.norm(x, axis=1, keepdims=True) > 0)
+    block = T.AnchorBlock(vectors)
+    assert np.allclose(block.highest(unit(asked)), (unit(asked) @ unit(vectors).T).max(axis=1), atol=1e-12)
+    anchors = spark.createDataFrame([(i, "churn" if i % 3 else "retention", v.tolist()) for i, v in enumerate(vectors)], "anchor int, kind string, vector array<double>")
+    df = spark.createDataFrame([*((i, v.tolist()) for i, v in enumerate(asked)), (-1, None)], "id int, embedding array<double>")
+    want = (unit(asked) @ unit(vectors[[i for i in range(len(vectors)) if i % 3]]).T).max(axis=1)
+    for size in (None, 700):
+        rows = {r.id: r for r in T.max_anchor_similarity(df, anchors, block=size).collect()}
+        assert np.allclose([rows[i].churn_similarity for i in range(len(asked))], want, atol=1e-12)
+        assert rows[-1].churn_similarity == 0.0 and rows[-1].embedding is None
+    with pytest.raises(Exception, match="entries meet anchors"):
+        T.max_anchor_similarity(spark.createDataFrame([(1, [1.0])], "id int, embedding array<double>"), anchors).collect()
+
+
+def test_the_plan_does_not_grow_with_the_anchors(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0])], "id int, embedding array<double>")
+    many = spark.range(100_000).select(F.col("id").cast("int").alias("anchor"), F.lit("churn").alias("kind"), F.array(F.cos("id"), F.sin("id")).alias("vector"))
+    size = lambda n: len(T.max_anchor_similarity(df, many.limit(n))._jdf.queryExecution().executedPlan().toString())
+    assert abs(size(10) - size(100_000)) < 200
+    assert T.max_anchor_similarity(df, many).first().churn_similarity == pytest.approx(1.0)
+
+
 def test_any_number_of_anchors_in_blocks(spark):
     many = spark.range(5000).select(
         F.col("id").cast("int").alias("anchor"),
