@@ -201,6 +201,32 @@ def attach_vectors(texts: DataFrame, vectors: DataFrame, text_key: str, vector_k
 # --------------------------------------------------------------------------------- intent of texts
 
 
+def _sentence_cells(spark, churn_anchors: Sequence[str], retention_anchors: Sequence[str], buckets: int) -> tuple[DataFrame, list[int]]:
+    """(bucket, units): the share of each sentence in a bucket of words; and the kind of each sentence, 0 or 1.
+
+    The words of the sentences are a table fixed by its definition.
+    """
+    sentences = [*((a, 0) for a in churn_anchors), *((a, 1) for a in retention_anchors)]
+    frame = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(sentences)], "anchor int, sentence string")
+    cells = term_counts(frame, "anchor", "sentence", buckets)
+    length = cells.groupBy("anchor").agg(F.sqrt(F.sum(F.col("tf") * F.col("tf"))).alias("length"))
+    units = cells.join(length, "anchor").select("anchor", "bucket", (F.col("tf") / F.col("length")).alias("unit"))
+    per_bucket = units.groupBy("bucket").agg(F.map_from_entries(F.collect_list(F.struct("anchor", "unit"))).alias("units"))
+    return per_bucket, [kind for _, kind in sentences]
+
+
+def _intent_columns(kinds: Sequence[int]) -> tuple[list[Column], Column, Column, Column]:
+    """Sums of an aggregate over (tf, units), and from them the similarities to both kinds and the net intent."""
+    dots = [F.sum(F.col("tf") * F.coalesce(F.col("units")[i], F.lit(0.0))).alias(f"dot{i}") for i in range(len(kinds))]
+
+    def best(kind: int) -> Column:
+        found = [F.col(f"dot{i}") / F.col("length") for i, k in enumerate(kinds) if k == kind]
+        return F.when(F.col("length") > 0, F.array_max(F.array(*found, F.lit(0.0)))).otherwise(0.0)
+
+    sums = [F.sqrt(F.sum(F.col("tf") * F.col("tf"))).alias("length"), *dots]
+    return sums, best(0), best(1), V.net_intent(best(0), best(1), K.RETENTION_DISCOUNT)
+
+
 def text_intent(
     texts: DataFrame,
     key: str,
@@ -212,34 +238,43 @@ def text_intent(
     """(key, churn_similarity, retention_similarity, churn_intent_score) for every text.
 
     Texts and anchor sentences are vectors of hashed word counts; the highest cosine to each kind of sentence gives
-    the net intent. The anchor cells that join are the words of the sentences, a table fixed by its definition. A
-    text without words has similarity 0.
+    the net intent. A text without words has similarity 0.
     """
-    spark = texts.sparkSession
-    sentences = [*((a, 0) for a in churn_anchors), *((a, 1) for a in retention_anchors)]
-    frame = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(sentences)], "anchor int, sentence string")
-    cells = term_counts(frame, "anchor", "sentence", buckets)
-    length = cells.groupBy("anchor").agg(F.sqrt(F.sum(F.col("tf") * F.col("tf"))).alias("length"))
-    units = cells.join(length, "anchor").select("anchor", "bucket", (F.col("tf") / F.col("length")).alias("unit"))
-    per_bucket = units.groupBy("bucket").agg(F.map_from_entries(F.collect_list(F.struct("anchor", "unit"))).alias("units"))
+    per_bucket, kinds = _sentence_cells(texts.sparkSession, churn_anchors, retention_anchors, buckets)
     counts = term_counts(texts, key, text, buckets).join(F.broadcast(per_bucket), "bucket", "left")
-    dots = [
-        F.sum(F.col("tf") * F.coalesce(F.col("units")[i], F.lit(0.0))).alias(f"dot{i}") for i in range(len(sentences))
-    ]
-    summed = counts.groupBy(key).agg(F.sqrt(F.sum(F.col("tf") * F.col("tf"))).alias("length"), *dots)
-
-    def best(kind: int) -> Column:
-        found = [F.col(f"dot{i}") / F.col("length") for i, (_, k) in enumerate(sentences) if k == kind]
-        return F.array_max(F.array(*found, F.lit(0.0)))
-
-    scored = summed.select(F.col(key).alias("_of"), best(0).alias("leave"), best(1).alias("stay"))
+    sums, leave, stay, net = _intent_columns(kinds)
+    scored = counts.groupBy(F.col(key).alias("_of")).agg(*sums)
     joined = texts.select(key).join(scored, F.col(key).eqNullSafe(F.col("_of")), "left")
-    leave, stay = F.coalesce("leave", F.lit(0.0)), F.coalesce("stay", F.lit(0.0))
     return joined.select(
-        key,
-        leave.alias("churn_similarity"),
-        stay.alias("retention_similarity"),
-        V.net_intent(leave, stay, K.RETENTION_DISCOUNT).alias("churn_intent_score"),
+        key, leave.alias("churn_similarity"), stay.alias("retention_similarity"), net.alias("churn_intent_score")
+    )
+
+
+def text_profiles(
+    texts: DataFrame,
+    keys: Sequence[str],
+    text: str,
+    dim: int,
+    churn_anchors: Sequence[str] = K.CHURN_ANCHORS,
+    retention_anchors: Sequence[str] = K.RETENTION_ANCHORS,
+    buckets: int = 4096,
+) -> DataFrame:
+    """(keys, embedding, churn_intent_score): what ``dense_text_vectors`` and ``text_intent`` tell, from one count of words.
+
+    ``dim`` divides ``buckets``, so the bucket of the vector follows from that of the intent. Texts that agree in all
+    keys are one text; one without words has a zero vector and intent 0.
+    """
+    if buckets % dim:
+        raise ValueError("the dimension has to divide the buckets")
+    per_bucket, kinds = _sentence_cells(texts.sparkSession, churn_anchors, retention_anchors, buckets)
+    tokens = texts.select(*keys, F.explode_outer(words(text)).alias("word"))
+    counts = tokens.groupBy(*keys, word_bucket(F.col("word"), buckets).alias("bucket")).agg(F.count("word").alias("tf"))
+    joined = counts.join(F.broadcast(per_bucket), "bucket", "left")
+    sums, _, _, net = _intent_columns(kinds)
+    cells = [F.coalesce(F.sum(F.when(F.col("bucket") % dim == i, F.col("tf"))), F.lit(0)).alias(f"cell{i}") for i in range(dim)]
+    summed = joined.groupBy(*keys).agg(*sums, *cells)
+    return summed.select(
+        *keys, V.l2_normalize(F.array(*[F.col(f"cell{i}") for i in range(dim)])).alias("embedding"), net.alias("churn_intent_score")
     )
 
 

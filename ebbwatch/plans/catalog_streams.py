@@ -15,6 +15,7 @@ from ebbwatch.sources.storage import read_table, scratch_path
 from ebbwatch.streaming import changes as X
 from ebbwatch.streaming import flows as W
 from ebbwatch.streaming.keyed import apply_stream
+from ebbwatch.streaming.late import WindowLedger
 
 _KEY = "'CLI-' || lpad(cast(user_id AS varchar), 7, '0')"
 ALWAYS = "1970-01-01 00:00:00+00"
@@ -210,3 +211,25 @@ def stream_alert_outcomes(spark, folder):
     ends = read_table(spark, folder, "events").agg(F.least(last("error"), last("purchase")) - F.expr("INTERVAL 25 HOUR"))
     clocked = outcomes.withColumns({"alerted_at": W.utc_clock("alerted_at"), "answered_at": W.utc_clock("answered_at")})
     return clocked.where(F.col("alerted_at") < ends.scalar())
+
+
+@query(
+    "stream_window_corrections",
+    """WITH e AS (SELECT event_id, event_type AS who, ts, date_trunc('hour', ts) AS start FROM events WHERE event_type IS NOT NULL),
+    c AS (SELECT max(ts) - INTERVAL 1 HOUR AS closed, max(CASE WHEN event_id % 50 <> 0 THEN ts END) - INTERVAL 1 HOUR AS before FROM e)
+    SELECT who, start, count(*) AS n, count(CASE WHEN event_id % 50 = 0 AND start + INTERVAL 1 HOUR <= before THEN 1 END) AS n_late
+    FROM e CROSS JOIN c WHERE start + INTERVAL 1 HOUR <= closed GROUP BY ALL""",
+)
+def stream_window_corrections(spark, folder):
+    """Hourly counts when one event in fifty comes after all others: published, corrected, and how many came late."""
+    events = read_table(spark, folder, "events")
+    path = scratch_path(spark, "events-with-late-ones")
+    for part in (F.col("event_id") % 50 != 0, F.col("event_id") % 50 == 0):
+        events.where(part).coalesce(1).write.mode("append").parquet(f"{path}/events.parquet")
+    stream = W.event_stream(spark, path, files_per_trigger=1)
+    ledger = WindowLedger(spark, scratch_path(spark, "window-ledger"), stream.schema, "event_id", "event_type", buckets=4)
+    ledger.run(stream, "window-ledger")
+    windowed = ledger.late.read().groupBy(F.col("event_type").alias("who"), F.window("ts", "1 hour").alias("w")).agg(F.count("*").alias("n_late"))
+    late = windowed.select("who", F.col("w.start").alias("start"), "n_late")
+    told = ledger.published().join(late, ["who", "start"], "left")
+    return told.select("who", W.utc_clock("start").alias("start"), "n", F.coalesce("n_late", F.lit(0)).alias("n_late"))

@@ -12,14 +12,14 @@ from ebbwatch.operators import textual as T
 from ebbwatch.plans import oracle as O
 from ebbwatch.plans.registry import micro_text, query, silver, six
 from ebbwatch.sources.snapshot import complaints
-from ebbwatch.sources.storage import read_table
+from ebbwatch.sources.storage import read_table, spread
 
 d = O.d
 TEXT_DIM = 64  # buckets of a dense text vector
 
 
 def _documents(spark, folder):
-    return read_table(spark, folder, "documents").select("doc_id", "text")
+    return spread(read_table(spark, folder, "documents").select("doc_id", "text"))
 
 
 def _vectors(spark, folder):
@@ -201,10 +201,7 @@ _CUSTOMER_VECTORS = f"""{_TEXT_INTENT}, {DENSE},
 
 def customer_intent(spark, folder):
     """Mean text vector, highest intent and number of texts of every customer with complaints."""
-    texts = complaints(spark, folder)
-    vectors = T.dense_text_vectors(texts, "complaint_id", "complaint_text", TEXT_DIM)
-    intents = T.text_intent(texts, "complaint_id", "complaint_text").select("complaint_id", "churn_intent_score")
-    rows = texts.select("complaint_id", "customer_id").join(vectors, "complaint_id", "left").join(intents, "complaint_id", "left")
+    rows = T.text_profiles(complaints(spark, folder), ["complaint_id", "customer_id"], "complaint_text", TEXT_DIM)
     return T.customer_embedding(rows, TEXT_DIM)
 
 

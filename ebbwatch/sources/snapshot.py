@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ebbwatch import constants as K
 from ebbwatch.functions.scalar import clip
-from ebbwatch.sources.storage import read_table
+from ebbwatch.sources.storage import read_table, spread
 
 
 @dataclass(frozen=True)
@@ -187,7 +187,7 @@ def complaints(spark: SparkSession, folder: str, cal: Calendar = DEFAULT_CALENDA
 
     A 60-bit hash of conversation and turn is the key of the complaint, whatever the number of turns.
     """
-    turns = read_table(spark, folder, "conversations").where(F.col("role") == "user")
+    turns = spread(read_table(spark, folder, "conversations").where(F.col("role") == "user"))
     cid = F.conv(F.substring(F.md5(F.concat_ws(":", "conv_id", "turn")), 1, 15), 16, 10).cast("bigint")
     channel = F.element_at(F.array(*[F.lit(c) for c in K.COMPLAINT_CHANNELS]), (cid % 4 + 1).cast("int"))
     return turns.select(

@@ -15,6 +15,15 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A small table over all cores: rows of a scan with fewer splits than cores are dealt anew, others stay.
+
+    What is small is told by the splits, so a table that fills the cores is never moved.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def read_typed(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", **options) -> DataFrame:
     """Read a table with a fixed schema: no inference pass, missing columns come back null."""
     return spark.read.format(fmt).schema(schema).options(**options).load(path)

@@ -14,6 +14,7 @@ from ebbwatch.sources.snapshot import customer_raw
 from ebbwatch.streaming import changes as X
 from ebbwatch.streaming import flows as W
 from ebbwatch.streaming.keyed import KeyedTable, apply_stream, as_of
+from ebbwatch.streaming.late import WindowLedger
 
 ITEM = T.StructType([T.StructField("id", T.StringType()), T.StructField("v", T.LongType()), T.StructField("x", T.StringType())])
 CHANGE = "id string, v long, x string, _deleted boolean"
@@ -171,3 +172,32 @@ def test_outcomes_of_alerts_and_their_state(spark, tmp_path):
     assert not rows[7].answered  # not by what comes at the same moment
     held = [sum(s["numRowsTotal"] for s in p["stateOperators"]) for p in query.recentProgress if p["stateOperators"]]
     assert held[-1] < max(held)
+
+
+def test_late_rows_are_kept_aside_and_their_windows_corrected(spark, tmp_path):
+    start = dt.datetime(2024, 1, 1)
+    event = lambda i, minutes, kind="a": (i, start + dt.timedelta(minutes=minutes), 1, kind, 1.0, "{}")
+    batches = [
+        [event(1, 5), event(2, 10), event(3, 70), event(4, 200)],  # the clock is at 140 minutes: two windows are out
+        [event(5, 20), event(6, 130), event(7, 210), event(8, 30, "b"), (9, None, 1, "a", 1.0, "{}")],  # 5 and 8 are late
+        [event(10, 25), event(11, 400)],
+    ]
+    frames = [spark.createDataFrame(b, EVENTS).withColumn("ts", W.utc_instant("ts")) for b in batches]
+    ledger = WindowLedger(spark, f"file://{tmp_path}", frames[0].schema, "event_id", "event_type", buckets=2)
+    for n, frame in enumerate(frames):
+        ledger.apply(frame, n)
+    log = sorted((r.who, r.start.hour, r.batch_id, r.change, r.n) for r in ledger.log.read().withColumn("start", W.utc_clock("start")).collect())
+    assert log == [
+        ("a", 0, 0, "add", 2), ("a", 0, 1, "add", 3), ("a", 0, 1, "retract", 2), ("a", 0, 2, "add", 4), ("a", 0, 2, "retract", 3),
+        ("a", 1, 0, "add", 1), ("a", 2, 2, "add", 1), ("a", 3, 2, "add", 2), ("b", 0, 1, "add", 1),
+    ]
+    assert sorted(r.event_id for r in ledger.late.read().collect()) == [5, 8, 10]
+    rows = [e for b in batches for e in b if e[1] is not None]
+    want = {}
+    for e in rows:
+        if e[1].replace(minute=0) + dt.timedelta(hours=1) <= start + dt.timedelta(minutes=340):
+            want[e[3], e[1].hour] = want.get((e[3], e[1].hour), 0) + 1
+    told = lambda: {(r.who, r.start.hour): r.n for r in ledger.published().withColumn("start", W.utc_clock("start")).collect()}
+    assert told() == want
+    ledger.apply(frames[2], 2)
+    assert told() == want and ledger.counts.read().agg(F.sum("n")).first()[0] == len(rows)
