@@ -104,9 +104,12 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
 
 def _anchor_blocks(anchors: DataFrame, block: int | None = None) -> tuple[int, list[DataFrame]]:
     """Dimension, and the anchors in frames of at most about ANCHOR_BYTES, or ``block`` rows."""
-    dim = common_dimension(anchors, "vector")
+    shape = vector_dimension(anchors.where("vector is not null"), "vector").first()
+    if shape.n and not shape.agrees:
+        raise ValueError("anchors differ in length")
+    dim = shape.dim if shape.n else 0
     block = block or max(1, ANCHOR_BYTES // (8 * max(1, dim)))
-    count = max(1, -(-anchors.count() // block))
+    count = max(1, -(-shape.n // block))
     number = F.pmod(F.xxhash64("anchor", "kind"), F.lit(count))
     return dim, [anchors if count == 1 else anchors.where(number == i) for i in range(count)]
 
@@ -270,12 +273,20 @@ def text_profiles(
     tokens = texts.select(*keys, F.explode_outer(words(text)).alias("word"))
     counts = tokens.groupBy(*keys, word_bucket(F.col("word"), buckets).alias("bucket")).agg(F.count("word").alias("tf"))
     joined = counts.join(F.broadcast(per_bucket), "bucket", "left")
+    dots = [f"dot{i}" for i in range(len(kinds))]
     sums, _, _, net = _intent_columns(kinds)
-    cells = [F.coalesce(F.sum(F.when(F.col("bucket") % dim == i, F.col("tf"))), F.lit(0)).alias(f"cell{i}") for i in range(dim)]
-    summed = joined.groupBy(*keys).agg(*sums, *cells)
-    return summed.select(
-        *keys, V.l2_normalize(F.array(*[F.col(f"cell{i}") for i in range(dim)])).alias("embedding"), net.alias("churn_intent_score")
+    # First the cells of the vector, dim at most for each text, then the texts: few sums side by side.
+    squares, shares = F.sum(F.col("tf") * F.col("tf")).alias("squares"), sums[1:]
+    cells = joined.groupBy(*keys, (F.col("bucket") % dim).alias("cell")).agg(F.sum("tf").alias("n"), squares, *shares)
+    summed = cells.groupBy(*keys).agg(
+        F.sqrt(F.sum("squares")).alias("length"),
+        *[F.sum(d).alias(d) for d in dots],
+        F.map_from_entries(F.collect_list(F.when(F.col("cell").isNotNull(), F.struct("cell", "n")))).alias("cells"),
     )
+    cell = lambda i: F.coalesce(F.try_element_at("cells", i.cast("int")).cast("double"), F.lit(0.0))
+    vector = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), cell)
+    named = summed.select(*keys, vector.alias("_v"), net.alias("churn_intent_score"))
+    return named.select(*keys, V.l2_normalize("_v").alias("embedding"), "churn_intent_score")
 
 
 def dense_text_vectors(texts: DataFrame, key: str, text: str, dim: int = 64) -> DataFrame:
