@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ebbwatch.llm.licenses import TEMPLATES
+from ebbwatch.llm.licenses import TEMPLATES, half_block
 from ebbwatch.llm.urls import RULES, SPAM_HOSTS
 
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -37,12 +37,14 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN covered USING (row_no) LEFT JOIN items USING (row_no)
 """
 
-_TEMPLATE_ROWS = ", ".join(f"('{label}', list_distinct({_words(repr(text))}))" for label, text in TEMPLATES)
+_TEMPLATE_ROWS = ", ".join(
+    f"('{label}', list_distinct({_words(repr(text))}), ' {needed} ', {half_block(text)})" for label, needed, text in TEMPLATES
+)
 
 _OP2 = f"""
 WITH d AS (
   SELECT row_number() OVER () AS row_no, doc_id, {_words("coalesce(text, '')")} AS w FROM documents),
-t AS (SELECT * FROM (VALUES {_TEMPLATE_ROWS}) AS x(label, words)),
+t AS (SELECT * FROM (VALUES {_TEMPLATE_ROWS}) AS x(label, words, needed, half)),
 phrase AS (SELECT label, str_split(p, ' ') AS words FROM (VALUES
   ('cc-by', 'cc by'), ('gpl', 'general public license'), ('reserved', 'all rights reserved')) AS x(label, p)),
 placed AS (
@@ -52,11 +54,14 @@ base AS (
   SELECT row_no, count(*) AS n_base, min(i) - 1 AS first_word, max(i) - 1 AS last_word,
     list_sort(list_distinct(list(label))) AS base_labels
   FROM placed GROUP BY row_no),
+halves AS (SELECT DISTINCT half FROM t),
 blocks AS (
-  SELECT row_no, list_distinct(list_slice(w, 32 * b + 1, 32 * b + 64)) AS held
-  FROM (SELECT row_no, w, unnest(range(0, CAST(greatest(0, ceil((len(w) - 64) / 32.0)) AS BIGINT) + 1)) AS b FROM d)),
+  SELECT row_no, half, list_distinct(list_slice(w, half * b + 1, half * (b + 2))) AS held,
+    ' ' || array_to_string(list_slice(w, half * b + 1, half * (b + 2)), ' ') || ' ' AS inside
+  FROM (SELECT row_no, w, half, unnest(range(0, CAST(greatest(0, ceil(len(w) / half) - 2) AS BIGINT) + 1)) AS b FROM d, halves)),
 shares AS (
-  SELECT row_no, label, len(list_intersect(held, words)) AS shared, len(words) AS m FROM blocks, t),
+  SELECT row_no, label, len(list_intersect(held, words)) AS shared, len(words) AS m
+  FROM blocks JOIN t USING (half) WHERE contains(inside, needed)),
 found AS (
   SELECT row_no, list_distinct(list(label)) AS labels, max(CAST(shared AS DOUBLE) / m) AS score
   FROM shares WHERE shared >= ceil(0.8 * m - 1e-9) GROUP BY row_no)

@@ -105,27 +105,63 @@ def test_contamination_of_messy_and_empty_tables(spark, messy, nothing):
     assert dc.find_contamination(messy, bench.limit(0)).where("size(spans) > 0").count() == 0
 
 
-def brute_licenses(text, block=64, threshold=0.8):
+def brute_licenses(text, threshold=0.8):
     w = words(text)
     best = {}
-    for b in range(max(0, -(-(len(w) - block) // 32)) + 1):
-        held = set(w[32 * b : 32 * b + block])
-        for label, template in licenses.TEMPLATES:
-            t = set(words(template))
+    for label, needed, template in licenses.TEMPLATES:
+        t, half = set(words(template)), 8
+        while half < len(words(template)):
+            half *= 2
+        for start in range(0, max(1, len(w) - half), half):
+            held, inside = set(w[start : start + 2 * half]), " ".join(["", *w[start : start + 2 * half], ""])
             share = len(held & t) / len(t)
-            if share >= threshold:
+            if share >= threshold and f" {needed} " in inside:
                 best[label] = max(best.get(label, 0), share)
     base = [(i, v) for p, v in licenses.PHRASES.items() for i in range(len(w)) if w[i : i + len(p.split())] == p.split()]
     return len(w), sorted(i for i, _ in base), {v for _, v in base}, best
 
 
+@pytest.mark.parametrize(
+    "text, labels",
+    [
+        ("Licensed under CC BY 4.0", "cc-by"),
+        ("Licensed under CC BY-NC 4.0.", "cc-by,cc-by-nc"),
+        ("Licensed under CC BY-SA 4.0.", "cc-by,cc-by-sa"),
+        ("Creative Commons Attribution 4.0 International License", "cc-by"),
+        ("Creative Commons Attribution-ShareAlike 4.0 International License", "cc-by-sa"),
+        ("Released under the BSD License", "bsd"),
+        ("Released under the MIT License.", "mit"),
+        ("Licensed under the Mozilla License, Version 2.0", ""),
+        ("Licensed under the Apache License, Version 2.0.", "apache-2.0"),
+        ("This work is licensed under the GNU General Public License, version 3.", "gpl"),
+        ("The birds were released from the cage under the old license of the town, mit Freude.", ""),
+        ("He was licensed to sell, and under the version of the story they released, 2 or 0 of them.", ""),
+        ("All rights reserved.", "reserved"),
+    ],
+)
+def test_labels_of_notices_stated_by_hand(spark, text, labels):
+    padded = f"some words before it. {text} and some words after it"
+    row = licenses.scan_licenses(spark.createDataFrame([(1, padded)], "doc_id long, text string")).first()
+    assert ",".join(row.labels) == labels
+
+
+def test_whole_license_texts_are_found_in_long_documents(spark):
+    rng = random.Random(8)
+    rows = []
+    for label, _, text in licenses.TEMPLATES:
+        filler = [" ".join(rng.choice("uno dos tres the of and to".split()) for _ in range(rng.randint(0, 700))) for _ in range(2)]
+        rows.append((label, f"{filler[0]} {text} {filler[1]}"))
+    for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id string, text string")).collect():
+        assert r.doc_id in r.labels
+
+
 def test_licenses_equal_brute_force(spark):
     rng = random.Random(5)
     filler = "the of and to license version under all rights public words some text".split()
     texts = [None, "", "CC BY cc-by; general PUBLIC license. All rights reserved all rights reserved"]
     for _ in range(60):
         w = [rng.choice(filler) for _ in range(rng.randint(0, 250))]
-        t = words(rng.choice(licenses.TEMPLATES)[1])
+        t = words(rng.choice(licenses.TEMPLATES)[2])
         t = [x for x in t if rng.random() < 0.9]
         at = rng.randint(0, len(w))
         texts.append(" ".join(w[:at] + t + w[at:]))
