@@ -29,7 +29,7 @@ from ebbwatch.sources.storage import materialize, scratch_path
 
 LENGTH = 1024  # ids of a sequence
 BATCH = 256  # sequences of a record batch
-KNOWN = 600_000  # units that a worker remembers before it drops those asked for once, some 200 bytes each
+KNOWN = 900_000  # units that a worker remembers before it drops those asked for once, some 200 bytes each
 KNOWN_IDS = 4_000_000  # ids that they may have in all, which bounds long units
 
 
@@ -46,9 +46,13 @@ class Encoder:
         # Spark runs a worker for each core; threads inside one would only add memory.
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
+        cut = self.tokenizer.pre_tokenizer
+        by_bytes = isinstance(cut, ByteLevel) and cut.use_regex and not cut.add_prefix_space
+        self.model = self.tokenizer.model if by_bytes and self.tokenizer.normalizer is None else None
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.forget()
 
@@ -57,7 +61,14 @@ class Encoder:
         return [np.array(e.ids, self.kind) for e in found]
 
     def _learn(self, pieces: list[str]) -> None:
-        """Remember the ids of new pieces; the library takes many at once, as words that are cut already."""
+        """Remember the ids of new pieces. Letters, after a space or not, are one piece to the library's model; of others
+        the library takes many at once, as words that are cut already."""
+        if self.model is not None:
+            plain = [p for p in pieces if (p[1:] if p[:1] == " " else p).isalpha()]
+            ids = [[t.id for t in self.model.tokenize(_byte_letters(p))] for p in plain]
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+            self._add(plain, np.fromiter(chain.from_iterable(ids), self.kind, sizes.sum()), sizes)
+            pieces = [p for p in pieces if p not in self.known]
         for at in range(0, len(pieces), 1_000):
             some = pieces[at : at + 1_000]
             found = self.tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
@@ -138,6 +149,16 @@ def _room(array: np.ndarray, size: int) -> np.ndarray:
     return grown
 
 
+def _byte_letters(piece: str) -> str:
+    """The piece as byte-level vocabularies write it: a letter for each byte of its UTF-8."""
+    if piece.isascii():
+        return piece.replace(" ", "\u0120")
+    return piece.encode().decode("latin-1").translate(_LETTER_OF_BYTE)
+
+
+#: Bytes that print stand for themselves, the others for the letters from U+0100 on, in order.
+_PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_LETTER_OF_BYTE = {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in set(_PRINTED))}
 _MARKS = frozenset(string.punctuation)
 _WORD_AND_MARKS = re.compile(r"([ \n]?[^\W\d_]+)([!-/:-@\[-`{-~]+)")
 
