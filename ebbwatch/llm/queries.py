@@ -116,7 +116,8 @@ def op9_vectors(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_urls(spark: SparkSession, folder: str) -> DataFrame:
-    judged = urls.judge_urls(read_table(spark, folder, "pages"), urls.rule_frame(spark), urls.host_frame(spark))
+    pages = read_table(spark, folder, "pages")
+    judged = urls.judge_urls(pages, urls.rule_frame(spark), urls.host_frame(spark), urls.mirrored_urls(pages))
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 

@@ -141,17 +141,24 @@ _RULE_ROWS = ", ".join(
 
 _OP10 = f"""
 WITH r AS (
-  SELECT row_number() OVER () AS row_no, page_id,
+  SELECT row_number() OVER () AS row_no, page_id, md5(nullif(regexp_extract(coalesce(html, ''), '<body>(.*)</body>', 1, 's'), '')) AS body,
     CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
-p AS (
-  SELECT row_no, page_id, {_LOWERED.format("regexp_extract(rest, '^[^/?#]*')")} AS host,
+p0 AS (
+  SELECT row_no, page_id, body, {_LOWERED.format("regexp_extract(rest, '^[^/?#]*')")} AS host,
     regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r),
+p AS (
+  SELECT *, regexp_replace(regexp_replace(host, ':[0-9]*$', ''), '[.]+$', '')
+    || regexp_replace(regexp_replace(path, '/+', '/', 'g'), '/$', '') AS name FROM p0),
+mirrors AS (
+  SELECT DISTINCT name FROM (SELECT *, min(page_id) OVER (PARTITION BY body) AS first_id FROM p WHERE body IS NOT NULL)
+  WHERE page_id > first_id AND name <> ''),
 rules AS (SELECT * FROM (VALUES {_RULE_ROWS}) AS x(h, q, v, is_rule)),
 best AS (
   SELECT row_no, arg_max(struct_pack(rule := h || q, verdict := v, is_rule := is_rule), is_rule * 100000 + len(h || q)) AS b
   FROM p JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, q) GROUP BY row_no)
-SELECT page_id, host, path, CASE WHEN b.is_rule = 1 THEN b.rule END AS rule, coalesce(b.verdict, 'allow') AS verdict
-FROM p LEFT JOIN best USING (row_no)
+SELECT page_id, host, path, CASE WHEN b.is_rule = 1 THEN b.rule END AS rule,
+  coalesce(b.verdict, CASE WHEN host <> '' AND mirrors.name IS NOT NULL THEN 'block' END, 'allow') AS verdict
+FROM p LEFT JOIN best USING (row_no) LEFT JOIN mirrors USING (name)
 """
 
 # CRC-32 of decimal numbers, from its table of bytes.

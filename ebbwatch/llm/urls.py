@@ -1,7 +1,7 @@
 """URL filters: a blocked Bloom filter over listed canonical URLs, then an exact hash join, in DataFrame operations.
 
-A listed entry is a host and a path prefix, written as host/path. It is met by looking up, for each URL, every
-suffix of its host at a dot with every prefix of its path whose length some entry has.
+A listed entry is a whole URL in canonical form, or a host and a path prefix, written as host/path. The latter is met
+by looking up, for each URL, every suffix of its host at a dot with every prefix of its path whose length some entry has.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ebbwatch.sources.storage import materialize
+
 #: Host, path, verdict. Fixed values of the query.
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 #: Hosts known for spam; consulted where no rule fits. Fixed values of the query.
@@ -19,6 +21,7 @@ SPAM_HOSTS = ("spam-farm.example.org", "cheap-pills.example.com")
 WORDS = 8  # 64-bit words of a block of the filter
 PROBES = 6
 BITS_PER_ENTRY = 16
+_EXACT = "="  # leads the key of a whole URL, and no host
 
 
 def host_of(url: Column) -> Column:
@@ -38,6 +41,21 @@ def _rest(url: Column) -> Column:
     return F.when(at > 0, F.substr(url, at + 3)).otherwise(F.lit(""))
 
 
+def canonical(host: Column, path: Column) -> Column:
+    """Host without port and trailing dots, path with single slashes and none at its end: one name for one page."""
+    bare = F.regexp_replace(F.regexp_replace(host, ":[0-9]*$", ""), "[.]+$", "")
+    return F.concat(bare, F.regexp_replace(F.regexp_replace(path, "/+", "/"), "/$", ""))
+
+
+def mirrored_urls(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
+    """url of the pages whose body is that of a page with a smaller id; pages without a body mirror nothing."""
+    body = F.regexp_extract(F.coalesce(F.col(f"`{html}`"), F.lit("")), "(?s)<body>(.*)</body>", 1)
+    named = pages.select(F.col(f"`{page_id}`").alias("page_id"), F.col(f"`{url}`").cast("string").alias("url"), body.alias("body"))
+    hashed = named.where("body != ''").select("page_id", "url", F.md5("body").alias("body"))
+    first = hashed.groupBy("body").agg(F.min("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1")
+    return hashed.join(first.drop("n"), "body").where("page_id > first_id").select("url")
+
+
 def host_suffixes(host: Column) -> Column:
     """The host and its parents: a.b.c, b.c, c."""
     labels = F.split(host, "\\.")
@@ -81,6 +99,7 @@ def judge_urls(
     pages: DataFrame,
     rules: DataFrame,
     blocked: DataFrame | None = None,
+    listed: DataFrame | None = None,
     page_id: str = "page_id",
     url: str = "url",
 ) -> DataFrame:
@@ -89,7 +108,8 @@ def judge_urls(
     ``rules`` has host, path and verdict. A rule fits its host and all subdomains when the path starts with its
     path; the longest fitting rule wins. Of rules with the same host and path allow counts
     before block. Where no rule fits, entries of ``blocked`` (host, path) that fit in the same way block the
-    page, and any other page is allowed; ``rule`` is null there.
+    page, and so does its URL if its ``canonical`` form is that of one in ``listed`` (url); any other page is allowed;
+    ``rule`` is null there.
 
     Each different host and path is judged once, so a URL or host that holds a large part of the pages is one
     row in the joins, and goes back to its pages by a join that may split it. Filter blocks are sized to the
@@ -98,11 +118,11 @@ def judge_urls(
     A null URL and one without ``://`` have an empty host and path and fit no entry; so do entries with a null or empty host.
     Repeated pages are judged each. Empty tables are handled; other columns are not read.
     """
-    listed = rules.select("host", "path", "verdict", F.lit(1).alias("is_rule"))
+    ruled = rules.select("host", "path", "verdict", F.lit(1).alias("is_rule"))
     if blocked is not None:
-        listed = listed.union(blocked.select("host", "path", F.lit("block"), F.lit(0)))
+        ruled = ruled.union(blocked.select("host", "path", F.lit("block"), F.lit(0)))
     entries = (
-        listed.where("host is not null and host != ''")
+        ruled.where("host is not null and host != ''")
         .groupBy("host", F.coalesce("path", F.lit("")).alias("path"))
         .agg(F.max(F.struct("is_rule", F.when(F.col("verdict") == "allow", 1).otherwise(0).alias("allows"), "verdict")).alias("top"))
         .select(
@@ -112,6 +132,11 @@ def judge_urls(
             "top.is_rule",
         )
     )
+    if listed is not None:
+        name = canonical(host_of(F.col("url").cast("string")), path_of(F.col("url").cast("string")))
+        exact = listed.select(F.concat(F.lit(_EXACT), name).alias("key")).where(F.col("key") != _EXACT).distinct()
+        entries = entries.union(exact.select("key", F.lit(None).cast("int"), F.lit("block"), F.lit(0)))
+        entries = materialize(entries, "url-entries")
     shape = entries.agg(F.count("*").alias("n"), F.collect_set("path_chars").alias("lengths")).first()
     blocks = max(1, math.ceil(shape.n * BITS_PER_ENTRY / (64 * WORDS)))
     named = pages.select(F.col(f"`{page_id}`").alias("page_id"), F.col(f"`{url}`").cast("string").alias("url")).select(
@@ -123,6 +148,8 @@ def judge_urls(
         F.filter(lengths, lambda n: n <= F.length("path")), lambda n: F.substr(F.col("path"), F.lit(1), n)
     )
     keys = F.flatten(F.transform(host_suffixes(F.col("host")), lambda h: F.transform(prefixes, lambda p: F.concat(h, p))))
+    if listed is not None:
+        keys = F.concat(keys, F.array(F.concat(F.lit(_EXACT), canonical(F.col("host"), F.col("path")))))
     asked = different.select("host", "path", F.explode(F.array_distinct(keys)).alias("asked")).withColumn(
         "asked_block", _block(F.col("asked"), blocks)
     )

@@ -255,6 +255,24 @@ def test_many_entries_pass_the_filter_exactly(spark):
     assert 5000 <= passed <= 5250
 
 
+def test_listed_urls_are_met_in_canonical_form(spark):
+    bodies = ["<body>a</body>", "<body>b\n</body>", "", None, "<body></body>"]
+    rows = [
+        (1, "http://A.test/x/y", bodies[0]), (2, "http://b.test:80//x///y/", bodies[0]), (3, "http://b.test./x/y?q", bodies[1]),
+        (4, "http://b.test/x/y/z", bodies[1]), (5, "http://c.test", bodies[2]), (6, "http://c.test", bodies[3]),
+        (7, "http://d.test/", bodies[4]), (8, "http://e.net/x", bodies[1]), (9, None, bodies[1]), (10, "no url", bodies[0]),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 AS body", "2 AS key")
+    listed = urls.mirrored_urls(pages)
+    assert sorted((r.url or "") for r in listed.collect()) == ["", "http://b.test/x/y/z", "http://b.test:80//x///y/", "http://e.net/x", "no url"]
+    found = {r.page_id: (r.rule, r.verdict) for r in urls.judge_urls(pages, urls.rule_frame(spark), None, listed).collect()}
+    # b.test/x/y is listed by its second form; a rule wins over the list.
+    assert [i for i, (_, v) in found.items() if v == "block"] and {i for i, (_, v) in found.items() if v == "block"} == {2, 3, 4, 8}
+    assert found[8] == ("net/", "block") and found[1] == (None, "allow")
+    none = urls.judge_urls(pages, urls.rule_frame(spark), None, listed.limit(0))
+    assert none.where("verdict = 'block'").count() == 1
+
+
 # ---------------------------------------------------------------------------------------- pipeline
 
 
