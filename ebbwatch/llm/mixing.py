@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ebbwatch.sources.storage import materialize
 
 WEIGHTS = (3.0, 1.0, 2.0)
+FEW_SOURCES = 10_000  # up to so many, what there is one row of for each source is broadcast
 _SPACE = "[\\x20\\x09-\\x0D]+"
 
 
@@ -70,7 +71,7 @@ def mix_sources(
     doc_id: str = "doc_id",
     text: str = "text",
     source: str = "source",
-    weight: str | None = None,
+    weight: str | Column | None = None,
     share: float = 1.5,
     most: float = 2.0,
     weights: Sequence[float] = WEIGHTS,
@@ -79,8 +80,9 @@ def mix_sources(
 ) -> DataFrame:
     """doc_id, source, text_hash, size, source_size, target, copies, taken: one row for each document.
 
-    ``copies`` is how often the mix takes the document, ``taken`` the words. ``weight`` may name a column that
-    scales the inclusion probability within a source. The order of a source is cut in buckets of about
+    ``copies`` is how often the mix takes the document, ``taken`` the words. ``weight`` may name a column, or be an
+    expression over ``size``, in proportion to which documents of a source are included: with weights w the share left
+    of a source is taken with probability share * w / (mean of w over its words), below 1. The order of a source is cut in buckets of about
     ``rows_per_bucket`` rows, whatever the source's share of the rows: bucket sums are cumulated, and only the
     bucket in which the words run out is ordered row by row. Which documents are taken depends on the ids and the
     seed alone, so reruns agree.
@@ -90,31 +92,41 @@ def mix_sources(
     count 1. An empty table gives an empty result; other columns are not read.
     """
     most_copies = int(most)
+    given = F.col(f"`{weight}`").cast("double") if isinstance(weight, str) else F.lit(1.0)
     rows = documents.select(
         F.col(f"`{doc_id}`").alias("doc_id"),
         F.col(f"`{source}`").cast("string").alias("source"),
         F.xxhash64(f"`{text}`").alias("text_hash"),
         count_words(f"`{text}`").alias("size"),
-        (F.coalesce(F.col(f"`{weight}`").cast("double"), F.lit(1.0)) if weight else F.lit(1.0)).alias("weight"),
+        F.coalesce(given, F.lit(1.0)).alias("weight"),
     )
+    if isinstance(weight, Column):
+        rows = rows.withColumn("weight", F.coalesce(weight.cast("double"), F.lit(1.0)))
     rows = materialize(rows, "mix-sizes")
     targets = source_targets(rows.select("source", "size"), share, most, weights)
+    means = rows.groupBy(F.col("source").alias("mean_of")).agg(
+        F.try_divide(F.sum(F.col("weight") * F.col("size")), F.sum("size")).alias("mean_weight")
+    )
+    targets = materialize(targets.join(means, F.col("source").eqNullSafe(F.col("mean_of"))).drop("mean_of"), "mix-targets")
+    few = F.broadcast if targets.count() <= FEW_SOURCES else lambda frame: frame  # one row for each source
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     targets = targets.select(
-        F.col("source").alias("of"), "source_size", "n_docs", "target", F.least(F.floor(ratio), F.lit(most_copies)).alias("whole")
+        F.col("source").alias("of"), "source_size", "n_docs", "target", "mean_weight", F.least(F.floor(ratio), F.lit(most_copies)).alias("whole")
     ).withColumn("rest", F.greatest(F.lit(0.0), F.col("target") - F.col("whole") * F.col("source_size")))
     u = uniform(seed, "doc_id")
     share_left = F.when(F.col("source_size") > 0, F.col("rest") / F.col("source_size")).otherwise(0.0)
-    p = F.least(F.lit(1 - 1e-9), F.greatest(F.lit(1e-9), share_left * F.col("weight")))
+    relative = F.coalesce(F.try_divide(F.col("weight"), F.col("mean_weight")), F.lit(1.0))
+    p = F.least(F.lit(1 - 1e-9), F.greatest(F.lit(1e-9), share_left * relative))
     usual = F.least(F.lit(1 - 1e-9), F.greatest(F.lit(1e-9), share_left))
     odds = (u / (1 - u)) * (usual / (1 - usual)) / (p / (1 - p))
     ordered = (
-        rows.join(targets, F.col("source").eqNullSafe(F.col("of")))
+        rows.join(few(targets), F.col("source").eqNullSafe(F.col("of")))
         .drop("of")
         .withColumn("odds", odds)
         .withColumn(
             "bucket", F.floor(F.col("odds") / (1 + F.col("odds")) * F.ceil(F.col("n_docs") / rows_per_bucket)).cast("bigint")
         )
+        .drop("mean_weight")
     )
     ordered = materialize(ordered, "mix-order")
     sums = ordered.groupBy("source", "bucket").agg(F.sum("size").alias("words"), F.first("rest").alias("rest"))
@@ -139,17 +151,17 @@ def mix_sources(
     outside = ordered.where(~cut).withColumn("more", (F.col("bucket_before") + F.col("bucket_words") <= F.col("rest")).cast("int"))
     headed = within.unionByName(outside)
     headed = materialize(headed.drop("bucket_before", "bucket_words"), "mix-head")
-    return _close_gap(headed)
+    return _close_gap(headed, few)
 
 
-def _close_gap(headed: DataFrame) -> DataFrame:
+def _close_gap(headed: DataFrame, few) -> DataFrame:
     """Add the one document of each source, after the head of the order, whose size is nearest to the words left."""
     keys = ("odds", "doc_id", "text_hash", "size")
     left = headed.groupBy("source").agg(
         (F.first("rest") - F.coalesce(F.sum(F.when(F.col("more") == 1, F.col("size"))), F.lit(0))).alias("gap")
     )
     waiting = headed.where("more = 0").join(
-        left.select(F.col("source").alias("of"), "gap"), F.col("source").eqNullSafe(F.col("of"))
+        few(left.select(F.col("source").alias("of"), "gap")), F.col("source").eqNullSafe(F.col("of"))
     )
     best = (
         waiting.where("size > 0 and size < 2 * gap")
@@ -157,7 +169,7 @@ def _close_gap(headed: DataFrame) -> DataFrame:
         .agg(F.min(F.struct(F.abs(F.col("size") - F.col("gap")).alias("off"), *keys)).alias("best"))
         .select(F.col("source").alias("of"), "best")
     )
-    joined = headed.join(best, F.col("source").eqNullSafe(F.col("of")), "left")
+    joined = headed.join(few(best), F.col("source").eqNullSafe(F.col("of")), "left")
     is_best = (F.col("more") == 0) & F.coalesce(
         F.struct("odds", "doc_id", "text_hash", "size").eqNullSafe(F.struct(*[F.col(f"best.{k}").alias(k) for k in keys])),
         F.lit(False),

@@ -97,10 +97,20 @@ tgt AS (
 t2 AS (
   SELECT *, CASE WHEN source_size > 0 THEN least(floor(target / source_size), 2) ELSE 0 END AS whole FROM tgt),
 t3 AS (SELECT *, greatest(0.0, target - whole * source_size) AS rest FROM t2),
+mean AS (
+  SELECT source, sum(floor(sqrt(size)) * size) / nullif(sum(size), 0) AS w FROM d GROUP BY source),
+share AS (
+  SELECT row_no, CASE WHEN source_size > 0 THEN rest / source_size ELSE 0.0 END AS s, floor(sqrt(size)) / mean.w AS r
+  FROM d JOIN t3 ON d.source IS NOT DISTINCT FROM t3.source JOIN mean ON d.source IS NOT DISTINCT FROM mean.source),
+odd AS (
+  SELECT row_no, least(1 - 1e-9::DOUBLE, greatest(1e-9::DOUBLE, s)) AS usual,
+    least(1 - 1e-9::DOUBLE, greatest(1e-9::DOUBLE, s * coalesce(r, 1.0))) AS p FROM share),
 o AS (
-  SELECT d.row_no, d.doc_id, d.source, d.size, t3.source_size, target, whole, rest, u / (1 - u) AS odds
+  SELECT d.row_no, d.doc_id, d.source, d.size, t3.source_size, target, whole, rest,
+    (u / (1 - u)) * (usual / (1 - usual)) / (p / (1 - p)) AS odds
   FROM (SELECT *, (CAST('0x' || substr(md5('42|' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0::DOUBLE AS u FROM d) d
-  JOIN t3 ON d.source IS NOT DISTINCT FROM t3.source),
+  JOIN t3 ON d.source IS NOT DISTINCT FROM t3.source
+  JOIN odd ON d.row_no = odd.row_no),
 h AS (
   SELECT *, CASE WHEN sum(size) OVER (PARTITION BY source ORDER BY odds, doc_id, size, row_no) <= rest THEN 1 ELSE 0 END AS more FROM o),
 g AS (SELECT *, rest - sum(size * more) OVER (PARTITION BY source) AS gap FROM h),

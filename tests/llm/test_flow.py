@@ -70,6 +70,15 @@ def test_odds_follow_weights(spark):
     assert even > 2 * (mixed.taken.sum() - even) and abs(mixed.taken.sum() - 1600) <= 2
 
 
+def test_length_weighs_in_the_inclusion(spark):
+    docs = spark.range(6000).selectExpr("id doc_id", "repeat('w ', if(id % 2 = 0, 100, 4)) text", "'a' source")
+    mixed = mixing.mix_sources(docs, weight=F.floor(F.sqrt("size")), share=0.3, rows_per_bucket=50).toPandas()
+    long, short = ((mixed[mixed["size"] == n].taken > 0).mean() for n in (100, 4))
+    mean = (10 * 100 + 2 * 4) / 104
+    assert abs(long - 0.3 * 10 / mean) < 0.03 and abs(short - 0.3 * 2 / mean) < 0.03
+    assert abs(mixed.taken.sum() - 0.3 * mixed["size"].sum()) <= 100
+
+
 def test_mix_of_messy_and_empty_tables(messy, nothing):
     rows = mixing.mix_sources(messy).collect()
     assert len(rows) == 8 and {r.taken for r in rows if r.size == 0} == {0}
