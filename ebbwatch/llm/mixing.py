@@ -116,16 +116,17 @@ def mix_sources(
     u = uniform(seed, "doc_id")
     share_left = F.when(F.col("source_size") > 0, F.col("rest") / F.col("source_size")).otherwise(0.0)
     relative = F.coalesce(F.try_divide(F.col("weight"), F.col("mean_weight")), F.lit(1.0))
-    p = F.least(F.lit(1 - 1e-9), F.greatest(F.lit(1e-9), share_left * relative))
+    p = F.greatest(F.lit(1e-9), share_left * relative)
     usual = F.least(F.lit(1 - 1e-9), F.greatest(F.lit(1e-9), share_left))
-    odds = (u / (1 - u)) * (usual / (1 - usual)) / (p / (1 - p))
+    # Documents that are certain to be included stand before all others, by their random number alone.
+    odds = F.when(p >= 1 - 1e-9, u - 1).otherwise((u / (1 - u)) * (usual / (1 - usual)) / (p / (1 - p)))
+    buckets = F.ceil(F.col("n_docs") / rows_per_bucket)
+    bucket = F.floor(F.when(F.col("odds") < 0, F.col("odds")).otherwise(F.col("odds") / (1 + F.col("odds"))) * buckets)
     ordered = (
         rows.join(few(targets), F.col("source").eqNullSafe(F.col("of")))
         .drop("of")
         .withColumn("odds", odds)
-        .withColumn(
-            "bucket", F.floor(F.col("odds") / (1 + F.col("odds")) * F.ceil(F.col("n_docs") / rows_per_bucket)).cast("bigint")
-        )
+        .withColumn("bucket", bucket.cast("bigint"))
         .drop("mean_weight")
     )
     ordered = materialize(ordered, "mix-order")

@@ -104,10 +104,10 @@ share AS (
   FROM d JOIN t3 ON d.source IS NOT DISTINCT FROM t3.source JOIN mean ON d.source IS NOT DISTINCT FROM mean.source),
 odd AS (
   SELECT row_no, least(1 - 1e-9::DOUBLE, greatest(1e-9::DOUBLE, s)) AS usual,
-    least(1 - 1e-9::DOUBLE, greatest(1e-9::DOUBLE, s * coalesce(r, 1.0))) AS p FROM share),
+    greatest(1e-9::DOUBLE, s * coalesce(r, 1.0)) AS p FROM share),
 o AS (
   SELECT d.row_no, d.doc_id, d.source, d.size, t3.source_size, target, whole, rest,
-    (u / (1 - u)) * (usual / (1 - usual)) / (p / (1 - p)) AS odds
+    CASE WHEN p >= 1 - 1e-9::DOUBLE THEN u - 1 ELSE (u / (1 - u)) * (usual / (1 - usual)) / (p / (1 - p)) END AS odds
   FROM (SELECT *, (CAST('0x' || substr(md5('42|' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0::DOUBLE AS u FROM d) d
   JOIN t3 ON d.source IS NOT DISTINCT FROM t3.source
   JOIN odd ON d.row_no = odd.row_no),
