@@ -1,9 +1,13 @@
 """Near-duplicate vectors by a pivot-permutation index.
 
-Every vector is described by its ``nearest`` closest pivots. It is listed under each pair of them, so two vectors
-meet in a list when they share two pivots or more: the lists are inverted lists of pivots that already count to
-two. Pairs that meet are verified by their cosine in double precision. A pair is counted in one list only, that of
-its two smallest shared pivots.
+Every vector is described by its closest pivots, nearest first. Two vectors are candidates when ``shared`` or more of
+their ``nearest`` closest pivots are the same. Pivots are numbered from the rarest to the most frequent; a pair that
+shares enough has its smallest shared pivot among the first ``nearest - shared + 1`` of both, so vectors are listed
+under these alone, and a pair is counted in the list of its smallest shared pivot. There shared pivots are counted,
+and pairs that reach the minimum are verified by their cosine in double precision.
+
+Both numbers are settled by the data: vectors drawn by a hash are compared with all rows in blocks, and of the settings
+that find enough of their links that with the fewest lists is taken.
 
 Pivots are a sample thinned so that no two are nearly as close as a pair that links. A dense group has one pivot or
 a few, not one for each share of its rows: among many the nearest would be noise, and members would share none.
@@ -16,7 +20,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +33,13 @@ from ebbwatch.sources.storage import materialize
 MIN_PIVOTS, MAX_PIVOTS = 64, 8_192
 SAMPLE = 4  # vectors drawn for each pivot, while they take less than SAMPLE_BYTES on the driver
 SAMPLE_BYTES = 64_000_000
+KNOWN = 24  # closest pivots kept with a vector
+ASKED = 1_024  # vectors that measure the index; fewer where they would take more than SAMPLE_BYTES
+ASKED_PAIRS = 64  # links of one of them that a batch of 2,048 vectors counts
+ENOUGH = 0.98  # mean share of a measuring vector's links that the lists must hold
+#: (nearest, shared) by the number of lists, and the one taken where too few links are known to measure by.
+SETTINGS = sorted(((k, s) for k in (8, 12, 16, KNOWN) for s in range(2, k + 1)), key=lambda p: (p[0] - p[1], p[0]))
+USUAL, FEW = (8, 2), 64
 
 
 def usable(vector: str) -> F.Column:
@@ -67,25 +77,120 @@ def thin(unit: np.ndarray, count: int, apart: float) -> np.ndarray:
     return taken[:n]
 
 
-def _describe(entries: DataFrame, pivots: np.ndarray, nearest: int) -> DataFrame:
-    """entries with ``near``, the sorted numbers of the closest pivots."""
+def _closest(unit: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    """The numbers of the closest pivots, nearest first."""
+    near = unit @ pivots.T
+    k = min(KNOWN, near.shape[1])
+    top = np.argpartition(-near, k - 1, axis=1)[:, :k]
+    return np.take_along_axis(top, np.argsort(-np.take_along_axis(near, top, axis=1), axis=1), axis=1).astype(np.int32)
+
+
+def _lists(rows: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(np.arange(0, rows.size + 1, rows.shape[1], dtype=np.int32), rows.ravel())
+
+
+def _parts(batches: Iterator[pa.RecordBatch], rows: int = 2_048) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def _describe(entries: DataFrame, pivots: np.ndarray) -> DataFrame:
+    """entries with ``near``, the numbers of the closest pivots, nearest first."""
     shared = entries.sparkSession.sparkContext.broadcast(pivots)  # at most MAX_PIVOTS vectors
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                part = batch.slice(at, 2048)
-                near = _unit(_matrix(part.column("vector"))) @ shared.value.T
-                k = min(nearest, near.shape[1])
-                top = np.sort(np.argpartition(-near, k - 1, axis=1)[:, :k], axis=1).astype(np.int32)
-                lists = pa.ListArray.from_arrays(np.arange(0, top.size + 1, k, dtype=np.int32), top.ravel())
-                yield pa.RecordBatch.from_arrays([*part.columns, lists], [*part.schema.names, "near"])
+        for part in _parts(batches):
+            top = _closest(_unit(_matrix(part.column("vector"))), shared.value)
+            yield pa.RecordBatch.from_arrays([*part.columns, _lists(top)], [*part.schema.names, "near"])
 
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in entries.schema.fields)
     return entries.mapInArrow(run, f"{kinds}, near array<int>")
 
 
-def _tiles(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
+def _shared_of(a: np.ndarray, b: np.ndarray, settings: list[tuple[int, int]]) -> np.ndarray:
+    """Whether rows of closest pivots share enough, by setting."""
+    same = a[:, :, None] == b[:, None, :]
+    counts = {k: same[:, :k, :k].sum(axis=(1, 2)) for k in {k for k, _ in settings}}
+    return np.stack([counts[k] >= s for k, s in settings], axis=1)
+
+
+def _measured(described: DataFrame, asked: pa.Table, pivots: np.ndarray, threshold: float) -> tuple[int, int]:
+    """The (nearest, shared) with the fewest lists that hold ``ENOUGH`` of the links of the vectors asked for."""
+    unit = _unit(_matrix(asked.column("vector").combine_chunks()))
+    shared = described.sparkSession.sparkContext.broadcast((unit, asked.column("node").to_numpy(), _closest(unit, pivots)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        queries, names, wanted = shared.value
+        found = np.zeros((len(names), len(SETTINGS) + 1), np.int64)
+        for part in _parts(batches):
+            near = _matrix(part.column("near"))
+            close = queries @ _unit(_matrix(part.column("vector"))).T >= threshold
+            close &= names[:, None] != part.column("node").to_numpy()[None, :]
+            for query in np.flatnonzero(close.any(axis=1)).tolist():
+                rows = np.flatnonzero(close[query])[:ASKED_PAIRS]
+                held = _shared_of(near[rows], wanted[query][None, :], SETTINGS)
+                found[query] += np.append(held.sum(axis=0), len(rows))
+        some = np.flatnonzero(found[:, -1])
+        if len(some):
+            yield pa.RecordBatch.from_arrays([pa.array(some), _lists(found[some])], ["query", "found"])
+
+    totals = described.mapInArrow(run, "query long, found array<long>").groupBy("query")
+    columns = [F.sum(F.col("found")[i]).alias(f"f{i}") for i in range(len(SETTINGS) + 1)]
+    rows = np.array([r[1:] for r in totals.agg(*columns).collect()], float)  # a row for each vector asked for, at most
+    if len(rows) < FEW:
+        return USUAL
+    recall = (rows[:, :-1] / rows[:, -1:]).mean(axis=0)
+    good = np.flatnonzero(recall >= ENOUGH)
+    return SETTINGS[good[0] if len(good) else int(np.argmax(recall))]
+
+
+def _frequencies(described: DataFrame, count: int, rank: np.ndarray, nearest: int, lists: int) -> np.ndarray:
+    """How many vectors have each pivot, by its rank, among the first ``lists`` of their closest: one number a pivot."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = np.zeros(count, np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                near = np.sort(rank[_matrix(batch.column("near"))[:, :nearest]], axis=1)[:, :lists]
+                totals += np.bincount(near.ravel(), minlength=count)
+        some = np.flatnonzero(totals)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(totals[some])], ["pivot", "rows"])
+
+    out = np.zeros(count, np.int64)
+    for r in described.select("near").mapInArrow(run, "pivot long, rows long").groupBy("pivot").agg(F.sum("rows")).collect():
+        out[r[0]] = r[1]
+    return out
+
+
+def _deal(batches: Iterator[pa.RecordBatch], rank: np.ndarray, blocks: np.ndarray, nearest: int, lists: int) -> Iterator[pa.RecordBatch]:
+    """A row for each tile that a vector belongs to: list, low and high block, its own block."""
+    for part in _parts(batches, 256):
+        if not part.num_rows:
+            continue
+        near = np.sort(rank[_matrix(part.column("near"))[:, :nearest]], axis=1).astype(np.int32)
+        listed = near[:, :lists]
+        times = blocks[listed]
+        own = part.column("node").to_numpy()[:, None] % times
+        row = np.repeat(np.arange(part.num_rows), times.sum(axis=1))
+        ends = np.cumsum(times.ravel())
+        other = np.arange(len(row)) - np.repeat(ends - times.ravel(), times.ravel())
+        under, own = np.repeat(listed.ravel(), times.ravel()).astype(np.int64), np.repeat(own.ravel(), times.ravel())
+        sorted_near = _lists(near)
+        for at in range(0, len(row), 4_096):
+            some = slice(at, at + 4_096)
+            taken = part.take(pa.array(row[some]))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(under[some]), pa.array(np.minimum(own, other)[some]), pa.array(np.maximum(own, other)[some]),
+                    pa.array(own[some]), taken.column("node"), taken.column("weight"), taken.column("vector"),
+                    sorted_near.take(pa.array(row[some])),
+                ],
+                ["list", "low", "high", "block", "node", "weight", "vector", "near"],
+            )
+
+
+def _tiles(batches: Iterator[pa.RecordBatch], threshold: float, minimum: int) -> Iterator[pa.RecordBatch]:
     """Links inside tiles, which come sorted by (list, low, high)."""
     for batch, ends in in_runs(batches, ("list", "low", "high")):
         start = 0
@@ -93,21 +198,19 @@ def _tiles(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.R
             end = int(ends[start])
             if end - start > 1:
                 key = tuple(batch.column(c)[start].as_py() for c in ("list", "low", "high"))
-                yield from _tile(batch.slice(start, end - start), key, threshold)
+                yield from _tile(batch.slice(start, end - start), key, threshold, minimum)
             start = end
 
 
-def _tile(rows: pa.RecordBatch, key: tuple[int, int, int], threshold: float) -> Iterator[pa.RecordBatch]:
+def _tile(rows: pa.RecordBatch, key: tuple[int, int, int], threshold: float, minimum: int) -> Iterator[pa.RecordBatch]:
     node, weight, block = (rows.column(c).to_numpy() for c in ("node", "weight", "block"))
     unit, near = _unit(_matrix(rows.column("vector"))), _matrix(rows.column("near"))
-    pair = key[0]
     left = np.flatnonzero(block == key[1])
     right = left if key[1] == key[2] else np.flatnonzero(block == key[2])
     links = np.zeros(len(node), np.int64)
     parent = np.arange(len(node))
-    # A pair belongs here only if no pivot below the larger of this list's two is shared besides the smaller one.
-    low, high = divmod(pair, MAX_PIVOTS)
-    lower = np.where((near < high) & (near != low), near, -1)
+    # A pair belongs here only if it shares no pivot below that of the list.
+    lower = np.where(near < key[0], near, -1)
     # The most frequent of those pivots have bits; rows with one in common need no comparing.
     pivots, times = np.unique(lower[lower >= 0], return_counts=True)
     masks = np.zeros(len(node), np.uint64)
@@ -123,9 +226,10 @@ def _tile(rows: pa.RecordBatch, key: tuple[int, int, int], threshold: float) ->
             a, b = a[a < b], b[a < b]
         for cut in range(0, len(a), 65_536):
             x, y = a[cut : cut + 65_536], b[cut : cut + 65_536]
-            shared = (lower[x][:, :, None] == lower[y][:, None, :]) & (lower[x] >= 0)[:, :, None]
-            own = ~shared.any(axis=(1, 2))
-            x, y = x[own], y[own]
+            shared = near[x][:, :, None] == near[y][:, None, :]
+            apart = ~(shared & (lower[x] >= 0)[:, :, None]).any(axis=(1, 2))
+            enough = apart & (shared.sum(axis=(1, 2)) >= minimum)
+            x, y = x[enough], y[enough]
             parent = roots(len(node), x, y, parent)
             np.add.at(links, x, weight[y])
             np.add.at(links, y, weight[x])
@@ -141,15 +245,17 @@ def link_vectors(
     vec_id: str = "vec_id",
     embedding: str = "embedding",
     threshold: float = 0.95,
-    nearest: int = 8,
-    block_rows: int = 1_024,
+    setting: tuple[int, int] | None = None,
+    block_rows: int = 4_096,
 ) -> DataFrame:
     """vec_id, n_links, component_id, kept: one row for each vector.
 
     ``n_links`` counts the other vectors with a cosine of ``threshold`` or more that were found; ``component_id`` is
-    the smallest id reachable over such links. Pairs that share fewer than two of their ``nearest`` pivots are not
-    found. Pivots are distinct vectors that come first by a hash, at most about the square root of the number of
-    vectors, 64 to 8,192, and no two with a cosine of ``2 * threshold - 1`` or more; every vector is indexed.
+    the smallest id reachable over such links. Pairs that share too few of their closest pivots are not found:
+    ``setting`` is (nearest, shared), by default the one with the fewest lists that holds 98 % of the links of 1,024
+    vectors drawn by a hash and compared with all. Pivots are distinct vectors that come first by a hash, at most about
+    the square root of the number of vectors, 64 to 8,192, and no two with a cosine of ``2 * threshold - 1`` or more;
+    every vector is indexed. A block has ``block_rows`` vectors or 8 MB at most.
 
     Vectors that are null, zero, or hold null or non-finite components link with nothing and are kept. Vectors of
     different length are compared with none of the other lengths. Repeated rows link with each other; a null id is
@@ -170,7 +276,9 @@ def link_vectors(
         drawn = max(count, min(SAMPLE * count, SAMPLE_BYTES // (8 * row["size"])))
         sample = part.select("vector", "node").orderBy("node").limit(drawn).toArrow().column("vector").combine_chunks()
         pivots = thin(_unit(_matrix(sample)), count, 2 * threshold - 1)
-        links = _links_of(part, pivots, nearest, threshold, block_rows)
+        asked = part.select("vector", "node").orderBy(F.desc("node")).limit(min(ASKED, drawn)).toArrow()
+        block = max(256, min(block_rows, (1 << 20) // row["size"])) if block_rows > 256 else block_rows
+        links = _links_of(part, pivots, asked, threshold, setting, block)
         found = links if found is None else found.union(links)
     if found is None:
         found = entries.select(F.col("node").alias("a"), F.col("node").alias("b"), F.lit(0).cast("bigint").alias("links")).limit(0)
@@ -196,29 +304,22 @@ def link_vectors(
     )
 
 
-def _links_of(part: DataFrame, pivots: np.ndarray, nearest: int, threshold: float, block_rows: int) -> DataFrame:
-    described = materialize(_describe(part.select("node", "weight", "vector"), pivots, nearest), "vector-pivots")
-    size = min(nearest, len(pivots))
-    pairs = F.array(
-        *[
-            F.element_at("near", i + 1).cast("bigint") * MAX_PIVOTS + F.element_at("near", j + 1)
-            for i, j in (list(combinations(range(size), 2)) or [(0, 0)])
-        ]
-    )
-    listed = described.select("node", F.explode(pairs).alias("list"))
-    blocks = listed.groupBy("list").agg(F.ceil(F.count("*") / block_rows).alias("blocks")).where("blocks > 1")
-    rows = described.withColumn("list", F.explode(pairs))
-    sized = rows.join(blocks.withColumnRenamed("list", "of"), F.col("list") == F.col("of"), "left").withColumn(
-        "blocks", F.coalesce("blocks", F.lit(1))
+def _links_of(
+    part: DataFrame, pivots: np.ndarray, asked: pa.Table, threshold: float, setting: tuple[int, int] | None, block_rows: int
+) -> DataFrame:
+    described = materialize(_describe(part.select("node", "weight", "vector"), pivots), "vector-pivots")
+    count = len(pivots)
+    nearest, shared = setting or _measured(described, asked, pivots, threshold)
+    nearest = min(nearest, count)
+    shared = min(shared, nearest)
+    lists = nearest - shared + 1
+    found = _frequencies(described, count, np.arange(count), nearest, nearest)
+    rank = np.empty(count, np.int64)
+    rank[np.argsort(found, kind="stable")] = np.arange(count)
+    blocks = np.maximum(1, -(-_frequencies(described, count, rank, nearest, lists) // block_rows))
+    dealt = described.mapInArrow(
+        lambda batches: _deal(batches, rank, blocks, nearest, lists),
+        f"list long, low long, high long, block long, node long, weight long, vector {part.schema['vector'].dataType.simpleString()}, near array<int>",
     )
-    block = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    tiled = (
-        sized.withColumn("block", block.cast("bigint"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
-        .select(
-            "list", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-            "block", "node", "weight", "vector", "near",
-        )
-    )
-    together = tiled.repartition("list", "low", "high").sortWithinPartitions("list", "low", "high")
-    return together.mapInArrow(lambda batches: _tiles(batches, threshold), "a long, b long, links long")
+    together = dealt.repartition("list", "low", "high").sortWithinPartitions("list", "low", "high")
+    return together.mapInArrow(lambda batches: _tiles(batches, threshold, shared), "a long, b long, links long")

@@ -156,6 +156,43 @@ def test_a_dense_group_keeps_its_links(spark, monkeypatch):
     assert {rows[i].component_id for i in range(1_500)} == {0}
 
 
+def test_links_inside_wide_groups_are_found(spark, monkeypatch):
+    """Groups of inner cosine 0.85, wider than the thinning, with pairs at 0.95 to 0.97 in them, under many pivots."""
+    monkeypatch.setattr(vectors, "MIN_PIVOTS", 1_024)
+    rng = np.random.default_rng(31)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    dims = 128
+    center = np.repeat(unit(rng.normal(size=(40, dims))), 50, axis=0)
+    member = unit(center + unit(rng.normal(size=center.shape)) * 0.42)
+    copy = unit(member + unit(rng.normal(size=center.shape)) * rng.uniform(0.25, 0.32, (len(center), 1)))
+    x = np.concatenate([member, copy, unit(rng.normal(size=(1_000, dims)))])
+    close = x @ x.T >= 0.95
+    np.fill_diagonal(close, False)
+    assert 0.8 < (member[:50] @ member[:50].T).mean() < 0.9 and close.sum() >= 3_600
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = {r.vec_id: r.n_links for r in vectors.link_vectors(df).collect()}
+    assert all(found[i] <= n for i, n in enumerate(close.sum(axis=1)))
+    assert sum(found.values()) >= 0.95 * close.sum()
+
+
+@pytest.mark.parametrize("setting", [(8, 2), (12, 6), (24, 24), (3, 1)])
+def test_pairs_that_share_enough_are_counted_once(spark, setting):
+    rng = np.random.default_rng(5)
+    center = rng.normal(size=(30, 16))
+    x = np.concatenate([center + rng.normal(size=center.shape) * s for s in (0.0, 0.1, 0.2, 0.3)]).round(3)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    nodes = df.selectExpr("vec_id", "xxhash64(embedding) AS node").orderBy("node").collect()
+    pivots = vectors.thin(unit[[r.vec_id for r in nodes]], 64, 0.9)
+    near = vectors._closest(unit, pivots)[:, : setting[0]]
+    shared = np.array([[len(set(a) & set(b)) for b in near.tolist()] for a in near.tolist()])
+    linked = (unit @ unit.T >= 0.95) & (shared >= setting[1])
+    np.fill_diagonal(linked, False)
+    for block in (4, 4_096):
+        found = {r.vec_id: r.n_links for r in vectors.link_vectors(df, setting=setting, block_rows=block).collect()}
+        assert [found[i] for i in range(len(x))] == linked.sum(axis=1).tolist()
+
+
 def test_unusable_and_mixed_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
