@@ -36,7 +36,7 @@ SAMPLE_BYTES = 64_000_000
 KNOWN = 24  # closest pivots kept with a vector
 ASKED = 1_024  # vectors that measure the index; fewer where they would take more than SAMPLE_BYTES
 ASKED_PAIRS = 64  # links of one of them that a batch of 2,048 vectors counts
-ENOUGH = 0.98  # mean share of a measuring vector's links that the lists must hold
+ENOUGH = 0.995  # mean share of a measuring vector's links that the lists must hold
 #: (nearest, shared) by the number of lists, and the one taken where too few links are known to measure by.
 SETTINGS = sorted(((k, s) for k in (8, 12, 16, KNOWN) for s in range(2, k + 1)), key=lambda p: (p[0] - p[1], p[0]))
 USUAL, FEW = (8, 2), 64
@@ -252,7 +252,7 @@ def link_vectors(
 
     ``n_links`` counts the other vectors with a cosine of ``threshold`` or more that were found; ``component_id`` is
     the smallest id reachable over such links. Pairs that share too few of their closest pivots are not found:
-    ``setting`` is (nearest, shared), by default the one with the fewest lists that holds 98 % of the links of 1,024
+    ``setting`` is (nearest, shared), by default the one with the fewest lists that holds 99.5 % of the links of 1,024
     vectors drawn by a hash and compared with all. Pivots are distinct vectors that come first by a hash, at most about
     the square root of the number of vectors, 64 to 8,192, and no two with a cosine of ``2 * threshold - 1`` or more;
     every vector is indexed. A block has ``block_rows`` vectors or 8 MB at most.
