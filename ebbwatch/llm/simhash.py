@@ -9,7 +9,9 @@ hold every three positions in exactly one set, so a pair meets in the list of th
 fingerprints of a list differ in 32 bits at most. Lists under single bytes would hold a 256th of all fingerprints
 each, and their pairs grow with the square of the corpus.
 
-Exact copies are one entry of the index, and lists send on links that span their components, not all pairs.
+Exact copies are one entry of the index, and lists send on links that span their components, not all pairs. A list
+longer than ``BLOCK`` is divided in tiles of two blocks, so that no task holds more of it. In a long list the
+fingerprints close to a middle one are linked first; the others alone are compared with all.
 """
 
 from __future__ import annotations
@@ -34,7 +36,10 @@ MIN_SHARED = 5
 #: Differing bytes of a pair lie in one of these sets; its list is under the other four bytes.
 APART = [s for s in combinations(range(BYTES), 4) if s[0] ^ s[1] ^ s[2] ^ s[3] == 0]
 KEYS = [tuple(b for b in range(BYTES) if b not in s) for s in APART]
-DIRECT = 1 << 17  # a list this long is searched by flipping bits instead of comparing all with all
+DIRECT = 1 << 15  # a list this long is searched by flipping bits instead of comparing all with all
+BLOCK = 1 << 18  # fingerprints of a list that stay together; longer lists are tiled
+SAMPLED = 16  # one in so many fingerprints tells which lists are long; that changes the work, not the result
+MIDDLES = 4  # rounds of linking a long list's fingerprints to a middle one
 SMALL = 256  # runs up to this length are compared together, longer ones each alone
 _BITS = (np.arange(256)[:, None] >> np.arange(8)[None, :] & 1).astype(np.int64)
 
@@ -95,13 +100,28 @@ def accept_close(bits: int) -> Accept:
     return accept
 
 
+def _link_to_middles(prints: np.ndarray, accept: Accept) -> tuple[np.ndarray, np.ndarray]:
+    """Links to fingerprints in the middle of the others: parents, and the rows outside the largest component."""
+    n = len(prints)
+    parent, rest = np.arange(n), np.arange(n)
+    for _ in range(MIDDLES):
+        some = prints[rest]
+        middle = rest[np.argmin(np.bitwise_count(some ^ majority(some)).sum(axis=1))]
+        hit = np.flatnonzero(accept(prints, prints[middle]))
+        parent = roots(n, hit, np.full(len(hit), middle), parent)
+        rest = np.flatnonzero(parent != np.argmax(np.bincount(parent)))
+        if not len(rest):
+            break
+    return parent, rest
+
+
 def forest(prints: np.ndarray, accept: Accept, flips: int | None = None) -> np.ndarray:
     """For each different fingerprint of a long list, the row of its component's first.
 
     ``flips`` tells that a link is a difference of so many bits, which a very long list of single words uses.
     """
     n, words = prints.shape
-    parent = np.arange(n)
+    parent, rest = _link_to_middles(prints, accept)
     if flips and words == 1 and n >= DIRECT:
         flat = prints[:, 0]
         order = np.argsort(flat)
@@ -109,15 +129,18 @@ def forest(prints: np.ndarray, accept: Accept, flips: int | None = None) -> np.n
         free = [i for i in range(64) if np.any((flat ^ flat[0]) >> np.uint64(i) & np.uint64(1))]
         for k in range(1, flips + 1):
             for some in combinations(free, k):
-                other = flat ^ np.uint64(sum(1 << f for f in some))
+                other = flat[rest] ^ np.uint64(sum(1 << f for f in some))
                 at = np.minimum(np.searchsorted(ordered, other), n - 1)
                 hit = np.flatnonzero(ordered[at] == other)
-                parent = roots(n, hit, order[at[hit]], parent)
+                parent = roots(n, rest[hit], order[at[hit]], parent)
         return parent
+    outside = np.zeros(n, bool)
+    outside[rest] = True
+    line = np.concatenate([rest, np.flatnonzero(~outside)])
     step = max(1, 1_000_000 // (n * words))
-    for at in range(0, n, step):
-        a, b = np.nonzero(accept(prints[at : at + step, None], prints[None, at:]))
-        parent = roots(n, a + at, b + at, parent)
+    for at in range(0, len(rest), step):
+        a, b = np.nonzero(accept(prints[line[at : min(at + step, len(rest))], None], prints[None, line[at:]]))
+        parent = roots(n, line[a + at], line[b + at], parent)
     return parent
 
 
@@ -175,7 +198,21 @@ def link_fingerprints(prints: DataFrame, bits: int = 3) -> DataFrame:
     indexed = prints.select(F.col("fingerprint").alias("node"), F.explode(lists).alias("at")).select(
         "at.list", "at.key", "node", F.col("node").alias("w0")
     )
-    return _meet(indexed, ["w0"], accept_close(bits), bits)
+    return _meet(_in_tiles(indexed), ["w0"], accept_close(bits), bits)
+
+
+def _in_tiles(indexed: DataFrame) -> DataFrame:
+    """Rows of long lists once for each other block of their list; a list's number then tells the tile as well."""
+    some = indexed.where(F.pmod(F.xxhash64("node", F.lit("sample")), F.lit(SAMPLED)) == 0)
+    counted = some.groupBy("list", "key").agg((F.count("*") * SAMPLED).alias("rows")).where(F.col("rows") > BLOCK)
+    long = materialize(counted.select("list", "key", F.ceil(F.col("rows") / BLOCK).alias("blocks")), "simhash-lists")
+    marked = indexed.join(long, ["list", "key"], "left").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    others = F.filter(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1), lambda x: x != F.col("own"))
+    dealt = marked.withColumn(
+        "other", F.explode(F.when(F.col("blocks").isNull(), F.array(F.lit(None).cast("bigint"))).otherwise(others))
+    )
+    tile = (1 + F.least("own", "other") * (1 << 24) + F.greatest("own", "other")) * len(KEYS)
+    return dealt.select((F.col("list") + F.coalesce(tile, F.lit(0))).alias("list"), "key", "node", "w0")
 
 
 def _name_groups(entries: DataFrame, links: DataFrame) -> DataFrame:

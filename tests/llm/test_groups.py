@@ -79,6 +79,37 @@ def test_long_lists_are_searched_whole(spark, monkeypatch, direct, small):
     assert root.tolist() == want
 
 
+@pytest.mark.parametrize("direct", [1, 1 << 20])
+def test_a_list_around_a_middle_is_linked_whole(monkeypatch, direct):
+    """Fingerprints up to 5 bits from one, and others far from it, some of them linked to each other."""
+    monkeypatch.setattr(simhash, "DIRECT", direct)
+    rng = np.random.default_rng(14)
+    flip = lambda base, k: base ^ sum(1 << int(b) for b in rng.choice(32, k, replace=False))
+    prints = [flip(0xABCD << 32 | 0x1234567, int(rng.integers(0, 6))) for _ in range(400)]
+    far = [int(rng.integers(0, 1 << 32)) | 0xABCD << 32 for _ in range(100)]
+    prints += far + [p ^ 1 << 3 for p in far]
+    prints = np.unique(np.array(prints, np.uint64))
+    want = brute_components(len(prints), lambda a, b: int(prints[a] ^ prints[b]).bit_count() <= 3)
+    root = simhash.forest(prints[:, None], simhash.accept_close(3), 3)
+    assert len({(a, b) for a, b in zip(root.tolist(), want, strict=True)}) == len(set(want)) == len(set(root.tolist()))
+
+
+@pytest.mark.parametrize("block, sampled", [(4, 1), (8, 2), (64, 1)])
+def test_lists_in_tiles_equal_brute_force(spark, monkeypatch, block, sampled):
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    monkeypatch.setattr(simhash, "SAMPLED", sampled)
+    rng = random.Random(15)
+    base = [rng.getrandbits(64) for _ in range(5)]
+    prints = sorted({b ^ sum(1 << rng.randrange(64) for _ in range(rng.randint(0, 4))) for b in base for _ in range(60)})
+    prints = [p - (1 << 64) if p >= 1 << 63 else p for p in {p % (1 << 64) for p in prints}]
+    df = spark.createDataFrame([(p,) for p in prints], "fingerprint long")
+    want = brute_components(len(prints), lambda a, b: ((prints[a] ^ prints[b]) % (1 << 64)).bit_count() <= 3)
+    found = {r.node: r.component for r in connected(simhash.link_fingerprints(df)).collect()}
+    got = [found.get(p, p) for p in prints]
+    assert len(set(zip(got, want, strict=True))) == len(set(want)) == len(set(got))
+    assert len(set(want)) < len(prints) // 2
+
+
 def test_one_of_each_group_stays(spark, texts):
     rows = [(i, t) for i, t in enumerate(texts)] + [(None, texts[0]), (None, "alone with no id at all"), (0, "another text of id nought")]
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS node", "2 AS _row1", "'x' AS fingerprint", "4 AS component")
