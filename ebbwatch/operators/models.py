@@ -29,11 +29,12 @@ from ebbwatch.operators.scoring import add_risk_bands
 from ebbwatch.operators.splits import add_fold, split_by_hash
 from ebbwatch.sources.storage import materialize
 
-# Default settings of each model type.
+# Default settings of each model type. A forest keeps the node of each row and tree, or every level would
+# walk all trees from their roots again for every row; the trees are the same.
 DEFAULTS: dict[str, tuple[type, dict]] = {
     "random_forest": (
         RandomForestClassifier,
-        {"numTrees": 200, "maxDepth": 8, "minInstancesPerNode": 10, "featureSubsetStrategy": "sqrt", "seed": 42},
+        {"numTrees": 200, "maxDepth": 8, "minInstancesPerNode": 10, "featureSubsetStrategy": "sqrt", "seed": 42, "cacheNodeIds": True},
     ),
     "gbt": (GBTClassifier, {"maxIter": 100, "maxDepth": 6, "stepSize": 0.05, "seed": 42}),
     "logistic": (LogisticRegression, {"maxIter": 100, "regParam": 0.01, "elasticNetParam": 0.5}),

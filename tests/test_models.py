@@ -62,6 +62,13 @@ def test_planted_signal_is_found(vectors, kind, settings):
     assert all((r.churn_risk_level == "ALTO") == (r.churn_probability >= 0.7) for r in rows)
 
 
+def test_forest_keeps_the_nodes_of_its_rows(vectors):
+    kept = M.fit_classifier(vectors, "random_forest", numTrees=10)
+    assert kept.getCacheNodeIds()
+    plain = M.fit_classifier(vectors, "random_forest", numTrees=10, cacheNodeIds=False)
+    assert [t.toDebugString.split("\n")[1:] for t in kept.trees] == [t.toDebugString.split("\n")[1:] for t in plain.trees]
+
+
 def test_unknown_model_type():
     with pytest.raises(ValueError, match="unknown model type"):
         M.classifier("xgboost")
