@@ -202,9 +202,16 @@ class KeyedTable:
 
 
 def apply_stream(changes: DataFrame, table: KeyedTable, label: str, transform: Callable[[DataFrame], DataFrame] = lambda batch: batch):
-    """Apply what is available of a stream, batch by batch; replayed batches change nothing."""
+    """Apply what is available of a stream, batch by batch; replayed batches change nothing.
+
+    A batch is kept while it is applied: each further use would run its stateful steps again.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
-        table.apply(transform(batch), label, batch_id)
+        batch.persist()
+        try:
+            table.apply(transform(batch), label, batch_id)
+        finally:
+            batch.unpersist()
 
     started = (
         changes.writeStream.foreachBatch(write)
