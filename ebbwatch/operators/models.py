@@ -12,7 +12,6 @@ from pyspark.ml.classification import (
     GBTClassifier,
     LogisticRegression,
     MultilayerPerceptronClassifier,
-    RandomForestClassifier,
 )
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -24,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ebbwatch.operators.features import positive_probability
+from ebbwatch.operators.forests import GridForest
 from ebbwatch.operators.metrics import binary_metrics
 from ebbwatch.operators.scoring import add_risk_bands
 from ebbwatch.operators.splits import add_fold, split_by_hash
@@ -33,7 +33,7 @@ from ebbwatch.sources.storage import materialize
 # walk all trees from their roots again for every row; the trees are the same.
 DEFAULTS: dict[str, tuple[type, dict]] = {
     "random_forest": (
-        RandomForestClassifier,
+        GridForest,
         {"numTrees": 200, "maxDepth": 8, "minInstancesPerNode": 10, "featureSubsetStrategy": "sqrt", "seed": 42, "cacheNodeIds": True},
     ),
     "gbt": (GBTClassifier, {"maxIter": 100, "maxDepth": 6, "stepSize": 0.05, "seed": 42}),
@@ -82,7 +82,10 @@ def cross_validate(
     parallelism: int = 4,
     **settings,
 ):
-    """Grid search over hash folds of the key; returns the CrossValidatorModel."""
+    """Grid search over hash folds of the key; returns the CrossValidatorModel.
+
+    Forests of one fold that differ in depth only come from one fit.
+    """
     estimator = classifier(kind, label, **settings)
     search = CrossValidator(
         estimator=estimator,

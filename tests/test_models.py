@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -81,6 +82,22 @@ def test_cross_validation_and_search(vectors):
     assert tuned.validationMetrics[0] > 0.9
 
 
+def test_forests_of_several_depths_come_from_one_fit(vectors, monkeypatch):
+    grid = {"maxDepth": [2, 5, 3], "numTrees": [4, 7]}
+    shape = lambda model: [t.toDebugString.split("\n")[1:] for t in model.trees]
+    estimator = M.classifier("random_forest", minInstancesPerNode=1)
+    settings = M._grid(estimator, grid)
+    for i, model in estimator.fitMultiple(vectors, settings):
+        plain = RandomForestClassifier.fit(estimator, vectors, settings[i])
+        assert shape(model) == shape(plain)
+        told = [[list(r.rawPrediction) for r in m.transform(vectors).orderBy("id").collect()] for m in (model, plain)]
+        assert told[0] == told[1]
+    fits, fit = [], RandomForestClassifier._fit
+    monkeypatch.setattr(RandomForestClassifier, "_fit", lambda self, df: fits.append(1) or fit(self, df))
+    found = M.cross_validate(vectors, "random_forest", "id", folds=3, grid=grid)
+    assert len(found.avgMetrics) == 6 and len(fits) == 3 * 2 + 1
+
+
 def test_boosted_with_weights_and_early_stop(vectors):
     held = vectors.withColumn("held", F.col("id") % 5 == 0)
     model = M.train_boosted_weighted(held, "held", maxIter=30)
