@@ -164,10 +164,11 @@ def shapley_values(ensemble: Ensemble, x: np.ndarray) -> np.ndarray:
     return out.T
 
 
-def tree_contributions(model, df: DataFrame, key: str, features: str = "features", label: int = 1, batch_rows: int = 2_000) -> DataFrame:
+def tree_contributions(model, df: DataFrame, key: str, features: str = "features", label: int = 1, batch_rows: int = 10_000) -> DataFrame:
     """key, base, contributions (one for each entry of the vector) of every row, scored in Arrow batches in place.
 
     Rows with a null vector have null contributions. A not-a-number is above every cut, as it is for the trees.
+    The patterns of a leaf are worked out once for each batch, so larger batches cost less for each row.
     """
     ensemble = flatten(model, label)
     shared = df.sparkSession.sparkContext.broadcast(ensemble)  # the model, which is on every executor that scores
