@@ -1,5 +1,6 @@
 """Shapley values of tree ensembles against the definition, and that they add up to the predictions."""
 
+from inspect import signature
 from itertools import combinations
 from math import factorial
 
@@ -83,3 +84,12 @@ def test_mean_values_nulls_and_other_models(spark, rows):
     assert A.tree_contributions(model, some.limit(0), "id").count() == 0
     with pytest.raises(TypeError):
         A.flatten(LogisticRegression(maxIter=1).fit(rows))
+
+
+def test_patterns_are_worked_out_once_for_an_arrow_batch(rows):
+    model = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=3, maxDepth=3, seed=1).fit(rows)
+    ensemble = A.flatten(model)
+    x = np.array([list(r.features) for r in rows.limit(60).collect()])
+    pieces = np.concatenate([A.shapley_values(ensemble, x[i : i + 7]) for i in range(0, len(x), 7)])
+    assert np.allclose(pieces, A.shapley_values(ensemble, x), atol=1e-12)
+    assert signature(A.tree_contributions).parameters["batch_rows"].default >= 10_000

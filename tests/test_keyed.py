@@ -122,6 +122,17 @@ def test_change_log_equals_deduplication(spark, tmp_path, folder):
     assert t.read().exceptAll(want.select(*CUSTOMER_RAW.names)).count() == 0 and t.read().count() == want.count()
 
 
+def test_a_batch_is_kept_while_it_is_applied(spark, tmp_path):
+    path = f"{tmp_path}/keys"
+    spark.range(20).selectExpr("id as k", "id as t").write.parquet(path)
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("t", T.LongType())])
+    t = KeyedTable(spark, f"file://{tmp_path}/table", schema, "k", ["t"], buckets=2)
+    batches = []
+    apply_stream(W.stream_table(spark, path, schema), t, "keys", lambda batch: batches.append((batch, batch.is_cached)) or batch)
+    assert [kept for _, kept in batches] == [True] and not batches[0][0].is_cached
+    assert t.read().count() == 20
+
+
 def test_a_score_published_between_batches_is_used(spark, tmp_path):
     board = X.score_board(spark, f"file://{tmp_path}/board", buckets=2)
     scores = spark.createDataFrame([("c", 0.5, "MEDIO", "a")], "customer_id string, churn_probability double, churn_risk_level string, recommended_action string")
