@@ -177,15 +177,27 @@ def run_to_table(stream: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{base}/table")
 
 
+@contextmanager
+def kept_batch(batch: DataFrame):
+    """The number of rows of a micro-batch, which is kept inside the block: its stateful steps run once, in this count."""
+    batch.persist()
+    try:
+        yield batch.count()
+    finally:
+        batch.unpersist()
+
+
 def batch_writer(path: str, transform: Callable[[DataFrame], DataFrame], partition_by: Sequence[str] = ()):
-    """``foreachBatch`` function: a batch owns one folder and rewrites it when it is replayed."""
+    """``foreachBatch`` function: a batch owns one folder and rewrites it when it is replayed.
+
+    A batch without rows, as the one that only closes the state, is written without being transformed.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            transform(batch).write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/batch_id={batch_id}")
-        finally:
-            batch.unpersist()
+        with kept_batch(batch) as n:
+            told = transform(batch)
+            rows = told if n else told.limit(0)
+            rows.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/batch_id={batch_id}")
 
     return write
 

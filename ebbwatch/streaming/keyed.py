@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from ebbwatch.operators.skew import heavy_join
 from ebbwatch.sources import manifest
 from ebbwatch.sources.storage import scratch_path
+from ebbwatch.streaming.flows import kept_batch
 
 BUCKET, DELETED = "_bucket", "_deleted"
 _EMPTY = {"buckets": {}, "batches": {}}
@@ -204,14 +205,13 @@ class KeyedTable:
 def apply_stream(changes: DataFrame, table: KeyedTable, label: str, transform: Callable[[DataFrame], DataFrame] = lambda batch: batch):
     """Apply what is available of a stream, batch by batch; replayed batches change nothing.
 
-    A batch is kept while it is applied: each further use would run its stateful steps again.
+    A batch is kept while it is applied: each further use would run its stateful steps again. One without rows changes
+    nothing.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            table.apply(transform(batch), label, batch_id)
-        finally:
-            batch.unpersist()
+        with kept_batch(batch) as n:
+            if n:
+                table.apply(transform(batch), label, batch_id)
 
     started = (
         changes.writeStream.foreachBatch(write)

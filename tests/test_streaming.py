@@ -102,6 +102,32 @@ def test_replayed_batches_do_not_duplicate(spark, tmp_path):
     assert newest == {1: "ALTO", 2: "MEDIO"}
 
 
+def test_a_batch_without_rows_is_not_transformed(spark, tmp_path):
+    path, asked = str(tmp_path / "sink"), spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def doubled(x):
+        asked.add(1)
+        return 2 * x
+
+    runs = spark.sparkContext.accumulator(0)
+
+    def counted(rows):
+        runs.add(1)
+        return rows
+
+    rows = spark.range(6).repartition(2)
+    write_batch = W.batch_writer(path, lambda b: b.join(b.groupBy().agg(F.count("*").alias("n"))).select(doubled("id").alias("id"), "n"))
+    write_batch(rows.mapInArrow(counted, "id long"), 0)
+    assert runs.value == 2 and asked.value == 6
+    write_batch(rows.where("id < 0").mapInArrow(counted, "id long"), 1)
+    assert runs.value == 4  # each task once: the steps of an empty batch are not run again for each use
+    stored = spark.read.option("basePath", path).parquet(path)
+    assert sorted((r.id, r.n, r.batch_id) for r in stored.collect()) == [(2 * i, 6, 0) for i in range(6)]
+    rows = W.run_batches(spark.readStream.schema(EVENTS).parquet(write(spark, str(tmp_path / "in"), []) + "/event[s].parquet"), "none", EVENTS)
+    assert rows.columns == [*EVENTS.names, "batch_id"]
+
+
 def test_optional_table_and_scratch(spark, tmp_path):
     assert storage.read_optional(spark, str(tmp_path / "none.parquet"), ALERTS).count() == 0
     storage.write_table(spark.range(10), str(tmp_path / "some.parquet"), files=3)
