@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import hashlib
 from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
@@ -353,12 +354,36 @@ def term_counts(docs: DataFrame, key: str, text: str, buckets: int) -> DataFrame
     return tokens.groupBy(key, word_bucket(F.col("word"), buckets).alias("bucket")).agg(F.count("*").alias("tf"))
 
 
+def word_counts(docs: DataFrame, key: str, text: str, buckets: int, piece: int = 1_000) -> DataFrame:
+    """What ``term_counts`` tells, for long texts: a word is hashed once for each batch of rows, not wherever it stands.
+
+    Texts go to the tasks in pieces of words, which bounds the batches.
+    """
+    n_pieces = F.ceil(F.size("_t") / piece).cast("int")
+    cut = F.transform(F.sequence(F.lit(0), n_pieces - 1), lambda i: F.slice("_t", i * piece + 1, piece))
+    pieces = docs.select(key, words(text).alias("_t")).select(key, F.explode(F.when(F.size("_t") > 0, cut)).alias("_words"))
+    schema = T.StructType([docs.schema[key], T.StructField("bucket", T.IntegerType()), T.StructField("tf", T.LongType())])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("_words")
+            coded = lists.flatten().dictionary_encode()
+            hashed = [int(hashlib.md5(w).hexdigest()[:8], 16) % buckets for w in coded.dictionary.cast(pa.binary()).to_pylist()]
+            row = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())
+            cells = row * buckets + np.array(hashed, np.int64)[coded.indices.to_numpy()]
+            cell, tf = np.unique(cells, return_counts=True)
+            columns = [batch.column(key).take(pa.array(cell // buckets)), pa.array((cell % buckets).astype(np.int32)), pa.array(tf)]
+            yield pa.RecordBatch.from_arrays(columns, schema.names)
+
+    return pieces.mapInArrow(count, schema).groupBy(key, "bucket").agg(F.sum("tf").alias("tf"))
+
+
 def text_vectors(docs: DataFrame, key: str, text: str, buckets: int = 256) -> DataFrame:
     """Hashed TF-IDF as sparse rows (key, bucket, weight), each document of unit length.
 
     This is lexical: it compares words, not meaning. The idf table has at most ``buckets`` rows.
     """
-    counts = term_counts(docs, key, text, buckets)
+    counts = word_counts(docs, key, text, buckets)
     n_docs = docs.agg(F.count("*")).scalar()
     # counting through tf keeps both uses of `counts` identical, so its shuffle is made once
     idf = counts.groupBy("bucket").agg(F.count_if(F.col("tf") > 0).alias("df")).select(
@@ -433,7 +458,6 @@ def lexical_intent_udf(
     The anchors are turned into a matrix once, here, and travel with the closure; texts stay sparse, and a word is
     hashed once for each worker.
     """
-    import hashlib
     import re
 
     splitter = re.compile(r"[^\w]+|_+", re.UNICODE)

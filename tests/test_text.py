@@ -195,3 +195,18 @@ def test_intent_udf_equals_brute_force(spark):
         v = counts(text)
         net = max(cos(v, counts(a)) for a in K.CHURN_ANCHORS) - 0.5 * max(cos(v, counts(a)) for a in K.RETENTION_ANCHORS)
         assert got[i] == got[i + 796] == pytest.approx(min(max(net, 0.0), 1.0), abs=1e-5)
+
+
+def test_words_are_hashed_once_for_each_batch(spark):
+    texts = [None, "", " .,! ", "uno dos UNO ñandú É é 名前 名前 uno2", "a " * 2_500 + "b", "dos", "x\u0000y _z_ \U0001f600 ok"]
+    rows = [(i % 6 if i % 5 else None, t) for i, t in enumerate(texts * 3)]
+    docs = spark.createDataFrame(rows, "id long, t string").repartition(3)
+    for buckets in (7, 4096):
+        plain = T.term_counts(docs, "id", "t", buckets)
+        for piece in (1, 3, 1_000):
+            counted = T.word_counts(docs, "id", "t", buckets, piece)
+            assert counted.dtypes == plain.dtypes
+            assert sorted(map(repr, counted.collect())) == sorted(map(repr, plain.collect()))
+    assert T.word_counts(docs.where("t is null"), "id", "t", 7).count() == 0
+    plan = T.text_vectors(docs, "id", "t")._jdf.queryExecution().optimizedPlan().toString()
+    assert "md5" not in plan and "MapInArrow" in plan
