@@ -365,15 +365,17 @@ def word_counts(docs: DataFrame, key: str, text: str, buckets: int, piece: int =
     schema = T.StructType([docs.schema[key], T.StructField("bucket", T.IntegerType()), T.StructField("tf", T.LongType())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column("_words")
-            coded = lists.flatten().dictionary_encode()
-            hashed = [int(hashlib.md5(w).hexdigest()[:8], 16) % buckets for w in coded.dictionary.cast(pa.binary()).to_pylist()]
-            row = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())
-            cells = row * buckets + np.array(hashed, np.int64)[coded.indices.to_numpy()]
-            cell, tf = np.unique(cells, return_counts=True)
-            columns = [batch.column(key).take(pa.array(cell // buckets)), pa.array((cell % buckets).astype(np.int32)), pa.array(tf)]
-            yield pa.RecordBatch.from_arrays(columns, schema.names)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 2_000):  # bounds the words that are held
+                batch = whole.slice(at, 2_000)
+                lists = batch.column("_words")
+                coded = lists.flatten().dictionary_encode()
+                hashed = [int(hashlib.md5(w).hexdigest()[:8], 16) % buckets for w in coded.dictionary.cast(pa.binary()).to_pylist()]
+                row = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())
+                cells = row * buckets + np.array(hashed, np.int64)[coded.indices.to_numpy()]
+                cell, tf = np.unique(cells, return_counts=True)
+                columns = [batch.column(key).take(pa.array(cell // buckets)), pa.array((cell % buckets).astype(np.int32)), pa.array(tf)]
+                yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     return pieces.mapInArrow(count, schema).groupBy(key, "bucket").agg(F.sum("tf").alias("tf"))
 

@@ -207,6 +207,8 @@ def test_words_are_hashed_once_for_each_batch(spark):
             counted = T.word_counts(docs, "id", "t", buckets, piece)
             assert counted.dtypes == plain.dtypes
             assert sorted(map(repr, counted.collect())) == sorted(map(repr, plain.collect()))
+    many = spark.range(0, 5_000, 1, 1).select("id", F.concat_ws(" ", F.lit("w"), F.col("id") % 7, F.col("id")).alias("t"))
+    assert T.word_counts(many, "id", "t", 64).exceptAll(T.term_counts(many, "id", "t", 64)).count() == 0
     assert T.word_counts(docs.where("t is null"), "id", "t", 7).count() == 0
     plan = T.text_vectors(docs, "id", "t")._jdf.queryExecution().optimizedPlan().toString()
     assert "md5" not in plan and "MapInArrow" in plan
