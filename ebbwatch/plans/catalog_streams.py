@@ -86,10 +86,11 @@ def stream_scores_as_of(spark, folder):
     seen = read_table(spark, folder, "events").where((F.col("event_type") == "error") & (F.col("ts") < half))
     errors = seen.groupBy(customer_key("user_id").alias("customer_id")).agg(F.count("*").alias("errors"))
     raised = F.when(F.col("errors") >= 10, F.least(F.col("churn_probability") + 0.1, F.lit(1.0))).otherwise(F.col("churn_probability"))
-    second = scored(spark, folder).join(errors, "customer_id", "left").withColumn("churn_probability", round_half_up(raised, 4))
 
     def score(batch):
         if board.version() == 0 and batch.where(W.utc_clock("ts") >= half).count():
+            first = board.read().drop("valid_from")  # the scores are not computed anew
+            second = first.join(errors, "customer_id", "left").withColumn("churn_probability", round_half_up(raised, 4))
             X.publish_scores(board, add_risk_bands(second), "2024-01-15 00:00:00+00")
         return X.score_events_as_of(batch, board).select("event_id", "customer_id", "churn_probability", "churn_risk_level")
 

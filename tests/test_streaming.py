@@ -144,3 +144,12 @@ def test_event_time_does_not_depend_on_the_session_zone(spark, tmp_path):
         rows = spark.read.schema(EVENTS).parquet(f"{folder}/events.parquet").withColumn("at", W.utc_instant("ts"))
         row = rows.select(F.unix_micros("at").alias("u"), W.utc_clock("at").alias("clock")).collect()[0]
     assert row.u == 1704067200000000 and row.clock == START
+
+
+def test_second_scores_come_from_the_published_ones(spark, folder, monkeypatch):
+    from ebbwatch.plans import catalog_streams
+
+    asked, scored = [], catalog_streams.scored
+    monkeypatch.setattr(catalog_streams, "scored", lambda *a: asked.append(1) or scored(*a))
+    catalog_streams.stream_scores_as_of(spark, folder)
+    assert len(asked) == 1
