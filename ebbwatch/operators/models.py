@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 from ebbwatch.operators.features import positive_probability
 from ebbwatch.operators.forests import GridForest
 from ebbwatch.operators.metrics import binary_metrics
+from ebbwatch.operators.networks import fit_weighted
 from ebbwatch.operators.scoring import add_risk_bands
 from ebbwatch.operators.splits import add_fold, split_by_hash
 from ebbwatch.sources.storage import materialize
@@ -45,6 +46,8 @@ GRIDS: dict[str, dict[str, list]] = {
     "gbt": {"maxDepth": [4, 6, 8], "maxIter": [100, 200]},
     "logistic": {"regParam": [0.001, 0.01, 0.1], "elasticNetParam": [0.0, 0.5]},
 }
+# Fixed value: rows times weights of a network from which it is fitted to distinct rows with their copies.
+WEIGHTED_FROM = 1 << 28
 BOOSTED = {"maxIter": 500, "maxDepth": 6, "stepSize": 0.05, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8", "seed": 42}
 
 
@@ -158,28 +161,38 @@ def train_boosted_weighted(
     return trees.fit(weighted)
 
 
+def with_copies(df: DataFrame, label: str, name: str = "_copies") -> DataFrame:
+    """How often each row stands when positives are repeated until the classes are about even."""
+    weighted = with_class_weight(df, label, "_w")
+    return weighted.withColumn(name, F.greatest(F.round("_w").cast("int"), F.lit(1))).drop("_w")
+
+
 def replicate_positives(df: DataFrame, label: str) -> DataFrame:
     """Positives repeated until the classes are about even, for models without a weight column.
 
     The copies come from an explode inside the task, so they stay with their partition.
     """
-    weighted = with_class_weight(df, label, "_w")
-    copies = F.greatest(F.round("_w").cast("int"), F.lit(1))
-    return weighted.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).drop("_w", "_copy")
+    copied = with_copies(df, label)
+    return copied.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_copies", "_copy")
 
 
 def train_mlp(
     df: DataFrame, n_features: int, hidden: Sequence[int] = (64, 32, 16), label: str = "churn", features: str = "features", max_iter: int = 200, balance: bool = True
 ):
     """Feed-forward network. Spark's hidden layers are sigmoid and it has neither dropout nor
-    weights; class balance comes from repeated positives."""
+    weights; class balance comes from repeated positives.
+
+    From ``WEIGHTED_FROM`` on the same sum over all rows is taken over distinct rows with the number of their copies.
+    """
     rows = df.select(label, features)
-    if balance:
-        rows = replicate_positives(rows, label)
+    layers = [n_features, *hidden, 2]
     network = MultilayerPerceptronClassifier(
-        layers=[n_features, *hidden, 2], labelCol=label, featuresCol=features, maxIter=max_iter, blockSize=128, seed=42
+        layers=layers, labelCol=label, featuresCol=features, maxIter=max_iter, blockSize=128, seed=42
     )
-    return network.fit(rows)
+    if rows.count() * sum((n + 1) * m for n, m in zip(layers, layers[1:])) >= WEIGHTED_FROM:
+        copied = with_copies(rows, label) if balance else rows.withColumn("_copies", F.lit(1))
+        return fit_weighted(network, copied, "_copies")
+    return network.fit(replicate_positives(rows, label) if balance else rows)
 
 
 def text_classifier(label: str, text: str = "text", buckets: int = 1 << 14, **settings) -> Pipeline:

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 from ebbwatch.operators import explain as E
 from ebbwatch.operators import features as FT
 from ebbwatch.operators import models as M
+from ebbwatch.operators import networks as N
 
 
 @pytest.fixture(scope="module")
@@ -117,6 +119,47 @@ def test_network(vectors, spark):
     assert ranked[0].feature == "a_imp" and ranked[0].relative == 1.0 and len(ranked) == 5
 
 
+def _inputs(spark, negatives=96, positives=32):
+    """Rows that come twice; three copies of the positives make 384 rows, whole blocks of Spark's network."""
+    rows = [(i // 2 % 48 / 10 - 2.0, float(i // 2 % 7), int(i >= 2 * negatives)) for i in range(2 * (negatives + positives))]
+    return FT.assembler(["a", "b"], "features").transform(spark.createDataFrame(rows, "a double, b double, y int")).coalesce(1)
+
+
+def test_network_on_distinct_rows_is_the_network_on_all_rows(spark, monkeypatch):
+    df = _inputs(spark)
+    plain = M.train_mlp(df, 2, hidden=(5, 3), label="y", max_iter=15)
+    passes = []
+    monkeypatch.setattr(N, "weighted_rows", lambda *a, made=N.weighted_rows: passes.append(made(*a)) or passes[-1])
+    monkeypatch.setattr(M, "WEIGHTED_FROM", 0)
+    model = M.train_mlp(df, 2, hidden=(5, 3), label="y", max_iter=15)
+    assert model.weights.toArray() == pytest.approx(plain.weights.toArray(), rel=1e-6, abs=1e-6)
+    given = passes[0].agg(F.count("*"), F.sum("weight")).first()
+    assert (given[0], given[1]) == (128, 384)
+    scores = M.score_customers(model, df).select("churn_probability").collect()
+    assert [r[0] for r in scores] == pytest.approx([r[0] for r in M.score_customers(plain, df).select("churn_probability").collect()])
+    unbalanced = M.train_mlp(df, 2, hidden=(5,), label="y", max_iter=10, balance=False).weights.toArray()
+    monkeypatch.setattr(M, "WEIGHTED_FROM", 1 << 60)
+    assert unbalanced == pytest.approx(M.train_mlp(df, 2, hidden=(5,), label="y", max_iter=10, balance=False).weights.toArray(), abs=1e-6)
+
+
+def test_network_on_distinct_rows_refuses_what_the_network_refuses(spark, monkeypatch):
+    monkeypatch.setattr(M, "WEIGHTED_FROM", 0)
+    for label in (F.lit(2), F.lit(None).cast("int")):
+        with pytest.raises(Exception, match="labels must be whole numbers"):
+            M.train_mlp(_inputs(spark).withColumn("y", label), 2, hidden=(3,), label="y", max_iter=2)
+
+
+def test_descent_stops():
+    bowl = lambda x: (float(x @ x), 2 * x)
+    found, values = N.minimize(bowl, np.array([3.0, -4.0]), 50)
+    assert np.abs(found).max() < 1e-6 and len(values) < 10 and values == sorted(values, reverse=True)
+    start = np.array([3.0, -4.0])
+    assert len(N.minimize(bowl, start, 0)[1]) == 1
+    # no step: the value is never a number away from the start
+    stays, values = N.minimize(lambda x: (25.0 if (x == start).all() else np.nan, 2 * x), start, 50)
+    assert list(stays) == [3.0, -4.0] and values == [25.0]
+
+
 def test_text_classifier(spark):
     rows = [(f"quiero cerrar la cuenta {i}" if i % 2 else f"muy contento con el banco {i}", i % 2) for i in range(60)]
     df = spark.createDataFrame(rows, "text string, y int")
