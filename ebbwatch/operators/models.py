@@ -16,6 +16,7 @@ from pyspark.ml.classification import (
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -48,6 +49,9 @@ GRIDS: dict[str, dict[str, list]] = {
 }
 # Fixed value: rows times weights of a network from which it is fitted to distinct rows with their copies.
 WEIGHTED_FROM = 1 << 28
+# Rows of boosted trees from which they are dealt out evenly, and rows of a partition at most.
+DEALT_FROM = 1 << 16
+DEALT_ROWS = 1 << 19
 BOOSTED = {"maxIter": 500, "maxDepth": 6, "stepSize": 0.05, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8", "seed": 42}
 
 
@@ -59,9 +63,26 @@ def classifier(kind: str, label: str = "churn_label", features: str = "features"
     return factory(labelCol=label, featuresCol=features, **{**defaults, **settings})
 
 
+def dealt(df: DataFrame, label: str, features: str = "features") -> DataFrame:
+    """Rows of a large table in even partitions, one for each core or a multiple of that; smaller tables stay as they lie.
+
+    Boosted trees pass all rows once for each level of each tree, and every partition of a pass costs a task and sends
+    the sums of all nodes. The order inside a partition is fixed by the rows, because the trainer lays kept predictions
+    beside rows that may be read again.
+    """
+    rows = df.count()
+    if rows < DEALT_FROM:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    parts = cores * max(1, -(-rows // (cores * DEALT_ROWS)))
+    others = [c for c in df.columns if c not in (label, features)]
+    return df.repartition(parts).sortWithinPartitions(F.xxhash64(vector_to_array(features)), label, *others)
+
+
 def fit_classifier(df: DataFrame, kind: str, label: str = "churn_label", features: str = "features", **settings):
     """Fit on the two columns that matter, so that nothing else is computed or carried along."""
-    return classifier(kind, label, features, **settings).fit(df.select(label, features))
+    rows = df.select(label, features)
+    return classifier(kind, label, features, **settings).fit(dealt(rows, label, features) if kind == "gbt" else rows)
 
 
 def _grid(estimator, values: Mapping[str, Sequence]) -> list:
@@ -158,7 +179,7 @@ def train_boosted_weighted(
         validationTol=validation_tol,
         **{**BOOSTED, **settings},
     )
-    return trees.fit(weighted)
+    return trees.fit(dealt(weighted, label))
 
 
 def with_copies(df: DataFrame, label: str, name: str = "_copies") -> DataFrame:
