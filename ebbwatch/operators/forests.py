@@ -8,6 +8,7 @@ from threading import Lock
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.sql import DataFrame, Row, SparkSession
 
+from ebbwatch.operators.grown import Grown, grow
 from ebbwatch.sources.storage import scratch_path
 
 _NO_SPLIT = {"featureIndex": -1, "leftCategoriesOrThreshold": [], "numCategories": -1}
@@ -64,7 +65,25 @@ class CutForests:
 
 
 class GridForest(RandomForestClassifier):
-    """A forest classifier that fits settings which differ in depth alone only once, as deep as asked for."""
+    """A forest classifier that fits settings which differ in depth alone only once, as deep as asked for.
+
+    After ``on_binned_rows``, it and its copies fit large tables on binned rows.
+    """
+
+    grown_from: int | None = None
+    frames: dict
+
+    def on_binned_rows(self, from_rows: int) -> GridForest:
+        self.grown_from, self.frames = from_rows, {}
+        return self
+
+    def _fit(self, dataset: DataFrame) -> RandomForestClassificationModel:
+        grown = None if self.grown_from is None else grow(self, dataset, self.grown_from, self.frames)
+        if grown is None:
+            return super()._fit(dataset)
+        model = grown.at(self.getMaxDepth())
+        model.grown = grown
+        return model
 
     def fitMultiple(self, dataset: DataFrame, paramMaps: Sequence) -> Iterator[tuple[int, RandomForestClassificationModel]]:
         depth_of = lambda setting: setting.get(self.maxDepth, self.getMaxDepth())
@@ -86,7 +105,7 @@ class _Forests:
         self.left, self.lock = iter(order), Lock()
         self.locks = {group: Lock() for group in deepest}
         self.fitted: dict[frozenset, RandomForestClassificationModel] = {}
-        self.cut: dict[frozenset, CutForests] = {}
+        self.cut: dict[frozenset, CutForests | Grown] = {}
 
     def __iter__(self):
         return self
@@ -103,5 +122,5 @@ class _Forests:
             if depth == self.deepest[group]:
                 return i, self.fitted[group]
             if group not in self.cut:
-                self.cut[group] = CutForests(self.fitted[group])
+                self.cut[group] = getattr(self.fitted[group], "grown", None) or CutForests(self.fitted[group])
         return i, self.cut[group].at(depth)

@@ -52,6 +52,8 @@ WEIGHTED_FROM = 1 << 28
 # Rows of boosted trees from which they are dealt out evenly, and rows of a partition at most.
 DEALT_FROM = 1 << 16
 DEALT_ROWS = 1 << 19
+# Fixed value: rows from which the forests of a grid search are grown on binned rows.
+GROWN_FROM = 1 << 16
 BOOSTED = {"maxIter": 500, "maxDepth": 6, "stepSize": 0.05, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8", "seed": 42}
 
 
@@ -108,9 +110,11 @@ def cross_validate(
 ):
     """Grid search over hash folds of the key; returns the CrossValidatorModel.
 
-    Forests of one fold that differ in depth only come from one fit.
+    Forests of one fold that differ in depth only come from one fit; from ``GROWN_FROM`` rows on they are grown on binned rows.
     """
     estimator = classifier(kind, label, **settings)
+    if isinstance(estimator, GridForest):
+        estimator = estimator.on_binned_rows(GROWN_FROM)
     search = CrossValidator(
         estimator=estimator,
         estimatorParamMaps=_grid(estimator, GRIDS[kind] if grid is None else grid),

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from ebbwatch.operators import explain as E
 from ebbwatch.operators import features as FT
+from ebbwatch.operators import grown as G
 from ebbwatch.operators import models as M
 from ebbwatch.operators import networks as N
 
@@ -100,6 +101,60 @@ def test_forests_of_several_depths_come_from_one_fit(vectors, monkeypatch):
     assert len(found.avgMetrics) == 6 and len(fits) == 3 * 2 + 1
 
 
+def test_grown_trees_are_those_of_spark(vectors, monkeypatch):
+    # Without draws of rows and features nothing is left to chance.
+    monkeypatch.setattr(G, "BLOCK_ROWS", 250)
+    forest = M.classifier("random_forest", bootstrap=False, featureSubsetStrategy="all", numTrees=2, maxDepth=4, minInstancesPerNode=2)
+    plain = forest.fit(vectors)
+    cut = forest.fit(vectors, {forest.maxDepth: 2})
+    grown = forest.on_binned_rows(1).fit(vectors)
+    shape = lambda model: [t.toDebugString.split("\n")[1:] for t in model.trees]
+    assert shape(grown) == shape(plain) and shape(grown.grown.at(2)) == shape(cut)
+    told = [[[*r.rawPrediction, *r.probability] for r in m.transform(vectors).orderBy("id").collect()] for m in (plain, grown)]
+    assert np.allclose(*told) and np.allclose(grown.featureImportances.toArray(), plain.featureImportances.toArray())
+
+
+def test_counts_of_nodes_alone_and_together(monkeypatch):
+    rng = np.random.default_rng(1)
+    codes, sizes = rng.integers(0, 64, (6, 500)).astype(np.uint8), np.array([120, 0, 80, 150])
+    rows, weight = rng.permutation(500)[:350].astype(np.int32), rng.integers(1, 5, 350).astype(np.uint8)
+    features = np.array([[0, 3], [1, 2], [5, 0], [4, 3]])
+    told = []
+    for segment in (1, 1 << 20):
+        monkeypatch.setattr(G, "SEGMENT_ROWS", segment)
+        told.append(G._counts(codes, features, rows, weight, sizes, 64))
+    assert (told[0] == told[1]).all()
+    assert told[0][2, 0, 9] == weight[120:200][codes[5][rows[120:200]] == 9].sum() and (told[0].sum(axis=2)[:, 0] == [weight[:120].sum(), 0, weight[120:200].sum(), weight[200:].sum()]).all()
+
+
+def test_large_grid_searches_grow_their_forests(vectors, monkeypatch):
+    fits, fit = [], RandomForestClassifier._fit
+    monkeypatch.setattr(RandomForestClassifier, "_fit", lambda self, df: fits.append(df.count()) or fit(self, df))
+    monkeypatch.setattr(M, "GROWN_FROM", 200, raising=False)
+    found = M.cross_validate(vectors, "random_forest", "id", folds=2, grid={"maxDepth": [2, 4], "numTrees": [3, 5]}, minInstancesPerNode=1)
+    assert max(fits) == 2 and len(found.avgMetrics) == 4 and min(found.avgMetrics) > 0.9
+    best = found.bestModel
+    assert best.getNumTrees in (3, 5) and len({t.toDebugString.split("\n", 1)[1] for t in best.trees}) > 1
+    M.fit_classifier(vectors, "random_forest", numTrees=3)
+    assert fits[-1] == 600
+
+
+def test_only_plain_large_tables_are_grown(vectors):
+    forest = M.classifier("random_forest", numTrees=2)
+    grow = lambda df, rows=600, **settings: G.grow(forest.copy({forest.getParam(k): v for k, v in settings.items()}), df, rows, {})
+    assert grow(vectors) is not None and grow(vectors, 601) is None and grow(vectors, impurity="entropy") is None
+    labelled = lambda c: vectors.withColumn("churn_label", c)
+    for odd in (F.col("id") % 3, F.lit(0), F.when(F.col("id") != 5, F.col("churn_label"))):
+        assert grow(labelled(odd)) is None
+
+
+def test_bootstrap_is_poisson():
+    counts = G.bootstrap(400_000, 42, 100, 7, 0)
+    assert counts.mean() == pytest.approx(1, abs=0.01) and counts.var() == pytest.approx(1, abs=0.02)
+    assert np.bincount(counts)[:4] / len(counts) == pytest.approx([0.3679, 0.3679, 0.1839, 0.0613], abs=0.004)
+    assert (counts == G.bootstrap(400_000, 42, 100, 7, 0)).all() and (counts != G.bootstrap(400_000, 42, 100, 8, 0)).any()
+
+
 def test_boosted_with_weights_and_early_stop(vectors):
     held = vectors.withColumn("held", F.col("id") % 5 == 0)
     model = M.train_boosted_weighted(held, "held", maxIter=30)
